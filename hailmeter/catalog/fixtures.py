@@ -1,7 +1,9 @@
 """Trips, zones and weather derived from the given tables.
 
-The texts are plain SQL that Spark and DuckDB both run. Money and distances
-are multiples of 1/64, so sums of doubles are exact in any order.
+The texts are plain SQL that Spark and DuckDB both run, but for WALL_CLOCK(n),
+which stands for the zone-less timestamp n seconds after 1970 (1735689600 is
+2025-01-01). Money and distances are multiples of 1/64, so sums of doubles are
+exact in any order.
 
 * trips come from `lineitem`, one trip per line;
 * zones from `supplier` with its nation and region, one zone per supplier;
@@ -25,13 +27,11 @@ CATCH_ALL_IDS = (22, 23)
 TRIPS = """
 SELECT CASE WHEN (l_orderkey + l_partkey) % 10 = 0 THEN 'green' ELSE 'yellow' END AS feed,
   1 + l_partkey % 2 AS vendor,
-  TIMESTAMP '2025-01-01 00:00:00'
-    + INTERVAL '1' DAY * CAST((l_orderkey * 7 + l_partkey) % 151
+  1735689600 + 86400 * ((l_orderkey * 7 + l_partkey) % 151
       + CASE WHEN l_linenumber % 2 = 0 THEN 365 ELSE 0 END
       + CASE WHEN l_orderkey % 997 = 0 THEN 730 ELSE 0 END
-      + CASE WHEN l_orderkey % 991 = 0 THEN 160 ELSE 0 END AS INT)
-    + INTERVAL '1' SECOND
-      * CAST((l_orderkey * 613 + l_partkey * 97 + l_suppkey * 31) % 86400 AS INT) AS pickup,
+      + CASE WHEN l_orderkey % 991 = 0 THEN 160 ELSE 0 END)
+    + (l_orderkey * 613 + l_partkey * 97 + l_suppkey * 31) % 86400 AS pickup,
   CAST(CASE WHEN l_partkey % 501 = 0 THEN -90
     WHEN l_partkey % 87 = 0 THEN 20
     WHEN l_partkey % 203 = 0 THEN 16000
@@ -62,8 +62,8 @@ FROM lineitem
 # congestion fee is missing from the total of payment type 0.
 FEED = """
 SELECT vendor AS VendorID,
-  pickup AS {p}_pickup_datetime,
-  pickup + INTERVAL '1' SECOND * seconds AS {p}_dropoff_datetime,
+  WALL_CLOCK(pickup) AS {p}_pickup_datetime,
+  WALL_CLOCK(pickup + seconds) AS {p}_dropoff_datetime,
   passengers AS passenger_count, distance AS trip_distance,
   CAST(1 AS DOUBLE) AS RatecodeID, 'N' AS store_and_fwd_flag,
   from_zone AS PULocationID, to_zone AS DOLocationID, payment AS payment_type,
@@ -99,8 +99,8 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionke
 
 # A storm of 11 hours (first year) or 27 hours (second year) every 30 days.
 WEATHER = """
-SELECT TIMESTAMP '2025-01-01 00:00:00' + INTERVAL '1' HOUR * CAST(h AS INT)
-    + INTERVAL '1' DAY * CAST(CASE WHEN h >= 3624 THEN 214 ELSE 0 END AS INT) AS datetime_local,
+SELECT WALL_CLOCK(1735689600 + 3600 * h + CASE WHEN h >= 3624 THEN 214 * 86400 ELSE 0 END)
+    AS datetime_local,
   20 + AVG(CAST(o_custkey % 64 AS DOUBLE)) AS temperature_f,
   16 + AVG(CAST(o_custkey % 64 AS DOUBLE)) AS apparent_temperature_f,
   MAX(CASE WHEN s IN (3, 4, 7, 8, 23) THEN CAST(h % 7 + 1 AS DOUBLE) / 16
@@ -137,8 +137,27 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def wall_clock(text: str, call: str) -> str:
+    """Spell WALL_CLOCK(...) for one engine; arguments nest no such call."""
+    out, rest = "", text
+    while "WALL_CLOCK(" in rest:
+        before, _, rest = rest.partition("WALL_CLOCK(")
+        depth = 1
+        for end, char in enumerate(rest):
+            depth += (char == "(") - (char == ")")
+            if depth == 0:
+                break
+        out += before + call.format(rest[:end])
+        rest = rest[end + 1 :]
+    return out + rest
+
+
+SPARK_CLOCK = "CAST(TIMESTAMP_SECONDS({}) AS TIMESTAMP_NTZ)"
+DUCKDB_CLOCK = "MAKE_TIMESTAMP(CAST({} AS BIGINT) * 1000000)"
+
+
 def _run(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
-    text = text.replace("TIMESTAMP '", "TIMESTAMP_NTZ '")
+    text = wall_clock(text, SPARK_CLOCK)
     for name in frames:
         text = text.replace(f"FROM {name}", f"FROM {{{name}}}").replace(
             f"JOIN {name}", f"JOIN {{{name}}}"

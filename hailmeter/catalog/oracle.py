@@ -11,7 +11,8 @@ from hailmeter.plans.segments import FEATURES
 
 _DESCRIPTION_ROWS = ", ".join(f"({code}, '{text}')" for code, text in DESCRIPTIONS.items())
 
-_PRELUDE = f"""
+_PRELUDE = fixtures.wall_clock(
+    f"""
 WITH fx_trips AS ({fixtures.TRIPS}),
 fx_yellow AS ({fixtures.YELLOW}),
 fx_green AS ({fixtures.GREEN}),
@@ -122,7 +123,9 @@ dim_weather AS (
     weather_code, weather_description, wind_speed_mph, wind_gusts_mph, relative_humidity_pct,
     visibility_ft, weather_category, is_adverse_weather
   FROM hours)
-"""
+""",
+    fixtures.DUCKDB_CLOCK,
+)
 
 ORACLE: dict[str, str] = {}
 
@@ -655,9 +658,10 @@ _add(
     "profile_columns",
     " UNION ALL ".join(
         f"SELECT '{name}' AS column_name, '{kind}' AS column_type, COUNT({name}) AS"
-        f" non_null_count, CAST(MIN({name}) AS VARCHAR) AS sample_value, COUNT(*) AS row_count,"
+        f" non_null_count, CAST(MIN({name}{plus}) AS VARCHAR) AS sample_value, COUNT(*) AS row_count,"
         f" CAST({len(_FACT_TYPES)} AS INT) AS column_count FROM fct"
         for name, kind in _FACT_TYPES.items()
+        for plus in (" + 0" if kind == "double" else "",)
     ),
 )
 

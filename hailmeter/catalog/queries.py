@@ -33,7 +33,7 @@ class Scene:
 
     @cached_property
     def bronze(self) -> fixtures.Bronze:
-        return fixtures.bronze(self.spark, self.sf_dir)
+        return landing.stored_bronze(self.spark, self.sf_dir)
 
     @cached_property
     def staged(self) -> DataFrame:

@@ -59,11 +59,7 @@ def align_columns_by_name(frames: Iterable[DataFrame], schema: T.StructType) ->
 def tolerant_csv(
     spark: SparkSession, path: str, schema: T.StructType, header: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejects); a bad line stops nothing.
-
-    Rejects keep what could be parsed next to the line and its file. Spark
-    refuses to read the line alone, so keep a parsed column in the selection.
-    """
+    """(good rows, rejects with their line and file); a bad line stops nothing."""
     rows = _csv_with_rejects(spark, path, schema, header)
     rejected = F.col(REJECT_COLUMN)
     names = schema.fieldNames()
@@ -76,16 +72,24 @@ def _csv_with_rejects(
     spark: SparkSession, path: str, schema: T.StructType, header: bool
 ) -> DataFrame:
     wide = T.StructType([*schema.fields, T.StructField(REJECT_COLUMN, T.StringType(), True)])
-    return (
+    rows = (
         spark.read.schema(wide)
         .option("header", str(header).lower())
         .option("quote", '"')
+        .option("escape", '"')
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", REJECT_COLUMN)
         # Parse every column, or a bad value in an unused one goes unnoticed.
         .option("columnPruning", "false")
-        .option("columnNameOfCorruptRecord", REJECT_COLUMN)
         .csv(path)
-        .select("*", F.col("_metadata.file_path").alias("file"))
+    )
+    # Spark refuses plans that read the rejected line alone. This comparison is
+    # always true and makes the line depend on the parsed columns.
+    parsed = F.xxhash64(*schema.fieldNames()) >= F.lit(-(2**63))
+    return rows.select(
+        *schema.fieldNames(),
+        F.when(parsed, F.col(REJECT_COLUMN)).alias(REJECT_COLUMN),
+        F.col("_metadata.file_path").alias("file"),
     )
 
 

@@ -49,15 +49,13 @@ def _history(files: DataFrame, counts: DataFrame) -> DataFrame:
 def load_history_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Per file: status, good rows, parsed rows, first rejected line."""
     rejected = F.col(REJECT_COLUMN)
-    # The parsed columns ride along: Spark refuses to read the line alone.
-    error = F.struct(rejected.alias("line"), *schema.fieldNames())
     counts = (
         _csv_with_rejects(spark, path, schema, header=True)
         .groupBy("file")
         .agg(
             F.count_if(rejected.isNull()).alias("row_count"),
             F.count(F.lit(1)).alias("row_parsed"),
-            F.min(F.when(rejected.isNotNull(), error))["line"].alias("first_error_message"),
+            F.min(rejected).alias("first_error_message"),
         )
     )
     return _history(_landed_files(spark, path), counts)
