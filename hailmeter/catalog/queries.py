@@ -62,9 +62,21 @@ class Scene:
             self.staged, self.zones, self.weather, self.zone_rows, fixtures.WEATHER_HOURS
         )
 
+    @cached_property
+    def trips(self) -> DataFrame:
+        """The fact without the dropoff role, which most reports never read."""
+        return enrich.fact_trips(
+            self.staged,
+            self.zones,
+            self.weather,
+            self.zone_rows,
+            fixtures.WEATHER_HOURS,
+            roles=("pickup",),
+        )
+
     @cached_property
     def mart(self) -> DataFrame:
-        return demand.mart_weather_demand(self.fact)
+        return demand.mart_weather_demand(self.trips)
 
     @cached_property
     def landed(self) -> pipeline.Landing:
@@ -274,7 +286,7 @@ def inventory_check(s: Scene) -> DataFrame:
 @query
 def sample_rows(s: Scene) -> DataFrame:
     order = ["pickup_at", "pickup_zone_id", "dropoff_zone_id", "fare_amount", "trip_distance"]
-    return landed.sample_rows(s.fact, 1000, order).select(*order, "total_amount")
+    return landed.sample_rows(s.trips, 1000, order).select(*order, "total_amount")
 
 
 # --- projection and conforming ----------------------------------------------------
@@ -362,7 +374,7 @@ def valid_trips(s: Scene) -> DataFrame:
 
 @query
 def city_boroughs(s: Scene) -> DataFrame:
-    return demand.city_boroughs(s.fact).groupBy("pickup_borough").agg(
+    return demand.city_boroughs(s.trips).groupBy("pickup_borough").agg(
         F.count(F.lit(1)).alias("trips")
     )
 
@@ -451,7 +463,7 @@ def referential_check(s: Scene) -> DataFrame:
 
 @query
 def weather_match(s: Scene) -> DataFrame:
-    return quality.weather_match(s.fact)
+    return quality.weather_match(s.trips)
 
 
 # --- aggregations -----------------------------------------------------------------------
@@ -539,7 +551,7 @@ def weekpart_days(s: Scene) -> DataFrame:
 
 @query
 def zone_features(s: Scene) -> DataFrame:
-    return segments.zone_features(s.fact)
+    return segments.zone_features(s.trips)
 
 
 @query
@@ -549,7 +561,7 @@ def layer_reconciliation(s: Scene) -> DataFrame:
 
 @query
 def domain_values(s: Scene) -> DataFrame:
-    return reports.domain_values(s.fact, "weather_category")
+    return reports.domain_values(s.trips, "weather_category")
 
 
 # --- reports ------------------------------------------------------------------------------
@@ -557,52 +569,52 @@ def domain_values(s: Scene) -> DataFrame:
 
 @query
 def monthly_volume(s: Scene) -> DataFrame:
-    return reports.monthly_volume(s.fact)
+    return reports.monthly_volume(s.trips)
 
 
 @query
 def hourly_demand_weekpart(s: Scene) -> DataFrame:
-    return reports.hourly_demand_weekpart(s.fact, s.weather)
+    return reports.hourly_demand_weekpart(s.trips, s.weather)
 
 
 @query
 def avg_trip_cost(s: Scene) -> DataFrame:
-    return reports.avg_trip_cost(s.fact)
+    return reports.avg_trip_cost(s.trips)
 
 
 @query
 def adverse_demand_change(s: Scene) -> DataFrame:
-    return reports.adverse_demand_change(s.fact, s.weather)
+    return reports.adverse_demand_change(s.trips, s.weather)
 
 
 @query
 def weather_type_demand_change(s: Scene) -> DataFrame:
-    return reports.weather_type_demand_change(s.fact, s.weather)
+    return reports.weather_type_demand_change(s.trips, s.weather)
 
 
 @query
 def adverse_revenue_delta(s: Scene) -> DataFrame:
-    return reports.adverse_revenue_delta(s.fact, s.weather)
+    return reports.adverse_revenue_delta(s.trips, s.weather)
 
 
 @query
 def adverse_revenue_delta_strict(s: Scene) -> DataFrame:
-    return reports.adverse_revenue_delta(s.fact, s.weather, strict=True)
+    return reports.adverse_revenue_delta(s.trips, s.weather, strict=True)
 
 
 @query
 def rush_revenue_swing(s: Scene) -> DataFrame:
-    return reports.rush_revenue_swing(s.fact, s.weather)
+    return reports.rush_revenue_swing(s.trips, s.weather)
 
 
 @query
 def borough_share_shift(s: Scene) -> DataFrame:
-    return reports.borough_share_shift(s.fact)
+    return reports.borough_share_shift(s.trips)
 
 
 @query
 def yoy_change(s: Scene) -> DataFrame:
-    return reports.yoy_change(s.fact)
+    return reports.yoy_change(s.trips)
 
 
 @query
@@ -615,12 +627,12 @@ def profile_columns(s: Scene) -> DataFrame:
 
 @query
 def revenue_per_active_minute(s: Scene) -> DataFrame:
-    return reports.revenue_per_active_minute(s.fact)
+    return reports.revenue_per_active_minute(s.trips)
 
 
 @query
 def trips_per_hour(s: Scene) -> DataFrame:
-    return reports.trips_per_hour(s.fact, s.weather)
+    return reports.trips_per_hour(s.trips, s.weather)
 
 
 @query
@@ -630,12 +642,12 @@ def weather_hour_share(s: Scene) -> DataFrame:
 
 @query
 def total_mismatch(s: Scene) -> DataFrame:
-    return quality.total_mismatch(s.fact)
+    return quality.total_mismatch(s.trips)
 
 
 @query
 def top_gaps(s: Scene) -> DataFrame:
-    return quality.top_gaps(s.fact)
+    return quality.top_gaps(s.trips)
 
 
 @query
@@ -645,7 +657,7 @@ def unknown_payment_profile(s: Scene) -> DataFrame:
 
 @query
 def tip_audit(s: Scene) -> DataFrame:
-    return quality.tip_audit(s.fact)
+    return quality.tip_audit(s.trips)
 
 
 @query
@@ -665,12 +677,12 @@ def longest_run(s: Scene) -> DataFrame:
 
 @query
 def trip_shape_by_condition(s: Scene) -> DataFrame:
-    return reports.trip_shape_by_condition(s.fact)
+    return reports.trip_shape_by_condition(s.trips)
 
 
 @query
 def left_in_defects(s: Scene) -> DataFrame:
-    return quality.left_in_defects(s.fact)
+    return quality.left_in_defects(s.trips)
 
 
 def _resent(s: Scene) -> DataFrame:
@@ -690,7 +702,7 @@ def drop_duplicate_trips(s: Scene) -> DataFrame:
 
 @query
 def surcharge_by_month(s: Scene) -> DataFrame:
-    return quality.surcharge_by_month(s.fact)
+    return quality.surcharge_by_month(s.trips)
 
 
 @query
@@ -713,7 +725,7 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 @query
 def standardize_features(s: Scene) -> DataFrame:
-    scores = segments.standardize_features(segments.zone_features(s.fact))
+    scores = segments.standardize_features(segments.zone_features(s.trips))
     return _rounded(scores, *segments.FEATURES)
 
 
@@ -721,13 +733,13 @@ def standardize_features(s: Scene) -> DataFrame:
 def davies_bouldin(s: Scene) -> DataFrame:
     """The index of a known assignment: every zone belongs to its borough."""
     keys = ("pickup_zone_id", "pickup_borough")
-    scores = segments.standardize_features(segments.zone_features(s.fact, keys))
+    scores = segments.standardize_features(segments.zone_features(s.trips, keys))
     index = segments.davies_bouldin(scores, "pickup_borough", segments.FEATURES)
     return _rounded(index, "davies_bouldin_index")
 
 
 def _segments(s: Scene, counts: tuple[int, ...]) -> segments.Segmentation:
-    return segments.fit_segments(segments.zone_features(s.fact), counts)
+    return segments.fit_segments(segments.zone_features(s.trips), counts)
 
 
 @query

@@ -25,6 +25,16 @@ def minute_index(ts: Column) -> Column:
     return F.floor(F.unix_seconds(ts.cast("timestamp")) / 60)
 
 
+def hour_index(ts: Column) -> Column:
+    """Number of the hour a timestamp lies in: one long instead of date and hour."""
+    return F.floor(F.unix_seconds(ts.cast("timestamp")) / 3600)
+
+
+def hour_index_of(date: Column, hour: Column) -> Column:
+    """The same number from a date and an hour of the day."""
+    return F.unix_date(date).cast("bigint") * 24 + hour
+
+
 def boundary_minutes(start: Column, end: Column) -> Column:
     """Minute boundaries crossed: 10:00:59 -> 10:01:00 is 1, not 0."""
     return (minute_index(end) - minute_index(start)).cast("int")

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hailmeter.functions import money, rules
+from hailmeter.functions import clock, money, rules
 from hailmeter.operators.dimension import attach
 
 FACT_COLUMNS = (
@@ -55,16 +55,15 @@ def enrich_zone(trips: DataFrame, zones: DataFrame, role: str, **join) -> DataFr
 
 
 def enrich_weather(trips: DataFrame, weather: DataFrame, **join) -> DataFrame:
-    """Exact match on the pickup's date and hour."""
+    """Exact match on the pickup's date and hour, compared as one long."""
     hourly = weather.select(
-        "weather_date", "weather_hour", "weather_category", "is_adverse_weather",
+        clock.hour_index_of(F.col("weather_date"), F.col("weather_hour")).alias("_hour_index"),
+        "weather_category", "is_adverse_weather",
         "temperature_f", "precipitation_inch", "wind_speed_mph",
     )
-    keyed = trips.withColumns(
-        {"_pickup_date": F.to_date("pickup_at"), "_pickup_hour": F.hour("pickup_at")}
-    )
-    on = [("_pickup_date", "weather_date"), ("_pickup_hour", "weather_hour")]
-    return attach(keyed, hourly, on, **join).drop("_pickup_date", "_pickup_hour")
+    keyed = trips.withColumn("_pickup_hour_index", clock.hour_index(F.col("pickup_at")))
+    on = [("_pickup_hour_index", "_hour_index")]
+    return attach(keyed, hourly, on, **join).drop("_pickup_hour_index")
 
 
 def fact_trips(
@@ -75,15 +74,20 @@ def fact_trips(
     weather_rows: int | None = None,
     years: tuple[int, ...] | None = rules.VALID_YEARS,
     max_rows: int | None = None,
+    roles: tuple[str, ...] = ("pickup", "dropoff"),
 ) -> DataFrame:
-    """Valid trips with both zone roles and the hour's weather: 35 columns."""
+    """Valid trips with both zone roles and the hour's weather: 35 columns.
+
+    Demand reports never look at the dropoff zone. They can leave that role
+    out and save a join per trip: an outer join on a key that is merely
+    expected to be unique is not removed by the optimizer.
+    """
     limit = {} if max_rows is None else {"max_rows": max_rows}
     if zone_rows is None:
         zone_rows = zones.count()  # one check for both roles
     trips = valid_trips(staged, years)
-    trips = enrich_zone(trips, zones, "pickup", proven_rows=zone_rows, **limit)
-    trips = enrich_zone(trips, zones, "dropoff", proven_rows=zone_rows, **limit)
+    for role in roles:
+        trips = enrich_zone(trips, zones, role, proven_rows=zone_rows, **limit)
     trips = enrich_weather(trips, weather, proven_rows=weather_rows, **limit)
-    return trips.withColumn("payment_type", money.payment_label(F.col("payment_type"))).select(
-        *FACT_COLUMNS
-    )
+    trips = trips.withColumn("payment_type", money.payment_label(F.col("payment_type")))
+    return trips.select(*[c for c in FACT_COLUMNS if c in trips.columns])

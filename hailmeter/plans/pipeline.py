@@ -40,6 +40,9 @@ class Settings:
     # Shuffle the fact into even files per month; not needed when the landed
     # files are already monthly.
     rebalance: bool = False
+    # Skip unreadable Parquet files instead of stopping. A storage hiccup looks
+    # like a corrupt file, so compare with `load_history_parquet` afterwards.
+    skip_unreadable: bool = False
 
 
 LAYERS = {
@@ -72,8 +75,9 @@ def run_pipeline(
         tables[name] = overwrite_table(df, f"{out}/{LAYERS[name]}/{name}", **options)
         return tables[name]
 
-    store("yellow_raw", scan_trip_files(spark, landing.yellow, schemas.YELLOW_FILE, tolerant=True))
-    store("green_raw", scan_trip_files(spark, landing.green, schemas.GREEN_FILE, tolerant=True))
+    skip = settings.skip_unreadable
+    store("yellow_raw", scan_trip_files(spark, landing.yellow, schemas.YELLOW_FILE, skip))
+    store("green_raw", scan_trip_files(spark, landing.green, schemas.GREEN_FILE, skip))
     store("zone_lookup", scan_zone_csv(spark, landing.zones))
     store("weather_hourly", flatten_hourly_json(spark, landing.weather, multi_line=False))
     settings.gate.enforce(table_counts(tables))

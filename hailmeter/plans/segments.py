@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from hailmeter.operators.dimension import attach
 from hailmeter.session import materialize
 
 FEATURES = (
@@ -127,24 +128,26 @@ def fit_segments(
     return Segmentation(points, scaler, models, tuple(features))
 
 
-def davies_bouldin(df: DataFrame, cluster: str, features: Sequence[str]) -> DataFrame:
+def davies_bouldin(
+    df: DataFrame, cluster: str, features: Sequence[str], clusters: int | None = None
+) -> DataFrame:
     """Index of a given assignment (Davies & Bouldin 1979), lower is better.
 
     Scatter is the mean Euclidean distance to the own centroid. Centroids are
     one row per cluster and travel as one small array; no point ever meets
-    another point.
+    another point. `clusters` states their number where it is known; without
+    it they are counted before they are broadcast.
     """
     known = df.filter(F.col(cluster).isNotNull())
     centre = F.array(*[F.avg(c) for c in features])
     centroids = known.groupBy(F.col(cluster).alias("_cluster")).agg(centre.alias("_centre"))
     point = F.array(*[F.col(c).cast("double") for c in features])
-    # One row per cluster: bounded by the number of clusters asked for.
     scattered = (
-        known.join(F.broadcast(centroids), known[cluster] == centroids["_cluster"])
-        .groupBy("_cluster", "_centre")
+        attach(known, centroids, [(cluster, "_cluster")], proven_rows=clusters)
+        .groupBy(F.col(cluster).alias("_cluster"), "_centre")
         .agg(F.avg(distance(point, F.col("_centre"))).alias("_scatter"))
     )
-    clusters = scattered.agg(
+    together = scattered.agg(
         F.collect_list(F.struct("_cluster", "_centre", "_scatter")).alias("all")
     )
 
@@ -159,7 +162,7 @@ def davies_bouldin(df: DataFrame, cluster: str, features: Sequence[str]) -> Data
         )
 
     ratios = F.transform("all", worst)
-    return clusters.select(
+    return together.select(
         F.size("all").alias("clusters"),
         (
             F.aggregate(ratios, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size("all"), F.lit(0))
@@ -185,7 +188,7 @@ def davies_bouldin_by_k(segments: Segmentation) -> DataFrame:
     """(model, k, index), one row per fitted k."""
     scaled = _scaled_columns(segments)
     rows = [
-        davies_bouldin(scaled, f"cluster_{k}", segments.features).select(
+        davies_bouldin(scaled, f"cluster_{k}", segments.features, clusters=k).select(
             F.lit(f"k={k}").alias("model"), F.lit(k).alias("k"), "davies_bouldin_index"
         )
         for k in segments.models
@@ -230,7 +233,13 @@ def centroid_table(segments: Segmentation, k: int) -> DataFrame:
 
 
 def assign_clusters(segments: Segmentation, k: int) -> DataFrame:
-    """Every group of trips with its cluster, ordered by cluster."""
+    """Every group of trips with its cluster, ordered by cluster.
+
+    The group's own keys come second in the order, so that one large cluster
+    does not end up in one sorting task.
+    """
     clusters = {f"cluster_{n}" for n in segments.models} | {"scaled"}
     rest = [c for c in segments.points.columns if c not in clusters]
-    return segments.points.select(F.col(f"cluster_{k}").alias("cluster"), *rest).orderBy("cluster")
+    return segments.points.select(F.col(f"cluster_{k}").alias("cluster"), *rest).orderBy(
+        "cluster", *rest
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hailmeter.functions import clock
 from hailmeter.operators.dimension import attach
 
 
@@ -79,13 +80,12 @@ def _ddl(df: DataFrame) -> str:
 def attach_hour(
     demand: DataFrame, weather: DataFrame, weather_rows: int | None = None
 ) -> DataFrame:
-    """Join the static weather table on the hour's date and number."""
-    keyed = demand.withColumns(
-        {"_date": F.to_date("hour_start"), "_hour": F.hour("hour_start")}
-    )
+    """Join the static weather table on the hour."""
+    keyed = demand.withColumn("_start_index", clock.hour_index(F.col("hour_start")))
     hours = weather.select(
-        "weather_date", "weather_hour", "weather_category", "is_adverse_weather"
+        clock.hour_index_of(F.col("weather_date"), F.col("weather_hour")).alias("_hour_index"),
+        "weather_category",
+        "is_adverse_weather",
     )
-    return attach(
-        keyed, hours, [("_date", "weather_date"), ("_hour", "weather_hour")], proven_rows=weather_rows
-    ).drop("_date", "_hour")
+    on = [("_start_index", "_hour_index")]
+    return attach(keyed, hours, on, proven_rows=weather_rows).drop("_start_index")
