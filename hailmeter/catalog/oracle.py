@@ -625,8 +625,10 @@ SELECT pickup_borough, pickup_year, adverse_share, clear_share,
   adverse_share - clear_share AS shift_pp
 FROM (
   SELECT pickup_borough, pickup_year,
-    CAST(hit_amount AS DOUBLE) / SUM(hit_amount) OVER w * 100 AS adverse_share,
-    CAST(base_amount AS DOUBLE) / SUM(base_amount) OVER w * 100 AS clear_share
+    CASE WHEN SUM(hit_amount) OVER w > 0
+      THEN CAST(hit_amount AS DOUBLE) / SUM(hit_amount) OVER w * 100 ELSE 0 END AS adverse_share,
+    CASE WHEN SUM(base_amount) OVER w > 0
+      THEN CAST(base_amount AS DOUBLE) / SUM(base_amount) OVER w * 100 ELSE 0 END AS clear_share
   FROM ({_versus(_TRIPS_SUM, ("is_adverse_weather", "TRUE"), ("NOT is_adverse_weather", "TRUE"))})
   WINDOW w AS (PARTITION BY pickup_year))
 """,

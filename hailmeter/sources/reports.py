@@ -24,15 +24,16 @@ def _landed_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"))
 
 
-def _history(files: DataFrame, counts: DataFrame) -> DataFrame:
+def _history(files: DataFrame, counts: DataFrame, empty_is_failure: bool) -> DataFrame:
     parsed = F.coalesce(F.col("row_parsed"), F.lit(0))
     loaded = F.coalesce(F.col("row_count"), F.lit(0))
+    failed = F.lit(empty_is_failure) & (parsed == 0)
     status = (
-        F.when(parsed == 0, "LOAD_FAILED")
+        F.when(failed, "LOAD_FAILED")
         .when(loaded < parsed, "PARTIALLY_LOADED")
         .otherwise("LOADED")
     )
-    error = F.when(parsed == 0, F.lit("no readable rows")).otherwise(F.col("first_error_message"))
+    error = F.when(failed, F.lit("no readable rows")).otherwise(F.col("first_error_message"))
     return (
         files.join(counts, "file", "left")
         .select(
@@ -58,11 +59,11 @@ def load_history_csv(spark: SparkSession, path: str, schema: T.StructType) -> Da
             F.min(rejected).alias("first_error_message"),
         )
     )
-    return _history(_landed_files(spark, path), counts)
+    return _history(_landed_files(spark, path), counts, empty_is_failure=False)
 
 
 def load_history_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The same for Parquet, where a whole file is readable or not."""
+    """The same for Parquet, where a file without any readable row has failed."""
     counts = (
         scan_trip_files(spark, path, schema, tolerant=True)
         .groupBy(F.col("_metadata.file_path").alias("file"))
@@ -74,7 +75,7 @@ def load_history_parquet(spark: SparkSession, path: str, schema: T.StructType) -
             F.lit(None).cast("string").alias("first_error_message"),
         )
     )
-    return _history(_landed_files(spark, path), counts)
+    return _history(_landed_files(spark, path), counts, empty_is_failure=True)
 
 
 def file_inventory(df: DataFrame, pickup: str, by_folder: bool = False) -> DataFrame:
