@@ -840,6 +840,17 @@ _add(
         for name, condition in _DEFECTS.items()
     ),
 )
+_add(
+    "zero_totals_by_payment",
+    """
+SELECT payment_type, COUNT(*) AS trips,
+  COUNT(*) FILTER (WHERE payment_type IN ('No Charge', 'Dispute') OR total_amount = 0)
+    AS zero_total_trips,
+  COUNT(*) FILTER (WHERE payment_type IN ('No Charge', 'Dispute') OR total_amount = 0) * 100
+    / COUNT(*) AS zero_total_pct
+FROM fct GROUP BY 1
+""",
+)
 _RESENT = "(SELECT * FROM stg UNION ALL SELECT * FROM stg WHERE payment_type = 2)"
 _add(
     "duplicate_trips",
@@ -967,44 +978,51 @@ _CATEGORY_LIST = (
     " 'Thunderstorm', 'Other'"
 )
 _FEED_LIST = "'yellow', 'green'"
-_add(
-    "expectations_suite",
-    " UNION ALL ".join(
-        [
-            _unique("zone_lookup", "fx_zones", "LocationID"),
-            _nulls("zone_lookup", "fx_zones", "LocationID"),
-            *[
-                _nulls("stg_trips", "stg", c)
-                for c in ("taxi_type", "pickup_at", "dropoff_at", "is_valid")
-            ],
-            _values("stg_trips", "stg", "taxi_type", _FEED_LIST),
-            _values("stg_trips", "stg", "payment_type", "1, 2, 3, 4, 5, 6", "warn"),
-            _parent("stg_trips", "stg"),
-            _unique("stg_zones", "zones", "location_id"),
-            *[_nulls("stg_zones", "zones", c) for c in ("location_id", "borough")],
-            *[
-                _nulls("stg_weather", "hours", c)
-                for c in ("weather_date", "weather_hour", "weather_category")
-            ],
-            _values("stg_weather", "hours", "weather_category", _CATEGORY_LIST),
-            *[_nulls("fct_trips", "fct", c) for c in ("pickup_at", "taxi_type", "total_amount")],
-            _nulls("fct_trips", "fct", "pickup_borough", "warn"),
-            _values("fct_trips", "fct", "taxi_type", _FEED_LIST),
-            _parent("fct_trips", "fct"),
-            *[
-                _nulls("mart_weather_demand", "mart", c)
-                for c in ("pickup_borough", "pickup_year", "trip_count", "total_revenue")
-            ],
-            _unique("dim_zones", "zones", "location_id"),
-            *[_nulls("dim_zones", "zones", c) for c in ("location_id", "borough")],
-            *[
-                _nulls("dim_weather", "hours", c)
-                for c in ("weather_date", "weather_hour", "weather_category")
-            ],
-            _unique("dim_weather", "hours", "weather_date,weather_hour"),
-        ]
-    ),
-)
+_SUITE = [
+    _unique("zone_lookup", "fx_zones", "LocationID"),
+    _nulls("zone_lookup", "fx_zones", "LocationID"),
+    *[
+        _nulls("stg_trips", "stg", c)
+        for c in ("taxi_type", "pickup_at", "dropoff_at", "is_valid")
+    ],
+    _values("stg_trips", "stg", "taxi_type", _FEED_LIST),
+    _values("stg_trips", "stg", "payment_type", "1, 2, 3, 4, 5, 6", "warn"),
+    _parent("stg_trips", "stg"),
+    _unique("stg_zones", "zones", "location_id"),
+    *[_nulls("stg_zones", "zones", c) for c in ("location_id", "borough")],
+    *[
+        _nulls("stg_weather", "hours", c)
+        for c in ("weather_date", "weather_hour", "weather_category")
+    ],
+    _values("stg_weather", "hours", "weather_category", _CATEGORY_LIST),
+    *[_nulls("fct_trips", "fct", c) for c in ("pickup_at", "taxi_type", "total_amount")],
+    _nulls("fct_trips", "fct", "pickup_borough", "warn"),
+    _values("fct_trips", "fct", "taxi_type", _FEED_LIST),
+    _parent("fct_trips", "fct"),
+    *[
+        _nulls("mart_weather_demand", "mart", c)
+        for c in ("pickup_borough", "pickup_year", "trip_count", "total_revenue")
+    ],
+    _unique("dim_zones", "zones", "location_id"),
+    *[_nulls("dim_zones", "zones", c) for c in ("location_id", "borough")],
+    *[
+        _nulls("dim_weather", "hours", c)
+        for c in ("weather_date", "weather_hour", "weather_category")
+    ],
+    _unique("dim_weather", "hours", "weather_date,weather_hour"),
+]
+_add("expectations_suite", " UNION ALL ".join(_SUITE))
+for _kind in ("not_null", "unique", "accepted_values", "relationship"):
+    _add(
+        f"expect_{_kind}",
+        " UNION ALL ".join(
+            check
+            for check in _SUITE
+            if f"'{_kind}:" in check
+            and "mart_weather_demand" not in check
+            and "weather_date,weather_hour" not in check
+        ),
+    )
 _add(
     "min_row_count",
     f"""

@@ -690,6 +690,18 @@ def _resent(s: Scene) -> DataFrame:
     return s.staged.unionByName(s.staged.filter(F.col("payment_type") == 2))
 
 
+@query
+def zero_totals_by_payment(s: Scene) -> DataFrame:
+    """Charged totals of zero, per payment label."""
+    waived = s.trips.withColumn(
+        "total_amount",
+        F.when(F.col("payment_type").isin("No Charge", "Dispute"), 0.0).otherwise(
+            F.col("total_amount")
+        ),
+    )
+    return quality.zero_totals_by_payment(waived)
+
+
 @query
 def duplicate_trips(s: Scene) -> DataFrame:
     return quality.duplicate_trips(_resent(s))
@@ -843,6 +855,31 @@ def expectations_suite(s: Scene) -> DataFrame:
     return expectations.run_expectations(_all_tables(s), suite)
 
 
+def _of_kind(s: Scene, kind: str) -> DataFrame:
+    suite = [e for e in expectations.SUITE if e.kind == kind and e.table != "mart_weather_demand"]
+    return expectations.run_expectations(_all_tables(s), suite)
+
+
+@query
+def expect_not_null(s: Scene) -> DataFrame:
+    return _of_kind(s, "not_null")
+
+
+@query
+def expect_unique(s: Scene) -> DataFrame:
+    return _of_kind(s, "unique")
+
+
+@query
+def expect_accepted_values(s: Scene) -> DataFrame:
+    return _of_kind(s, "accepted_values")
+
+
+@query
+def expect_relationship(s: Scene) -> DataFrame:
+    return _of_kind(s, "relationship")
+
+
 @query
 def min_row_count(s: Scene) -> DataFrame:
     gate = expectations.RowGate({"yellow_raw": 1000, "green_raw": 10**18, "zone_lookup": 1})

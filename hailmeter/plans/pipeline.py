@@ -99,8 +99,9 @@ def run_pipeline(
     )
     store("mart_weather_demand", mart_weather_demand(tables["fct_trips"]))
 
-    results = enforce(run_expectations(tables))
-    return tables, layer_summary(tables), results
+    # Stored before it is judged: the checks run once and leave a record.
+    results = overwrite_table(run_expectations(tables), f"{out}/checks/expectations")
+    return tables, layer_summary(tables), enforce(results)
 
 
 def layer_summary(tables: dict[str, DataFrame]) -> DataFrame:

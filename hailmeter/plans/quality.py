@@ -229,6 +229,16 @@ def left_in_defects(fact: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
+def zero_totals_by_payment(fact: DataFrame) -> DataFrame:
+    """Trips and zero totals per payment label."""
+    zero = F.col("total_amount") == 0
+    return fact.groupBy("payment_type").agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.count_if(zero).alias("zero_total_trips"),
+        (F.count_if(zero) * 100 / F.count(F.lit(1))).alias("zero_total_pct"),
+    )
+
+
 DUPLICATE_KEYS = ("pickup_at", "pickup_zone_id", "dropoff_zone_id", "fare_amount")
 
 

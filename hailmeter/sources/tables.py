@@ -15,15 +15,20 @@ def overwrite_table(
     partition_by: Sequence[str] = (),
     rebalance: bool = False,
     only_touched: bool = False,
+    rows_per_file: int | None = None,
 ) -> DataFrame:
     """Create or replace a Parquet table and return it as stored.
 
     `rebalance` asks Spark for even output files per partition value, for
     sources that are not already clustered by time; hot values are split.
     `only_touched` replaces just the partitions present in `df`.
+    `rows_per_file` splits the output of a task without a shuffle, so that a
+    table written by few tasks can be read by many.
     """
     out = df.hint("rebalance", *partition_by) if rebalance else df
     writer = out.write.mode("overwrite")
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         mode = "dynamic" if only_touched else "static"
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", mode)
