@@ -15,7 +15,7 @@ import os
 import sys
 import time
 
-from hailmeter.catalog import fixtures, landing
+from hailmeter.catalog import landing
 from hailmeter.catalog.queries import QUERIES, Scene
 from hailmeter.operators import conform
 from hailmeter.operators.demand import mart_weather_demand
@@ -77,7 +77,7 @@ def main() -> None:
     fact = timed(
         "gold_fact",
         lambda: overwrite_table(
-            fact_trips(silver, zones, weather, weather_rows=fixtures.WEATHER_HOURS),
+            fact_trips(silver, zones, weather, weather_small=True),
             f"{base}/fct_trips",
             partition_by=("pickup_year", "pickup_month"),
         ),

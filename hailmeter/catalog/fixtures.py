@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from hailmeter import schemas
 from hailmeter.functions import sky
 
-WEATHER_HOURS = 7248
 CATCH_ALL_IDS = (22, 23)
 
 TRIPS = """

@@ -16,6 +16,7 @@ from hailmeter import schemas
 from hailmeter.catalog import fixtures, landing
 from hailmeter.functions import clock, money, sky
 from hailmeter.operators import conform, demand, enrich
+from hailmeter.operators.dimension import fits_broadcast
 from hailmeter.plans import expectations, pipeline, quality, reports, segments
 from hailmeter.session import pin_clock, work_dir
 from hailmeter.sources import files, tables
@@ -44,12 +45,15 @@ class Scene:
         return conform.dim_zones(conform.stage_zones(self.bronze.zones))
 
     @cached_property
-    def zone_rows(self) -> int:
-        return self.zones.count()
+    def zones_small(self) -> bool:
+        return fits_broadcast(self.zones)
 
     @cached_property
     def hours(self) -> DataFrame:
-        """Staged weather; grouped into WEATHER_HOURS buckets, so bounded."""
+        """Staged weather, one row for each of at most 7,248 hours by construction.
+
+        So it is small in every join below, whatever the size of the tables.
+        """
         return conform.stage_weather(self.bronze.weather)
 
     @cached_property
@@ -59,7 +63,7 @@ class Scene:
     @cached_property
     def fact(self) -> DataFrame:
         return enrich.fact_trips(
-            self.staged, self.zones, self.weather, self.zone_rows, fixtures.WEATHER_HOURS
+            self.staged, self.zones, self.weather, self.zones_small, weather_small=True
         )
 
     @cached_property
@@ -69,8 +73,8 @@ class Scene:
             self.staged,
             self.zones,
             self.weather,
-            self.zone_rows,
-            fixtures.WEATHER_HOURS,
+            self.zones_small,
+            weather_small=True,
             roles=("pickup",),
         )
 
@@ -415,14 +419,14 @@ def filter_dimensions(s: Scene) -> DataFrame:
 
 @query
 def enrich_pickup_zone(s: Scene) -> DataFrame:
-    return enrich.enrich_zone(s.staged, s.zones, "pickup", proven_rows=s.zone_rows).select(
+    return enrich.enrich_zone(s.staged, s.zones, "pickup", small=s.zones_small).select(
         "pickup_at", "pickup_zone_id", "pickup_borough", "pickup_zone_name"
     )
 
 
 @query
 def enrich_dropoff_zone(s: Scene) -> DataFrame:
-    return enrich.enrich_zone(s.staged, s.zones, "dropoff", proven_rows=s.zone_rows).select(
+    return enrich.enrich_zone(s.staged, s.zones, "dropoff", small=s.zones_small).select(
         "pickup_at", "dropoff_zone_id", "dropoff_borough", "dropoff_zone_name"
     )
 
@@ -430,7 +434,7 @@ def enrich_dropoff_zone(s: Scene) -> DataFrame:
 @query
 def enrich_weather(s: Scene) -> DataFrame:
     return enrich.enrich_weather(
-        s.staged, s.weather, proven_rows=fixtures.WEATHER_HOURS
+        s.staged, s.weather, small=True
     ).select(
         "pickup_at", "weather_category", "is_adverse_weather",
         "temperature_f", "precipitation_inch", "wind_speed_mph",
@@ -446,7 +450,7 @@ def fact_trips(s: Scene) -> DataFrame:
 def fact_trips_salted(s: Scene) -> DataFrame:
     """The same fact with every dimension treated as too large to broadcast."""
     return enrich.fact_trips(
-        s.staged, s.zones, s.weather, s.zone_rows, fixtures.WEATHER_HOURS, max_rows=0
+        s.staged, s.zones, s.weather, zones_small=False, weather_small=False
     )
 
 
@@ -719,7 +723,7 @@ def surcharge_by_month(s: Scene) -> DataFrame:
 
 @query
 def invalid_share_by_weather(s: Scene) -> DataFrame:
-    return quality.invalid_share_by_weather(s.staged, s.weather, fixtures.WEATHER_HOURS)
+    return quality.invalid_share_by_weather(s.staged, s.weather, small=True)
 
 
 @query
@@ -824,7 +828,7 @@ def stream_hourly_demand(s: Scene) -> DataFrame:
         f"{folder}/table",
         f"{folder}/checkpoint",
         delay="800 days",
-        weather_rows=fixtures.WEATHER_HOURS,
+        weather_small=True,
     )
 
 

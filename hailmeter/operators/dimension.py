@@ -2,36 +2,49 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+ROW_OVERHEAD = 32
 SALTS = 16
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count the dimension (footers only for a stored table) against the bound."""
-    return dim.count() <= max_rows
+def measured_bytes(dim: DataFrame) -> int:
+    """Rows x fixed widths plus the text actually held, from one aggregate."""
+    texts = [f.name for f in dim.schema.fields if isinstance(f.dataType, T.StringType)]
+    fixed = ROW_OVERHEAD + 8 * len(dim.columns)
+    lengths = [F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in texts]
+    text = F.sum(reduce(lambda a, b: a + b, lengths)) if lengths else F.lit(0)
+    row = dim.agg(F.count(F.lit(1)).alias("rows"), text.alias("text")).first()
+    return row["rows"] * fixed + (row["text"] or 0)
+
+
+def fits_broadcast(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    return measured_bytes(dim) <= max_bytes
 
 
 def attach(
     facts: DataFrame,
     dim: DataFrame,
     on: list[tuple[str, str]],
-    proven_rows: int | None = None,
-    max_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Left equi-join; `on` pairs a fact column with a dimension column.
 
-    A dimension within `max_rows` is broadcast, so the fact never moves. The
-    caller may state `proven_rows` when the size follows from how the
-    dimension was built (for instance a bounded group-by); otherwise it is
-    counted. A larger dimension takes the salted shuffle join, which spreads
-    one hot key over `salts` tasks. Both paths return the same rows, and
-    duplicate dimension keys fan the fact out in both.
+    A dimension that fits is broadcast, so the fact never moves. `small` is
+    None to measure the dimension here, True where its size follows from how
+    it was built (a group-by over a bounded domain) or was measured before,
+    and False for the salted shuffle join, which spreads one hot key over
+    `salts` tasks. Both joins return the same rows, and duplicate dimension
+    keys fan the fact out in both.
     """
-    small = proven_rows <= max_rows if proven_rows is not None else fits_broadcast(dim, max_rows)
+    if small is None:
+        small = fits_broadcast(dim)
     joined = _map_side(facts, dim, on) if small else _salted(facts, dim, on, salts)
     return joined.drop(*[_key(i) for i in range(len(on))])
 

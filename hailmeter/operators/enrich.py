@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hailmeter.functions import clock, money, rules
-from hailmeter.operators.dimension import attach
+from hailmeter.operators.dimension import attach, fits_broadcast
 
 FACT_COLUMNS = (
     "taxi_type", "pickup_at", "dropoff_at",
@@ -70,24 +70,23 @@ def fact_trips(
     staged: DataFrame,
     zones: DataFrame,
     weather: DataFrame,
-    zone_rows: int | None = None,
-    weather_rows: int | None = None,
+    zones_small: bool | None = None,
+    weather_small: bool | None = None,
     years: tuple[int, ...] | None = rules.VALID_YEARS,
-    max_rows: int | None = None,
     roles: tuple[str, ...] = ("pickup", "dropoff"),
 ) -> DataFrame:
     """Valid trips with both zone roles and the hour's weather: 35 columns.
 
+    `zones_small` and `weather_small` choose the joins as in `attach`.
     Demand reports never look at the dropoff zone. They can leave that role
     out and save a join per trip: an outer join on a key that is merely
     expected to be unique is not removed by the optimizer.
     """
-    limit = {} if max_rows is None else {"max_rows": max_rows}
-    if zone_rows is None:
-        zone_rows = zones.count()  # one check for both roles
+    if zones_small is None:
+        zones_small = fits_broadcast(zones)  # one check for both roles
     trips = valid_trips(staged, years)
     for role in roles:
-        trips = enrich_zone(trips, zones, role, proven_rows=zone_rows, **limit)
-    trips = enrich_weather(trips, weather, proven_rows=weather_rows, **limit)
+        trips = enrich_zone(trips, zones, role, small=zones_small)
+    trips = enrich_weather(trips, weather, small=weather_small)
     trips = trips.withColumn("payment_type", money.payment_label(F.col("payment_type")))
     return trips.select(*[c for c in FACT_COLUMNS if c in trips.columns])

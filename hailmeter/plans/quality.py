@@ -257,10 +257,10 @@ def drop_duplicate_trips(staged: DataFrame, keys: Sequence[str] = DUPLICATE_KEYS
 
 
 def invalid_share_by_weather(
-    staged: DataFrame, weather: DataFrame, proven_rows: int | None = None
+    staged: DataFrame, weather: DataFrame, small: bool | None = None
 ) -> DataFrame:
     """Is exclusion related to the weather? Invalid share per adverse flag."""
-    joined = enrich_weather(staged, weather, proven_rows=proven_rows)
+    joined = enrich_weather(staged, weather, small=small)
     invalid = F.when(~F.col("is_valid"), 1.0).otherwise(0.0)
     return joined.groupBy("is_adverse_weather").agg(
         F.count(F.lit(1)).alias("trips"),

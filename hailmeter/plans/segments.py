@@ -143,7 +143,7 @@ def davies_bouldin(
     centroids = known.groupBy(F.col(cluster).alias("_cluster")).agg(centre.alias("_centre"))
     point = F.array(*[F.col(c).cast("double") for c in features])
     scattered = (
-        attach(known, centroids, [(cluster, "_cluster")], proven_rows=clusters)
+        attach(known, centroids, [(cluster, "_cluster")], small=True if clusters else None)
         .groupBy(F.col(cluster).alias("_cluster"), "_centre")
         .agg(F.avg(distance(point, F.col("_centre"))).alias("_scatter"))
     )

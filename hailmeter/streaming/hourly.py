@@ -37,7 +37,7 @@ def stream_hourly_demand(
     table: str,
     checkpoint: str,
     delay: str = "2 hours",
-    weather_rows: int | None = None,
+    weather_small: bool | None = None,
 ) -> DataFrame:
     """Run the backlog and return zone x hour demand with the hour's weather.
 
@@ -59,7 +59,7 @@ def stream_hourly_demand(
         .start()
         .awaitTermination()
     )
-    return attach_hour(newest(spark, table, counts), weather, weather_rows)
+    return attach_hour(newest(spark, table, counts), weather, weather_small)
 
 
 def newest(spark: SparkSession, table: str, like: DataFrame) -> DataFrame:
@@ -78,7 +78,7 @@ def _ddl(df: DataFrame) -> str:
 
 
 def attach_hour(
-    demand: DataFrame, weather: DataFrame, weather_rows: int | None = None
+    demand: DataFrame, weather: DataFrame, weather_small: bool | None = None
 ) -> DataFrame:
     """Join the static weather table on the hour."""
     keyed = demand.withColumn("_start_index", clock.hour_index(F.col("hour_start")))
@@ -88,4 +88,4 @@ def attach_hour(
         "is_adverse_weather",
     )
     on = [("_start_index", "_hour_index")]
-    return attach(keyed, hours, on, proven_rows=weather_rows).drop("_start_index")
+    return attach(keyed, hours, on, small=weather_small).drop("_start_index")

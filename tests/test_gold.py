@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hailmeter.operators import conform, demand, enrich
-from hailmeter.operators.dimension import attach
+from hailmeter.operators.dimension import attach, fits_broadcast, measured_bytes
 from hailmeter.plans import quality, reports
 
 
@@ -73,7 +73,7 @@ def test_fact_keeps_every_valid_trip(staged, fact):
 
 
 def test_salted_join_gives_the_same_rows(staged, zones, weather, fact):
-    salted = enrich.fact_trips(staged, zones, weather, max_rows=0)
+    salted = enrich.fact_trips(staged, zones, weather, zones_small=False, weather_small=False)
     plan = salted._jdf.queryExecution().executedPlan().toString()
     assert "_salt" in plan
     assert _sorted(salted) == _sorted(fact)
@@ -84,15 +84,22 @@ def test_salted_join_spreads_a_hot_key(spark):
     dim = spark.createDataFrame([(7, "hot"), (8, "cold"), (9, "none")], "key int, label string")
     on = [("k", "key")]
     small = attach(facts, dim, on)
-    large = attach(facts, dim, on, max_rows=0)
+    large = attach(facts, dim, on, small=False)
     assert _sorted(small) == _sorted(large)
     assert large.columns == ["id", "k", "label"]
 
 
+def test_size_check_counts_rows_and_text(spark):
+    dim = spark.createDataFrame([(1, "ab"), (2, None)], "key int, label string")
+    assert measured_bytes(dim) == 2 * (32 + 16) + 2
+    assert fits_broadcast(dim, 98) and not fits_broadcast(dim, 97)
+    assert fits_broadcast(dim.limit(0), 0)
+
+
 def test_doubled_hour_fans_out_in_both_joins(staged, zones, weather):
     doubled = weather.unionByName(weather.filter("weather_hour = 10 AND weather_date < '2026-01-01'"))
     broadcast = enrich.fact_trips(staged, zones, doubled)
-    salted = enrich.fact_trips(staged, zones, doubled, max_rows=0)
+    salted = enrich.fact_trips(staged, zones, doubled, zones_small=False, weather_small=False)
     assert broadcast.count() == 11 + 5
     assert _sorted(broadcast) == _sorted(salted)
 
