@@ -30,6 +30,7 @@ FEATURES = (
 )
 CLUSTER_COUNTS = (3, 4, 5, 6)
 SEED = 20250101
+ROWS_PER_TASK = 100_000
 
 
 def zone_features(fact: DataFrame, keys: Sequence[str] = ("pickup_zone_id",)) -> DataFrame:
@@ -109,7 +110,9 @@ def fit_segments(
     stored = materialize(_doubles(df, features), "segments")
     scaler = scaling(features).fit(stored)
     points = scaler.transform(stored).drop(*[f"_{c}" for c in features], "_raw")
-    training = points.select("scaled").persist()
+    # Dozens of short passes: a task per 100,000 rows, not one per tiny file.
+    tasks = -(-stored.count() // ROWS_PER_TASK) or 1
+    training = points.select("scaled").coalesce(tasks).persist()
     models = {
         k: KMeans(k=k, seed=seed, featuresCol="scaled", predictionCol=f"_p{k}").fit(training)
         for k in counts
@@ -129,27 +132,33 @@ def fit_segments(
 
 
 def davies_bouldin(
-    df: DataFrame, cluster: str, features: Sequence[str], clusters: int | None = None
+    df: DataFrame,
+    cluster: str,
+    features: Sequence[str],
+    clusters: int | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Index of a given assignment (Davies & Bouldin 1979), lower is better.
 
     Scatter is the mean Euclidean distance to the own centroid. Centroids are
     one row per cluster and travel as one small array; no point ever meets
     another point. `clusters` states their number where it is known; without
-    it they are counted before they are broadcast.
+    it they are measured before they are broadcast. With `by`, one pass scores
+    several assignments, one per value of the `by` columns.
     """
     known = df.filter(F.col(cluster).isNotNull())
     centre = F.array(*[F.avg(c) for c in features])
-    centroids = known.groupBy(F.col(cluster).alias("_cluster")).agg(centre.alias("_centre"))
+    keys = [*by, cluster]
+    renamed = {k: f"_of_{k}" for k in keys}
+    centroids = known.groupBy(*keys).agg(centre.alias("_centre")).withColumnsRenamed(renamed)
     point = F.array(*[F.col(c).cast("double") for c in features])
     scattered = (
-        attach(known, centroids, [(cluster, "_cluster")], small=True if clusters else None)
-        .groupBy(F.col(cluster).alias("_cluster"), "_centre")
+        attach(known, centroids, list(renamed.items()), small=True if clusters else None)
+        .groupBy(*keys, "_centre")
         .agg(F.avg(distance(point, F.col("_centre"))).alias("_scatter"))
     )
-    together = scattered.agg(
-        F.collect_list(F.struct("_cluster", "_centre", "_scatter")).alias("all")
-    )
+    member = F.struct(F.col(cluster).alias("_cluster"), "_centre", "_scatter")
+    together = scattered.groupBy(*by).agg(F.collect_list(member).alias("all"))
 
     def worst(one: Column) -> Column:
         others = F.filter("all", lambda o: o["_cluster"] != one["_cluster"])
@@ -163,6 +172,7 @@ def davies_bouldin(
 
     ratios = F.transform("all", worst)
     return together.select(
+        *by,
         F.size("all").alias("clusters"),
         (
             F.aggregate(ratios, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size("all"), F.lit(0))
@@ -176,27 +186,24 @@ def distance(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x))
 
 
-def _scaled_columns(segments: Segmentation) -> DataFrame:
+def davies_bouldin_by_k(segments: Segmentation) -> DataFrame:
+    """(model, k, index), one row per fitted k, all scored in one pass."""
     scores = vector_to_array(F.col("scaled"))
-    clusters = [f"cluster_{k}" for k in segments.models]
-    return segments.points.select(
-        *clusters, *[scores[i].alias(c) for i, c in enumerate(segments.features)]
+    choices = F.array(
+        *[
+            F.struct(F.lit(k).alias("k"), F.col(f"cluster_{k}").alias("cluster"))
+            for k in segments.models
+        ]
     )
-
-
-def davies_bouldin_by_k(segments: Segmentation) -> DataFrame:
-    """(model, k, index), one row per fitted k."""
-    scaled = _scaled_columns(segments)
-    rows = [
-        davies_bouldin(scaled, f"cluster_{k}", segments.features, clusters=k).select(
-            F.lit(f"k={k}").alias("model"), F.lit(k).alias("k"), "davies_bouldin_index"
-        )
-        for k in segments.models
-    ]
-    out = rows[0]
-    for row in rows[1:]:
-        out = out.unionByName(row)
-    return out
+    tall = segments.points.select(
+        F.inline(choices), *[scores[i].alias(c) for i, c in enumerate(segments.features)]
+    )
+    index = davies_bouldin(
+        tall, "cluster", segments.features, clusters=sum(segments.models), by=["k"]
+    )
+    return index.select(
+        F.concat(F.lit("k="), F.col("k")).alias("model"), "k", "davies_bouldin_index"
+    ).orderBy("k")
 
 
 def k_comparison(indices: DataFrame) -> DataFrame:
