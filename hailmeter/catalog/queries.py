@@ -789,8 +789,8 @@ def assign_clusters(s: Scene) -> DataFrame:
 
 def _streams(s: Scene) -> tuple[DataFrame, DataFrame]:
     return (
-        incremental.read_landing(s.spark, _months(s.landed.yellow), schemas.YELLOW_FILE, 4),
-        incremental.read_landing(s.spark, _months(s.landed.green), schemas.GREEN_FILE, 4),
+        incremental.read_landing(s.spark, _months(s.landed.yellow), schemas.YELLOW_FILE, 12),
+        incremental.read_landing(s.spark, _months(s.landed.green), schemas.GREEN_FILE, 12),
     )
 
 

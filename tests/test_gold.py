@@ -211,5 +211,4 @@ def test_duplicates(staged):
 def test_empty_facts_give_empty_reports(fact, weather):
     none = fact.limit(0)
     assert reports.adverse_demand_change(none, weather).count() == 0
-    assert quality.dq_rule_counts is not None
     assert demand.mart_weather_demand(none).count() == 0
