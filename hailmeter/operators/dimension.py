@@ -72,4 +72,5 @@ def _salted(facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]], salts:
     )
     condition = [F.col(left) == F.col(_key(i)) for i, (left, _) in enumerate(on)]
     condition.append(F.col("_salt") == F.col("_dim_salt"))
-    return salted.join(copies, condition, "left").drop("_salt", "_dim_salt")
+    # The hint keeps a wrong size estimate from broadcasting the copies after all.
+    return salted.join(copies.hint("merge"), condition, "left").drop("_salt", "_dim_salt")

@@ -134,7 +134,12 @@ def adverse_demand_change(
         for scope, inside in scopes.items():
             bad = (year == y) & inside & adverse
             calm = (year == y) & inside & ~adverse
-            cells.append(({"pickup_year": y, "scope": scope}, {"adverse": (bad, bad), "clear": (calm, calm)}))
+            cells.append(
+                (
+                    {"pickup_year": y, "scope": scope},
+                    {"adverse": (bad, bad), "clear": (calm, calm)},
+                )
+            )
     table = exposure(
         demand,
         weather,
@@ -214,7 +219,12 @@ def adverse_revenue_delta(
         for period, inside in (("Rush Hour", rush), ("Off-Peak", ~rush)):
             bad = (year == y) & inside & adverse
             calm = (year == y) & inside & ~adverse
-            cells.append(({"pickup_year": y, "period": period}, {"adverse": (bad, bad), "clear": (calm, calm)}))
+            cells.append(
+                (
+                    {"pickup_year": y, "period": period},
+                    {"adverse": (bad, bad), "clear": (calm, calm)},
+                )
+            )
     table = exposure(
         demand,
         weather,
