@@ -3,8 +3,10 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import _bind, entry
 from check import TABLES, compare
+from hailmeter.catalog.oracle import ORACLE
+from hailmeter.catalog.queries import QUERIES
 
 ROWS_ONLY = {
     "davies_bouldin_by_k",
@@ -15,6 +17,14 @@ ROWS_ONLY = {
 }
 
 
+def queries():
+    return {name: _bind(build) for name, build in QUERIES.items()}
+
+
+def oracle_sql():
+    return ORACLE
+
+
 @pytest.fixture(scope="module")
 def connection(sf_dir):
     con = duckdb.connect()
