@@ -43,7 +43,7 @@ SEED = "mix"
 #: Slots of one range, within which they are ranked by one task.
 RANGE_SLOTS = 8192
 #: Hexadecimal digits of the shuffling hash that name a range of documents.
-RANGE_DIGITS = 4
+RANGE_DIGITS = 3
 GOLDEN = 0.6180339887498949
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -173,7 +173,7 @@ def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     )
     inside = Window.partitionBy("source_no", "slot_range").orderBy("slot")
     return (
-        points.join(ranges, ["source_no", "slot_range"])
+        points.join(ranges.hint("merge"), ["source_no", "slot_range"])
         .withColumn("rank", F.col("earlier") + F.row_number().over(inside) - 1)
         .withColumn("block", F.col("rank") % F.col("n_blocks"))
         .withColumn(
@@ -212,7 +212,7 @@ def streams(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     )
     inside = Window.partitionBy("source_no", "part").orderBy("place", "doc_id", "size")
     return (
-        known.join(parts, ["source_no", "part"])
+        known.join(parts.hint("merge"), ["source_no", "part"])
         .withColumn(
             "stop",
             F.col("earlier")
