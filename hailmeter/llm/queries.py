@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hailmeter.llm import mixture, quality
-from hailmeter.llm.common import documents
+from hailmeter.llm import decontamination, language, mixture, quality, toxicity
+from hailmeter.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,3 +29,22 @@ ORACLE["op1_mixture"] = f"SELECT * EXCLUDE (source) FROM ({mixture.oracle()})"
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir)).drop("n_lines", "failed_rules")
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = table(spark, sf_dir, "benchmark")
+    return decontamination.decontaminate(documents(spark, sf_dir), benchmark).drop("spans", "items")
+
+
+ORACLE["op3_decontamination"] = decontamination.oracle()
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_id(documents(spark, sf_dir))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
