@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hailmeter.llm import decontamination, language, mixture, quality, toxicity
+from hailmeter.llm import decontamination, language, mixture, quality, repeats, toxicity
 from hailmeter.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, sf_dir))
