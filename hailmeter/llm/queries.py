@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hailmeter.llm import decontamination, language, mixture, quality, repeats, toxicity
+from hailmeter.llm import (
+    decontamination,
+    language,
+    mixture,
+    quality,
+    repeats,
+    sitetree,
+    toxicity,
+)
 from hailmeter.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +61,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(documents(spark, sf_dir))
+
+
+@query
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sitetree.main_text(table(spark, sf_dir, "pages"))
