@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hailmeter.llm import (
     decontamination,
     language,
+    linedup,
     mixture,
+    nearduplicates,
     quality,
     repeats,
     sitetree,
@@ -66,3 +69,19 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sitetree.main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done, n_lines, n_removed = linedup.dedup_lines(documents(spark, sf_dir))
+    return done.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col(n_lines).alias("n_lines"),
+        F.col(n_removed).alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+@query
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearduplicates.near_duplicates(documents(spark, sf_dir))
