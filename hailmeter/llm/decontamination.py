@@ -226,7 +226,8 @@ def benchmark_blocks(
         yield Block([bytes(r["words"]) for r in held], [r["items"] for r in held], shingle)
 
 
-def _search(rows: DataFrame, block: Block) -> DataFrame:
+def _count(rows: DataFrame, block: Block) -> None:
+    """Counts the block's shingles over all rows and chooses the prefixes by that."""
     counted = (
         rows.select("text")
         .mapInArrow(_frequency_batches(block), "width int, place long, n long")
@@ -238,6 +239,10 @@ def _search(rows: DataFrame, block: Block) -> DataFrame:
     for r in counted:
         frequency[r["width"]][r["place"]] = r["n"]
     block.choose(frequency)
+
+
+def _search(rows: DataFrame, block: Block) -> DataFrame:
+    _count(rows, block)
     return rows.mapInArrow(_hit_batches(block), _found_schema(rows))
 
 
@@ -321,6 +326,32 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     )
 
 
+def _clean_batches(block: Block):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clean: list[bool] = []
+            for chunk in tokens.chunks(batch.column("_text")):
+                clean += [not spans for _, spans, _ in _hits_in_chunk(chunk, block)]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return run
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The documents without a hit, with all their columns; block after block."""
+    columns = docs.columns
+    numbered = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(columns)]
+    rows = docs.select(*numbered, F.col("text").cast("string").alias("_text"))
+    found = 0
+    for block in benchmark_blocks(benchmark, **options):
+        if found:
+            rows = stored(rows, "decontaminated")
+        found += 1
+        _count(rows.select(F.col("_text").alias("text")), block)
+        rows = rows.mapInArrow(_clean_batches(block), rows.schema)
+    return rows.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(columns)])
+
+
 def oracle() -> str:
     """The contract's columns in DuckDB, by joining every window of every document."""
     words = (

@@ -28,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hailmeter.llm import ngrams
 from hailmeter.llm.common import fold, stored
@@ -226,12 +227,10 @@ def learnable(docs: DataFrame) -> DataFrame:
     )
 
 
-def predict(rows: DataFrame, model, keep_text: bool = False) -> DataFrame:
-    """rows must have doc_id and text; adds lang_pred and score to them."""
-    done = rows.mapInArrow(
-        _predict_batches(model), rows.schema.simpleString()[7:-1] + ",lang_pred:string,score:double"
-    )
-    return done if keep_text else done.drop("text")
+def predict(rows: DataFrame, model) -> DataFrame:
+    """Adds lang_pred and score to rows, which have a column text."""
+    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    return rows.mapInArrow(_predict_batches(model), T.StructType(rows.schema.fields + added))
 
 
 def language_id(docs: DataFrame, families=FAMILIES) -> DataFrame:
@@ -242,4 +241,13 @@ def language_id(docs: DataFrame, families=FAMILIES) -> DataFrame:
         held_out().alias("held_out"),
         F.col("text").cast("string").alias("text"),
     )
-    return predict(rows, model)
+    return predict(rows, model).drop("text")
+
+
+def determined(docs: DataFrame, families=FAMILIES) -> DataFrame:
+    """The documents in some language, with all their columns; undetermined ones go."""
+    model = train(learnable(docs), families)
+    numbered = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)]
+    rows = docs.select(*numbered, F.col("text").cast("string").alias("text"))
+    kept = predict(rows, model).filter(F.col("lang_pred") != UNDETERMINED)
+    return kept.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -203,3 +203,19 @@ def dedup_lines(docs: DataFrame) -> tuple[DataFrame, str, str]:
         *back, F.col("_cut_n_lines").alias(n_lines), F.col("_cut_n_removed").alias(n_removed)
     )
     return out, n_lines, n_removed
+
+
+def with_unique_lines(docs: DataFrame) -> DataFrame:
+    """docs with later similar lines cut out, in the columns of docs.
+
+    A document that loses all its words goes; n_chars, if there is one, is the length
+    of the text that is left.
+    """
+    done, _, n_removed = dedup_lines(docs)
+    worded = F.regexp_like(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]"))
+    kept = done.filter((F.col(f"`{n_removed}`") == 0) | worded)
+    if "n_chars" in docs.columns:
+        changed = F.when(F.col(f"`{n_removed}`") > 0, F.length("text"))
+        kind = dict(docs.dtypes)["n_chars"]
+        kept = kept.withColumn("n_chars", F.coalesce(changed, F.col("n_chars")).cast(kind))
+    return kept.select(*[f"`{c}`" for c in docs.columns])

@@ -63,8 +63,8 @@ def _class_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             cls[chunk.first + items.row] = tokens.signed(items.classes())
             size[chunk.first + items.row] = items.counts
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(cls), pa.array(size)],
-            names=["doc_id", "cls", "n_shingles"],
+            [batch.column("doc"), batch.column("text_hash"), pa.array(cls), pa.array(size)],
+            names=["doc", "text_hash", "cls", "n_shingles"],
         )
 
 
@@ -157,26 +157,55 @@ def links_of(texts: DataFrame) -> DataFrame:
     return stored(links.unionByName(setjoin.verified(rest, more)), "near-links")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document."""
+def grouped(docs: DataFrame) -> DataFrame:
+    """(doc, text_hash, n_shingles, component) of every document; doc is never null."""
     texts = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_DOC)).alias("doc_id"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_DOC)).alias("doc"),
+        F.coalesce(F.xxhash64("text"), F.lit(0)).alias("text_hash"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     members = stored(
-        texts.mapInArrow(_class_batches, "doc_id long, cls long, n_shingles long"), "near-classes"
+        texts.mapInArrow(_class_batches, "doc long, text_hash long, cls long, n_shingles long"),
+        "near-classes",
     )
     roots = components(links_of(texts), "near-components")
-    smallest = members.filter("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+    smallest = members.filter("n_shingles > 0").groupBy("cls").agg(F.min("doc").alias("doc"))
     rooted = smallest.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    named = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_class = stored(rooted.join(named, "root").select("cls", "component_id"), "near-named")
-    known = lambda c: F.when(F.col(c) < LAST_DOC, F.col(c)).alias(c)
-    return (
-        members.join(by_class, "cls", "left")
-        .withColumn(
-            "component_id",
-            F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")),
-        )
-        .select(known("doc_id"), "n_shingles", known("component_id"))
+    named = rooted.groupBy("root").agg(F.min("doc").alias("component"))
+    by_class = stored(rooted.join(named, "root").select("cls", "component"), "near-named")
+    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc"))
+    return members.join(by_class, "cls", "left").select(
+        "doc", "text_hash", "n_shingles", component.alias("component")
+    )
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document."""
+    known = lambda c: F.when(F.col(c) < LAST_DOC, F.col(c))
+    return grouped(docs).select(
+        known("doc").alias("doc_id"), "n_shingles", known("component").alias("component_id")
+    )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One document of each component: the one with the smallest doc_id (then text hash).
+
+    Documents without words are no copies of each other; of equal rows one stays.
+    """
+    rows = stored(grouped(docs), "near-grouped")
+    chosen = (
+        rows.filter("n_shingles > 0")
+        .groupBy("component")
+        .agg(F.min(F.struct("doc", "text_hash")).alias("c"))
+        .select("c.*")
+        .unionByName(rows.filter("n_shingles = 0").select("doc", "text_hash").distinct())
+        .select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"))
+    )
+    numbered = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)]
+    keyed = docs.select(
+        *numbered,
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_DOC)).alias("_doc"),
+        F.coalesce(F.xxhash64("text"), F.lit(0)).alias("_hash"),
     )
+    kept = keyed.join(chosen.hint("merge"), ["_doc", "_hash"]).dropDuplicates(["_doc", "_hash"])
+    return kept.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -15,6 +15,7 @@ from hailmeter.llm import (
     nearduplicates,
     quality,
     repeats,
+    secrets,
     sitetree,
     toxicity,
 )
@@ -85,3 +86,8 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearduplicates.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(documents(spark, sf_dir))

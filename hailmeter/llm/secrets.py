@@ -1,0 +1,178 @@
+"""Operator 4: secret scans by corpus-wide ownership frequency, in SQL functions only.
+
+Base spans are found in every whole text by three patterns (assignments, access keys,
+hexadecimal keys). The method then looks at what stands there: every candidate value,
+of base spans and of any other long mixed token, is hashed, and for each hash the
+distinct repositories and owners that hold it are counted over the whole corpus (here a
+document is a repository and its source the owner). A value that more than
+`MAX_OWNERS` owners hold is a widely copied example; one that fewer hold looks like
+a live credential of theirs. Mixed tokens that look live are added as spans of kind
+`live` where they touch no base span; base spans always stay, with the verdicts counted.
+
+Positions come from cutting a text at the matches: the lengths of the pieces
+between them, added up. Frequencies are counted in three steps (hash, owner, repository;
+hash, owner; hash), each with map-side combination, so a value that a third of all
+documents hold is a few rows per task; the join back may be split by the adaptive
+skew join. Only spans and hashes are shuffled, never texts.
+
+Defined results: a null text is empty; a null source or doc_id is an owner or
+repository of its own; repeated rows are scanned one by one; an empty table gives an
+empty result; other columns are ignored. Positions count code points, ends are exclusive.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from hailmeter.llm.common import stored
+
+# The patterns of the three base kinds, and the least length of each.
+ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ACCESS = r"AKIA[A-Z0-9]+"
+HEX = r"[0-9a-f]{32,}"  # a whole run of the class: the same as a run of 32 or more
+MIXED = r"[A-Za-z0-9+_=-]{20,}"
+KINDS = ("assign", "access", "hex", "live")
+MIN_ASSIGN, MIN_ACCESS = 8, 16
+
+MAX_OWNERS = 2
+MIN_DIFFERENT = 10
+
+
+def _spans(text: Column, pattern: str, group: int, kind: int, keep: Column | None) -> Column:
+    """array of (start, kind, end, value) of all matches, leftmost first."""
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    pieces = F.split(text, pattern, -1)
+    kind_of = F.lit(kind)
+
+    def step(state: Column, m: Column) -> Column:
+        start = state["at"] + F.length(m["piece"])
+        end = start + F.length(m["match"])
+        found = F.struct(
+            start.alias("start"), kind_of.alias("kind"), end.alias("end"), m["value"].alias("value")
+        )
+        return F.struct(end.alias("at"), F.concat(state["out"], F.array(found)).alias("out"))
+
+    zipped = F.arrays_zip(
+        matches.alias("match"), values.alias("value"), F.slice(pieces, 1, F.size(matches)).alias("piece")
+    )
+    empty = F.expr("cast(array() as array<struct<start:int,kind:int,end:int,value:string>>)")
+    folded = F.aggregate(
+        zipped, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda s: s["out"]
+    )
+    found = F.when(F.regexp_like(text, F.lit(pattern)), folded).otherwise(empty)
+    return found if keep is None else F.filter(found, keep)
+
+
+def base_spans(text: Column) -> Column:
+    return F.array_sort(
+        F.concat(
+            _spans(text, ASSIGN, 2, 0, lambda s: F.length(s["value"]) >= MIN_ASSIGN),
+            _spans(text, ACCESS, 0, 1, lambda s: F.length(s["value"]) >= MIN_ACCESS),
+            _spans(text, HEX, 0, 2, None),
+        )
+    )
+
+
+def _mixed(s: Column) -> Column:
+    return (
+        F.regexp_like(s["value"], F.lit("[0-9]"))
+        & F.regexp_like(s["value"], F.lit("[A-Za-z]"))
+        & (F.size(F.array_distinct(F.split(s["value"], ""))) >= MIN_DIFFERENT)
+    )
+
+
+def _written(spans: Column) -> Column:
+    kinds = F.array(*map(F.lit, KINDS))
+    return F.array_join(
+        F.transform(
+            spans,
+            lambda s: F.concat_ws(
+                ":", F.element_at(kinds, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string")
+            ),
+        ),
+        ",",
+    )
+
+
+def candidates(docs: DataFrame) -> DataFrame:
+    """One row per document: (row, repository, owner, base spans, other mixed tokens)."""
+    scanned = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("source").cast("string").alias("owner"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    ).select(
+        "doc_id",
+        "owner",
+        base_spans(F.col("text")).alias("base"),
+        _spans(F.col("text"), MIXED, 0, 3, _mixed).alias("mixed"),
+    )
+    hashed = lambda s: F.struct(s["start"], s["kind"], s["end"], F.xxhash64(s["value"]).alias("hash"))
+    free = F.filter(
+        "mixed",
+        lambda m: ~F.exists("base", lambda b: (m["start"] < b["end"]) & (b["start"] < m["end"])),
+    )
+    # the row's number is written with it, so it is the same ever after
+    return stored(
+        scanned.select(
+            F.monotonically_increasing_id().alias("row"),
+            "doc_id",
+            "owner",
+            F.transform("base", hashed).alias("base"),
+            F.transform(free, hashed).alias("mixed"),
+        ),
+        "secret-spans",
+    )
+
+
+def ownership(values: DataFrame) -> DataFrame:
+    """(hash, n_owners, n_repos) from rows of (hash, owner, repo)."""
+    return (
+        values.groupBy("hash", "owner", "repo")
+        .agg(F.lit(1).alias("one"))
+        .groupBy("hash", "owner")
+        .agg(F.count("*").alias("repos"))
+        .groupBy("hash")
+        .agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos"))
+    )
+
+
+def scan_secrets(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
+    """One row per document: counts and spans, with n_live and n_copied candidates."""
+    found = candidates(docs)
+    values = found.select(
+        "row",
+        "owner",
+        F.col("doc_id").alias("repo"),
+        F.explode(F.concat("base", "mixed")).alias("span"),
+    ).select("row", "owner", "repo", "span.*")
+    judged = values.join(ownership(values), "hash").withColumn(
+        "live", F.col("n_owners") <= max_owners
+    )
+    verdicts = judged.groupBy("row").agg(
+        F.count_if("live").alias("n_live"),
+        F.count_if(~F.col("live")).alias("n_copied"),
+        F.collect_list(
+            F.when((F.col("kind") == 3) & F.col("live"), F.struct("start", "kind", "end"))
+        ).alias("added"),
+    )
+    short = lambda s: F.struct(s["start"], s["kind"], s["end"])
+    of_kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    none = F.expr("cast(array() as array<struct<start:int,kind:int,end:int>>)")
+    return (
+        found.withColumn("base", F.transform("base", short))
+        .join(verdicts, "row", "left")
+        .select(
+            "doc_id",
+            of_kind(0).alias("n_assign"),
+            of_kind(1).alias("n_access"),
+            of_kind(2).alias("n_hex"),
+            F.sha2(_written(F.col("base")), 256).alias("base_sha256"),
+            _written(
+                F.array_sort(F.concat("base", F.coalesce("added", none)))
+            ).alias("spans"),
+            F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"),
+            F.coalesce("n_copied", F.lit(0)).cast("long").alias("n_copied"),
+        )
+    )
