@@ -31,6 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hailmeter.llm import tokens
 from hailmeter.llm.common import stored
@@ -261,7 +262,7 @@ def _merge(pairs: list[tuple[int, int]]) -> list[int]:
     return merged
 
 
-@F.pandas_udf("array<bigint>")
+@F.pandas_udf(T.ArrayType(T.LongType()))
 def _merge_spans(flat: pd.Series) -> pd.Series:
     return flat.map(lambda x: _merge(list(zip(x[::2], x[1::2], strict=True))))
 
