@@ -155,7 +155,7 @@ def _group_min(first: np.ndarray, sorted_docs: np.ndarray) -> np.ndarray:
 
 
 def _bucket_bits(spark: SparkSession) -> int:
-    return max(8, (4 * shuffle_partitions(spark) - 1).bit_length())
+    return max(8, (shuffle_partitions(spark) - 1).bit_length())
 
 
 def _boxes(rows: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
