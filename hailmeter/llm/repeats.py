@@ -47,7 +47,7 @@ from hailmeter.llm import tokens
 from hailmeter.llm.common import shuffle_partitions, stored
 
 LENGTH = 50
-GRAM = 20
+GRAM = 24
 #: A minimizer with more strings in one task is dealt by string.
 MANY_STRINGS = 64
 #: Rows that a task holds before it packs and sends them.
