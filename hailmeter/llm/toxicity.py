@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from hailmeter.llm import ngrams
 from hailmeter.llm.common import fold, stored
-from hailmeter.llm.sampling import bounded_sample
+from hailmeter.llm.sampling import bounded_labels, bounded_sample
 
 SAMPLE_PER_LABEL = 2500
 ORDERS = (4, 5, 6)
@@ -89,16 +89,13 @@ def _train(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"model": [model.tobytes()], "bias": [bias]})
 
 
-def train(labelled: DataFrame, per_label: int = SAMPLE_PER_LABEL):
-    """From rows of (doc_id, text, toxic): the scaled classifier, or a constant score."""
+def train(docs: DataFrame, marks: DataFrame, per_label: int = SAMPLE_PER_LABEL):
+    """From documents and rows of (doc_id, toxic): the scaled classifier, or a constant score."""
+    marks = marks.select("doc_id", F.col("toxic").cast("int")).filter("toxic in (0, 1)")
+    chosen = stored(bounded_labels(marks, "toxic", per_label), "toxicity-labels")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     sample = stored(
-        bounded_sample(
-            labelled.filter("toxic in (0, 1)").select(
-                "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int")
-            ),
-            "toxic",
-            per_label,
-        ),
+        bounded_sample(texts.join(F.broadcast(chosen), "doc_id"), "toxic", per_label),
         "toxicity-sample",
     )
     n, mean = sample.agg(F.count("*"), F.avg("toxic")).first()
@@ -139,9 +136,7 @@ def held_out() -> Column:
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document."""
-    marks = labels.filter(~held_out() & F.col("toxic").isNotNull()).select("doc_id", "toxic")
-    texts = docs.filter(~held_out()).select("doc_id", "text")
-    model = train(texts.join(marks, "doc_id"))
+    model = train(docs, labels.filter(~held_out() & F.col("doc_id").isNotNull()))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         held_out().alias("held_out"),
