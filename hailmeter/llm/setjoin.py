@@ -303,7 +303,7 @@ def _pairs_batches(adaptive: bool):
 def candidates(texts: DataFrame, items_of: ItemsOf, adaptive: bool) -> tuple[DataFrame, DataFrame]:
     """(pairs of classes, rows of tokens with many classes)."""
     spark = texts.sparkSession
-    bits = max(8, (4 * shuffle_partitions(spark) - 1).bit_length())
+    bits = max(8, (shuffle_partitions(spark) - 1).bit_length())
     counts = token_counts(texts, items_of)
     found = stored(
         texts.select("text")
