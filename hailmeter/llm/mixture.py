@@ -8,7 +8,7 @@ takes one block of `block_words` words from one source:
    source's size; the excess is reshared by weight until none is above (solved in
    closed form: by cap / weight, the capped sources are a prefix).
 2. Slots. Slot i has the point frac(i * a / n), where n counts all slots and a is
-   the integer next to n * 0.618... that has no divisor in common with n: golden-ratio
+   an integer next to n * 0.618... that has no divisor in common with n: golden-ratio
    points rounded so that each n-th is met once. The cumulative shares of the targets
    map the point to a source, so any stretch of the schedule is near the target
    weights and the whole of it meets them. A slot's rank among its source's slots
@@ -119,11 +119,20 @@ def source_targets(
     )
 
 
+def _largest_quotient(a: int, n: int) -> int:
+    """The largest partial quotient of a / n: small for evenly spread multiples."""
+    largest = 0
+    while a:
+        largest = max(largest, n // a)
+        n, a = a, n % a
+    return largest
+
+
 def _stride(n: int) -> int:
-    a = max(1, round(n * GOLDEN))
-    while gcd(a, n) != 1:
-        a += 1
-    return a
+    """Of the integers next to n * GOLDEN that visit every n-th, the most even one."""
+    near = range(max(1, round(n * GOLDEN) - 24), min(n, round(n * GOLDEN) + 25))
+    good = [a for a in near if gcd(a, n) == 1] or [1]
+    return min(good, key=lambda a: (_largest_quotient(a, n), abs(a - n * GOLDEN)))
 
 
 def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:

@@ -1,0 +1,210 @@
+"""Operators against brute force, on given documents and on awkward rows."""
+
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from hailmeter.llm import (
+    decontamination,
+    linedup,
+    mixture,
+    nearduplicates,
+    quality,
+    repeats,
+    secrets,
+    setjoin,
+)
+
+from . import brute
+from .conftest import SCHEMA, awkward_rows, pairs, words
+
+
+@pytest.fixture(params=["given", "awkward"])
+def docs(request, spark, given, awkward):
+    return given("documents") if request.param == "given" else awkward
+
+
+def rows_of(docs):
+    return [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+
+
+@pytest.fixture
+def near_copies(spark):
+    """Copies of one text and of one line with a few words changed, and one shared part."""
+    rng = random.Random(3)
+    base, shared = words(rng, 150).split(), words(rng, 40)
+    rows = []
+    for i in range(60):
+        own = list(base)
+        for _ in range(rng.randrange(4)):
+            own[rng.randrange(len(own))] = f"w{rng.randrange(10**6)}"
+        rows.append((i, " ".join(own), "en", "a", 1))
+        rows.append((100 + i, f"{words(rng, 25)}\n{shared}\n{words(rng, 3)}", "en", "b", 1))
+    return spark.createDataFrame(rows, SCHEMA).repartition(4)
+
+
+def test_mixture_meets_targets(docs):
+    out = mixture.mix_sources(docs).collect()
+    assert len(out) == docs.count()
+    size = {}
+    for doc_id, text in rows_of(docs):
+        size[doc_id] = size.get(doc_id, []) + [len(brute.words(text))]
+    assert sorted(r["size"] for r in out) == sorted(n for v in size.values() for n in v)
+    by_source = {}
+    for r in out:
+        assert 0 <= r.taken <= 3 * r["size"]
+        total = by_source.setdefault(r.source, [r.source_size, r.target, 0, 0])
+        total[2] += r.taken
+        total[3] += r["size"]
+    for source_size, target, taken, sizes in by_source.values():
+        assert source_size == sizes
+        assert abs(taken - target) <= 1
+        assert target <= 3 * source_size
+    whole = sum(t[0] for t in by_source.values())
+    assert sum(t[1] for t in by_source.values()) == pytest.approx(whole)
+
+
+def test_mixture_schedule_is_near_its_weights_at_every_length(spark):
+    sizes = spark.createDataFrame(
+        [("a", 60_000), ("b", 60_000), ("c", 60_000)], "source string, size long"
+    )
+    targets = mixture.source_targets(sizes).cache()
+    slots = mixture.schedule(targets).orderBy("slot").collect()
+    total, share = len(slots), {r.source_no: r.slots for r in targets.collect()}
+    assert [s.slot for s in slots] == list(range(total))
+    seen = dict.fromkeys(share, 0)
+    for i, s in enumerate(slots, 1):
+        assert s.rank == seen[s.source_no]
+        seen[s.source_no] += 1
+        assert all(abs(seen[k] - i * n / total) < 4 for k, n in share.items())
+
+
+def test_mixture_reshares_what_small_sources_cannot_take(spark):
+    sizes = spark.createDataFrame(
+        [("a", 10), ("b", 1000), ("c", 1), ("d", 0), (None, 500)], "source string, size long"
+    )
+    got = {r.source: r.target for r in mixture.source_targets(sizes).collect()}
+    assert got["a"] == 30 and got["c"] == 3 and got["d"] == 0
+    assert got["b"] == pytest.approx(1478 / 2) and got[None] == pytest.approx(1478 / 2)
+
+
+@pytest.mark.parametrize("block", [400_000, 7])
+def test_decontamination(docs, given, spark, block):
+    items = given("benchmark").select("item_id", "text")
+    extra = [(1000, "a b c"), (1001, "Same same"), (1002, ""), (1003, None), (None, "one")]
+    items = items.unionAll(spark.createDataFrame([*extra, (1000, "one")], items.schema))
+    out = decontamination.decontaminate(docs, items, block_windows=block)
+    want = brute.contamination(rows_of(docs), [tuple(r) for r in items.collect()])
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert pairs(out, *columns) == want
+    clean = decontamination.clean_documents(docs, items, size=block)
+    assert clean.columns == docs.columns
+    assert clean.count() == sum(not w[5] for w in want)
+
+
+def test_secrets(docs):
+    out = secrets.scan_secrets(docs)
+    want = []
+    for doc_id, text in rows_of(docs):
+        spans = brute.base_secrets(text)
+        counts = [sum(s.startswith(k) for s in spans) for k in ("assign", "access", "hex")]
+        want.append((doc_id, *counts, hashlib.sha256(",".join(spans).encode()).hexdigest()))
+    assert pairs(out, "doc_id", "n_assign", "n_access", "n_hex", "base_sha256") == sorted(
+        want, key=repr
+    )
+
+
+def test_secrets_tell_copied_examples_from_live_ones(spark):
+    copied, live = "Abcdef0123456789ghijKLMN", "Zyxwvu9876543210ponmLKJI"
+    rows = [(i, f"see {copied} here", "en", f"s{i % 5}", 1) for i in range(10)]
+    rows += [(20, f"my {live} and {copied}", "en", "s9", 1)]
+    out = {r.doc_id: r for r in secrets.scan_secrets(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert out[3].spans == "" and (out[3].n_live, out[3].n_copied) == (0, 1)
+    assert out[20].spans == "live:3:27" and (out[20].n_live, out[20].n_copied) == (1, 1)
+
+
+def test_quality_counts(docs):
+    out = quality.quality_rules(docs)
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    want = sorted(((i, *brute.quality(t)) for i, t in rows_of(docs)), key=repr)
+    assert pairs(out, "doc_id", *columns) == want
+    assert not out.filter("base_failed and kept").count()
+
+
+def test_quality_thresholds_follow_the_group(spark):
+    text = "plain words of some length in each line of it " * 4
+    rows = [(i, text + f"end{i}\n" * (i % 3), "en", "a", 1) for i in range(40)]
+    rows += [(50, "#*$ " * 60 + "x y z w v u t", "en", "a", 1), (60, "|" + text, "de", "b", 1)]
+    out = {r.doc_id: r for r in quality.quality_rules(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert "symbols" in out[50].failed_rules and not out[50].kept
+    assert not any(r.failed_rules for i, r in out.items() if i != 50)
+
+
+@pytest.mark.parametrize("many", [256, 2])
+def test_near_duplicates(docs, monkeypatch, many):
+    monkeypatch.setattr(setjoin, "MANY", many)
+    out = nearduplicates.near_duplicates(docs)
+    assert pairs(out, "doc_id", "n_shingles", "component_id") == brute.components(rows_of(docs))
+
+
+@pytest.mark.parametrize("many", [256, 2])
+def test_near_duplicates_of_a_large_group(near_copies, monkeypatch, many):
+    monkeypatch.setattr(setjoin, "MANY", many)
+    monkeypatch.setattr(setjoin, "HELD_ROWS", 500)
+    out = nearduplicates.near_duplicates(near_copies)
+    want = brute.components(rows_of(near_copies))
+    assert pairs(out, "doc_id", "n_shingles", "component_id") == want
+    kept = nearduplicates.one_of_each(near_copies)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({w[2] for w in want})
+
+
+def _line_result(docs):
+    done, n_lines, n_removed = linedup.dedup_lines(docs)
+    hashes = {
+        r.text: r.h
+        for r in docs.select("text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("h")).collect()
+    }
+    return done, n_removed, brute.kept_lines(rows_of(docs), hashes.get)
+
+
+@pytest.mark.parametrize("many", [256, 2])
+def test_line_dedup(docs, monkeypatch, many):
+    monkeypatch.setattr(setjoin, "MANY", many)
+    done, _, want = _line_result(docs)
+    got = done.join(docs.select("doc_id", F.col("text").alias("was")).limit(0), "doc_id", "left")
+    texts = sorted((r.doc_id, r.text) for r in got.collect() if r.doc_id is not None)
+    plain = sorted((i, want[i, t]) for i, t in rows_of(docs) if i is not None)
+    assert [t for t in texts if t[1] is not None] == [t for t in plain if t[1] is not None]
+    assert done.count() == docs.count()
+
+
+@pytest.mark.parametrize("many", [256, 2])
+def test_line_dedup_of_near_copies(near_copies, monkeypatch, many):
+    monkeypatch.setattr(setjoin, "MANY", many)
+    monkeypatch.setattr(setjoin, "HELD_ROWS", 500)
+    done, n_removed, want = _line_result(near_copies)
+    assert {r.doc_id: r.text for r in done.collect()} == {i: t for (i, _), t in want.items()}
+    assert done.agg(F.sum(n_removed)).first()[0] > 60
+
+
+@pytest.mark.parametrize("many,held", [(64, 1_500_000), (1, 400)])
+def test_repeats(docs, monkeypatch, many, held):
+    monkeypatch.setattr(repeats, "MANY_STRINGS", many)
+    monkeypatch.setattr(repeats, "HELD_ROWS", held)
+    out = repeats.remove_repeats(docs)
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert pairs(out, *columns) == brute.repeats(rows_of(docs))
+
+
+def test_repeats_of_a_shared_passage(near_copies, monkeypatch):
+    monkeypatch.setattr(repeats, "MANY_STRINGS", 3)
+    out = repeats.remove_repeats(near_copies)
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert pairs(out, *columns) == brute.repeats(rows_of(near_copies))
+
+
+def test_awkward_rows_are_what_they_should_be():
+    texts = [r[1] for r in awkward_rows()]
+    assert None in texts and "" in texts and max(len(t or "") for t in texts) > 100_000
