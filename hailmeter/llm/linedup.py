@@ -31,6 +31,9 @@ from hailmeter.llm.common import stored, unused_name
 from hailmeter.llm.repeats import LAST_DOC
 from hailmeter.llm.setjoin import Items
 
+#: Pairs of so many lines under a word are compared by difference bounds right away.
+MANY_LINES = 512
+
 _NEWLINE = tokens.byte_class((0x0A, 0x0A))
 
 
@@ -41,12 +44,16 @@ def line_sets(chunk: tokens.Chunk) -> Items:
     row = chunk.row_of(starts)
     line = np.searchsorted(breaks, starts) - np.searchsorted(breaks, chunk.offsets)[row]
     # lines of a chunk, numbered through
-    key = row.astype(np.int64) << 40 | line
-    names, key = tokens.distinct_by_row(chunk.span_hash(starts, ends, lower=True), key)
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else key
-    counts = np.diff(np.concatenate([first, [len(key)]])).astype(np.int64)
-    own = key[first] if len(key) else key
-    return Items(names, counts, own >> 40, own & ((1 << 40) - 1))
+    new = np.ones(len(row), dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (line[1:] != line[:-1])
+    item = np.cumsum(new) - 1
+    names, item = tokens.distinct_by_row(chunk.span_hash(starts, ends, lower=True), item)
+    return Items(names, np.bincount(item, minlength=new.sum()), row[new], line[new])
+
+
+def line_words(chunk: tokens.Chunk) -> np.ndarray:
+    starts, ends = chunk.runs(tokens.NON_SPACE)
+    return chunk.span_hash(starts, ends, lower=True)
 
 
 def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,16 +98,7 @@ def later_matches(docs: DataFrame) -> DataFrame:
         lines.groupBy("cls").agg(F.min(F.struct("doc", "text_hash", "line")).alias("at")),
         "line-firsts",
     )
-    pairs, hot = setjoin.candidates(texts, line_sets, adaptive=False)
-    # only the later class of a pair is in question: y is the one
-    placed = (
-        pairs.join(first.select(F.col("cls").alias("x"), F.col("at").alias("ax")), "x")
-        .join(first.select(F.col("cls").alias("y"), F.col("at").alias("ay")), "y")
-        .select(
-            F.expr("if(ax < ay, x, y)").alias("x"),
-            F.expr("if(ax < ay, y, x)").alias("y"),
-        )
-    )
+    pairs, hot = setjoin.candidates(texts, line_sets, line_words, MANY_LINES, adaptive=False)
     hot = stored(hot.join(first, "cls"), "line-hot")
     pivots = hot.groupBy("token").agg(
         F.min(F.struct("at", "cls", "size", "pos", "extra")).alias("p")
@@ -110,26 +108,37 @@ def later_matches(docs: DataFrame) -> DataFrame:
         hot.alias("b")
         .join(pivots.alias("a"), "token")
         .filter(F.expr("a.at < b.at") & setjoin.possible("a", "b", adaptive=False))
-        .select(F.col("a.cls").alias("x"), F.col("b.cls").alias("y"))
-        .distinct()
+        .select(F.least("a.cls", "b.cls").alias("x"), F.greatest("a.cls", "b.cls").alias("y"))
     )
-    tried = stored(placed.unionByName(star).distinct(), "line-pairs")
+    tried = stored(pairs.unionByName(star).distinct(), "line-pairs")
     sets = setjoin.whole_sets(texts, line_sets, setjoin.classes_of(tried))
-    found = stored(setjoin.verified(tried, sets).select("y").distinct(), "line-matched")
+    # of two similar classes, the one whose first line is later has an earlier match
+    one = first.select(F.col("cls").alias("x"), F.col("at").alias("ax"))
+    two = first.select(F.col("cls").alias("y"), F.col("at").alias("ay"))
+    later = F.expr("if(ax < ay, y, x)").alias("y")
+    similar = stored(setjoin.verified(tried, sets), "line-similar")
+    found = stored(
+        similar.join(one, "x").join(two, "y").select(later).distinct(), "line-matched"
+    )
     # what has no earlier match yet meets all earlier classes under its hot tokens
     open_ones = hot.join(found, hot["cls"] == found["y"], "left_anti")
     rest = (
         open_ones.alias("b")
         .join(hot.alias("a"), "token")
         .filter(F.expr("a.at < b.at") & setjoin.possible("a", "b", adaptive=False))
-        .select(F.col("a.cls").alias("x"), F.col("b.cls").alias("y"))
+        .select(
+            F.least("a.cls", "b.cls").alias("x"),
+            F.greatest("a.cls", "b.cls").alias("y"),
+            F.col("b.cls").alias("later"),
+        )
         .distinct()
         .join(tried, ["x", "y"], "left_anti")
     )
     rest = stored(rest, "line-rest")
     if rest.take(1):
         more = setjoin.whole_sets(texts, line_sets, setjoin.classes_of(rest))
-        found = found.unionAll(setjoin.verified(rest, more).select("y").distinct())
+        again = setjoin.verified(rest.select("x", "y"), more).join(rest, ["x", "y"])
+        found = found.unionAll(again.select("later").distinct())
     matched = found.select(F.col("y").alias("cls"), F.lit(True).alias("matched"))
     judged = first.join(matched.distinct(), "cls", "left")
     removed = lines.join(judged, "cls").filter(

@@ -13,8 +13,8 @@ verify. A pair is verified when it shares as many prefix shingles as the smaller
 two demands, and passes the length and positional bounds (see setjoin.py).
 
 Documents with equal sets are one class from the start. Shingles that very many classes
-have in their prefix are first joined with one pivot each, the class that has it at the
-least position (the plainest copy); classes that this already connects need no further
+have in their prefix are first joined with one pivot each, the class with the most such
+shingles (the plainest copy); classes that this already connects need no further
 comparison, for they are in one component. All others under such a shingle are then
 compared in full. No candidate is capped.
 
@@ -39,15 +39,26 @@ from hailmeter.llm.repeats import LAST_DOC
 from hailmeter.llm.setjoin import Items
 
 SHINGLE = 5
+#: Shingles in more prefixes are joined by pivots first.
+MANY_SETS = 32
 
 
-def shingle_sets(chunk: tokens.Chunk) -> Items:
-    """The distinct shingles of each text that has a word."""
+def _shingles(chunk: tokens.Chunk) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = chunk.runs(tokens.NON_SPACE)
     words = np.diff(np.searchsorted(starts, chunk.offsets))
     names, row, _ = tokens.windows_by_row(
         chunk.span_hash(starts, ends, lower=True), words, SHINGLE, whole_short=True
     )
+    return names, row
+
+
+def all_shingles(chunk: tokens.Chunk) -> np.ndarray:
+    return _shingles(chunk)[0]
+
+
+def shingle_sets(chunk: tokens.Chunk) -> Items:
+    """The distinct shingles of each text that has a word."""
+    names, row = _shingles(chunk)
     names, row = tokens.distinct_by_row(names, row)
     counts = np.bincount(row, minlength=len(chunk))
     some = np.flatnonzero(counts)
@@ -105,8 +116,14 @@ def components(links: DataFrame, label: str) -> DataFrame:
 
 def links_of(texts: DataFrame) -> DataFrame:
     """(x, y): verified links that connect all classes which are connected at all."""
-    pairs, hot = setjoin.candidates(texts, shingle_sets, adaptive=True)
-    pivots = hot.groupBy("token").agg(F.min(F.struct("pos", "cls", "size", "extra")).alias("p"))
+    pairs, hot = setjoin.candidates(texts, shingle_sets, all_shingles, MANY_SETS, adaptive=True)
+    # The plainest copy of a group has the most shared shingles in its prefix, so most
+    # of the group's shingles have it as their pivot, and each copy meets it once.
+    plain = hot.groupBy("cls").agg(F.count("*").alias("n_hot"))
+    hot = stored(hot.join(plain, "cls"), "near-hot")
+    pivots = hot.groupBy("token").agg(
+        F.max(F.struct("n_hot", "cls", "size", "pos", "extra")).alias("p")
+    )
     pivots = pivots.select("token", "p.*")
     star = (
         hot.alias("a")

@@ -9,7 +9,7 @@ A task sends each class's prefix once, packed into one binary value per bucket o
 token, and the tasks of the buckets emit
 
 * pairs of classes that share a token and pass the positional and length bounds, for
-  tokens with at most `MANY` classes, and
+  tokens with at most `many` classes, and
 * plain rows (token, class, size, position) for tokens with more: those are joined by
   Spark, first with one pivot per token and, where that leaves classes apart, among
   each other; skewed tokens are split by the adaptive skew join.
@@ -24,6 +24,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -36,11 +38,11 @@ from hailmeter.llm.repeats import _box, _boxes, _first_of_each, unpack
 
 #: The threshold as a fraction: Jaccard >= NUM / DEN.
 NUM, DEN = 80, 100
-BITS = 18
+BITS = 21
 SLICES = 16
-MANY = 256
 HELD_ROWS = 1_500_000
 MAX_MATCHES = 4
+MOST_COUNTED = 2**32 - 1
 WANTED_BITS, WANTED_SLICES = 23, 64
 
 _U = np.uint64
@@ -70,6 +72,7 @@ class Items:
 
 
 ItemsOf = Callable[[tokens.Chunk], Items]
+NamesOf = Callable[[tokens.Chunk], np.ndarray]
 
 
 def required(a, b):
@@ -85,18 +88,18 @@ def prefix_length(n: np.ndarray, matches=1) -> np.ndarray:
 # --- counts of tokens -----------------------------------------------------------
 
 
-def _count_batches(items_of: ItemsOf):
+def _count_batches(names_of: NamesOf):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BITS, dtype=np.int64)
         for batch in batches:
             for chunk in tokens.chunks(batch.column("text")):
-                names = items_of(chunk).names
-                total += np.bincount((names >> _U(64 - BITS)).astype(np.int64), minlength=1 << BITS)
+                at = (names_of(chunk) >> _U(64 - BITS)).astype(np.int64)
+                total += np.bincount(at, minlength=1 << BITS)
         parts = total.reshape(SLICES, -1)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(range(SLICES), pa.int32()),
-                pa.array([p.tobytes() for p in parts], pa.binary()),
+                pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary()),
             ],
             names=["slice", "counts"],
         )
@@ -105,23 +108,25 @@ def _count_batches(items_of: ItemsOf):
 
 
 def _add_counts(frame: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(c, dtype=np.int64) for c in frame["counts"])
+    total = sum(np.frombuffer(zlib.decompress(c), dtype=np.int64) for c in frame["counts"])
+    # the order needs no more than this; counts beyond it are equally frequent
+    total = np.minimum(total, MOST_COUNTED).astype(np.uint32)
     return pd.DataFrame({"slice": frame["slice"].iloc[:1], "counts": [total.tobytes()]})
 
 
-def token_counts(texts: DataFrame, items_of: ItemsOf) -> np.ndarray:
-    """Counts of 2**BITS hash buckets over all rows: 2 MB, whatever the input."""
+def token_counts(texts: DataFrame, names_of: NamesOf) -> np.ndarray:
+    """Counts of 2**BITS hash buckets over all rows: 8 MB, whatever the input."""
     schema = "slice int, counts binary"
     rows = (
         texts.select("text")
-        .mapInArrow(_count_batches(items_of), schema)
+        .mapInArrow(_count_batches(names_of), schema)
         .groupBy("slice")
         .applyInPandas(_add_counts, schema)
         .collect()
     )
-    total = np.zeros((SLICES, (1 << BITS) // SLICES), dtype=np.int64)
+    total = np.zeros((SLICES, (1 << BITS) // SLICES), dtype=np.uint32)
     for r in rows:
-        total[r["slice"]] = np.frombuffer(r["counts"], dtype=np.int64)
+        total[r["slice"]] = np.frombuffer(r["counts"], dtype=np.uint32)
     return total.reshape(-1)
 
 
@@ -152,9 +157,11 @@ def _signature(names: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return np.bitwise_xor.reduceat(_U(1) << (names & _U(63)), begins)
 
 
-def _prefix_batches(items_of: ItemsOf, counts: np.ndarray, bits: int, adaptive: bool):
+def _prefix_batches(
+    items_of: ItemsOf, counts: np.ndarray, bits: int, many_at: int, adaptive: bool
+):
     """Packed (token, class, size, position, extra); extra: matches asked for, or parities."""
-    mean = counts.sum() / max(1, len(counts))
+    mean = float(counts.mean())
 
     def pack(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         token, cls, size, pos, extra = (np.concatenate(c) for c in zip(*parts, strict=True))
@@ -164,7 +171,7 @@ def _prefix_batches(items_of: ItemsOf, counts: np.ndarray, bits: int, adaptive:
         token, cls, size, pos, extra = (c[keep] for c in (token, cls, size, pos, extra))
         first = _first_of_each(token)
         group = np.cumsum(first) - 1
-        many = np.bincount(group)[group] > MANY if len(group) else first
+        many = np.bincount(group)[group] > many_at if len(group) else first
         home = (token >> _U(64 - bits)).astype(np.int64)
         away = (tokens.mix(token ^ cls) >> _U(64 - bits)).astype(np.int64)
         rows: list = []
@@ -191,8 +198,14 @@ def _prefix_batches(items_of: ItemsOf, counts: np.ndarray, bits: int, adaptive:
                 n, begins = items.counts, items.begins
                 item = np.repeat(np.arange(len(n)), n)
                 load = counts[(items.names >> _U(64 - BITS)).astype(np.int64)]
-                order = np.lexsort((items.names, load, item))
-                names, load = items.names[order], load[order]
+                # rarity and then 32 bits of the name; names that agree in both are put
+                # in order by the whole name, so the order is the same everywhere
+                rank = (load.astype(_U) << _U(32)) | (tokens.mix(items.names) >> _U(32))
+                order = tokens.grouped_order(rank, item)
+                tied = (rank[order][1:] == rank[order][:-1]) & (item[order][1:] == item[order][:-1])
+                if tied.any():
+                    order = np.lexsort((items.names, rank, item))
+                names, load = items.names[order], load[order].astype(np.float64)
                 if adaptive:
                     extra = _choose_matches(np.maximum(load - mean, 0) + 1.0, begins, n)
                     length = np.minimum(n, prefix_length(n, extra))
@@ -229,7 +242,7 @@ def _possible(na, pa_, ea, nb, pb, eb, adaptive: bool) -> np.ndarray:
     return ok
 
 
-def _pairs_batches(adaptive: bool):
+def _pairs_batches(many_at: int, adaptive: bool):
     """Of one bucket: candidate pairs, and the rows of tokens with many classes."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
@@ -245,10 +258,13 @@ def _pairs_batches(adaptive: bool):
             token, cls, size, pos, extra = (c[order] for c in (token, cls, size, pos, extra))
             keep = _first_of_each(token, cls)
             token, cls, size, pos, extra = (c[keep] for c in (token, cls, size, pos, extra))
+            # by size within a token, so that the length bound ends the search early
+            order = np.lexsort((size, token))
+            token, cls, size, pos, extra = (c[order] for c in (token, cls, size, pos, extra))
             size, pos = size.astype(np.int64), pos.astype(np.int64)
             group = np.cumsum(_first_of_each(token)) - 1
             members = np.bincount(group)[group]
-            hot = np.ones(len(token), dtype=bool) if kind == 2 else (members > MANY)
+            hot = np.ones(len(token), dtype=bool) if kind == 2 else (members > many_at)
             if kind == 0 and len(marked):
                 hot |= np.isin(token, marked)
             if hot.any():
@@ -272,6 +288,7 @@ def _pairs_batches(adaptive: bool):
                 inside = other < len(token)
                 left, other = left[inside], other[inside]
                 same = token[left] == token[other]
+                same &= size[left] * DEN >= size[other] * NUM
                 left, other = left[same], other[same]
                 a, b = left, other
                 ok = _possible(
@@ -300,19 +317,21 @@ def _pairs_batches(adaptive: bool):
     return run
 
 
-def candidates(texts: DataFrame, items_of: ItemsOf, adaptive: bool) -> tuple[DataFrame, DataFrame]:
-    """(pairs of classes, rows of tokens with many classes)."""
+def candidates(
+    texts: DataFrame, items_of: ItemsOf, names_of: NamesOf, many: int, adaptive: bool
+) -> tuple[DataFrame, DataFrame]:
+    """(pairs of classes, rows of tokens with more than `many` classes)."""
     spark = texts.sparkSession
     bits = max(8, (shuffle_partitions(spark) - 1).bit_length())
-    counts = token_counts(texts, items_of)
+    counts = token_counts(texts, names_of)
     found = stored(
         texts.select("text")
         .mapInArrow(
-            _prefix_batches(items_of, counts, bits, adaptive), "bucket int, kind int, blob binary"
+            _prefix_batches(items_of, counts, bits, many, adaptive), "bucket int, kind int, blob binary"
         )
         .groupBy("bucket")
         .applyInPandas(
-            _pairs_batches(adaptive),
+            _pairs_batches(many, adaptive),
             "token long, x long, y long, size long, pos long, extra long, hot boolean",
         ),
         "set-candidates",

@@ -177,9 +177,17 @@ def windows_by_row(
     return out, row, place
 
 
+def grouped_order(values: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """The order by group, then value; groups of a chunk are small integers."""
+    order = np.argsort(values)
+    if len(group) and int(group.max()) < 1 << 16:
+        return order[np.argsort(group[order].astype(np.uint16), kind="stable")]
+    return order[np.argsort(group[order], kind="stable")]
+
+
 def distinct_by_row(names: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each row's distinct names; sorted by row, then name."""
-    order = np.lexsort((names, row))
+    order = grouped_order(names, row)
     names, row = names[order], row[order]
     if len(names):
         keep = np.empty(len(names), dtype=bool)
