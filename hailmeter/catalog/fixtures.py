@@ -5,7 +5,7 @@ which stands for the zone-less timestamp n seconds after 1970 (1735689600 is
 2025-01-01). Money and distances are multiples of 1/64, so sums of doubles are
 exact in any order.
 
-* trips come from `lineitem`, one trip per line;
+* trips come from `lineitem`, one trip per line, some of them twice;
 * zones from `supplier` with its nation and region, one zone per supplier;
 * hourly weather from `orders`, each order being one station reading that is
   grouped into one of 7,248 hours (January to May of two years).
@@ -39,22 +39,28 @@ SELECT CASE WHEN (l_orderkey + l_partkey) % 10 = 0 THEN 'green' ELSE 'yellow' EN
   CAST(CASE WHEN l_partkey % 1999 = 0 THEN 150
     WHEN l_partkey % 577 = 0 THEN -1
     WHEN l_partkey % 37 = 0 THEN 0
+    WHEN l_partkey % 61 = 0 THEN NULL
     ELSE l_quantity / 4 END AS DOUBLE) AS distance,
   CASE WHEN l_orderkey % 26 = 25 THEN -1 ELSE l_suppkey END AS from_zone,
   CAST(FLOOR(l_partkey / 20) AS BIGINT) AS to_zone,
-  CAST(l_linenumber % 7 AS BIGINT) AS payment,
-  CASE WHEN l_orderkey % 33 = 0 THEN -1 ELSE 1 END
+  CAST((l_linenumber + l_orderkey) % 7 AS BIGINT) AS payment,
+  CASE WHEN l_orderkey % 33 = 0 THEN -1 WHEN l_orderkey % 71 = 0 THEN NULL ELSE 1 END
     * CAST(CAST(FLOOR(l_extendedprice) AS BIGINT) % 6000 AS DOUBLE) / 64 AS fare,
   CAST(l_partkey % 3 AS DOUBLE) AS extra,
   CAST(0.5 AS DOUBLE) AS mta_tax,
-  CASE WHEN l_linenumber % 7 = 1 THEN CAST(l_partkey % 40 AS DOUBLE) / 8
+  CASE WHEN l_partkey % 59 = 0 THEN NULL
+    WHEN (l_linenumber + l_orderkey) % 7 = 1 THEN CAST(l_partkey % 40 AS DOUBLE) / 8
     ELSE CAST(0 AS DOUBLE) END AS tip,
   CASE WHEN l_suppkey % 12 = 0 THEN CAST(6.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS tolls,
   CAST(1 AS DOUBLE) AS improvement,
   CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE CAST(2.5 AS DOUBLE) END AS congestion,
   CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE CAST(0.75 AS DOUBLE) END AS cbd,
-  CASE WHEN l_suppkey % 9 = 0 THEN CAST(1.75 AS DOUBLE) ELSE NULL END AS airport
-FROM lineitem
+  CASE WHEN l_suppkey % 9 = 0 THEN CAST(1.75 AS DOUBLE) ELSE NULL END AS airport,
+  CASE WHEN l_orderkey % 47 = 0 THEN CAST(l_partkey % 13 AS DOUBLE) / 4
+    ELSE CAST(0 AS DOUBLE) END AS off_by,
+  l_orderkey % 89 = 0 AS waived
+FROM (SELECT * FROM lineitem
+  UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 83 = 0) AS lines
 """
 
 # {p} is the feed's prefix, {own} its own columns, {feed} its name. The
@@ -68,9 +74,10 @@ SELECT vendor AS VendorID,
   from_zone AS PULocationID, to_zone AS DOLocationID, payment AS payment_type,
   fare AS fare_amount, extra, mta_tax, tip AS tip_amount, tolls AS tolls_amount,
   improvement AS improvement_surcharge,
-  fare + extra + mta_tax + tip + tolls + improvement
-    + CASE WHEN payment = 0 THEN CAST(0 AS DOUBLE) ELSE COALESCE(congestion, 0) END
-    + COALESCE(cbd, 0) + {airport} AS total_amount,
+  CASE WHEN waived THEN CAST(0 AS DOUBLE)
+    ELSE COALESCE(fare, 0) + extra + mta_tax + COALESCE(tip, 0) + tolls + improvement
+      + CASE WHEN payment = 0 THEN CAST(0 AS DOUBLE) ELSE COALESCE(congestion, 0) END
+      + COALESCE(cbd, 0) + {airport} + off_by END AS total_amount,
   congestion AS congestion_surcharge, cbd AS cbd_congestion_fee, {own}
 FROM fx_trips WHERE feed = '{feed}'
 """

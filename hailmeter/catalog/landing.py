@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ _SCHEMAS = {
     "weather": schemas.HOURLY_WEATHER,
 }
 _stored: dict[tuple[str, str], str] = {}
+_landed: dict[tuple[str, str], LazyLanding] = {}
 
 
 def _rows_per_file(spark: SparkSession, rows: int) -> int:
@@ -55,9 +58,14 @@ def _read_bronze(spark: SparkSession, base: str) -> Bronze:
 
 
 def land_trips(df: DataFrame, pickup: str, path: str) -> str:
-    """Monthly folders of Parquet files, written without a shuffle."""
+    """Monthly folders of Parquet files: trips are brought together by month first.
+
+    They aren't in time order, so every task would open a file per month otherwise; a
+    month with very many trips is split over several tasks.
+    """
     month = F.date_format(pickup, "yyyy-MM")
-    df.withColumn("landed_month", month).write.mode("overwrite").partitionBy(
+    monthly = df.withColumn("landed_month", month).hint("rebalance", "landed_month")
+    monthly.write.mode("overwrite").partitionBy(
         "landed_month"
     ).parquet(path)
     return path
@@ -96,11 +104,40 @@ def land_weather(df: DataFrame, path: str) -> str:
     return path
 
 
+class LazyLanding:
+    """The folders of the four sources; a source is written when first asked for."""
+
+    def __init__(self, base: str, source: Bronze):
+        self._base = base
+        self._source = source
+
+    @cached_property
+    def yellow(self) -> str:
+        return land_trips(self._source.yellow, "tpep_pickup_datetime", f"{self._base}/yellow")
+
+    @cached_property
+    def green(self) -> str:
+        return land_trips(self._source.green, "lpep_pickup_datetime", f"{self._base}/green")
+
+    @cached_property
+    def zones(self) -> str:
+        return land_zones(self._source.zones, f"{self._base}/zones")
+
+    @cached_property
+    def weather(self) -> str:
+        return land_weather(self._source.weather, f"{self._base}/weather")
+
+    def all(self) -> Landing:
+        return Landing(self.yellow, self.green, self.zones, self.weather)
+
+
+def landed_files(spark: SparkSession, sf_dir: str, source: Bronze) -> LazyLanding:
+    """One landing per application and folder of given tables, shared by its queries."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _landed:
+        _landed[key] = LazyLanding(work_dir(spark, "landing"), source)
+    return _landed[key]
+
+
 def land_all(spark: SparkSession, source: Bronze) -> Landing:
-    base = work_dir(spark, "landing")
-    return Landing(
-        yellow=land_trips(source.yellow, "tpep_pickup_datetime", f"{base}/yellow"),
-        green=land_trips(source.green, "lpep_pickup_datetime", f"{base}/green"),
-        zones=land_zones(source.zones, f"{base}/zones"),
-        weather=land_weather(source.weather, f"{base}/weather"),
-    )
+    return LazyLanding(work_dir(spark, "landing"), source).all()

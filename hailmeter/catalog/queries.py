@@ -8,13 +8,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hailmeter import schemas
 from hailmeter.catalog import fixtures, landing
-from hailmeter.functions import clock, money, sky
+from hailmeter.functions import clock, money, rules, sky
 from hailmeter.operators import conform, demand, enrich
 from hailmeter.operators.dimension import fits_broadcast
 from hailmeter.plans import expectations, pipeline, quality, reports, segments
@@ -49,11 +49,11 @@ class Scene:
         return fits_broadcast(self.zones)
 
     @cached_property
-    def hours(self) -> DataFrame:
-        """Staged weather, one row for each of at most 7,248 hours by construction.
+    def weather_small(self) -> bool:
+        return fits_broadcast(self.weather)
 
-        So it is small in every join below, whatever the size of the tables.
-        """
+    @cached_property
+    def hours(self) -> DataFrame:
         return conform.stage_weather(self.bronze.weather)
 
     @cached_property
@@ -63,7 +63,12 @@ class Scene:
     @cached_property
     def fact(self) -> DataFrame:
         return enrich.fact_trips(
-            self.staged, self.zones, self.weather, self.zones_small, weather_small=True
+            self.staged,
+            self.zones,
+            self.weather,
+            self.zones_small,
+            self.weather_small,
+            years=rules.VALID_YEARS,
         )
 
     @cached_property
@@ -74,7 +79,8 @@ class Scene:
             self.zones,
             self.weather,
             self.zones_small,
-            weather_small=True,
+            self.weather_small,
+            years=rules.VALID_YEARS,
             roles=("pickup",),
         )
 
@@ -83,8 +89,9 @@ class Scene:
         return demand.mart_weather_demand(self.trips)
 
     @cached_property
-    def landed(self) -> pipeline.Landing:
-        return landing.land_all(self.spark, self.bronze)
+    def landed(self) -> landing.LazyLanding:
+        """Landed files by source, each written when it is first asked for."""
+        return landing.landed_files(self.spark, self.sf_dir, self.bronze)
 
     def folder(self, label: str) -> str:
         return work_dir(self.spark, label)
@@ -128,9 +135,15 @@ def scan_green_files(s: Scene) -> DataFrame:
     return files.scan_trip_files(s.spark, _months(s.landed.green))
 
 
-def _old_layout(s: Scene) -> DataFrame:
-    """First-year files as an older writer left them: other case, order, types."""
-    first = s.bronze.yellow.filter(F.year("tpep_pickup_datetime") == 2025)
+# Files of the first year come from the older writer; all others, those of trips without
+# a pickup time among them, from the newer one.
+def _older() -> Column:
+    return F.coalesce(F.year("tpep_pickup_datetime") == 2025, F.lit(False))
+
+
+def _old_layout(s: Scene, rows: Column | None = None) -> DataFrame:
+    """Files as an older writer left them: other case, order, types."""
+    first = s.bronze.yellow if rows is None else s.bronze.yellow.filter(rows)
     names = [c for c in reversed(first.columns) if c != "cbd_congestion_fee"]
     return first.select(
         *[
@@ -146,8 +159,8 @@ def _old_layout(s: Scene) -> DataFrame:
 def align_columns_by_name(s: Scene) -> DataFrame:
     """Two file layouts under one schema."""
     folder = s.folder("drift")
-    later = s.bronze.yellow.filter(F.year("tpep_pickup_datetime") != 2025)
-    _old_layout(s).write.mode("overwrite").parquet(f"{folder}/old")
+    later = s.bronze.yellow.filter(~_older())
+    _old_layout(s, _older()).write.mode("overwrite").parquet(f"{folder}/old")
     later.write.mode("overwrite").parquet(f"{folder}/new")
     groups = [files.scan_trip_files(s.spark, f"{folder}/{g}") for g in ("old", "new")]
     return files.align_columns_by_name(groups, schemas.YELLOW_FILE)
@@ -155,7 +168,7 @@ def align_columns_by_name(s: Scene) -> DataFrame:
 
 @query
 def schema_drift(s: Scene) -> DataFrame:
-    """The older layout against the canonical one."""
+    """All rows in the older layout against the canonical one."""
     extra = _old_layout(s).withColumn("SURGE", F.col("FARE_AMOUNT"))
     return landed.schema_drift(extra, schemas.YELLOW_FILE)
 
@@ -267,11 +280,18 @@ def overwrite_table(s: Scene) -> DataFrame:
 def append_table(s: Scene) -> DataFrame:
     """Two appends under the declared weather schema."""
     folder = s.folder("append")
-    year = F.year("datetime_local")
-    tables.append_table(s.bronze.weather.filter(year == 2025), folder, schemas.HOURLY_WEATHER)
-    return tables.append_table(
-        s.bronze.weather.filter(year == 2026), folder, schemas.HOURLY_WEATHER
-    )
+    first = F.coalesce(F.year("datetime_local") == 2025, F.lit(False))
+    tables.append_table(s.bronze.weather.filter(first), folder, schemas.HOURLY_WEATHER)
+    return tables.append_table(s.bronze.weather.filter(~first), folder, schemas.HOURLY_WEATHER)
+
+
+@query
+def append_small_frame(s: Scene) -> DataFrame:
+    """Two hand-kept zones appended to the stored zone table."""
+    folder = s.folder("small-frame")
+    tables.append_table(s.bronze.zones, folder, schemas.ZONE_FILE)
+    rows = [(9001, "Queens", "New Yard", "Boro Zone"), (9002, None, "Unnamed", None)]
+    return tables.append_small_frame(s.spark, rows, folder, schemas.ZONE_FILE)
 
 
 @query
@@ -434,7 +454,7 @@ def enrich_dropoff_zone(s: Scene) -> DataFrame:
 @query
 def enrich_weather(s: Scene) -> DataFrame:
     return enrich.enrich_weather(
-        s.staged, s.weather, small=True
+        s.staged, s.weather, small=s.weather_small
     ).select(
         "pickup_at", "weather_category", "is_adverse_weather",
         "temperature_f", "precipitation_inch", "wind_speed_mph",
@@ -697,13 +717,7 @@ def _resent(s: Scene) -> DataFrame:
 @query
 def zero_totals_by_payment(s: Scene) -> DataFrame:
     """Charged totals of zero, per payment label."""
-    waived = s.trips.withColumn(
-        "total_amount",
-        F.when(F.col("payment_type").isin("No Charge", "Dispute"), 0.0).otherwise(
-            F.col("total_amount")
-        ),
-    )
-    return quality.zero_totals_by_payment(waived)
+    return quality.zero_totals_by_payment(s.trips)
 
 
 @query
@@ -713,7 +727,8 @@ def duplicate_trips(s: Scene) -> DataFrame:
 
 @query
 def drop_duplicate_trips(s: Scene) -> DataFrame:
-    return quality.drop_duplicate_trips(_resent(s)).select(*quality.DUPLICATE_KEYS)
+    """Every column of the trip that stays, for each key."""
+    return quality.drop_duplicate_trips(_resent(s))
 
 
 @query
@@ -723,7 +738,7 @@ def surcharge_by_month(s: Scene) -> DataFrame:
 
 @query
 def invalid_share_by_weather(s: Scene) -> DataFrame:
-    return quality.invalid_share_by_weather(s.staged, s.weather, small=True)
+    return quality.invalid_share_by_weather(s.staged, s.weather, small=s.weather_small)
 
 
 @query
@@ -796,11 +811,12 @@ def _streams(s: Scene) -> tuple[DataFrame, DataFrame]:
 
 @query
 def incremental_load(s: Scene) -> DataFrame:
-    """One year lands and is loaded, then the other; a rerun adds nothing."""
+    """One year lands and is loaded, then all the rest; a rerun adds nothing."""
     folder = s.folder("incremental")
     table, checkpoint = f"{folder}/table", f"{folder}/checkpoint"
-    for year in (2025, 2026):
-        chosen = s.bronze.green.filter(F.year("lpep_pickup_datetime") == year)
+    first = F.coalesce(F.year("lpep_pickup_datetime") == 2025, F.lit(False))
+    for rows in (first, ~first):
+        chosen = s.bronze.green.filter(rows)
         chosen.write.mode("append").parquet(f"{folder}/landing")
         for _ in range(2):
             stream = incremental.read_landing(s.spark, f"{folder}/landing", schemas.GREEN_FILE)
@@ -828,7 +844,7 @@ def stream_hourly_demand(s: Scene) -> DataFrame:
         f"{folder}/table",
         f"{folder}/checkpoint",
         delay="800 days",
-        weather_small=True,
+        weather_small=s.weather_small,
     )
 
 
@@ -860,7 +876,7 @@ def expectations_suite(s: Scene) -> DataFrame:
 
 
 def _of_kind(s: Scene, kind: str) -> DataFrame:
-    suite = [e for e in expectations.SUITE if e.kind == kind and e.table != "mart_weather_demand"]
+    suite = [e for e in expectations.SUITE if e.kind == kind]
     return expectations.run_expectations(_all_tables(s), suite)
 
 
@@ -898,4 +914,4 @@ def layer_counts(s: Scene) -> DataFrame:
 @query
 def run_pipeline(s: Scene) -> DataFrame:
     """Landed files to gold; the summary of every layer."""
-    return pipeline.run_pipeline(s.spark, s.landed, s.folder("tables"))[1]
+    return pipeline.run_pipeline(s.spark, s.landed.all(), s.folder("tables"))[1]

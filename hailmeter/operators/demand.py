@@ -41,6 +41,10 @@ def city_boroughs(df: DataFrame, excluded: Sequence[str] = EXCLUDED_BOROUGHS) ->
 
 def mart_weather_demand(fact: DataFrame) -> DataFrame:
     """10 keys and 11 measures; one shuffle behind map-side partial sums."""
+    return _mart(fact, [])
+
+
+def _mart(fact: DataFrame, more: Sequence[Column]) -> DataFrame:
     return (
         city_boroughs(fact)
         .groupBy(*MART_KEYS)
@@ -48,24 +52,46 @@ def mart_weather_demand(fact: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("trip_count"),
             *[F.sum(source).alias(name) for name, source in MART_SUMS.items()],
             *[F.avg(source).alias(name) for name, source in MART_AVERAGES.items()],
+            *more,
         )
     )
 
 
+# Weight of a mart average -> the fact column whose known values it counts.
+MART_WEIGHTS = {"known_durations": "trip_duration_minutes", "known_distances": "trip_distance"}
+
+
+def weighted_mart(fact: DataFrame) -> DataFrame:
+    """The mart with the number of known values behind two of its averages.
+
+    An average leaves unknown values out, so it can be averaged again only with the
+    number of known ones as its weight, not with the number of trips.
+    """
+    return _mart(fact, [F.count(source).alias(name) for name, source in MART_WEIGHTS.items()])
+
+
 def as_demand(frame: DataFrame) -> DataFrame:
     """Rows that sum up to demand, from the mart or straight from the fact.
 
     Reports re-aggregate either one to a handful of groups. From the fact they
     need a single shuffle of those few groups and no 10-key mart in between;
     from a stored mart they read a small table. Averages of the mart cannot
-    be averaged again, so they come back as weighted totals.
+    be averaged again, so they come back as totals and numbers of known values:
+    exact from `weighted_mart`; from the plain mart every trip of a group with
+    an average has to count as known.
     """
     if "trip_count" in frame.columns:
-        weight = F.col("trip_count")
+        for average, weight in (
+            ("avg_duration_minutes", "known_durations"),
+            ("avg_distance", "known_distances"),
+        ):
+            if weight not in frame.columns:
+                trips = F.when(F.col(average).isNotNull(), F.col("trip_count")).otherwise(0)
+                frame = frame.withColumn(weight, trips)
         return frame.withColumns(
             {
-                "duration_total": F.col("avg_duration_minutes") * weight,
-                "distance_total": F.col("avg_distance") * weight,
+                "duration_total": F.col("avg_duration_minutes") * F.col("known_durations"),
+                "distance_total": F.col("avg_distance") * F.col("known_distances"),
             }
         )
     return city_boroughs(frame).select(
@@ -74,6 +100,10 @@ def as_demand(frame: DataFrame) -> DataFrame:
         *[F.col(source).alias(name) for name, source in MART_SUMS.items()],
         F.col("trip_duration_minutes").alias("duration_total"),
         F.col("trip_distance").alias("distance_total"),
+        *[
+            F.when(F.col(source).isNotNull(), 1).otherwise(0).cast("bigint").alias(name)
+            for name, source in MART_WEIGHTS.items()
+        ],
     )
 
 

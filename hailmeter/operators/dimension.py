@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 32
 SALTS = 16
+# A key with more than this share of all rows is spread; so there are at most
+# 1 / HEAVY_SHARE such keys, and their list is small whatever the input.
+HEAVY_SHARE = 1 / 256
 
 
 def measured_bytes(dim: DataFrame) -> int:
@@ -33,19 +36,21 @@ def attach(
     on: list[tuple[str, str]],
     small: bool | None = None,
     salts: int = SALTS,
+    keys_of: DataFrame | None = None,
 ) -> DataFrame:
     """Left equi-join; `on` pairs a fact column with a dimension column.
 
     A dimension that fits is broadcast, so the fact never moves. `small` is
     None to measure the dimension here, True where its size follows from how
     it was built (a group-by over a bounded domain) or was measured before,
-    and False for the salted shuffle join, which spreads one hot key over
-    `salts` tasks. Both joins return the same rows, and duplicate dimension
-    keys fan the fact out in both.
+    and False for the shuffle join, which spreads each heavy key over `salts`
+    tasks. Both joins return the same rows, and duplicate dimension keys fan
+    the fact out in both. `keys_of` is a cheaper frame with the same keys as often,
+    such as the fact before other joins, to find the heavy keys in.
     """
     if small is None:
         small = fits_broadcast(dim)
-    joined = _map_side(facts, dim, on) if small else _salted(facts, dim, on, salts)
+    joined = _map_side(facts, dim, on) if small else _salted(facts, dim, on, salts, keys_of)
     return joined.drop(*[_key(i) for i in range(len(on))])
 
 
@@ -63,14 +68,49 @@ def _map_side(facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]]) -> Da
     return facts.join(F.broadcast(renamed), condition, "left")
 
 
-def _salted(facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]], salts: int) -> DataFrame:
-    # The salt is the input partition, not a random number: a retried task
-    # sends its rows to the same place again.
-    salted = facts.withColumn("_salt", F.spark_partition_id() % salts)
-    copies = _rename_keys(dim, on).withColumn(
-        "_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+def heavy_keys(facts: DataFrame, columns: list[str], share: float = HEAVY_SHARE) -> list[tuple]:
+    """The keys that hold more than `share` of all rows: at most 1 / share of them."""
+    counts = facts.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    heavy = counts.filter(F.col("_n") > facts.count() * share)
+    return [tuple(row[c] for c in columns) for row in heavy.collect()]
+
+
+def _among(columns: list[str], keys: list[tuple]) -> Column:
+    """Whether the columns hold one of the keys; unknown where one is NULL."""
+    if len(columns) == 1:
+        return F.col(columns[0]).isin([key[0] for key in keys])
+    return reduce(
+        lambda a, b: a | b,
+        [
+            reduce(lambda a, b: a & b, [F.col(c) == v for c, v in zip(columns, key, strict=True)])
+            for key in keys
+        ],
+        F.lit(False),
     )
+
+
+def _salted(
+    facts: DataFrame,
+    dim: DataFrame,
+    on: list[tuple[str, str]],
+    salts: int,
+    keys_of: DataFrame | None,
+) -> DataFrame:
+    """A shuffle join in which heavy and absent keys are salted, on both sides.
+
+    The salt is a hash of the whole row: it spreads a key however its rows lie in
+    the input, and a retried task sends them to the same places again.
+    """
+    lefts, rights = [left for left, _ in on], [right for _, right in on]
+    known = facts if keys_of is None else keys_of
+    heavy = [key for key in heavy_keys(known, lefts) if None not in key]
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.lit(salts))
+    is_heavy = F.coalesce(_among(lefts, heavy), F.lit(True))
+    salted = facts.withColumn("_salt", F.when(is_heavy, spread).otherwise(0).cast("int"))
+    copies = F.when(_among(rights, heavy), F.lit(salts)).otherwise(F.lit(1))
+    copied = dim.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), copies - 1)))
     condition = [F.col(left) == F.col(_key(i)) for i, (left, _) in enumerate(on)]
     condition.append(F.col("_salt") == F.col("_dim_salt"))
     # The hint keeps a wrong size estimate from broadcasting the copies after all.
-    return salted.join(copies.hint("merge"), condition, "left").drop("_salt", "_dim_salt")
+    renamed = _rename_keys(copied, on).hint("merge")
+    return salted.join(renamed, condition, "left").drop("_salt", "_dim_salt")

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hailmeter.functions import clock, money, rules
+from hailmeter.functions import clock, money
 from hailmeter.operators.dimension import attach, fits_broadcast
 
 FACT_COLUMNS = (
@@ -23,11 +23,12 @@ FACT_COLUMNS = (
 )
 
 
-def valid_trips(staged: DataFrame, years: tuple[int, ...] | None = rules.VALID_YEARS) -> DataFrame:
-    """Rows with no broken rule.
+def valid_trips(staged: DataFrame, years: tuple[int, ...] | None = None) -> DataFrame:
+    """Rows with no broken rule, whatever rules flagged them.
 
-    With `years`, a pickup range that every valid row satisfies is added: it
-    changes no result, but reaches the Parquet scan and prunes row groups.
+    `years` are those of the rules that flagged the rows, where they are known:
+    then a pickup range that every valid row satisfies is added, which changes no
+    result, but reaches the Parquet scan and prunes row groups.
     """
     kept = staged.filter(F.col("is_valid"))
     if years:
@@ -61,7 +62,10 @@ def enrich_weather(trips: DataFrame, weather: DataFrame, **join) -> DataFrame:
         "weather_category", "is_adverse_weather",
         "temperature_f", "precipitation_inch", "wind_speed_mph",
     )
-    keyed = trips.withColumn("_pickup_hour_index", clock.hour_index(F.col("pickup_at")))
+    hour = clock.hour_index(F.col("pickup_at"))
+    keyed = trips.withColumn("_pickup_hour_index", hour)
+    if join.get("keys_of") is not None:
+        join = {**join, "keys_of": join["keys_of"].withColumn("_pickup_hour_index", hour)}
     on = [("_pickup_hour_index", "_hour_index")]
     return attach(keyed, hourly, on, **join).drop("_pickup_hour_index")
 
@@ -72,21 +76,22 @@ def fact_trips(
     weather: DataFrame,
     zones_small: bool | None = None,
     weather_small: bool | None = None,
-    years: tuple[int, ...] | None = rules.VALID_YEARS,
+    years: tuple[int, ...] | None = None,
     roles: tuple[str, ...] = ("pickup", "dropoff"),
 ) -> DataFrame:
     """Valid trips with both zone roles and the hour's weather: 35 columns.
 
-    `zones_small` and `weather_small` choose the joins as in `attach`.
+    `zones_small` and `weather_small` choose the joins as in `attach`; `years`
+    as in `valid_trips`.
     Demand reports never look at the dropoff zone. They can leave that role
     out and save a join per trip: an outer join on a key that is merely
     expected to be unique is not removed by the optimizer.
     """
     if zones_small is None:
         zones_small = fits_broadcast(zones)  # one check for both roles
-    trips = valid_trips(staged, years)
+    valid = trips = valid_trips(staged, years)
     for role in roles:
-        trips = enrich_zone(trips, zones, role, small=zones_small)
-    trips = enrich_weather(trips, weather, small=weather_small)
+        trips = enrich_zone(trips, zones, role, small=zones_small, keys_of=valid)
+    trips = enrich_weather(trips, weather, small=weather_small, keys_of=valid)
     trips = trips.withColumn("payment_type", money.payment_label(F.col("payment_type")))
     return trips.select(*[c for c in FACT_COLUMNS if c in trips.columns])

@@ -252,8 +252,14 @@ def duplicate_trips(staged: DataFrame, keys: Sequence[str] = DUPLICATE_KEYS) ->
 
 
 def drop_duplicate_trips(staged: DataFrame, keys: Sequence[str] = DUPLICATE_KEYS) -> DataFrame:
-    """One trip per key. Copies collapse map-side before the shuffle."""
-    return staged.dropDuplicates(list(keys))
+    """One trip per key: of several, the least by all other columns in order.
+
+    So the surviving row doesn't depend on how the input lies. Copies collapse map-side
+    before the shuffle.
+    """
+    others = [c for c in staged.columns if c not in keys]
+    least = F.min(F.struct(*others)).alias("_least")
+    return staged.groupBy(*keys).agg(least).select(*keys, "_least.*").select(*staged.columns)
 
 
 def invalid_share_by_weather(

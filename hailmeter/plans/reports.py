@@ -336,25 +336,22 @@ CONDITIONS = ("Clear/Normal", "Rain", "Snow")
 def revenue_per_active_minute(demand: DataFrame) -> DataFrame:
     """Tip-free revenue per trip over average duration, by borough and condition.
 
-    From the mart the average duration is weighted by trips.
+    The average leaves unknown durations out, so it is their total over the number
+    of known ones (see `as_demand`).
     """
+    measures = ("total_revenue", "total_tips", "trip_count", "duration_total", "known_durations")
     groups = rollup(
         demand,
         ["pickup_borough", "weather_category"],
-        ["total_revenue", "total_tips", "trip_count", "duration_total"],
+        measures,
     ).withColumn("condition", sky.condition_bucket(F.col("weather_category")))
     cells = [
-        Cell(
-            {"condition": c},
-            {
-                m: (m, F.col("condition") == c)
-                for m in ("total_revenue", "total_tips", "trip_count", "duration_total")
-            },
-        )
+        Cell({"condition": c}, {m: (m, F.col("condition") == c) for m in measures})
         for c in CONDITIONS
     ]
     rate = money.guarded_ratio(
-        F.col("total_revenue") - F.col("total_tips"), F.col("duration_total")
+        money.guarded_ratio(F.col("total_revenue") - F.col("total_tips"), F.col("trip_count")),
+        F.col("duration_total") / F.nullif(F.col("known_durations"), F.lit(0)),
     )
     per_borough = Window.partitionBy("pickup_borough")
     normal = F.max(F.when(F.col("condition") == CONDITIONS[0], F.col("per_minute"))).over(
@@ -414,14 +411,19 @@ def weather_hour_share(weather: DataFrame) -> DataFrame:
     return counts.withColumn("pct", F.col("hours") * 100 / total)
 
 
+def _average(total: str, known: str) -> Column:
+    """The mean of the known values, NULL where there is none."""
+    return F.sum(total) / F.nullif(F.sum(known), F.lit(0))
+
+
 def trip_shape_by_condition(fact: DataFrame) -> DataFrame:
     """Average duration and distance per borough, year and adverse flag."""
     return (
         as_demand(fact)
         .groupBy("pickup_borough", "pickup_year", "is_adverse_weather")
         .agg(
-            (F.sum("duration_total") / F.sum("trip_count")).alias("avg_duration"),
-            (F.sum("distance_total") / F.sum("trip_count")).alias("avg_distance"),
+            _average("duration_total", "known_durations").alias("avg_duration"),
+            _average("distance_total", "known_distances").alias("avg_distance"),
         )
     )
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
@@ -30,7 +32,9 @@ FEATURES = (
 )
 CLUSTER_COUNTS = (3, 4, 5, 6)
 SEED = 20250101
-ROWS_PER_TASK = 100_000
+# Training draws its first centres per partition, so rows are always dealt over as
+# many partitions by their keys: neither the input's layout nor its size chooses them.
+TRAINING_PARTS = 32
 
 
 def zone_features(fact: DataFrame, keys: Sequence[str] = ("pickup_zone_id",)) -> DataFrame:
@@ -75,7 +79,8 @@ def scaling(features: Sequence[str] = FEATURES) -> Pipeline:
 
 def standardize_features(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     """The features replaced by their standard scores."""
-    ready = _doubles(df, features)
+    # Both fits and the result read the features: store them once.
+    ready = materialize(_doubles(df, features), "features")
     scores = vector_to_array(F.col("scaled"))
     others = [c for c in df.columns if c not in features]
     return (
@@ -110,13 +115,21 @@ def fit_segments(
     stored = materialize(_doubles(df, features), "segments")
     scaler = scaling(features).fit(stored)
     points = scaler.transform(stored).drop(*[f"_{c}" for c in features], "_raw")
-    # Dozens of short passes: a task per 100,000 rows, not one per tiny file.
-    tasks = -(-stored.count() // ROWS_PER_TASK) or 1
-    training = points.select("scaled").coalesce(tasks).persist()
-    models = {
-        k: KMeans(k=k, seed=seed, featuresCol="scaled", predictionCol=f"_p{k}").fit(training)
-        for k in counts
-    }
+    place = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    training = (
+        points.withColumn("_place", place)
+        .repartition(TRAINING_PARTS, "_place")
+        .sortWithinPartitions("_place", *[F.col(f"`{c}`") for c in df.columns])
+        .select("scaled")
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+
+    def fit(k: int):
+        return KMeans(k=k, seed=seed, featuresCol="scaled", predictionCol=f"_p{k}").fit(training)
+
+    # Short passes that leave cores idle: the models train side by side.
+    with ThreadPool(len(counts)) as pool:
+        models = dict(zip(counts, pool.map(inheritable_thread_target(df.sparkSession)(fit), counts), strict=True))
     training.unpersist()
     for k, model in models.items():
         # Ids follow the centre's first feature, so reruns number alike.

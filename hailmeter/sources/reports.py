@@ -20,13 +20,16 @@ def _folder_name(path: Column) -> Column:
 
 
 def _landed_files(spark: SparkSession, path: str) -> DataFrame:
-    # The content column is never selected, so no file is opened.
-    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"))
+    # The content column is never selected, so no file is opened. The path is the one
+    # that data scans report too, escaped alike.
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(F.col("_metadata.file_path").alias("file"))
 
 
 def _history(files: DataFrame, counts: DataFrame, empty_is_failure: bool) -> DataFrame:
     parsed = F.coalesce(F.col("row_parsed"), F.lit(0))
     loaded = F.coalesce(F.col("row_count"), F.lit(0))
+    # A file with bytes of which nothing was parsed is never a quiet success.
     failed = F.lit(empty_is_failure) & (parsed == 0)
     status = (
         F.when(failed, "LOAD_FAILED")
@@ -37,7 +40,9 @@ def _history(files: DataFrame, counts: DataFrame, empty_is_failure: bool) -> Dat
     return (
         files.join(counts, "file", "left")
         .select(
-            _file_name(F.col("file")).alias("file_name"),
+            F.url_decode(F.replace(_file_name(F.col("file")), F.lit("+"), F.lit("%2B"))).alias(
+                "file_name"
+            ),
             status.alias("status"),
             loaded.cast("bigint").alias("row_count"),
             parsed.cast("bigint").alias("row_parsed"),

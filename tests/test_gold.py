@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from hailmeter.functions import rules
 from hailmeter.operators import conform, demand, enrich
 from hailmeter.operators.dimension import attach, fits_broadcast, measured_bytes
 from hailmeter.plans import quality, reports
@@ -105,7 +106,46 @@ def test_doubled_hour_fans_out_in_both_joins(staged, zones, weather):
 
 
 def test_year_pruning_changes_nothing(staged):
-    assert _sorted(enrich.valid_trips(staged)) == _sorted(enrich.valid_trips(staged, years=None))
+    pruned = enrich.valid_trips(staged, years=rules.VALID_YEARS)
+    assert _sorted(enrich.valid_trips(staged)) == _sorted(pruned)
+
+
+def test_valid_trips_follow_the_rules_that_flagged_them(make_feed):
+    times = ["2024-02-05 10:00:00", "2025-02-05 10:00:00", "2026-02-05 10:00:00"]
+    trips = [dict(pickup=t, dropoff=t) for t in times]
+    checks = rules.trip_rules(years=(2024, 2025, 2026))
+    staged = conform.stage_trips(make_feed("yellow", *trips), make_feed("green"), checks)
+    kept = enrich.valid_trips(staged)
+    assert kept.count() == staged.filter("is_valid").count() == 3
+
+
+def test_hot_key_of_one_input_partition_is_spread(spark):
+    facts = spark.range(0, 20000, 1, 1).withColumn("k", F.lit(7))
+    dim = spark.createDataFrame([(7, "hot"), (8, "cold")], "key int, label string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        large = attach(facts, dim, [("k", "key")], small=False)
+        tasks = large.groupBy(F.spark_partition_id()).count().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert tasks > 1
+    assert large.filter("label = 'hot'").count() == 20000
+
+
+def test_averages_leave_unknown_durations_out(fact):
+    """Mart and fact agree with AVG where part of a group is unknown."""
+    odd = fact.withColumn(
+        "trip_duration_minutes",
+        F.when(F.col("total_amount") % 2 == 0, F.col("trip_duration_minutes")),
+    ).withColumn("trip_distance", F.when(F.col("pickup_hour") != 10, F.col("trip_distance")))
+    keys = ["pickup_borough", "pickup_year", "is_adverse_weather"]
+    direct = demand.city_boroughs(odd).groupBy(*keys).agg(
+        F.avg("trip_duration_minutes").alias("avg_duration"),
+        F.avg("trip_distance").alias("avg_distance"),
+    )
+    assert _sorted(reports.trip_shape_by_condition(odd)) == _sorted(direct)
+    weighted = demand.weighted_mart(odd)
+    assert _sorted(reports.trip_shape_by_condition(weighted)) == _sorted(direct)
 
 
 def test_pruning_reaches_the_scan(spark, make_feed, tmp_path):
@@ -113,7 +153,7 @@ def test_pruning_reaches_the_scan(spark, make_feed, tmp_path):
     make_feed("yellow", {}).write.parquet(path)
     feed = spark.read.parquet(path)
     staged = conform.stage_trips(feed, make_feed("green"))
-    plan = enrich.valid_trips(staged)._jdf.queryExecution().executedPlan().toString()
+    plan = enrich.valid_trips(staged, rules.VALID_YEARS)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(tpep_pickup_datetime" in plan
 
 

@@ -78,6 +78,14 @@ def test_segments_find_the_blobs(blobs):
     ]
 
 
+def test_partitioning_does_not_change_the_model(blobs):
+    def clusters(frame):
+        fitted = segments.fit_segments(frame, (3,), FEATURES)
+        return {(r.key, r.cluster) for r in segments.assign_clusters(fitted, 3).collect()}
+
+    assert clusters(blobs.coalesce(1)) == clusters(blobs.repartition(7))
+
+
 def test_unknown_features_are_imputed(spark, blobs):
     holed = blobs.withColumn("a", F.when(F.col("key") != "g0-0", F.col("a")))
     fitted = segments.fit_segments(holed, (4,), FEATURES)

@@ -63,6 +63,22 @@ def test_csv_load_history(spark, tmp_path):
     assert rows[1].first_error_message == "x,bad,row,here"
 
 
+def test_load_history_of_odd_names(spark, make_feed, tmp_path):
+    folder = tmp_path / "to load, 100%+"
+    folder.mkdir()
+    (folder / "a b.csv").write_text(ZONES)
+    (folder / "c%d+.csv").write_text(ZONES + "x,bad,row,here\n")
+    rows = reports.load_history_csv(spark, str(folder), schemas.ZONE_FILE).collect()
+    assert [(r.file_name, r.status, r.row_count, r.row_parsed) for r in rows] == [
+        ("a b.csv", "LOADED", 2, 2),
+        ("c%d+.csv", "PARTIALLY_LOADED", 2, 3),
+    ]
+    trips = tmp_path / "par quet"
+    make_feed("yellow", {}, {}).coalesce(1).write.parquet(str(trips))
+    rows = reports.load_history_parquet(spark, str(trips), schemas.YELLOW_FILE).collect()
+    assert [(r.status, r.row_count) for r in rows] == [("LOADED", 2)]
+
+
 def test_corrupt_parquet_is_skipped_and_reported(spark, make_feed, tmp_path):
     path = tmp_path / "yellow"
     make_feed("yellow", {}, {}).coalesce(1).write.parquet(str(path))
