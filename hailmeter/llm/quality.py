@@ -177,3 +177,53 @@ def quality_rules(
         fails.alias("failed_rules"),
         (~base & (F.size(fails) == 0)).alias("kept"),
     )
+
+
+def oracle() -> str:
+    """The query's rows in DuckDB, with exact quartiles.
+
+    They equal the sketches' ones where a group has fewer rows than the accuracy.
+    """
+    ratios = {rule: ratio.replace("/", "::DOUBLE /") for rule, (ratio, _) in RULES.items()}
+    quartiles = ", ".join(
+        f"quantile_disc({ratio}, 0.25) AS {rule}_a, quantile_disc({ratio}, 0.75) AS {rule}_b"
+        for rule, ratio in ratios.items()
+    )
+    passes = " AND ".join(
+        f"COALESCE({ratios[rule]} BETWEEN {rule}_a - {REACH} * ({rule}_b - {rule}_a) - {slack}"
+        f" AND {rule}_b + {REACH} * ({rule}_b - {rule}_a) + {slack}, TRUE)"
+        for rule, (_, slack) in RULES.items()
+    )
+    worded = "regexp_matches(x, '[^\\x20\\x09-\\x0D]')"
+    return f"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, COALESCE(text, '') AS t,
+    COALESCE(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+windows AS (
+  SELECT r, i, array_to_string(w[i : i + {REPEAT_WORDS - 1}], ' ') AS gram
+  FROM (SELECT r, w, unnest(range(1, len(w) - {REPEAT_WORDS - 2})) AS i FROM split)),
+repeated AS (
+  SELECT r, count(DISTINCT p) AS n FROM (
+    SELECT r, unnest(range(i, i + {REPEAT_WORDS})) AS p FROM (
+      SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS k FROM windows) WHERE k > 1)
+  GROUP BY r),
+lines AS (
+  SELECT r, count(*) AS n, count(*) - count(DISTINCT x) AS d
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM split) WHERE {worded} GROUP BY r),
+counted AS (
+  SELECT doc_id, lang, source, len(w)::BIGINT AS n_words,
+    COALESCE(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    COALESCE(d, 0)::BIGINT AS n_dup_lines, COALESCE(repeated.n, 0)::BIGINT AS n_repeat_words,
+    COALESCE(lines.n, 0) AS n_lines
+  FROM split LEFT JOIN repeated USING (r) LEFT JOIN lines USING (r)),
+fences AS (
+  SELECT lang AS of_lang, source AS of_source, {quartiles}
+  FROM counted WHERE n_words > 0 GROUP BY 1, 2),
+judged AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed
+  FROM counted LEFT JOIN fences
+    ON lang IS NOT DISTINCT FROM of_lang AND source IS NOT DISTINCT FROM of_source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND {passes} AS kept
+FROM judged"""

@@ -91,3 +91,7 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(documents(spark, sf_dir))
+
+
+ORACLE["op4_secrets"] = secrets.oracle()
+ORACLE["op5_quality_rules"] = quality.oracle()

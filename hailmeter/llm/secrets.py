@@ -176,3 +176,58 @@ def scan_secrets(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
             F.coalesce("n_copied", F.lit(0)).cast("long").alias("n_copied"),
         )
     )
+
+
+def oracle() -> str:
+    """The same rows in DuckDB: matches cut from the text, their places added up."""
+
+    def spans(kind: int, pattern: str, group: int, keep: str) -> str:
+        quoted = pattern.replace("'", "''")
+        return f"""
+  SELECT r, repo, owner, {kind} AS kind, first + before AS start, first + before + length(m) AS stop, v
+  FROM (
+    SELECT r, repo, owner, m, v,
+      COALESCE(sum(length(p) + length(m)) OVER (PARTITION BY r ORDER BY i
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before,
+      length(p) AS first
+    FROM (
+      SELECT r, repo, owner, unnest(ms) AS m, unnest(vs) AS v, unnest(ps[1 : len(ms)]) AS p,
+        unnest(range(len(ms))) AS i
+      FROM (SELECT r, repo, owner, regexp_extract_all(t, '{quoted}', 0) AS ms,
+              regexp_extract_all(t, '{quoted}', {group}) AS vs,
+              string_split_regex(t, '{quoted}') AS ps FROM docs)))
+  WHERE {keep}"""
+
+    mixed = (
+        "length(v) >= 20 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')"
+        f" AND len(list_distinct(string_split(v, ''))) >= {MIN_DIFFERENT}"
+    )
+    written = "string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind, stop)"
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id AS repo, source AS owner, COALESCE(text, '') AS t
+  FROM documents),
+base AS ({spans(0, ASSIGN, 2, f"length(v) >= {MIN_ASSIGN}")}
+  UNION ALL {spans(1, ACCESS, 0, f"length(v) >= {MIN_ACCESS}")}
+  UNION ALL {spans(2, HEX, 0, "TRUE")}),
+mixed AS (
+  SELECT * FROM ({spans(3, MIXED, 0, mixed)}) AS m WHERE NOT EXISTS (
+    SELECT 1 FROM base b WHERE b.r = m.r AND m.start < b.stop AND b.start < m.stop)),
+found AS (SELECT * FROM base UNION ALL SELECT * FROM mixed),
+owners AS (
+  SELECT v, count(*) AS n FROM (SELECT DISTINCT v, owner FROM found) GROUP BY v),
+judged AS (
+  SELECT f.*, n <= {MAX_OWNERS} AS live, {list(KINDS)}[kind + 1] AS name
+  FROM found f JOIN owners USING (v)),
+lists AS (
+  SELECT r, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+    count(*) FILTER (WHERE kind = 2) AS n_hex,
+    COALESCE({written} FILTER (WHERE kind < 3), '') AS base_spans,
+    COALESCE({written} FILTER (WHERE kind < 3 OR live), '') AS spans,
+    count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE NOT live) AS n_copied
+  FROM judged GROUP BY r)
+SELECT repo AS doc_id, COALESCE(n_assign, 0)::BIGINT AS n_assign, COALESCE(n_access, 0)::BIGINT
+  AS n_access, COALESCE(n_hex, 0)::BIGINT AS n_hex, sha256(COALESCE(base_spans, '')) AS base_sha256,
+  COALESCE(spans, '') AS spans, COALESCE(n_live, 0)::BIGINT AS n_live,
+  COALESCE(n_copied, 0)::BIGINT AS n_copied
+FROM docs LEFT JOIN lists USING (r)"""
