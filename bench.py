@@ -17,6 +17,7 @@ import time
 
 from hailmeter.catalog import landing
 from hailmeter.catalog.queries import QUERIES, Scene
+from hailmeter.functions import rules
 from hailmeter.operators import conform
 from hailmeter.operators.demand import mart_weather_demand
 from hailmeter.operators.enrich import fact_trips
@@ -77,7 +78,7 @@ def main() -> None:
     fact = timed(
         "gold_fact",
         lambda: overwrite_table(
-            fact_trips(silver, zones, weather, weather_small=True),
+            fact_trips(silver, zones, weather, years=rules.VALID_YEARS),
             f"{base}/fct_trips",
             partition_by=("pickup_year", "pickup_month"),
         ),

@@ -18,7 +18,7 @@ from hailmeter.functions import clock, money, rules, sky
 from hailmeter.operators import conform, demand, enrich
 from hailmeter.operators.dimension import fits_broadcast
 from hailmeter.plans import expectations, pipeline, quality, reports, segments
-from hailmeter.session import pin_clock, work_dir
+from hailmeter.session import materialize, pin_clock, work_dir
 from hailmeter.sources import files, tables
 from hailmeter.sources import reports as landed
 from hailmeter.streaming import hourly, incremental
@@ -852,17 +852,19 @@ def stream_hourly_demand(s: Scene) -> DataFrame:
 
 
 def _all_tables(s: Scene) -> dict[str, DataFrame]:
+    """Every layer as stored tables, so that checks scan files and repeat no join."""
     b = s.bronze
+    staged, fact = materialize(s.staged, "staged"), materialize(s.fact, "fact")
     return {
         "yellow_raw": b.yellow,
         "green_raw": b.green,
         "zone_lookup": b.zones,
         "weather_hourly": b.weather,
-        "stg_trips": s.staged,
+        "stg_trips": staged,
         "stg_zones": conform.stage_zones(b.zones),
         "stg_weather": s.hours,
-        "fct_trips": s.fact,
-        "mart_weather_demand": s.mart,
+        "fct_trips": fact,
+        "mart_weather_demand": materialize(demand.mart_weather_demand(fact), "mart"),
         "dim_zones": s.zones,
         "dim_weather": s.weather,
     }
