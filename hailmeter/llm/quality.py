@@ -34,10 +34,10 @@ SCHEMA = "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for
 
 #: rule -> (ratio, slack): how far beyond the fences of the group a ratio may lie.
 RULES = {
-    "word_length": ("word_chars / n_words", 1.0),
-    "symbols": ("n_symbols / word_chars", 0.05),
+    "word_length": ("word_chars / n_words", 2.0),
+    "symbols": ("n_symbols / word_chars", 0.02),
     "dup_lines": ("n_dup_lines / n_lines", 0.35),
-    "repeats": ("n_repeat_words / n_words", 0.25),
+    "repeats": ("n_repeat_words / n_words", 0.3),
 }
 REACH = 3.0
 ACCURACY = 10_000
