@@ -207,6 +207,26 @@ SELECT CASE WHEN strftime(tpep_pickup_datetime, '%Y-%m') = '2025-03' THEN 'PARTI
 FROM fx_yellow GROUP BY 1
 """,
 )
+_add(
+    "load_history_by_folder",
+    f"""
+SELECT 'landed_month=' || strftime(tpep_pickup_datetime, '%Y-%m') AS file_name,
+  CASE WHEN bool_or{_BROKEN} THEN 'PARTIALLY_LOADED' ELSE 'LOADED' END AS status,
+  COUNT(*) FILTER (WHERE NOT {_BROKEN}) AS row_count, COUNT(*) AS row_parsed,
+  MIN('2,"zone ""' || PULocationID || '"", N/A",n/a?') FILTER (WHERE {_BROKEN})
+    AS first_error_message
+FROM fx_yellow GROUP BY 1
+""",
+)
+_add("tolerant_load_parquet", "SELECT * FROM fx_green")
+_add(
+    "load_history_parquet",
+    """
+SELECT 'landed=good' AS file_name, 'LOADED' AS status, COUNT(*) AS row_count,
+  COUNT(*) AS row_parsed, CAST(NULL AS VARCHAR) AS first_error_message FROM fx_green
+UNION ALL SELECT 'landed=broken', 'LOAD_FAILED', 0, 0, 'no readable rows'
+""",
+)
 _add(
     "tolerant_cast",
     """

@@ -193,9 +193,9 @@ def _land_receipts(s: Scene) -> str:
         F.concat(F.lit('zone "'), F.col("PULocationID"), F.lit('", N/A')).alias("zone"),
         F.when(broken, "n/a?").otherwise(F.col("fare_amount").cast("string")).alias("fare"),
         month.alias("landed_month"),
-    ).write.mode("overwrite").option("header", True).option("escape", '"').partitionBy(
-        "landed_month"
-    ).csv(folder)
+    ).hint("rebalance", "landed_month").write.mode("overwrite").option("header", True).option(
+        "escape", '"'
+    ).partitionBy("landed_month").csv(folder)
     return _months(folder)
 
 
@@ -224,6 +224,35 @@ def load_history(s: Scene) -> DataFrame:
     )
 
 
+@query
+def load_history_by_folder(s: Scene) -> DataFrame:
+    """Each monthly folder with its status, rows and first rejected line, in order."""
+    return landed.load_history_csv(s.spark, _land_receipts(s), RECEIPT, by_folder=True)
+
+
+def _land_with_a_broken_file(s: Scene) -> str:
+    """Green trips as Parquet, and a folder whose file only claims to be Parquet."""
+    folder = s.folder("broken")
+    s.bronze.green.write.mode("overwrite").parquet(f"{folder}/landed=good")
+    text = s.bronze.zones.select(F.col("Zone").alias("value"))
+    text.coalesce(1).write.mode("overwrite").text(f"{folder}/landed=broken")
+    return f"{folder}/landed=*"
+
+
+@query
+def tolerant_load_parquet(s: Scene) -> DataFrame:
+    """Trips of the readable files; the unreadable one stops nothing."""
+    path = _land_with_a_broken_file(s)
+    return files.scan_trip_files(s.spark, path, schemas.GREEN_FILE, tolerant=True)
+
+
+@query
+def load_history_parquet(s: Scene) -> DataFrame:
+    """Which folder was read and which was not."""
+    path = _land_with_a_broken_file(s)
+    return landed.load_history_parquet(s.spark, path, schemas.GREEN_FILE, by_folder=True)
+
+
 @query
 def tolerant_cast(s: Scene) -> DataFrame:
     """Text columns cast to a declared schema; rows that do not fit are left out."""

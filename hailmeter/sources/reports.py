@@ -19,11 +19,15 @@ def _folder_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -2)
 
 
-def _landed_files(spark: SparkSession, path: str) -> DataFrame:
+def _unit(path: Column, by_folder: bool) -> Column:
+    return F.regexp_extract(path, "^(.*)/[^/]*$", 1) if by_folder else path
+
+
+def _landed_files(spark: SparkSession, path: str, by_folder: bool) -> DataFrame:
     # The content column is never selected, so no file is opened. The path is the one
     # that data scans report too, escaped alike.
     files = spark.read.format("binaryFile").load(path)
-    return files.select(F.col("_metadata.file_path").alias("file"))
+    return files.select(_unit(F.col("_metadata.file_path"), by_folder).alias("file")).distinct()
 
 
 def _history(files: DataFrame, counts: DataFrame, empty_is_failure: bool) -> DataFrame:
@@ -52,26 +56,30 @@ def _history(files: DataFrame, counts: DataFrame, empty_is_failure: bool) -> Dat
     )
 
 
-def load_history_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Per file: status, good rows, parsed rows, first rejected line."""
+def load_history_csv(
+    spark: SparkSession, path: str, schema: T.StructType, by_folder: bool = False
+) -> DataFrame:
+    """Per file (or folder): status, good rows, parsed rows, first rejected line."""
     rejected = F.col(REJECT_COLUMN)
     counts = (
         _csv_with_rejects(spark, path, schema, header=True)
-        .groupBy("file")
+        .groupBy(_unit(F.col("file"), by_folder).alias("file"))
         .agg(
             F.count_if(rejected.isNull()).alias("row_count"),
             F.count(F.lit(1)).alias("row_parsed"),
             F.min(rejected).alias("first_error_message"),
         )
     )
-    return _history(_landed_files(spark, path), counts, empty_is_failure=False)
+    return _history(_landed_files(spark, path, by_folder), counts, empty_is_failure=False)
 
 
-def load_history_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def load_history_parquet(
+    spark: SparkSession, path: str, schema: T.StructType, by_folder: bool = False
+) -> DataFrame:
     """The same for Parquet, where a file without any readable row has failed."""
     counts = (
         scan_trip_files(spark, path, schema, tolerant=True)
-        .groupBy(F.col("_metadata.file_path").alias("file"))
+        .groupBy(_unit(F.col("_metadata.file_path"), by_folder).alias("file"))
         .agg(F.count(F.lit(1)).alias("row_count"))
         .select(
             "file",
@@ -80,7 +88,7 @@ def load_history_parquet(spark: SparkSession, path: str, schema: T.StructType) -
             F.lit(None).cast("string").alias("first_error_message"),
         )
     )
-    return _history(_landed_files(spark, path), counts, empty_is_failure=True)
+    return _history(_landed_files(spark, path, by_folder), counts, empty_is_failure=True)
 
 
 def file_inventory(df: DataFrame, pickup: str, by_folder: bool = False) -> DataFrame:
