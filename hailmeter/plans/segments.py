@@ -35,6 +35,7 @@ SEED = 20250101
 # Training draws its first centres per partition, so rows are always dealt over as
 # many partitions by their keys: neither the input's layout nor its size chooses them.
 TRAINING_PARTS = 32
+MAX_CLUSTERS = 10_000
 
 
 def zone_features(fact: DataFrame, keys: Sequence[str] = ("pickup_zone_id",)) -> DataFrame:
@@ -154,8 +155,8 @@ def davies_bouldin(
     """Index of a given assignment (Davies & Bouldin 1979), lower is better.
 
     Scatter is the mean Euclidean distance to the own centroid. Centroids are
-    one row per cluster and travel as one small array; no point ever meets
-    another point. `clusters` states their number where it is known; without
+    one row per cluster and travel as one small array (at most MAX_CLUSTERS are
+    compared); no point ever meets another point. `clusters` states their number where it is known; without
     it they are measured before they are broadcast. With `by`, one pass scores
     several assignments, one per value of the `by` columns.
     """
@@ -170,27 +171,28 @@ def davies_bouldin(
         .groupBy(*keys, "_centre")
         .agg(F.avg(distance(point, F.col("_centre"))).alias("_scatter"))
     )
+    # The index compares every two clusters, so their number is checked; one short array
+    # of all of them then meets each cluster's row, and rows are worked on side by side.
+    scattered = materialize(scattered.withColumn("_all", F.lit(1)), "scatter")
+    found = scattered.count()
+    if found > MAX_CLUSTERS:
+        raise ValueError(f"{found} clusters to compare, more than {MAX_CLUSTERS}")
     member = F.struct(F.col(cluster).alias("_cluster"), "_centre", "_scatter")
-    together = scattered.groupBy(*by).agg(F.collect_list(member).alias("all"))
-
-    def worst(one: Column) -> Column:
-        others = F.filter("all", lambda o: o["_cluster"] != one["_cluster"])
-        return F.array_max(
-            F.transform(
-                others,
-                lambda o: (one["_scatter"] + o["_scatter"])
-                / F.nullif(distance(one["_centre"], o["_centre"]), F.lit(0.0)),
-            )
+    together = scattered.groupBy("_all", *by).agg(F.collect_list(member).alias("_others"))
+    others = F.filter("_others", lambda o: o["_cluster"] != F.col(cluster))
+    worst = F.array_max(
+        F.transform(
+            others,
+            lambda o: (F.col("_scatter") + o["_scatter"])
+            / F.nullif(distance(F.col("_centre"), o["_centre"]), F.lit(0.0)),
         )
-
-    ratios = F.transform("all", worst)
-    return together.select(
-        *by,
-        F.size("all").alias("clusters"),
-        (
-            F.aggregate(ratios, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size("all"), F.lit(0))
-        ).alias("davies_bouldin_index"),
     )
+    judged = scattered.join(F.broadcast(together), ["_all", *by]).withColumn("_worst", worst)
+    known_all = F.count("_worst") == F.count(F.lit(1))
+    return judged.groupBy("_all", *by).agg(
+        F.count(F.lit(1)).cast("int").alias("clusters"),
+        F.when(known_all, F.avg("_worst")).alias("davies_bouldin_index"),
+    ).drop("_all")
 
 
 def distance(a: Column, b: Column) -> Column:
