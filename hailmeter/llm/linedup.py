@@ -1,7 +1,7 @@
 """Operator 2: line dedup by an exact set-similarity join.
 
 A line is the set of its words (`[^\\x20\\x09-\\x0D]+`, A-Z lower-cased). A line is removed
-when an earlier line (smaller doc_id, then line number, as the input has them) has a
+when an earlier line (smaller doc_id, or line number within it, as the input has them) has a
 Jaccard similarity of 0.8 or more with it; so the first of all similar lines stays.
 Lines without a word are never compared and stay. Candidates come from a
 prefix-filtered join over words ordered by rarity, under positional, length and
@@ -13,8 +13,8 @@ earlier line. Tokens with very many classes are first joined with one early pivo
 and only classes without an earlier match after that are joined with all others.
 
 Defined results: a null text has no lines; a null doc_id counts as greater than all
-others; rows with equal doc_id are told apart by their text, and equal rows have equal
-lines removed; an empty table gives an empty result; other columns are carried on.
+others; rows with equal doc_id are told apart by their text, lines of the same number in
+them are none of them earlier, and equal rows have equal lines removed; an empty table gives an empty result; other columns are carried on.
 """
 
 from __future__ import annotations
@@ -82,11 +82,6 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def _earlier(a: str, b: str) -> str:
-    """Whether the first line of class a stands before that of class b."""
-    return f"({a}.doc, {a}.text_hash, {a}.line) < ({b}.doc, {b}.text_hash, {b}.line)"
-
-
 def later_matches(docs: DataFrame) -> DataFrame:
     """(doc, text_hash, lines): the numbers of the lines to remove, by document."""
     texts = _texts(docs)
@@ -95,7 +90,7 @@ def later_matches(docs: DataFrame) -> DataFrame:
         "line-classes",
     )
     first = stored(
-        lines.groupBy("cls").agg(F.min(F.struct("doc", "text_hash", "line")).alias("at")),
+        lines.groupBy("cls").agg(F.min(F.struct("doc", "line")).alias("at")),
         "line-firsts",
     )
     pairs, hot = setjoin.candidates(texts, line_sets, line_words, MANY_LINES, adaptive=False)
@@ -115,12 +110,25 @@ def later_matches(docs: DataFrame) -> DataFrame:
     # of two similar classes, the one whose first line is later has an earlier match
     one = first.select(F.col("cls").alias("x"), F.col("at").alias("ax"))
     two = first.select(F.col("cls").alias("y"), F.col("at").alias("ay"))
-    later = F.expr("if(ax < ay, y, x)").alias("y")
+    later = F.expr("case when ax < ay then y when ay < ax then x end").alias("y")
     similar = stored(setjoin.verified(tried, sets), "line-similar")
     found = stored(
-        similar.join(one, "x").join(two, "y").select(later).distinct(), "line-matched"
+        similar.join(one, "x").join(two, "y").select(later).dropna().distinct(), "line-matched"
     )
-    # what has no earlier match yet meets all earlier classes under its hot tokens
+    # Each class was paired with the earliest that passes the bounds under each token. Where
+    # such a pair isn't similar after all, a class without an earlier match yet meets all
+    # others under its tokens.
+    failed = setjoin.classes_of(pairs.join(similar, ["x", "y"], "left_anti"))
+    matched = found.select(F.col("y").alias("cls"))
+    asked = stored(failed.join(matched, "cls", "left_anti"), "line-open")
+    if asked.take(1):
+        others = setjoin.remaining(texts, line_sets, line_words, MANY_LINES, asked)
+        others = stored(others.join(tried, ["x", "y"], "left_anti"), "line-others")
+        sets = setjoin.whole_sets(texts, line_sets, setjoin.classes_of(others))
+        again = setjoin.verified(others, sets).join(one, "x").join(two, "y")
+        found = found.unionAll(again.select(later).dropna()).distinct()
+        found = stored(found, "line-matched")
+    # and under its hot tokens
     open_ones = hot.join(found, hot["cls"] == found["y"], "left_anti")
     rest = (
         open_ones.alias("b")
@@ -142,7 +150,7 @@ def later_matches(docs: DataFrame) -> DataFrame:
     matched = found.select(F.col("y").alias("cls"), F.lit(True).alias("matched"))
     judged = first.join(matched.distinct(), "cls", "left")
     removed = lines.join(judged, "cls").filter(
-        F.col("matched").isNotNull() | (F.struct("doc", "text_hash", "line") != F.col("at"))
+        F.col("matched").isNotNull() | (F.struct("doc", "line") != F.col("at"))
     )
     return removed.groupBy("doc", "text_hash").agg(F.collect_set("line").alias("lines"))
 

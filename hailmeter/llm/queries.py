@@ -15,7 +15,7 @@ from hailmeter.llm import (
     nearduplicates,
     quality,
     repeats,
-    secrets,
+    secret_scan,
     sitetree,
     toxicity,
 )
@@ -90,8 +90,8 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan_secrets(documents(spark, sf_dir))
+    return secret_scan.scan_secrets(documents(spark, sf_dir))
 
 
-ORACLE["op4_secrets"] = secrets.oracle()
+ORACLE["op4_secrets"] = secret_scan.oracle()
 ORACLE["op5_quality_rules"] = quality.oracle()

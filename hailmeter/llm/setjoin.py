@@ -9,7 +9,8 @@ A task sends each class's prefix once, packed into one binary value per bucket o
 token, and the tasks of the buckets emit
 
 * pairs of classes that share a token and pass the positional and length bounds, for
-  tokens with at most `many` classes, and
+  tokens with at most `many` classes (where only an earlier match is asked for, each
+  class with the earliest that passes: a group of n similar classes makes n pairs), and
 * plain rows (token, class, size, position) for tokens with more: those are joined by
   Spark, first with one pivot per token and, where that leaves classes apart, among
   each other; skewed tokens are split by the adaptive skew join.
@@ -42,6 +43,7 @@ BITS = 21
 SLICES = 16
 HELD_ROWS = 1_500_000
 MAX_MATCHES = 4
+PARITY_BITS = 48
 MOST_COUNTED = 2**32 - 1
 WANTED_BITS, WANTED_SLICES = 23, 64
 
@@ -57,6 +59,11 @@ class Items:
     row: np.ndarray
     number: np.ndarray
 
+    def of(self, use: np.ndarray) -> Items:
+        """Some of the items; use: a flag for each."""
+        kept = np.repeat(use, self.counts)
+        return Items(self.names[kept], self.counts[use], self.row[use], self.number[use])
+
     @property
     def begins(self) -> np.ndarray:
         return np.cumsum(self.counts) - self.counts
@@ -153,22 +160,28 @@ def _choose_matches(load: np.ndarray, begins: np.ndarray, n: np.ndarray) -> np.n
 
 
 def _signature(names: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Parity of 64 hash bits over each set: sets that differ in d tokens differ in <= d."""
-    return np.bitwise_xor.reduceat(_U(1) << (names & _U(63)), begins)
+    """Parities of hash bits over each set: sets that differ in d tokens differ in <= d."""
+    return np.bitwise_xor.reduceat(_U(1) << (names % _U(PARITY_BITS)), begins)
 
 
 def _prefix_batches(
-    items_of: ItemsOf, counts: np.ndarray, bits: int, many_at: int, adaptive: bool
+    items_of: ItemsOf,
+    counts: np.ndarray,
+    bits: int,
+    many_at: int,
+    adaptive: bool,
+    only_tokens: np.ndarray | None = None,
 ):
-    """Packed (token, class, size, position, extra); extra: matches asked for, or parities."""
+    """Packed (token, class, size, position, extra, document, number of the item).
+
+    Extra is the number of matches asked for, or the parities. Only where the earliest
+    match is asked for are documents and numbers sent: those of the class's first item.
+    """
     mean = float(counts.mean())
 
     def pack(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        token, cls, size, pos, extra = (np.concatenate(c) for c in zip(*parts, strict=True))
-        order = np.lexsort((cls, token))
-        token, cls, size, pos, extra = (c[order] for c in (token, cls, size, pos, extra))
-        keep = _first_of_each(token, cls)
-        token, cls, size, pos, extra = (c[keep] for c in (token, cls, size, pos, extra))
+        entries = _sorted_entries([np.concatenate(c) for c in zip(*parts, strict=True)])
+        token, cls, size, pos, extra, doc, number = entries
         first = _first_of_each(token)
         group = np.cumsum(first) - 1
         many = np.bincount(group)[group] > many_at if len(group) else first
@@ -176,7 +189,9 @@ def _prefix_batches(
         away = (tokens.mix(token ^ cls) >> _U(64 - bits)).astype(np.int64)
         rows: list = []
         for kind, use, bucket in ((0, ~many, home), (1, many & first, home), (2, many, away)):
-            columns = [(token, 8), (cls, 8), (size, 3), (pos, 2), (extra, 1 if adaptive else 8)]
+            columns = [(token, 7), (cls, 8), (size, 2), (pos, 1)]
+            columns += [(extra, 1 if adaptive else PARITY_BITS // 8), (doc, 4), (number, 2)]
+            columns = columns[:5] if adaptive else columns
             rows += _box(kind, bucket[use], bits, [(c[use], w) for c, w in columns])
         yield from _boxes(rows)
 
@@ -185,16 +200,22 @@ def _prefix_batches(
         parts: list[tuple[np.ndarray, ...]] = []
         held = 0
         for batch in batches:
+            docs = None if adaptive else batch.column("doc").to_numpy()
             for chunk in tokens.chunks(batch.column("text")):
                 items = items_of(chunk)
                 if not len(items.counts):
                     continue
                 cls = items.classes()
-                fresh = np.zeros(len(cls), dtype=bool)
-                for i, c in enumerate(cls.tolist()):
-                    if c not in seen:
-                        seen.add(c)
-                        fresh[i] = True
+                if docs is None:
+                    doc = np.zeros(len(cls), dtype=_U)
+                    fresh = np.zeros(len(cls), dtype=bool)
+                    for i, c in enumerate(cls.tolist()):
+                        if c not in seen:
+                            seen.add(c)
+                            fresh[i] = True
+                else:
+                    doc = docs[chunk.first + items.row].view(_U)
+                    fresh = np.ones(len(cls), dtype=bool)
                 n, begins = items.counts, items.begins
                 item = np.repeat(np.arange(len(n)), n)
                 load = counts[(items.names >> _U(64 - BITS)).astype(np.int64)]
@@ -216,10 +237,12 @@ def _prefix_batches(
                 length = np.where(n * DEN >= NUM * (n + 1), length, 0)
                 pos = np.arange(len(names)) - begins[item]
                 use = (pos < length[item]) & fresh[item]
+                if only_tokens is not None:
+                    use &= only_tokens[(names >> _U(64 - WANTED_BITS)).astype(np.int64)]
                 own = item[use]
-                parts.append(
-                    (names[use], cls[own], n[own].astype(_U), pos[use].astype(_U), extra[own].astype(_U))
-                )
+                values = (names[use], cls[own], n[own], pos[use], extra[own], doc[own])
+                values += (items.number[own],)
+                parts.append(tuple(v.astype(_U) for v in values))
                 held += len(own)
                 if held > HELD_ROWS:
                     yield from pack(parts)
@@ -232,6 +255,15 @@ def _prefix_batches(
     return run
 
 
+def _sorted_entries(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """By token and class, each once: the one of its first item."""
+    by = [c.view(np.int64) for c in reversed(columns[5:])]
+    order = np.lexsort((*by, columns[1], columns[0]))
+    columns = [c[order] for c in columns]
+    keep = _first_of_each(columns[0], columns[1])
+    return [c[keep] for c in columns]
+
+
 def _possible(na, pa_, ea, nb, pb, eb, adaptive: bool) -> np.ndarray:
     """Length and positional bounds, and for parities the bound on differences."""
     need = required(na, nb)
@@ -242,25 +274,57 @@ def _possible(na, pa_, ea, nb, pb, eb, adaptive: bool) -> np.ndarray:
     return ok
 
 
-def _pairs_batches(many_at: int, adaptive: bool):
+def _all_pairs(token, size, pos, extra, left, adaptive: bool):
+    """All pairs (a, b) of one token that pass; entries lie by size within a token."""
+    step = 1
+    while len(left):
+        left = left[left + step < len(token)]
+        other = left + step
+        same = token[left] == token[other]
+        same &= size[left] * DEN >= size[other] * NUM
+        left, other = left[same], other[same]
+        ok = _possible(
+            size[left], pos[left], extra[left], size[other], pos[other], extra[other], adaptive
+        )
+        yield left[ok], other[ok]
+        step += 1
+
+
+def _first_pairs(token, size, pos, extra, left, adaptive: bool):
+    """Each entry with the first of its token before it that passes; entries lie by document."""
+    first = np.flatnonzero(_first_of_each(token))
+    start = first[np.cumsum(_first_of_each(token)) - 1]
+    rank = 0
+    while len(left):
+        left = left[left - start[left] > rank]
+        other = start[left] + rank
+        ok = _possible(
+            size[left], pos[left], extra[left], size[other], pos[other], extra[other], adaptive
+        )
+        yield left[ok], other[ok]
+        left = left[~ok]
+        rank += 1
+
+
+def _pairs_batches(many_at: int, adaptive: bool, wanted: np.ndarray | None = None):
     """Of one bucket: candidate pairs, and the rows of tokens with many classes."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
-        marked = [unpack(b, 5)[0] for b in frame["blob"][frame["kind"] == 1]]
+        width = 5 if adaptive else 7
+        marked = [unpack(b, width)[0] for b in frame["blob"][frame["kind"] == 1]]
         marked = np.unique(np.concatenate(marked)) if marked else np.zeros(0, dtype=_U)
         for kind in (0, 2):
-            blobs = [unpack(b, 5) for b in frame["blob"][frame["kind"] == kind]]
+            blobs = [unpack(b, width) for b in frame["blob"][frame["kind"] == kind]]
             if not blobs:
                 continue
-            token, cls, size, pos, extra = (np.concatenate(c) for c in zip(*blobs, strict=True))
-            order = np.lexsort((cls, token))
-            token, cls, size, pos, extra = (c[order] for c in (token, cls, size, pos, extra))
-            keep = _first_of_each(token, cls)
-            token, cls, size, pos, extra = (c[keep] for c in (token, cls, size, pos, extra))
-            # by size within a token, so that the length bound ends the search early
-            order = np.lexsort((size, token))
-            token, cls, size, pos, extra = (c[order] for c in (token, cls, size, pos, extra))
+            entries = _sorted_entries([np.concatenate(c) for c in zip(*blobs, strict=True)])
+            # by document, for the earliest match; else by size, where the length bound
+            # ends the search early
+            first_only = not adaptive and wanted is None
+            by = [c.view(np.int64) for c in reversed(entries[5:])] if first_only else [entries[2]]
+            order = np.lexsort((*by, entries[0]))
+            token, cls, size, pos, extra = (c[order] for c in entries[:5])
             size, pos = size.astype(np.int64), pos.astype(np.int64)
             group = np.cumsum(_first_of_each(token)) - 1
             members = np.bincount(group)[group]
@@ -282,34 +346,29 @@ def _pairs_batches(many_at: int, adaptive: bool):
                     )
                 )
             left = np.flatnonzero(~hot & (members > 1))
-            step = 1
-            while len(left):
-                other = left + step
-                inside = other < len(token)
-                left, other = left[inside], other[inside]
-                same = token[left] == token[other]
-                same &= size[left] * DEN >= size[other] * NUM
-                left, other = left[same], other[same]
-                a, b = left, other
-                ok = _possible(
-                    size[a], pos[a], extra[a], size[b], pos[b], extra[b], adaptive
-                )
-                if ok.any():
-                    need = np.minimum(extra[a][ok], extra[b][ok]) if adaptive else np.ones(ok.sum())
-                    out.append(
-                        pd.DataFrame(
-                            {
-                                "token": np.zeros(ok.sum(), dtype=np.int64),
-                                "x": np.minimum(tokens.signed(cls[a][ok]), tokens.signed(cls[b][ok])),
-                                "y": np.maximum(tokens.signed(cls[a][ok]), tokens.signed(cls[b][ok])),
-                                "size": np.zeros(ok.sum(), dtype=np.int64),
-                                "pos": np.zeros(ok.sum(), dtype=np.int64),
-                                "extra": need.astype(np.int64),
-                                "hot": False,
-                            }
-                        )
+            search = _first_pairs if first_only else _all_pairs
+            for a, b in search(token, size, pos, extra, left, adaptive):
+                if wanted is not None:
+                    asked = wanted[(cls >> _U(64 - WANTED_BITS)).astype(np.int64)]
+                    a, b = a[asked[a] | asked[b]], b[asked[a] | asked[b]]
+                if not len(a):
+                    continue
+                one, two = tokens.signed(cls[a]), tokens.signed(cls[b])
+                none = np.zeros(len(a), dtype=np.int64)
+                need = np.minimum(extra[a], extra[b]).astype(np.int64) if adaptive else none
+                out.append(
+                    pd.DataFrame(
+                        {
+                            "token": none,
+                            "x": np.minimum(one, two),
+                            "y": np.maximum(one, two),
+                            "size": none,
+                            "pos": none,
+                            "extra": need,
+                            "hot": False,
+                        }
                     )
-                step += 1
+                )
         if not out:
             return pd.DataFrame(columns=["token", "x", "y", "size", "pos", "extra", "hot"])
         return pd.concat(out, ignore_index=True)
@@ -320,21 +379,16 @@ def _pairs_batches(many_at: int, adaptive: bool):
 def candidates(
     texts: DataFrame, items_of: ItemsOf, names_of: NamesOf, many: int, adaptive: bool
 ) -> tuple[DataFrame, DataFrame]:
-    """(pairs of classes, rows of tokens with more than `many` classes)."""
-    spark = texts.sparkSession
-    bits = max(8, (shuffle_partitions(spark) - 1).bit_length())
+    """(pairs of classes, rows of tokens with more than `many` classes).
+
+    Not adaptive, pairs are each class with the earliest one that may be similar, by the
+    documents of a column doc; `remaining` finds all others of a few classes.
+    """
     counts = token_counts(texts, names_of)
-    found = stored(
-        texts.select("text")
-        .mapInArrow(
-            _prefix_batches(items_of, counts, bits, many, adaptive), "bucket int, kind int, blob binary"
-        )
-        .groupBy("bucket")
-        .applyInPandas(
-            _pairs_batches(many, adaptive),
-            "token long, x long, y long, size long, pos long, extra long, hot boolean",
-        ),
-        "set-candidates",
+    found = _exchange(
+        texts,
+        lambda bits: _prefix_batches(items_of, counts, bits, many, adaptive),
+        _pairs_batches(many, adaptive),
     )
     pairs = (
         found.filter("not hot")
@@ -347,6 +401,46 @@ def candidates(
     return pairs, hot
 
 
+def remaining(
+    texts: DataFrame, items_of: ItemsOf, names_of: NamesOf, many: int, classes: DataFrame
+) -> DataFrame:
+    """All pairs of the given classes (few, as a rule) under tokens that aren't hot.
+
+    Only prefix rows of tokens that these classes hold are dealt out again.
+    """
+    counts = token_counts(texts, names_of)
+    wanted = _wanted_bitmap(classes)
+    held = whole_sets(texts, items_of, classes).select("names")
+    its_tokens = _wanted_bitmap(held.mapInArrow(_token_batches, "cls long"))
+    found = _exchange(
+        texts,
+        lambda bits: _prefix_batches(items_of, counts, bits, many, False, its_tokens),
+        _pairs_batches(many, False, wanted),
+    )
+    return found.filter("not hot").select("x", "y").distinct()
+
+
+def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names = [np.frombuffer(b.as_buffer(), dtype=np.int64) for b in batch.column("names")]
+        cls = np.unique(np.concatenate(names)) if names else np.zeros(0, dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(cls)], names=["cls"])
+
+
+def _exchange(texts: DataFrame, mapper: Callable, reducer: Callable) -> DataFrame:
+    bits = max(8, (shuffle_partitions(texts.sparkSession) - 1).bit_length())
+    columns = [c for c in ("doc", "text") if c in texts.columns]
+    return stored(
+        texts.select(columns)
+        .mapInArrow(mapper(bits), "bucket int, kind int, blob binary")
+        .groupBy("bucket")
+        .applyInPandas(
+            reducer, "token long, x long, y long, size long, pos long, extra long, hot boolean"
+        ),
+        "set-candidates",
+    )
+
+
 def possible(a: str, b: str, adaptive: bool) -> Column:
     """The bounds of two rows of hot tokens, as a condition for Spark's join."""
     need = f"ceil({NUM} * ({a}.size + {b}.size) / {NUM + DEN}.0)"

@@ -127,19 +127,21 @@ def repeats(docs, length=50):
     return sorted(out, key=repr)
 
 
-def kept_lines(docs, text_order):
+def kept_lines(docs):
     """Text of each (doc_id, text) without lines that match a line before them."""
-    sets, out = [], {}
-    for doc_id, text in sorted(set(docs), key=lambda d: (place(d[0]), text_order(d[1]))):
-        if text is None:
-            out[doc_id, text] = None
-            continue
+    rows = set(docs)
+    lines = [
+        (place(doc_id), i, frozenset(lower_words(line)))
+        for doc_id, text in rows
+        for i, line in enumerate((text or "").split("\n"))
+        if lower_words(line)
+    ]
+    out = {}
+    for doc_id, text in rows:
         kept = []
-        for line in text.split("\n"):
-            s = frozenset(lower_words(line))
-            if not s or not any(similar(s, t) for t in sets):
+        for i, line in enumerate((text or "").split("\n")):
+            s, at = frozenset(lower_words(line)), (place(doc_id), i)
+            if not s or not any((d, j) < at and similar(s, t) for d, j, t in lines):
                 kept.append(line)
-            if s:
-                sets.append(s)
-        out[doc_id, text] = "\n".join(kept)
+        out[doc_id, text] = None if text is None else "\n".join(kept)
     return out

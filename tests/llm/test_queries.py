@@ -13,7 +13,7 @@ from hailmeter.llm import (
     nearduplicates,
     quality,
     repeats,
-    secrets,
+    secret_scan,
 )
 from hailmeter.llm.queries import ORACLE, QUERIES
 
@@ -39,7 +39,7 @@ OPERATORS = {
     "mixture": lambda d, b: mixture.mix_sources(d),
     "lines": lambda d, b: linedup.dedup_lines(d)[0],
     "decontamination": decontamination.decontaminate,
-    "secrets": lambda d, b: secrets.scan_secrets(d),
+    "secrets": lambda d, b: secret_scan.scan_secrets(d),
     "quality": lambda d, b: quality.quality_rules(d),
     "near": lambda d, b: nearduplicates.near_duplicates(d),
     "repeats": lambda d, b: repeats.remove_repeats(d),
