@@ -51,7 +51,7 @@ GRAM = 24
 #: A minimizer with more strings in one task is dealt by string.
 MANY_STRINGS = 64
 #: Rows that a task holds before it packs and sends them.
-HELD_ROWS = 1_500_000
+HELD_ROWS = 800_000
 LAST_DOC = 2**63 - 1
 
 _U = np.uint64

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 _U = np.uint64
 
 
