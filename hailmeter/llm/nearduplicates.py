@@ -16,7 +16,7 @@ Documents with equal sets are one class from the start. Shingles that very many
 have in their prefix are first joined with one pivot each, the class with the most such
 shingles (the plainest copy); classes that this already connects need no further
 comparison, for they are in one component. All others under such a shingle are then
-compared in full. No candidate is capped.
+compared in full, but for pairs that parities of the whole sets tell apart. No candidate is capped.
 
 Defined results: a document without words or text has no shingles and is its own
 component; a null doc_id counts as the largest, and a component of such rows alone is
@@ -27,6 +27,7 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -79,43 +80,48 @@ def _class_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
-def components(links: DataFrame, label: str) -> DataFrame:
+def components(links: DataFrame, label: str, start: DataFrame | None = None) -> DataFrame:
     """(cls, root): the smallest class reachable from each linked class.
 
-    Every round each class takes the smallest root among its neighbours and itself,
-    and then its root's root; rounds end when nothing changes. Each round is a stored
-    table, so no lineage grows and lost executors cost one round at most.
+    Every round each class takes the smallest root among its neighbours and itself, and
+    from the third round on its root's root, too: stars need no more than that, and
+    chains halve. Rounds end when nothing changes. Each round is a stored table, so no
+    lineage grows and lost executors cost one round at most. `start` has roots of some
+    of the classes, from fewer links.
     """
     both = stored(
-        links.select(F.col("x").alias("cls"), F.col("y").alias("other"))
-        .unionAll(links.select("y", "x"))
-        .distinct(),
+        links.select(F.col("x").alias("cls"), F.col("y").alias("other")).unionAll(
+            links.select("y", "x")
+        ),
         f"{label}-links",
     )
-    roots = stored(both.groupBy("cls").agg(F.least("cls", F.min("other")).alias("root")), label)
-    while True:
+    roots = both.groupBy("cls").agg(F.least("cls", F.min("other")).alias("root"))
+    if start is not None:
+        known = start.select("cls", F.col("root").alias("known"))
+        roots = roots.join(known, "cls", "left").select("cls", F.least("root", "known").alias("root"))
+    roots = stored(roots, label)
+    for round_ in count(1):
         near = (
             both.join(roots.select(F.col("cls").alias("other"), "root"), "other")
             .groupBy("cls")
             .agg(F.min("root").alias("near"))
         )
-        nearer = roots.join(near, "cls").select(
+        new = roots.join(near, "cls").select(
             "cls", F.least("root", "near").alias("root"), F.col("root").alias("before")
         )
-        jump = roots.select(F.col("cls").alias("root"), F.col("root").alias("beyond"))
-        new = stored(
-            nearer.join(jump, "root", "left").select(
+        if round_ > 2:
+            jump = roots.select(F.col("cls").alias("root"), F.col("root").alias("beyond"))
+            new = new.join(jump, "root", "left").select(
                 "cls", F.least("root", "beyond").alias("root"), "before"
-            ),
-            label,
-        )
-        if not new.filter("root <> before").take(1):
-            return new.select("cls", "root")
+            )
+        new = stored(new, label)
         roots = new.select("cls", "root")
+        if not new.filter("root <> before").take(1):
+            return roots
 
 
-def links_of(texts: DataFrame) -> DataFrame:
-    """(x, y): verified links that connect all classes which are connected at all."""
+def connected(texts: DataFrame) -> DataFrame:
+    """(cls, root): the component of every class that links with another."""
     pairs, hot = setjoin.candidates(texts, shingle_sets, all_shingles, MANY_SETS, adaptive=True)
     # The plainest copy of a group has the most shared shingles in its prefix, so most
     # of the group's shingles have it as their pivot, and each copy meets it once.
@@ -136,9 +142,9 @@ def links_of(texts: DataFrame) -> DataFrame:
     tried = stored(pairs.unionByName(star).distinct(), "near-pairs")
     sets = setjoin.whole_sets(texts, shingle_sets, setjoin.classes_of(tried))
     links = stored(setjoin.verified(tried, sets), "near-links")
-    if not hot.take(1):
-        return links
     roots = components(links, "near-roots")
+    if not hot.take(1):
+        return roots
     rooted = (
         hot.join(roots, "cls", "left")
         .withColumn("root", F.coalesce("root", "cls"))
@@ -155,6 +161,9 @@ def links_of(texts: DataFrame) -> DataFrame:
         .drop("k")
     )
     apart = stored(rooted.join(largest, "token"), "near-apart")
+    # parities of the whole sets tell most dissimilar pairs apart inside the join
+    seen = setjoin.parities(texts, shingle_sets, setjoin.classes_of(apart))
+    apart = stored(apart.join(seen, "cls"), "near-apart-parities")
     rest = (
         apart.filter("root <> largest")
         .alias("a")
@@ -162,6 +171,7 @@ def links_of(texts: DataFrame) -> DataFrame:
         .filter(
             F.expr("a.root <> b.root and (b.root = b.largest or a.cls < b.cls)")
             & setjoin.possible("a", "b", adaptive=True)
+            & setjoin.parity_bound("a", "b")
         )
         .select(F.least("a.cls", "b.cls").alias("x"), F.greatest("a.cls", "b.cls").alias("y"))
         .distinct()
@@ -169,9 +179,12 @@ def links_of(texts: DataFrame) -> DataFrame:
     )
     rest = stored(rest, "near-rest")
     if not rest.take(1):
-        return links
+        return roots
     more = setjoin.whole_sets(texts, shingle_sets, setjoin.classes_of(rest))
-    return stored(links.unionByName(setjoin.verified(rest, more)), "near-links")
+    found = stored(setjoin.verified(rest, more), "near-more")
+    if not found.take(1):
+        return roots
+    return components(links.unionByName(found), "near-components", roots)
 
 
 def grouped(docs: DataFrame) -> DataFrame:
@@ -185,7 +198,7 @@ def grouped(docs: DataFrame) -> DataFrame:
         texts.mapInArrow(_class_batches, "doc long, text_hash long, cls long, n_shingles long"),
         "near-classes",
     )
-    roots = components(links_of(texts), "near-components")
+    roots = connected(texts)
     smallest = members.filter("n_shingles > 0").groupBy("cls").agg(F.min("doc").alias("doc"))
     rooted = smallest.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     named = rooted.groupBy("root").agg(F.min("doc").alias("component"))

@@ -44,6 +44,8 @@ SLICES = 16
 HELD_ROWS = 800_000
 MAX_MATCHES = 4
 PARITY_BITS = 48
+PARITY_WORDS = 8
+PARITIES = tuple(f"p{w}" for w in range(PARITY_WORDS))
 MOST_COUNTED = 2**32 - 1
 WANTED_BITS, WANTED_SLICES = 23, 64
 
@@ -532,6 +534,48 @@ def whole_sets(texts: DataFrame, items_of: ItemsOf, classes: DataFrame) -> DataF
     )
 
 
+def _parity_batches(items_of: ItemsOf, bitmap: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in tokens.chunks(batch.column("text")):
+                items = items_of(chunk)
+                cls = items.classes()
+                use = bitmap[(cls >> _U(64 - WANTED_BITS)).astype(np.int64)]
+                if not use.any():
+                    continue
+                own = items.of(use)
+                word, bit = own.names % _U(PARITY_WORDS), _U(1) << ((own.names >> _U(3)) & _U(63))
+                columns = [
+                    np.bitwise_xor.reduceat(np.where(word == _U(w), bit, _U(0)), own.begins)
+                    for w in range(PARITY_WORDS)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tokens.signed(c)) for c in (cls[use], *columns)],
+                    names=["cls", *PARITIES],
+                )
+
+    return run
+
+
+def parities(texts: DataFrame, items_of: ItemsOf, classes: DataFrame) -> DataFrame:
+    """(cls, p0, p1, ...): parities of 512 hash bits over the sets of the wanted classes."""
+    schema = ", ".join(f"{c} long" for c in ("cls", *PARITIES))
+    return stored(
+        texts.select("text")
+        .mapInArrow(_parity_batches(items_of, _wanted_bitmap(classes)), schema)
+        .join(classes, "cls", "left_semi")
+        .distinct(),
+        "set-parities",
+    )
+
+
+def parity_bound(a: str, b: str) -> Column:
+    """Sets that differ in d tokens differ in d parities at most."""
+    differ = " + ".join(f"bit_count({a}.{p} ^ {b}.{p})" for p in PARITIES)
+    need = f"ceil({NUM} * ({a}.size + {b}.size) / {NUM + DEN}.0)"
+    return F.expr(f"{differ} <= {a}.size + {b}.size - 2 * {need}")
+
+
 def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         x, y = batch.column("x"), batch.column("y")
