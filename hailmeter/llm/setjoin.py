@@ -43,7 +43,7 @@ BITS = 21
 SLICES = 16
 HELD_ROWS = 800_000
 MAX_MATCHES = 4
-PARITY_BITS = 48
+PARITY_BITS = 96
 PARITY_WORDS = 8
 PARITIES = tuple(f"p{w}" for w in range(PARITY_WORDS))
 MOST_COUNTED = 2**32 - 1
@@ -161,9 +161,18 @@ def _choose_matches(load: np.ndarray, begins: np.ndarray, n: np.ndarray) -> np.n
     return best
 
 
-def _signature(names: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Parities of hash bits over each set: sets that differ in d tokens differ in <= d."""
-    return np.bitwise_xor.reduceat(_U(1) << (names % _U(PARITY_BITS)), begins)
+def _signature(names: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parities of 96 hash bits over each set, as 64 and 32 of them.
+
+    A token counts for one of the bits, so sets that differ in d tokens differ in d bits
+    at most.
+    """
+    place = names % _U(PARITY_BITS)
+    bit = _U(1) << (place & _U(63))
+    return tuple(
+        np.bitwise_xor.reduceat(np.where((place >= _U(64)) == high, bit, _U(0)), begins)
+        for high in (False, True)
+    )
 
 
 def _prefix_batches(
@@ -183,7 +192,7 @@ def _prefix_batches(
 
     def pack(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         entries = _sorted_entries([np.concatenate(c) for c in zip(*parts, strict=True)])
-        token, cls, size, pos, extra, doc, number = entries
+        token, cls, size, pos, extra, doc, number, more = entries
         first = _first_of_each(token)
         group = np.cumsum(first) - 1
         many = np.bincount(group)[group] > many_at if len(group) else first
@@ -192,7 +201,7 @@ def _prefix_batches(
         rows: list = []
         for kind, use, bucket in ((0, ~many, home), (1, many & first, home), (2, many, away)):
             columns = [(token, 7), (cls, 8), (size, 2), (pos, 1)]
-            columns += [(extra, 1 if adaptive else PARITY_BITS // 8), (doc, 4), (number, 2)]
+            columns += [(extra, 1 if adaptive else 8), (doc, 4), (number, 2), (more, 4)]
             columns = columns[:5] if adaptive else columns
             rows += _box(kind, bucket[use], bits, [(c[use], w) for c, w in columns])
         yield from _boxes(rows)
@@ -221,19 +230,20 @@ def _prefix_batches(
                 n, begins = items.counts, items.begins
                 item = np.repeat(np.arange(len(n)), n)
                 load = counts[(items.names >> _U(64 - BITS)).astype(np.int64)]
-                # rarity and then 32 bits of the name; names that agree in both are put
-                # in order by the whole name, so the order is the same everywhere
-                rank = (load.astype(_U) << _U(32)) | (tokens.mix(items.names) >> _U(32))
+                # names that agree in their rank are put in order by the whole name, so
+                # the order is the same everywhere
+                rank = _rank(items.names, counts)
                 order = tokens.grouped_order(rank, item)
                 tied = (rank[order][1:] == rank[order][:-1]) & (item[order][1:] == item[order][:-1])
                 if tied.any():
                     order = np.lexsort((items.names, rank, item))
                 names, load = items.names[order], load[order].astype(np.float64)
+                more = np.zeros(len(n), dtype=_U)
                 if adaptive:
                     extra = _choose_matches(np.maximum(load - mean, 0) + 1.0, begins, n)
                     length = np.minimum(n, prefix_length(n, extra))
                 else:
-                    extra = _signature(items.names, begins)
+                    extra, more = _signature(items.names, begins)
                     length = np.minimum(n, prefix_length(n))
                 # a set so small that no other set can be similar has no prefix
                 length = np.where(n * DEN >= NUM * (n + 1), length, 0)
@@ -243,7 +253,7 @@ def _prefix_batches(
                     use &= only_tokens[(names >> _U(64 - WANTED_BITS)).astype(np.int64)]
                 own = item[use]
                 values = (names[use], cls[own], n[own], pos[use], extra[own], doc[own])
-                values += (items.number[own],)
+                values += (items.number[own], more[own])
                 parts.append(tuple(v.astype(_U) for v in values))
                 held += len(own)
                 if held > HELD_ROWS:
@@ -266,17 +276,19 @@ def _sorted_entries(columns: list[np.ndarray]) -> list[np.ndarray]:
     return [c[keep] for c in columns]
 
 
-def _possible(na, pa_, ea, nb, pb, eb, adaptive: bool) -> np.ndarray:
-    """Length and positional bounds, and for parities the bound on differences."""
+def _possible(size, pos, parities, a, b) -> np.ndarray:
+    """Length and positional bounds, and the bound on differences, of entries a and b."""
+    na, nb, pa_, pb = size[a], size[b], pos[a], pos[b]
     need = required(na, nb)
     ok = np.minimum(na, nb) * DEN >= np.maximum(na, nb) * NUM
     ok &= np.minimum(pa_, pb) + 1 + np.minimum(na - pa_ - 1, nb - pb - 1) >= need
-    if not adaptive:
-        ok &= np.bitwise_count(ea ^ eb).astype(np.int64) <= na + nb - 2 * need
+    if parities:
+        differ = sum(np.bitwise_count(p[a] ^ p[b]).astype(np.int64) for p in parities)
+        ok &= differ <= na + nb - 2 * need
     return ok
 
 
-def _all_pairs(token, size, pos, extra, left, adaptive: bool):
+def _all_pairs(token, size, pos, parities, left):
     """All pairs (a, b) of one token that pass; entries lie by size within a token."""
     step = 1
     while len(left):
@@ -285,14 +297,12 @@ def _all_pairs(token, size, pos, extra, left, adaptive: bool):
         same = token[left] == token[other]
         same &= size[left] * DEN >= size[other] * NUM
         left, other = left[same], other[same]
-        ok = _possible(
-            size[left], pos[left], extra[left], size[other], pos[other], extra[other], adaptive
-        )
+        ok = _possible(size, pos, parities, left, other)
         yield left[ok], other[ok]
         step += 1
 
 
-def _first_pairs(token, size, pos, extra, left, adaptive: bool):
+def _first_pairs(token, size, pos, parities, left):
     """Each entry with the first of its token before it that passes; entries lie by document."""
     first = np.flatnonzero(_first_of_each(token))
     start = first[np.cumsum(_first_of_each(token)) - 1]
@@ -300,9 +310,7 @@ def _first_pairs(token, size, pos, extra, left, adaptive: bool):
     while len(left):
         left = left[left - start[left] > rank]
         other = start[left] + rank
-        ok = _possible(
-            size[left], pos[left], extra[left], size[other], pos[other], extra[other], adaptive
-        )
+        ok = _possible(size, pos, parities, left, other)
         yield left[ok], other[ok]
         left = left[~ok]
         rank += 1
@@ -313,7 +321,7 @@ def _pairs_batches(many_at: int, adaptive: bool, wanted: np.ndarray | None = Non
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
-        width = 5 if adaptive else 7
+        width = 5 if adaptive else 8
         marked = [unpack(b, width)[0] for b in frame["blob"][frame["kind"] == 1]]
         marked = np.unique(np.concatenate(marked)) if marked else np.zeros(0, dtype=_U)
         for kind in (0, 2):
@@ -327,6 +335,7 @@ def _pairs_batches(many_at: int, adaptive: bool, wanted: np.ndarray | None = Non
             by = [c.view(np.int64) for c in reversed(entries[5:])] if first_only else [entries[2]]
             order = np.lexsort((*by, entries[0]))
             token, cls, size, pos, extra = (c[order] for c in entries[:5])
+            parities = [] if adaptive else [extra, entries[7][order]]
             size, pos = size.astype(np.int64), pos.astype(np.int64)
             group = np.cumsum(_first_of_each(token)) - 1
             members = np.bincount(group)[group]
@@ -349,7 +358,7 @@ def _pairs_batches(many_at: int, adaptive: bool, wanted: np.ndarray | None = Non
                 )
             left = np.flatnonzero(~hot & (members > 1))
             search = _first_pairs if first_only else _all_pairs
-            for a, b in search(token, size, pos, extra, left, adaptive):
+            for a, b in search(token, size, pos, parities, left):
                 if wanted is not None:
                     asked = wanted[(cls >> _U(64 - WANTED_BITS)).astype(np.int64)]
                     a, b = a[asked[a] | asked[b]], b[asked[a] | asked[b]]
@@ -413,7 +422,7 @@ def remaining(
     counts = token_counts(texts, names_of)
     wanted = _wanted_bitmap(classes)
     held = whole_sets(texts, items_of, classes).select("names")
-    its_tokens = _wanted_bitmap(held.mapInArrow(_token_batches, "cls long"))
+    its_tokens = _wanted_bitmap(held.mapInArrow(_token_batches(counts), "cls long"))
     found = _exchange(
         texts,
         lambda bits: _prefix_batches(items_of, counts, bits, many, False, its_tokens),
@@ -422,11 +431,26 @@ def remaining(
     return found.filter("not hot").select("x", "y").distinct()
 
 
-def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        names = [np.frombuffer(b.as_buffer(), dtype=np.int64) for b in batch.column("names")]
-        cls = np.unique(np.concatenate(names)) if names else np.zeros(0, dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(cls)], names=["cls"])
+def _token_batches(counts: np.ndarray):
+    """The prefix tokens of whole sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.zeros(0, dtype=_U)]
+            for blob in batch.column("names"):
+                names = np.frombuffer(blob.as_buffer(), dtype=_U)
+                order = np.lexsort((names, _rank(names, counts)))
+                found.append(names[order[: int(prefix_length(np.int64(len(names))))]])
+            cls = np.unique(np.concatenate(found))
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.signed(cls))], names=["cls"])
+
+    return run
+
+
+def _rank(names: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Rarity and then 32 bits of the name."""
+    load = counts[(names >> _U(64 - BITS)).astype(np.int64)]
+    return (load.astype(_U) << _U(32)) | (tokens.mix(names) >> _U(32))
 
 
 def _exchange(texts: DataFrame, mapper: Callable, reducer: Callable) -> DataFrame:
