@@ -41,7 +41,7 @@ from hailmeter.llm.repeats import _box, _boxes, _first_of_each, unpack
 NUM, DEN = 80, 100
 BITS = 21
 SLICES = 16
-HELD_ROWS = 800_000
+HELD_ROWS = 250_000
 MAX_MATCHES = 4
 PARITY_BITS = 96
 PARITY_WORDS = 8
