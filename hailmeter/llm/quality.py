@@ -5,7 +5,10 @@ table of constants: mergeable quantile sketches (Spark's `percentile_approx`, a
 partial aggregate whose buffers merge) of every rule's ratio are built per (lang,
 source) over all documents, and a document fails a rule when its ratio lies outside
 the far fences `q1 - reach * iqr` and `q3 + reach * iqr` of its own group, widened by
-`slack[rule]` so that a group of nearly equal documents rejects none of them.
+the rule's slack so that a group of nearly equal documents rejects none of them. The
+slacks of repeated words and duplicate lines lie well below the base rule's cutoff, and
+a few such words and lines are free: a document of 100 words and more may fail by its
+repeated words alone, while a short one may say one phrase twice.
 
 Defined results: a null text has no words (all counts 0, base rule fails); null
 lang or source form groups of their own; repeated rows are judged one by one and all
@@ -32,12 +35,17 @@ MAX_REPEAT_PERCENT = 30
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 SCHEMA = "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in COUNTS)
 
+#: One line or phrase that stands there again says little: so much repetition is free, which
+#: weighs in a short document and hardly in a long one.
+FREE_LINES = 2
+FREE_WORDS = 3 * REPEAT_WORDS
+
 #: rule -> (ratio, slack): how far beyond the fences of the group a ratio may lie.
 RULES = {
     "word_length": ("word_chars / n_words", 2.0),
     "symbols": ("n_symbols / word_chars", 0.02),
-    "dup_lines": ("n_dup_lines / n_lines", 0.35),
-    "repeats": ("n_repeat_words / n_words", 0.3),
+    "dup_lines": (f"greatest(n_dup_lines - {FREE_LINES}, 0) / n_lines", 0.1),
+    "repeats": (f"greatest(n_repeat_words - {FREE_WORDS}, 0) / n_words", 0.05),
 }
 REACH = 3.0
 ACCURACY = 10_000

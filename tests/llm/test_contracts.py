@@ -149,6 +149,26 @@ def test_quality_thresholds_follow_the_group(spark):
     assert not any(r.failed_rules for i, r in out.items() if i != 50)
 
 
+def test_quality_rejects_repeats_below_the_base_cutoff(spark):
+    rng = random.Random(8)
+
+    def text(n_lines):
+        return [f"{words(rng, 9)} w{rng.randrange(10**6)}" for _ in range(n_lines)]
+
+    rows = [(i, "\n".join(text(40)), "en", "a", 1) for i in range(40)]
+    again, phrase, lines = text(40), text(7), text(70)
+    rows += [(50, " ".join(again + again[:7] + text(10)), "en", "a", 1)]
+    rows += [(51, "\n".join([*phrase, phrase[2]]), "en", "a", 1)]
+    rows += [(52, "\n".join(lines + ["one", "two"] * 16), "en", "a", 1)]
+    out = {r.doc_id: r for r in quality.quality_rules(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert 0.2 < out[50].n_repeat_words / out[50].n_words < 0.3
+    assert not any(r.failed_rules for i, r in out.items() if i not in (50, 52))
+    assert 20 * out[51].n_words < 100 * out[51].n_repeat_words and out[51].kept
+    assert out[50].failed_rules == ["repeats"] and not out[50].base_failed
+    assert 0.25 < out[52].n_dup_lines / out[52].n_lines < 0.35
+    assert out[52].failed_rules == ["dup_lines"] and not out[52].base_failed
+
+
 @pytest.mark.parametrize("many", [None, 2])
 def test_near_duplicates(docs, monkeypatch, many):
     _few(monkeypatch, many)
