@@ -3,10 +3,11 @@
 Each document gets a few exact counts in one pass. Thresholds don't come from a
 table of constants: mergeable quantile sketches (Spark's `percentile_approx`, a
 partial aggregate whose buffers merge) of every rule's ratio are built per (lang,
-source) over all documents, and a document fails a rule when its ratio lies outside
-the far fences `q1 - reach * iqr` and `q3 + reach * iqr` of its own group, widened by
-the rule's slack so that a group of nearly equal documents rejects none of them. The
-slacks of repeated words and duplicate lines lie well below the base rule's cutoff, and
+source) over its distinct count vectors, so that copies of a text, junk or not, weigh as
+much as one of them however many there are, and a document fails a rule when its ratio
+lies outside the far fences `q1 - reach * iqr` and `q3 + reach * iqr` of its own group,
+widened by the rule's slack so that a group of nearly equal documents rejects none of
+them. The slacks of repeated words and duplicate lines lie well below the base rule's cutoff, and
 a few such words and lines are free: a document of 100 words and more may fail by its
 repeated words alone, while a short one may say one phrase twice.
 
@@ -138,7 +139,8 @@ def thresholds(counted: DataFrame, reach: float = REACH, accuracy: int = ACCURAC
         F.percentile_approx(F.expr(ratio), [0.25, 0.75], accuracy).alias(rule)
         for rule, (ratio, _) in RULES.items()
     ]
-    sketched = counted.filter("n_words > 0").groupBy("lang", "source").agg(*quartiles)
+    distinct = counted.filter("n_words > 0").select("lang", "source", *COUNTS).distinct()
+    sketched = distinct.groupBy("lang", "source").agg(*quartiles)
     fences = []
     for rule, (_, slack) in RULES.items():
         low, high = F.col(rule)[0], F.col(rule)[1]

@@ -149,6 +149,19 @@ def test_quality_thresholds_follow_the_group(spark):
     assert not any(r.failed_rules for i, r in out.items() if i != 50)
 
 
+def test_quality_fences_withstand_copies_of_junk(spark):
+    rng = random.Random(9)
+    # one "|" in about 100 characters of words
+    rows = [(i, f"{words(rng, 60 + i)} | |", "en", "a", 1) for i in range(40)]
+    rows += [(100 + i, "#*$% word " * 30, "en", "a", 1) for i in range(20)]
+    rows += [(200, " ".join(f"#*$% {w}" for w in words(rng, 30).split()), "en", "a", 1)]
+    rows = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    out = {r.doc_id: r for r in quality.quality_rules(rows).collect()}
+    assert all(r.kept and not r.failed_rules for i, r in out.items() if i < 100)
+    assert all("symbols" in r.failed_rules for i, r in out.items() if i >= 100)
+    assert not out[200].base_failed and not out[200].kept
+
+
 def test_quality_rejects_repeats_below_the_base_cutoff(spark):
     rng = random.Random(8)
 
