@@ -15,10 +15,16 @@ roles of menus, notices, adverts, comments and the like are removed, and where a
 marks its article or main part, only that is read. Where a page would be left without
 any text, its low-importance branches stay (copies of one article on one host).
 
+A branch goes only where it says what it often says: a content that m pages have with
+share p stays unless -log_m p, its part of the entropy, is below the same bound. An
+article that stands where most pages of its host have copies of another one stays whole.
+Pages count once if the blocks that make up most of their article are the same (what they
+mark as one, or else their paragraphs; without either, the html), so near copies that
+differ in an advert, a date or a link don't make an article look like a footer.
+
 Two passes parse the pages: one sends a few hashes per page and node, the other cuts.
-A page that stands there several times counts once in the tree, so large groups of
-copies neither lower an article's importance nor weigh down a task; rows are dealt by
-(host, node, value), and a host's list of removable nodes is joined to its pages.
+Rows are dealt by (host, node, value), and a host's list of removable contents is joined
+to its pages.
 
 Defined results: a null html is empty; a null or odd url is a host of its own (''),
 and pages are never matched by page_id, so nulls and repeats there do no harm; broken
@@ -41,6 +47,8 @@ from hailmeter.llm.common import stored
 #: Below this importance a branch is removed, if so many distinct pages have it.
 MIN_IMPORTANCE = 0.15
 MIN_PAGES = 5
+#: Pages are copies if the longest blocks that make up this share of their text agree.
+SAME_SHARE = 0.75
 
 # Names of the HTML standard, and words of common class names.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -274,6 +282,28 @@ def _features(root: Node, nodes: list[Node]) -> dict[int, tuple[int, int]]:
     return {path: (_hash(layouts[path]), _hash(says[path])) for path in layouts}
 
 
+def _main_blocks(html: str, nodes: list[Node]) -> int:
+    """Name of a page by the longest blocks of its article or paragraphs, without links."""
+    marked = any(n.article for n in nodes)
+    blocks: list[tuple[int, str]] = []
+    linked: set[int] = set()
+    for node in nodes:
+        if node.tag == "a" or id(node.parent) in linked:
+            linked.add(id(node))
+        elif (node.article or node.inside) if marked else node.tag == "p":
+            text = " ".join("".join(c for c in node.children if isinstance(c, str)).split())
+            if text:
+                blocks.append((-len(text), text))
+    wanted = SAME_SHARE * sum(-n for n, _ in blocks)
+    main: list[str] = []
+    for n, text in sorted(blocks):
+        if wanted <= 0:
+            break
+        wanted += n
+        main.append(text)
+    return _hash(main or [html])
+
+
 TREE_SCHEMA = "host string, node long, layout long, content long, page long"
 
 
@@ -287,7 +317,7 @@ def _tree_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             root = parse(html or "")
             nodes = [n for n in _paths(root, known) if not n.drop]
             features = _features(root, nodes)
-            page = _hash([html or ""])
+            page = _main_blocks(html or "", nodes)
             rows += [(host, path, a, b, page) for path, (a, b) in features.items()]
         columns = list(zip(*rows, strict=True)) or [()] * 5
         yield pa.RecordBatch.from_arrays(
@@ -314,19 +344,41 @@ def _entropy(seen: DataFrame, value: str) -> DataFrame:
     )
 
 
+def tree_rows(pages: DataFrame) -> DataFrame:
+    """(host, node, layout, content, page) of all pages; `pages` has host and html."""
+    seen = pages.select("host", "html").mapInArrow(_tree_batches, TREE_SCHEMA).distinct()
+    return stored(seen, "style-tree")
+
+
 def style_tree(pages: DataFrame) -> DataFrame:
     """(host, node, pages, importance) of every node of the hosts' style trees.
 
     `pages` has host and html.
     """
-    seen = pages.select("host", "html").mapInArrow(_tree_batches, TREE_SCHEMA).distinct()
-    seen = stored(seen, "style-tree")
+    return importances(tree_rows(pages))
+
+
+def importances(seen: DataFrame) -> DataFrame:
     layout, content = _entropy(seen, "layout"), _entropy(seen, "content").drop("pages")
     return layout.join(content, ["host", "node"]).select(
         "host", "node", "pages", F.greatest("layout", "content").alias("importance")
     )
 
 
+def removable(seen: DataFrame, min_importance: float, min_pages: int) -> DataFrame:
+    """(host, low): the frequent contents of nodes of low importance."""
+    low = importances(seen).filter(
+        (F.col("pages") >= min_pages) & (F.col("importance") < min_importance)
+    )
+    says = seen.groupBy("host", "node", "content").agg(F.count("*").alias("n"))
+    return (
+        says.join(low, ["host", "node"])
+        .filter(F.col("n") > F.pow("pages", F.lit(1 - min_importance)))
+        .groupBy("host")
+        .agg(F.collect_list(F.struct("node", "content")).alias("low"))
+    )
+
+
 def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: dict[tuple[int, str], int] = {}
     for batch in batches:
@@ -337,7 +389,11 @@ def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             root = parse(html or "")
             nodes = _paths(root, known)
             marked = any(n.article for n in nodes)
-            blocks = _blocks(root, set(low or ()), marked) or _blocks(root, set(), marked)
+            cut = set()
+            if low:
+                here = _features(root, [n for n in nodes if not n.drop])
+                cut = {v["node"] for v in low if here.get(v["node"], (0, None))[1] == v["content"]}
+            blocks = _blocks(root, cut, marked) or _blocks(root, set(), marked)
             texts.append(" ".join(blocks))
         yield pa.RecordBatch.from_arrays(
             [
@@ -367,13 +423,7 @@ def main_text(
         host_of(F.col("url")).alias("host"),
         F.col("html").cast("string").alias("html"),
     )
-    low = stored(
-        style_tree(rows)
-        .filter((F.col("pages") >= min_pages) & (F.col("importance") < min_importance))
-        .groupBy("host")
-        .agg(F.collect_list("node").alias("low")),
-        "style-tree-low",
-    )
+    low = stored(removable(tree_rows(rows), min_importance, min_pages), "style-tree-low")
     return rows.join(low, "host", "left").mapInArrow(
         _text_batches, "page_id long, url string, text string, n_chars long"
     )

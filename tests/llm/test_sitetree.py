@@ -60,6 +60,37 @@ def test_branches_that_are_the_same_on_every_page_go(spark):
     assert all(r.n_chars == len(r.text) for r in out)
 
 
+def test_other_articles_of_a_host_of_near_copies_stay(spark):
+    def page(i, title, date, *paragraphs):
+        told = "".join(f"<p>{p}</p>" for p in paragraphs)
+        body = f"<h1>{title}</h1><div class='on'>{date}</div>{told}<div class='x'>About this site</div>"
+        return (i, "http://h.example/", f"<body><nav>n{i}</nav><article>{body}</article></body>")
+
+    copied = ("the harbour was closed for a day", "ships waited out at sea until noon")
+    pages = [page(i, "Harbour closed", f"day {i}", *copied) for i in range(190)]
+    others = [(f"story {i} of the town begins here", f"and it ends with part {i}") for i in range(10)]
+    pages += [page(900 + i, f"Title {i}", f"on {i}", *told) for i, told in enumerate(others)]
+    out = {r.page_id: r.text for r in sitetree.main_text(spark.createDataFrame(pages, PAGE)).collect()}
+    for i, told in enumerate(others):
+        assert out[900 + i].startswith(f"Title {i} on {i} {' '.join(told)}")
+    for i in range(190):
+        assert out[i].startswith(f"Harbour closed day {i} {' '.join(copied)}")
+
+
+def test_rare_content_of_a_node_of_low_importance_stays(spark):
+    # no article and no paragraphs: what 190 pages say is of low importance
+    def page(i, told):
+        own = f"<div class='x1'>{f'other words of page {i} ' * 20}</div>"
+        return (i, "http://h.example/", f"<body>{own}<div class='x2'>{told}</div></body>")
+
+    pages = [page(i, "all say this") for i in range(190)]
+    pages += [page(900 + i, f"only number {i} says this") for i in range(10)]
+    out = {r.page_id: r.text for r in sitetree.main_text(spark.createDataFrame(pages, PAGE)).collect()}
+    assert "all say this" not in out[7]
+    for i in range(10):
+        assert out[900 + i].endswith(f"only number {i} says this")
+
+
 def test_importance(spark):
     pages = [(i, "http://h.example/", f"<body><i>same</i><u>{i}</u></body>") for i in range(8)]
     df = spark.createDataFrame(pages, PAGE).selectExpr("'h.example' host", "html")
