@@ -12,7 +12,9 @@ Entropy alone can't give the wanted article: a menu, an advert or a footer whose
 change from page to page is as important to it as the article. So what an element says
 about itself counts too: landmarks, forms, hidden parts, scripts, and class names or
 roles of menus, notices, adverts, comments and the like are removed, and where a page
-marks its article or main part, only that is read. Where a page would be left without
+marks its article or main part, only that is read. A class name doesn't count where its
+element holds the page's article or most of the text (`has-sidebar`, `widget`); then
+importance alone decides. Where a page would be left without
 any text, its low-importance branches stay (copies of one article on one host).
 
 A branch goes only where it says what it often says: a content that m pages have with
@@ -91,6 +93,11 @@ DROPPED_WORDS = set(
     " notices notification alert skip copyright widget widgets teaser".split()
 )
 WEAK_WORDS = {"header", "head", "banner", "legal", "disclaimer", "tags", "meta", "search", "form"}
+#: What readers wrote may be most of a page and still be no part of its article.
+REPLY_WORDS = set("comment comments commentlist disqus reply replies respond".split())
+#: An element that a class name would drop stays if it holds so much of the text (that it
+#: stands for the page, whatever its length; that it does so from some length on).
+ALL_SHARE, MOST_SHARE, MOST_CHARS = 0.9, 0.5, 200
 CONTENT_WORDS = set("article content post entry story main body text maincontent".split())
 
 _TOKEN = re.compile(
@@ -104,15 +111,18 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
 class Node:
-    __slots__ = ("tag", "words", "parent", "children", "drop", "article", "path", "inside")
+    __slots__ = (
+        "tag", "words", "parent", "children", "drop", "named", "main", "article", "path", "inside"
+    )
 
     def __init__(self, tag: str, words: tuple[str, ...], parent: Node | None):
         self.tag = tag
         self.words = words
         self.parent = parent
         self.children: list[Node | str] = []
-        self.drop = self.article = False
-        self.inside = parent is not None and (parent.article or parent.inside)
+        # named: dropped by a class name only; main: says that it is an article
+        self.drop = self.named = self.main = self.article = False
+        self.inside = parent is not None and (parent.main or parent.inside)
         self.path = 0
 
 
@@ -142,8 +152,109 @@ def _judge(node: Node, attrs: dict[str, str]) -> None:
     if words and not node.drop:
         strong = bool(words & DROPPED_WORDS)
         weak = bool(words & WEAK_WORDS) and not words & CONTENT_WORDS
-        node.drop = (strong and not (is_article and tag == "main")) or (weak and not is_article)
-    node.article = is_article and not node.drop
+        node.named = (strong and not (is_article and tag == "main")) or (weak and not is_article)
+    node.main = is_article and not node.drop
+    node.drop = node.drop or node.named
+    node.article = node.main and not node.drop
+
+
+def _keep_wrappers(root: Node) -> None:
+    """Elements dropped by a class name that hold the page's article or most text stay.
+
+    `has-sidebar` or `widget` are also names of wrappers. Of a marked page the text of its
+    articles counts, of others all text; what other rules drop never does.
+    """
+    nodes: list[Node] = []
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        nodes.append(node)
+        stack.extend(
+            c
+            for c in reversed(node.children)
+            if isinstance(c, Node) and (c.named or not c.drop)
+        )
+    if not any(n.named for n in nodes):
+        return
+    chars: dict[int, int] = {}
+    articles: dict[int, int] = {}
+    largest: dict[int, int] = {}
+    for node in reversed(nodes):
+        size, mains, most = 0, int(node.main), 0
+        for c in node.children:
+            if isinstance(c, str):
+                size += len(c.strip())
+            else:
+                size += chars.get(id(c), 0)
+                mains += articles.get(id(c), 0)
+                most = max(most, largest.get(id(c), 0))
+        chars[id(node)], articles[id(node)] = size, mains
+        largest[id(node)] = size if node.main else most
+    every = articles[id(root)]
+
+    def stands_for(size: int, whole: int) -> bool:
+        return size > 0 and (
+            size >= ALL_SHARE * whole or (size > MOST_SHARE * whole and size >= MOST_CHARS)
+        )
+
+    def keep(node: Node) -> None:
+        node.drop = node.named = False
+        node.article = node.main
+
+    def visit(top: Node, whole: int) -> tuple[bool, list[Node]]:
+        """Whether an article is left below `top`, and what names still drop, topmost first."""
+        found, dropped = False, []
+        stack = [(top, whole)]
+        while stack:
+            node, whole = stack.pop()
+            if node.named:
+                size, held = chars[id(node)], articles[id(node)]
+                if set(node.words) & REPLY_WORDS:
+                    stays = held == every and size >= ALL_SHARE * whole > 0
+                else:
+                    # a list of related articles may be long, but none of them is the page's
+                    if held and size < ALL_SHARE * whole:
+                        size = largest[id(node)]
+                    stays = (held > 0 or not every or node.inside) and stands_for(size, whole)
+                if not stays:
+                    dropped.append(node)
+                    continue
+                keep(node)
+            if node.article:
+                found, whole = True, chars[id(node)]
+            stack.extend((c, whole) for c in reversed(node.children) if id(c) in chars)
+        return found, dropped
+
+    found, dropped = visit(root, chars[id(root)])
+    while every and not found:
+        # the only articles stand in what names drop: the largest such element is no notice
+        holders = [n for n in dropped if articles[id(n)]]
+        if not holders:
+            break
+        best = max(holders, key=lambda n: (not set(n.words) & REPLY_WORDS, chars[id(n)]))
+        keep(best)
+        found, inner = visit(best, chars[id(best)])
+        dropped = [n for n in dropped if n is not best] + inner
+    # many elements of one name, each with a part of the text
+    groups: dict[tuple, list[Node]] = {}
+    wholes: dict[int, int] = {}
+    for node in dropped:
+        scope = root
+        if every:
+            scope = node.parent
+            while scope is not None and not scope.article:
+                scope = scope.parent
+            if scope is None:
+                continue
+        says = frozenset(set(node.words) & (DROPPED_WORDS | WEAK_WORDS))
+        if not says & REPLY_WORDS:
+            wholes[id(scope)] = chars[id(scope)]
+            groups.setdefault((id(scope), says), []).append(node)
+    for (scope, _), same in groups.items():
+        if len(same) > 1 and stands_for(sum(chars[id(n)] for n in same), wholes[scope]):
+            for node in same:
+                keep(node)
+                visit(node, wholes[scope])
 
 
 def parse(html: str) -> Node:
@@ -191,6 +302,7 @@ def parse(html: str) -> Node:
             at = close.end() if close else end
         elif tag not in VOID and not m["self"]:
             here = node
+    _keep_wrappers(root)
     return root
 
 
@@ -370,7 +482,12 @@ def removable(seen: DataFrame, min_importance: float, min_pages: int) -> DataFra
     low = importances(seen).filter(
         (F.col("pages") >= min_pages) & (F.col("importance") < min_importance)
     )
-    says = seen.groupBy("host", "node", "content").agg(F.count("*").alias("n"))
+    # the bound of the fewest pages first: most contents are unique and need not be joined
+    says = (
+        seen.groupBy("host", "node", "content")
+        .agg(F.count("*").alias("n"))
+        .filter(F.col("n") > min_pages ** (1 - min_importance))
+    )
     return (
         says.join(low, ["host", "node"])
         .filter(F.col("n") > F.pow("pages", F.lit(1 - min_importance)))

@@ -38,6 +38,39 @@ def test_text(html, text):
     assert text_of(html) == text
 
 
+STORY = " ".join(f"the {i}th part of the story is told here." for i in range(12))
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<div class='layout has-sidebar'><article><p>x</p></article></div>", "x"),
+        ("<div class='no-sidebar'><div class='sidebar'>s</div><main><p>x</p></main></div>", "x"),
+        ("<article class='post promoted'><header><h1>T</h1></header><p>x</p></article>", "T x"),
+        ("<div id='comments-open'><article>x</article><div class='comments'>no</div></div>", "x"),
+        (f"<div class='elementor-widget'><p>{STORY}</p></div><div class='ad'>buy</div>", STORY),
+        ("<div class='elementor-widget'><p>short</p></div>", "short"),
+        (f"<div class='widget'><div class='widget-box'><p>{STORY}</p></div></div>t", f"{STORY} t"),
+        ("<h1>T</h1>" + f"<div class='widget'>{STORY}</div>" * 3, f"T {STORY} {STORY} {STORY}"),
+        (f"<article><h1>T</h1><div class='has-sidebar'>{STORY}</div></article>", f"T {STORY}"),
+        # names still count where they don't hold the page
+        (f"<article>x</article><div class='related'>{STORY}</div>", "x"),
+        (f"<article>x</article><section class='comments'><article>{STORY}</article></section>", "x"),
+        (
+            f"<article>{STORY}</article><div class='related'>"
+            + f"<article>{STORY}</article>" * 3
+            + "</div>",
+            STORY,
+        ),
+        ("<article>x</article><article class='promoted'>buy</article>", "x"),
+        (f"<p>{STORY}</p><div class='comments'>{STORY} {STORY}</div>", STORY),
+        (f"<p>{STORY}</p><div class='sidebar'>s</div><nav class='widget'>{STORY}</nav>", STORY),
+    ],
+)
+def test_names_of_wrappers_dont_drop_the_text(html, text):
+    assert text_of(html) == text
+
+
 def test_branches_that_are_the_same_on_every_page_go(spark):
     pages = [
         (
