@@ -231,11 +231,11 @@ def load_history_by_folder(s: Scene) -> DataFrame:
 
 
 def _land_with_a_broken_file(s: Scene) -> str:
-    """Green trips as Parquet, and a folder whose file only claims to be Parquet."""
+    """Green trips as Parquet, and a folder whose files only claim to be Parquet."""
     folder = s.folder("broken")
     s.bronze.green.write.mode("overwrite").parquet(f"{folder}/landed=good")
     text = s.bronze.zones.select(F.col("Zone").alias("value"))
-    text.coalesce(1).write.mode("overwrite").text(f"{folder}/landed=broken")
+    text.write.mode("overwrite").text(f"{folder}/landed=broken")
     return f"{folder}/landed=*"
 
 

@@ -1,11 +1,13 @@
 """Readers, load reports and writers on temporary files."""
 
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import types as T
 
 from hailmeter import schemas
+from hailmeter.catalog import queries
 from hailmeter.sources import files, reports, tables
 
 
@@ -93,6 +95,17 @@ def test_corrupt_parquet_is_skipped_and_reported(spark, make_feed, tmp_path):
         files.scan_trip_files(spark, str(path), schemas.YELLOW_FILE).collect()
 
 
+def test_a_broken_folder_of_many_files_is_one_row(spark, sf_dir):
+    scene = queries.Scene(spark, sf_dir)
+    given = scene.bronze
+    scene.bronze = SimpleNamespace(green=given.green, zones=given.zones.repartition(4))
+    path = queries._land_with_a_broken_file(scene).replace("*", "broken")
+    assert len(spark.read.text(path).inputFiles()) == 4
+    history = queries.load_history_parquet(scene).collect()
+    assert sorted(r.status for r in history) == ["LOADED", "LOAD_FAILED"]
+    assert queries.tolerant_load_parquet(scene).count() == given.green.count()
+
+
 def test_tolerant_cast(spark):
     schema = T.StructType([T.StructField("n", T.IntegerType())])
     good, bad = files.tolerant_cast(
