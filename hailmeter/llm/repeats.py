@@ -1,13 +1,11 @@
-"""Operator 9: removing later copies of long byte strings, after longest previous factors.
-
-A suffix's longest previous factor is the longest string that begins both there and
-at an earlier place; in suffix order it is shared with the previous or the next suffix
-of a smaller place, so sorting suffixes and looking at those two neighbours is enough.
-Here a place is earlier if its document has a smaller doc_id, and all that counts is
-whether the factor reaches `LENGTH` bytes. Suffixes that agree on so many bytes stand
-next to each other in any order that depends on those bytes first, so 64-bit names of
-the strings serve as the order, and within equal names the smallest doc_id is the
-previous (or next) smaller place. The order is dealt over tasks by name.
+"""Operator 9: removing later copies of long byte strings, by hashed windows.
+
+The method as named sorts suffixes and finds each one's longest previous factor (the
+longest string that begins both there and at an earlier place) at the previous or next
+suffix of a smaller place. None of that is computed here. A place is earlier if its
+document has a smaller doc_id, and all that counts is whether the factor reaches
+`LENGTH` bytes. So windows of that length are grouped by 64-bit names, and within equal
+names the smallest doc_id covers the others. Names are dealt over tasks.
 
 Naming every byte position of a corpus would move many times its size. So suffixes are
 first taken in runs: a window of `LENGTH` bytes is put under the least hash of its
