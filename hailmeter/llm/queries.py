@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from hailmeter.llm import (
     decontamination,
+    hardnegatives,
     language,
     linedup,
     mixture,
     nearduplicates,
     quality,
     repeats,
+    runs,
     secret_scan,
     sitetree,
+    tokenids,
     toxicity,
 )
 from hailmeter.llm.common import documents, table
@@ -93,5 +96,21 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(documents(spark, sf_dir))
 
 
+@query
+def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenids.token_digests(documents(spark, sf_dir))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardnegatives.mined(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(documents(spark, sf_dir))
+
+
+ORACLE["op12_hard_negatives"] = hardnegatives.oracle()
 ORACLE["op4_secrets"] = secret_scan.oracle()
 ORACLE["op5_quality_rules"] = quality.oracle()

@@ -17,11 +17,11 @@ from hailmeter.llm import (
 )
 from hailmeter.llm.queries import ORACLE, QUERIES
 
-TABLES = "documents pages benchmark labels".split()
+TABLES = "documents embeddings pages benchmark labels".split()
 
 
 def test_all_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(queries())
     assert set(ORACLE) <= set(oracle_sql()) and "pipeline" not in oracle_sql()
 
