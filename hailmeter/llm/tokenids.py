@@ -15,11 +15,13 @@ sequence; that one touches only blocks that overlap it and expands only the symb
 cover it. Places come from two levels of running sums: within a task while it writes, and
 over one row per task afterwards.
 
-A text is cut before its spaces where each is followed by a visible character. The
-tokenizer's own first step cuts there too (a space goes with the word behind it), so pieces
-are encoded one by one, each distinct one once as long as a worker remembers it, and give
-the whole text's ids. A text with other spaces in it, or with one of the tokenizer's added
-tokens, is a piece as it stands. Pieces are named by 64-bit hashes of their bytes.
+A text is cut before its spaces, where each is followed by a visible character, and between
+ASCII letters, digits, signs and single line feeds. The tokenizer's own first step cuts
+there too (a space goes with the word behind it), so pieces are encoded by themselves, each
+distinct one once as long as a worker remembers it, and give the whole text's ids. A text
+with other spaces in it, or with one of the tokenizer's added tokens, is a piece as it
+stands. Pieces are named by 64-bit hashes of their bytes. Vocabularies must be byte-level
+ones that split like the default.
 
 Defined results: a null or empty text has the end id alone; a null doc_id comes last;
 rows of one doc_id lie in an order by their text, repeated rows one after the other; a very
@@ -49,9 +51,9 @@ VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 #: A block is closed once it has so many ids; it holds whole documents.
 BLOCK_IDS = 250_000
-#: Ids of distinct pieces that a worker remembers, and how many pieces it encodes at once.
+#: Ids of distinct pieces that a worker remembers, and how many pieces are joined in a call.
 MEMORY_IDS = 16_000_000
-PIECES_AT_ONCE = 20_000
+JOINED = 200
 
 BLOCKS = (
     "part int, block_no int, in_part long, n_ids long, n_docs int,"
@@ -61,6 +63,17 @@ BLOCKS = (
 #: `[!-~\xC3-\xE0\xE4-\xF4]`: what a piece may begin with behind its space. Lead bytes of code
 #: points that may be white space beyond ASCII (C2, E1, E2, E3) are left out: the safe side.
 _VISIBLE = tokens.byte_class((0x21, 0x7E), (0xC3, 0xE0), (0xE4, 0xF4))
+#: What may be encoded in one call with others: such a piece without other white space.
+_PLAIN = re.compile(rb" ?[!-~\xc3-\xe0\xe4-\xf4][!-~\x80-\xc1\xc3-\xe0\xe4-\xf4]*")
+#: Letters, digits, signs but for the apostrophe (which may begin a contraction), line feed:
+#: the first step also cuts between ASCII characters of two of these kinds.
+_KIND = np.zeros(256, dtype=np.uint8)
+_KIND[0x21:0x7F] = 3
+_KIND[0x27] = 0
+_KIND[0x30:0x3A] = 2
+_KIND[0x41:0x5B] = _KIND[0x61:0x7B] = 1
+_FEED = 4
+_KIND[0x0A] = _FEED
 
 
 class Encoder:
@@ -78,6 +91,11 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = [re.compile(re.escape(str(t.content).encode())) for t in added]
+        vocabulary = self.tokenizer.get_vocab()
+        # a byte-level vocabulary spells each byte by one character
+        self.width = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for word, i in vocabulary.items():
+            self.width[i] = len(word)
         self._forget()
 
     def _forget(self) -> None:
@@ -86,7 +104,7 @@ class Encoder:
         self.pool = np.zeros(0, dtype=np.int32)
 
     def _pieces(self, chunk: tokens.Chunk) -> np.ndarray:
-        """Where pieces begin: at each text, and at its spaces if all of them are cuts."""
+        """Where pieces begin: at each text, and at its cuts unless it is one piece."""
         data, offsets = chunk.data, chunk.offsets
         space = np.flatnonzero(data == 0x20)
         # no text's last byte has a visible one behind it
@@ -99,24 +117,50 @@ class Encoder:
         for token in self.added:
             for found in token.finditer(raw):
                 whole.add(int(chunk.row_of(np.array([found.start()]))[0]))
-        cuts = space[cut]
+        kind = _KIND[data]
+        left, right = kind[:-1], kind[1:]
+        change = (left != right) & (left > 0) & (right > 0)
+        # behind a line feed only where it is the only white space
+        change[1:] &= (left[1:] != _FEED) | ((kind[:-2] > 0) & (kind[:-2] != _FEED))
+        cuts = np.concatenate([space[cut], np.flatnonzero(change) + 1])
         if whole:
             cuts = cuts[~np.isin(chunk.row_of(cuts), np.fromiter(whole, dtype=np.int64))]
-        return np.union1d(offsets[:-1][chunk.lengths > 0], cuts)
+        begins = np.zeros(len(data), dtype=bool)
+        begins[offsets[:-1][chunk.lengths > 0]] = True
+        begins[cuts] = True
+        return np.flatnonzero(begins)
+
+    def _encode_joined(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain pieces, many in one call with line feeds between, and their sizes."""
+        joined = [texts[i : i + JOINED] for i in range(0, len(texts), JOINED)]
+        done = self.tokenizer.encode_batch_fast(
+            [b"\n".join(some).decode() for some in joined], add_special_tokens=False
+        )
+        ids, sizes = [], []
+        for some, one in zip(joined, done, strict=True):
+            own = np.array(one.ids, dtype=np.int32)
+            ends = np.cumsum(self.width[own])
+            stop = np.cumsum([len(t) + 1 for t in some]) - 1
+            at = np.searchsorted(ends, stop) + 1
+            keep = np.ones(len(own), dtype=bool)
+            keep[at[:-1]] = False  # the line feeds
+            ids.append(own[keep])
+            sizes.append(np.diff(np.concatenate([[0], at - np.arange(len(at))])))
+        none = np.zeros(0, dtype=np.int64)
+        return np.concatenate([none.astype(np.int32), *ids]), np.concatenate([none, *sizes])
 
     def _learn(self, names: np.ndarray, texts: list[bytes]) -> None:
-        sizes, pools = [], [self.pool]
-        for at in range(0, len(texts), PIECES_AT_ONCE):
-            done = self.tokenizer.encode_batch_fast(
-                [t.decode() for t in texts[at : at + PIECES_AT_ONCE]], add_special_tokens=False
-            )
-            ids = [e.ids for e in done]
-            sizes += map(len, ids)
-            pools.append(np.fromiter(chain.from_iterable(ids), dtype=np.int32))
-        sizes = np.array(sizes, dtype=np.int64)
+        plain = np.array([_PLAIN.fullmatch(t) is not None for t in texts])
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        ids, sizes = self._encode_joined([texts[i] for i in order[: plain.sum()]])
+        pools = [self.pool, ids]
+        for i in order[plain.sum() :]:
+            one = self.tokenizer.encode(texts[i].decode(), add_special_tokens=False)
+            pools.append(np.array(one.ids, dtype=np.int32))
+            sizes = np.append(sizes, len(one.ids))
         starts = len(self.pool) + np.cumsum(sizes) - sizes
         self.pool = np.concatenate(pools)
-        all_names = np.concatenate([self.names, names])
+        all_names = np.concatenate([self.names, names[order]])
         order = np.argsort(all_names, kind="stable")
         self.names = all_names[order]
         self.starts = np.concatenate([self.starts, starts])[order]
