@@ -1,15 +1,32 @@
 """The same questions in DuckDB SQL, written from the definitions.
 
-Only the fixture texts are shared with the Spark side.
+Only the fixture texts are shared with the Spark side; labels, bands and the names of
+features are written down again here.
 """
 
 from __future__ import annotations
 
 from hailmeter.catalog import fixtures
-from hailmeter.functions.sky import DESCRIPTIONS
-from hailmeter.plans.segments import FEATURES
 
-_DESCRIPTION_ROWS = ", ".join(f"({code}, '{text}')" for code, text in DESCRIPTIONS.items())
+# WMO code and description.
+_DESCRIPTION_ROWS = """
+  (0, 'Clear sky'), (1, 'Mainly clear'), (2, 'Partly cloudy'), (3, 'Overcast'),
+  (45, 'Foggy'), (48, 'Depositing rime fog'),
+  (51, 'Light drizzle'), (53, 'Moderate drizzle'), (55, 'Dense drizzle'),
+  (56, 'Light freezing drizzle'), (57, 'Dense freezing drizzle'),
+  (61, 'Slight rain'), (63, 'Moderate rain'), (65, 'Heavy rain'),
+  (66, 'Light freezing rain'), (67, 'Heavy freezing rain'),
+  (71, 'Slight snowfall'), (73, 'Moderate snowfall'), (75, 'Heavy snowfall'),
+  (77, 'Snow grains'),
+  (80, 'Slight rain showers'), (81, 'Moderate rain showers'), (82, 'Violent rain showers'),
+  (85, 'Slight snow showers'), (86, 'Heavy snow showers'),
+  (95, 'Thunderstorm'), (96, 'Thunderstorm with slight hail'),
+  (99, 'Thunderstorm with heavy hail')"""
+
+FEATURES = (
+    "trip_count avg_total_amount avg_fare_amount avg_tip_amount avg_duration_minutes"
+    " avg_distance pct_rush_hour pct_night pct_weekend pct_adverse_weather"
+).split()
 
 _PRELUDE = fixtures.wall_clock(
     f"""
@@ -949,6 +966,17 @@ SELECT CAST(COUNT(*) AS INT) AS clusters, ROUND(AVG(r), 6) AS davies_bouldin_ind
 """,
 )
 
+# --- eager aggregation: the same rows as without it -----------------------------
+for _plain in (
+    "mart_weather_demand",
+    "pickup_flows",
+    "adverse_demand_change",
+    "revenue_per_active_minute",
+    "trip_shape_by_condition",
+):
+    ORACLE[f"{_plain}_eager"] = ORACLE[_plain]
+_add("zone_features_eager", _ZONE_FEATURES.format(keys="pickup_zone_id, pickup_borough"))
+
 # --- streaming ----------------------------------------------------------------------------------
 _add(
     "incremental_load",

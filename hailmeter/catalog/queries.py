@@ -84,9 +84,21 @@ class Scene:
             roles=("pickup",),
         )
 
+    @cached_property
+    def unzoned(self) -> enrich.UnzonedTrips:
+        """Trips for reports that meet the zones as groups."""
+        return enrich.unzoned_trips(
+            self.staged, self.zones, self.weather, self.weather_small, rules.VALID_YEARS
+        )
+
+    @cached_property
+    def demand(self) -> DataFrame | enrich.UnzonedTrips:
+        """What reports sum up: joined trips, or groups where the zones are too large."""
+        return self.trips if self.zones_small else self.unzoned
+
     @cached_property
     def mart(self) -> DataFrame:
-        return demand.mart_weather_demand(self.trips)
+        return demand.mart_weather_demand(self.demand)
 
     @cached_property
     def landed(self) -> landing.LazyLanding:
@@ -116,6 +128,34 @@ def iso_dates(df: DataFrame) -> DataFrame:
     )
 
 
+# --- eager aggregation below a large dimension: same rows as the plain queries ------------------
+
+
+@query
+def mart_weather_demand_eager(s: Scene) -> DataFrame:
+    return demand.mart_weather_demand(s.unzoned)
+
+
+@query
+def pickup_flows_eager(s: Scene) -> DataFrame:
+    return reports.pickup_flows(s.unzoned)
+
+
+@query
+def adverse_demand_change_eager(s: Scene) -> DataFrame:
+    return reports.adverse_demand_change(s.unzoned, s.weather)
+
+
+@query
+def revenue_per_active_minute_eager(s: Scene) -> DataFrame:
+    return reports.revenue_per_active_minute(s.unzoned)
+
+
+@query
+def trip_shape_by_condition_eager(s: Scene) -> DataFrame:
+    return reports.trip_shape_by_condition(s.unzoned)
+
+
 # --- sources and sinks ----------------------------------------------------------
 
 
@@ -604,7 +644,7 @@ def weekpart_days(s: Scene) -> DataFrame:
 
 @query
 def zone_features(s: Scene) -> DataFrame:
-    return segments.zone_features(s.trips)
+    return segments.zone_features(s.demand)
 
 
 @query
@@ -622,52 +662,52 @@ def domain_values(s: Scene) -> DataFrame:
 
 @query
 def monthly_volume(s: Scene) -> DataFrame:
-    return reports.monthly_volume(s.trips)
+    return reports.monthly_volume(s.demand)
 
 
 @query
 def hourly_demand_weekpart(s: Scene) -> DataFrame:
-    return reports.hourly_demand_weekpart(s.trips, s.weather)
+    return reports.hourly_demand_weekpart(s.demand, s.weather)
 
 
 @query
 def avg_trip_cost(s: Scene) -> DataFrame:
-    return reports.avg_trip_cost(s.trips)
+    return reports.avg_trip_cost(s.demand)
 
 
 @query
 def adverse_demand_change(s: Scene) -> DataFrame:
-    return reports.adverse_demand_change(s.trips, s.weather)
+    return reports.adverse_demand_change(s.demand, s.weather)
 
 
 @query
 def weather_type_demand_change(s: Scene) -> DataFrame:
-    return reports.weather_type_demand_change(s.trips, s.weather)
+    return reports.weather_type_demand_change(s.demand, s.weather)
 
 
 @query
 def adverse_revenue_delta(s: Scene) -> DataFrame:
-    return reports.adverse_revenue_delta(s.trips, s.weather)
+    return reports.adverse_revenue_delta(s.demand, s.weather)
 
 
 @query
 def adverse_revenue_delta_strict(s: Scene) -> DataFrame:
-    return reports.adverse_revenue_delta(s.trips, s.weather, strict=True)
+    return reports.adverse_revenue_delta(s.demand, s.weather, strict=True)
 
 
 @query
 def rush_revenue_swing(s: Scene) -> DataFrame:
-    return reports.rush_revenue_swing(s.trips, s.weather)
+    return reports.rush_revenue_swing(s.demand, s.weather)
 
 
 @query
 def borough_share_shift(s: Scene) -> DataFrame:
-    return reports.borough_share_shift(s.trips)
+    return reports.borough_share_shift(s.demand)
 
 
 @query
 def yoy_change(s: Scene) -> DataFrame:
-    return reports.yoy_change(s.trips)
+    return reports.yoy_change(s.demand)
 
 
 @query
@@ -680,12 +720,12 @@ def profile_columns(s: Scene) -> DataFrame:
 
 @query
 def revenue_per_active_minute(s: Scene) -> DataFrame:
-    return reports.revenue_per_active_minute(s.trips)
+    return reports.revenue_per_active_minute(s.demand)
 
 
 @query
 def trips_per_hour(s: Scene) -> DataFrame:
-    return reports.trips_per_hour(s.trips, s.weather)
+    return reports.trips_per_hour(s.demand, s.weather)
 
 
 @query
@@ -730,7 +770,7 @@ def longest_run(s: Scene) -> DataFrame:
 
 @query
 def trip_shape_by_condition(s: Scene) -> DataFrame:
-    return reports.trip_shape_by_condition(s.trips)
+    return reports.trip_shape_by_condition(s.demand)
 
 
 @query
@@ -785,21 +825,27 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 @query
 def standardize_features(s: Scene) -> DataFrame:
-    scores = segments.standardize_features(segments.zone_features(s.trips))
+    scores = segments.standardize_features(segments.zone_features(s.demand))
     return _rounded(scores, *segments.FEATURES)
 
 
+@query
+def zone_features_eager(s: Scene) -> DataFrame:
+    """Features by zone and borough with zones that are too large to be sent to trips."""
+    return segments.zone_features(s.unzoned, ("pickup_zone_id", "pickup_borough"))
+
+
 @query
 def davies_bouldin(s: Scene) -> DataFrame:
     """The index of a known assignment: every zone belongs to its borough."""
     keys = ("pickup_zone_id", "pickup_borough")
-    scores = segments.standardize_features(segments.zone_features(s.trips, keys))
+    scores = segments.standardize_features(segments.zone_features(s.demand, keys))
     index = segments.davies_bouldin(scores, "pickup_borough", segments.FEATURES)
     return _rounded(index, "davies_bouldin_index")
 
 
 def _segments(s: Scene, counts: tuple[int, ...]) -> segments.Segmentation:
-    return segments.fit_segments(segments.zone_features(s.trips), counts)
+    return segments.fit_segments(segments.zone_features(s.demand), counts)
 
 
 @query

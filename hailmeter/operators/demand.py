@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hailmeter.operators.enrich import UnzonedTrips, grouped_sums
+
 EXCLUDED_BOROUGHS = ("Unknown", "N/A", "EWR")
 
 MART_KEYS = (
@@ -39,12 +41,18 @@ def city_boroughs(df: DataFrame, excluded: Sequence[str] = EXCLUDED_BOROUGHS) ->
     return df.filter(borough.isNotNull() & ~borough.isin(*excluded))
 
 
-def mart_weather_demand(fact: DataFrame) -> DataFrame:
-    """10 keys and 11 measures; one shuffle behind map-side partial sums."""
-    return _mart(fact, [])
+def mart_weather_demand(fact: DataFrame | UnzonedTrips) -> DataFrame:
+    """10 keys and 11 measures; one shuffle behind map-side partial sums.
+
+    From `UnzonedTrips` it is groups that meet the zones, and two small shuffles.
+    """
+    return _mart(fact, {})
 
 
-def _mart(fact: DataFrame, more: Sequence[Column]) -> DataFrame:
+def _mart(fact: DataFrame | UnzonedTrips, more: dict[str, str]) -> DataFrame:
+    """`more` counts the known values of columns."""
+    if isinstance(fact, UnzonedTrips):
+        return _eager_mart(fact, more)
     return (
         city_boroughs(fact)
         .groupBy(*MART_KEYS)
@@ -52,22 +60,48 @@ def _mart(fact: DataFrame, more: Sequence[Column]) -> DataFrame:
             F.count(F.lit(1)).alias("trip_count"),
             *[F.sum(source).alias(name) for name, source in MART_SUMS.items()],
             *[F.avg(source).alias(name) for name, source in MART_AVERAGES.items()],
-            *more,
+            *[F.count(source).alias(name) for name, source in more.items()],
         )
     )
 
 
+def known(column: str) -> Column:
+    """1 where a value is known: its sum is the count behind an average."""
+    return F.when(F.col(column).isNotNull(), 1).otherwise(0).cast("bigint")
+
+
+def average(total: str, count: str) -> Column:
+    """The mean of known values from their total and number; NULL where there is none."""
+    return F.col(total) / F.nullif(F.col(count), F.lit(0))
+
+
+def _eager_mart(trips: UnzonedTrips, more: dict[str, str]) -> DataFrame:
+    """Averages don't add up, so their totals and counts go through both steps."""
+    sums = {"trip_count": F.lit(1).cast("bigint")}
+    sums |= {name: F.col(source) for name, source in MART_SUMS.items()}
+    for name, source in MART_AVERAGES.items():
+        sums |= {f"_{name}_total": F.col(source), f"_{name}_known": known(source)}
+    sums |= {name: known(source) for name, source in more.items()}
+    return grouped_sums(trips, MART_KEYS, sums, city_boroughs).select(
+        *MART_KEYS,
+        "trip_count",
+        *MART_SUMS,
+        *[average(f"_{name}_total", f"_{name}_known").alias(name) for name in MART_AVERAGES],
+        *more,
+    )
+
+
 # Weight of a mart average -> the fact column whose known values it counts.
 MART_WEIGHTS = {"known_durations": "trip_duration_minutes", "known_distances": "trip_distance"}
 
 
-def weighted_mart(fact: DataFrame) -> DataFrame:
+def weighted_mart(fact: DataFrame | UnzonedTrips) -> DataFrame:
     """The mart with the number of known values behind two of its averages.
 
     An average leaves unknown values out, so it can be averaged again only with the
     number of known ones as its weight, not with the number of trips.
     """
-    return _mart(fact, [F.count(source).alias(name) for name, source in MART_WEIGHTS.items()])
+    return _mart(fact, MART_WEIGHTS)
 
 
 def as_demand(frame: DataFrame) -> DataFrame:
@@ -95,20 +129,28 @@ def as_demand(frame: DataFrame) -> DataFrame:
             }
         )
     return city_boroughs(frame).select(
-        *MART_KEYS,
-        F.lit(1).cast("bigint").alias("trip_count"),
-        *[F.col(source).alias(name) for name, source in MART_SUMS.items()],
-        F.col("trip_duration_minutes").alias("duration_total"),
-        F.col("trip_distance").alias("distance_total"),
-        *[
-            F.when(F.col(source).isNotNull(), 1).otherwise(0).cast("bigint").alias(name)
-            for name, source in MART_WEIGHTS.items()
-        ],
+        *MART_KEYS, *[value.alias(name) for name, value in _trip_measures().items()]
     )
 
 
-def rollup(frame: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """Sum measures of the mart (or the fact) over fewer keys."""
+def _trip_measures() -> dict[str, Column]:
+    """What one trip adds to each measure."""
+    return {
+        "trip_count": F.lit(1).cast("bigint"),
+        **{name: F.col(source) for name, source in MART_SUMS.items()},
+        "duration_total": F.col("trip_duration_minutes"),
+        "distance_total": F.col("trip_distance"),
+        **{name: known(source) for name, source in MART_WEIGHTS.items()},
+    }
+
+
+def rollup(
+    frame: DataFrame | UnzonedTrips, keys: Sequence[str], measures: Sequence[str]
+) -> DataFrame:
+    """Sum measures of the mart, the fact or trips without zones over fewer keys."""
+    if isinstance(frame, UnzonedTrips):
+        each = _trip_measures()
+        return grouped_sums(frame, keys, {m: each[m] for m in measures}, city_boroughs)
     return as_demand(frame).groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
 
 

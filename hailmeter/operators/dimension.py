@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,8 @@ SALTS = 16
 # A key with more than this share of all rows is spread; so there are at most
 # 1 / HEAVY_SHARE such keys, and their list is small whatever the input.
 HEAVY_SHARE = 1 / 256
+# Items a heavy-hitter sketch tracks: its error is far below HEAVY_SHARE.
+TRACKED_ITEMS = 8_192
 
 
 def measured_bytes(dim: DataFrame) -> int:
@@ -36,7 +39,7 @@ def attach(
     on: list[tuple[str, str]],
     small: bool | None = None,
     salts: int = SALTS,
-    keys_of: DataFrame | None = None,
+    heavy: Sequence[int] | None = None,
 ) -> DataFrame:
     """Left equi-join; `on` pairs a fact column with a dimension column.
 
@@ -45,12 +48,12 @@ def attach(
     it was built (a group-by over a bounded domain) or was measured before,
     and False for the shuffle join, which spreads each heavy key over `salts`
     tasks. Both joins return the same rows, and duplicate dimension keys fan
-    the fact out in both. `keys_of` is a cheaper frame with the same keys as often,
-    such as the fact before other joins, to find the heavy keys in.
+    the fact out in both. `heavy` are the heavy keys where they are known, from one
+    pass for several joins (see `heavy_keys`).
     """
     if small is None:
         small = fits_broadcast(dim)
-    joined = _map_side(facts, dim, on) if small else _salted(facts, dim, on, salts, keys_of)
+    joined = _map_side(facts, dim, on) if small else _salted(facts, dim, on, salts, heavy)
     return joined.drop(*[_key(i) for i in range(len(on))])
 
 
@@ -68,25 +71,47 @@ def _map_side(facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]]) -> Da
     return facts.join(F.broadcast(renamed), condition, "left")
 
 
-def heavy_keys(facts: DataFrame, columns: list[str], share: float = HEAVY_SHARE) -> list[tuple]:
-    """The keys that hold more than `share` of all rows: at most 1 / share of them."""
-    counts = facts.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = counts.filter(F.col("_n") > facts.count() * share)
-    return [tuple(row[c] for c in columns) for row in heavy.collect()]
+def key_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+    """One long for a key, alike for all integer types; NULL where a part is unknown."""
+    whole = (T.ByteType, T.ShortType, T.IntegerType)
+    parts = [
+        F.col(c).cast("long") if isinstance(df.schema[c].dataType, whole) else F.col(c)
+        for c in columns
+    ]
+    known = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts])
+    return F.when(known, F.xxhash64(*parts))
 
 
-def _among(columns: list[str], keys: list[tuple]) -> Column:
-    """Whether the columns hold one of the keys; unknown where one is NULL."""
-    if len(columns) == 1:
-        return F.col(columns[0]).isin([key[0] for key in keys])
-    return reduce(
-        lambda a, b: a | b,
-        [
-            reduce(lambda a, b: a & b, [F.col(c) == v for c, v in zip(columns, key, strict=True)])
-            for key in keys
-        ],
-        F.lit(False),
+def heavy_keys(
+    facts: DataFrame, joins: Mapping[str, Sequence[str]], share: float = HEAVY_SHARE
+) -> dict[str, list[int]]:
+    """Per join, the hashes of keys that hold more than `share` of all rows.
+
+    All joins are answered by one scan: mergeable heavy-hitter sketches of bounded size,
+    so no key is shuffled. A sketch never counts a key too low by more than its error,
+    and a key that is spread without need changes no result.
+    """
+    if not joins:
+        return {}
+    most = int(1 / share)
+    hashed = facts.select(
+        *[key_hash(facts, columns).alias(f"_h{i}") for i, columns in enumerate(joins.values())]
     )
+    row = hashed.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[
+            F.expr(f"approx_top_k(_h{i}, {most}, {TRACKED_ITEMS})").alias(f"_h{i}")
+            for i in range(len(joins))
+        ],
+    ).first()
+    return {
+        name: [
+            found["item"]
+            for found in row[f"_h{i}"]
+            if found["item"] is not None and found["count"] > row["n"] * share
+        ]
+        for i, name in enumerate(joins)
+    }
 
 
 def _salted(
@@ -94,23 +119,24 @@ def _salted(
     dim: DataFrame,
     on: list[tuple[str, str]],
     salts: int,
-    keys_of: DataFrame | None,
+    heavy: Sequence[int] | None,
 ) -> DataFrame:
     """A shuffle join in which heavy and absent keys are salted, on both sides.
 
     The salt is a hash of the whole row: it spreads a key however its rows lie in
-    the input, and a retried task sends them to the same places again.
+    the input, and a retried task sends them to the same places again. The dimension
+    is hashed, so the wide fact rows are shuffled but never sorted.
     """
     lefts, rights = [left for left, _ in on], [right for _, right in on]
-    known = facts if keys_of is None else keys_of
-    heavy = [key for key in heavy_keys(known, lefts) if None not in key]
+    if heavy is None:
+        heavy = heavy_keys(facts, {"own": lefts})["own"]
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.lit(salts))
-    is_heavy = F.coalesce(_among(lefts, heavy), F.lit(True))
+    is_heavy = F.coalesce(key_hash(facts, lefts).isin(*heavy), F.lit(True))
     salted = facts.withColumn("_salt", F.when(is_heavy, spread).otherwise(0).cast("int"))
-    copies = F.when(_among(rights, heavy), F.lit(salts)).otherwise(F.lit(1))
+    copies = F.when(key_hash(dim, rights).isin(*heavy), F.lit(salts)).otherwise(F.lit(1))
     copied = dim.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), copies - 1)))
     condition = [F.col(left) == F.col(_key(i)) for i, (left, _) in enumerate(on)]
     condition.append(F.col("_salt") == F.col("_dim_salt"))
     # The hint keeps a wrong size estimate from broadcasting the copies after all.
-    renamed = _rename_keys(copied, on).hint("merge")
+    renamed = _rename_keys(copied, on).hint("shuffle_hash")
     return salted.join(renamed, condition, "left").drop("_salt", "_dim_salt")

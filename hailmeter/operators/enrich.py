@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hailmeter.functions import clock, money
-from hailmeter.operators.dimension import attach, fits_broadcast
+from hailmeter.operators.dimension import attach, fits_broadcast, heavy_keys
 
 FACT_COLUMNS = (
     "taxi_type", "pickup_at", "dropoff_at",
@@ -55,6 +57,10 @@ def enrich_zone(trips: DataFrame, zones: DataFrame, role: str, **join) -> DataFr
     )
 
 
+def _with_hour(trips: DataFrame) -> DataFrame:
+    return trips.withColumn("_pickup_hour_index", clock.hour_index(F.col("pickup_at")))
+
+
 def enrich_weather(trips: DataFrame, weather: DataFrame, **join) -> DataFrame:
     """Exact match on the pickup's date and hour, compared as one long."""
     hourly = weather.select(
@@ -62,12 +68,13 @@ def enrich_weather(trips: DataFrame, weather: DataFrame, **join) -> DataFrame:
         "weather_category", "is_adverse_weather",
         "temperature_f", "precipitation_inch", "wind_speed_mph",
     )
-    hour = clock.hour_index(F.col("pickup_at"))
-    keyed = trips.withColumn("_pickup_hour_index", hour)
-    if join.get("keys_of") is not None:
-        join = {**join, "keys_of": join["keys_of"].withColumn("_pickup_hour_index", hour)}
     on = [("_pickup_hour_index", "_hour_index")]
-    return attach(keyed, hourly, on, **join).drop("_pickup_hour_index")
+    return attach(_with_hour(trips), hourly, on, **join).drop("_pickup_hour_index")
+
+
+def _labelled(trips: DataFrame) -> DataFrame:
+    trips = trips.withColumn("payment_type", money.payment_label(F.col("payment_type")))
+    return trips.select(*[c for c in FACT_COLUMNS if c in trips.columns])
 
 
 def fact_trips(
@@ -82,16 +89,87 @@ def fact_trips(
     """Valid trips with both zone roles and the hour's weather: 35 columns.
 
     `zones_small` and `weather_small` choose the joins as in `attach`; `years`
-    as in `valid_trips`.
+    as in `valid_trips`. The heavy keys of all joins with large dimensions come from
+    one scan of the valid trips.
     Demand reports never look at the dropoff zone. They can leave that role
     out and save a join per trip: an outer join on a key that is merely
-    expected to be unique is not removed by the optimizer.
+    expected to be unique is not removed by the optimizer. Where zones are large they
+    take `UnzonedTrips` instead.
     """
     if zones_small is None:
         zones_small = fits_broadcast(zones)  # one check for both roles
-    valid = trips = valid_trips(staged, years)
+    if weather_small is None:
+        weather_small = fits_broadcast(weather)
+    trips = valid_trips(staged, years)
+    joins = {} if zones_small else {role: [f"{role}_zone_id"] for role in roles}
+    if not weather_small:
+        joins["hour"] = ["_pickup_hour_index"]
+    heavy = heavy_keys(_with_hour(trips), joins)
     for role in roles:
-        trips = enrich_zone(trips, zones, role, small=zones_small, keys_of=valid)
-    trips = enrich_weather(trips, weather, small=weather_small, keys_of=valid)
-    trips = trips.withColumn("payment_type", money.payment_label(F.col("payment_type")))
-    return trips.select(*[c for c in FACT_COLUMNS if c in trips.columns])
+        trips = enrich_zone(trips, zones, role, small=zones_small, heavy=heavy.get(role))
+    return _labelled(
+        enrich_weather(trips, weather, small=weather_small, heavy=heavy.get("hour"))
+    )
+
+
+@dataclass(frozen=True)
+class UnzonedTrips:
+    """Valid trips with their weather, and zones that are too many to be sent to them.
+
+    Reports sum the trips to groups of zone and report keys first; only groups meet the
+    zones (see `grouped_sums`).
+    """
+
+    trips: DataFrame
+    zones: DataFrame
+
+    def filter(self, condition: Column) -> UnzonedTrips:
+        """Rows by columns that don't come from a zone."""
+        return replace(self, trips=self.trips.filter(condition))
+
+
+def unzoned_trips(
+    staged: DataFrame,
+    zones: DataFrame,
+    weather: DataFrame,
+    weather_small: bool | None = None,
+    years: tuple[int, ...] | None = None,
+) -> UnzonedTrips:
+    """What `fact_trips` joins, with the zones still apart."""
+    trips = enrich_weather(valid_trips(staged, years), weather, small=weather_small)
+    return UnzonedTrips(_labelled(trips), zones)
+
+
+def grouped_sums(
+    frame: DataFrame | UnzonedTrips,
+    keys: Sequence[str],
+    sums: Mapping[str, Column],
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
+    """Sums of expressions over groups of the fact; `keep` filters by zone columns.
+
+    From `UnzonedTrips`, trips are summed by zone and the other keys (map-side first), the
+    groups are joined to the zones, and are summed again without the zone: trips are never
+    shuffled. Only roles whose attributes are asked for are joined; there a zone that is listed
+    twice counts its groups twice, as it would its trips.
+    """
+    if isinstance(frame, DataFrame):
+        return keep(frame).groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    added = {
+        role: [c for c in keys if c in (f"{role}_borough", f"{role}_zone_name")]
+        for role in ("pickup", "dropoff")
+    }
+    roles = [role for role, columns in added.items() if columns]
+    own = [c for c in keys if c not in added["pickup"] + added["dropoff"]]
+    ids = [f"{role}_zone_id" for role in roles if f"{role}_zone_id" not in own]
+    groups = frame.trips.groupBy(*own, *ids).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    done = list(own)
+    for role in roles:
+        named = _zone_columns(frame.zones, role).withColumnRenamed("location_id", "_zone")
+        groups = groups.join(named, F.col(f"{role}_zone_id") == F.col("_zone"), "left")
+        done += added[role]
+        ids = [c for c in ids if c != f"{role}_zone_id"]
+        if role == roles[-1]:
+            groups = keep(groups)
+        groups = groups.groupBy(*done, *ids).agg(*[F.sum(n).alias(n) for n in sums])
+    return groups.select(*keys, *sums)

@@ -1,4 +1,4 @@
-"""Dashboard calculations. `demand` is the stored mart or the fact itself.
+"""Dashboard calculations. `demand` is the stored mart, the fact, or `UnzonedTrips`.
 
 Ratios come back unrounded; rounding is left to whoever prints them.
 """
@@ -12,7 +12,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hailmeter.functions import clock, money, sky
-from hailmeter.operators.demand import Cell, as_demand, grid, rollup
+from hailmeter.operators.demand import Cell, average, grid, rollup
+from hailmeter.operators.enrich import grouped_sums
 
 YEARS = (2025, 2026)
 
@@ -311,9 +312,8 @@ def yoy_change(
 
 def pickup_flows(fact: DataFrame) -> DataFrame:
     """Trips and revenue from borough to borough; unknown zones stay as NULL."""
-    return fact.groupBy("pickup_borough", "dropoff_borough").agg(
-        F.count(F.lit(1)).alias("trip_count"), F.sum("total_amount").alias("total_revenue")
-    )
+    sums = {"trip_count": F.lit(1).cast("bigint"), "total_revenue": F.col("total_amount")}
+    return grouped_sums(fact, ["pickup_borough", "dropoff_borough"], sums)
 
 
 def domain_values(df: DataFrame, column: str) -> DataFrame:
@@ -411,20 +411,14 @@ def weather_hour_share(weather: DataFrame) -> DataFrame:
     return counts.withColumn("pct", F.col("hours") * 100 / total)
 
 
-def _average(total: str, known: str) -> Column:
-    """The mean of the known values, NULL where there is none."""
-    return F.sum(total) / F.nullif(F.sum(known), F.lit(0))
-
-
 def trip_shape_by_condition(fact: DataFrame) -> DataFrame:
     """Average duration and distance per borough, year and adverse flag."""
-    return (
-        as_demand(fact)
-        .groupBy("pickup_borough", "pickup_year", "is_adverse_weather")
-        .agg(
-            _average("duration_total", "known_durations").alias("avg_duration"),
-            _average("distance_total", "known_distances").alias("avg_distance"),
-        )
+    keys = ["pickup_borough", "pickup_year", "is_adverse_weather"]
+    measures = ["duration_total", "known_durations", "distance_total", "known_distances"]
+    return rollup(fact, keys, measures).select(
+        *keys,
+        average("duration_total", "known_durations").alias("avg_duration"),
+        average("distance_total", "known_distances").alias("avg_distance"),
     )
 
 

@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from hailmeter.operators.demand import average, known
 from hailmeter.operators.dimension import attach
+from hailmeter.operators.enrich import UnzonedTrips, grouped_sums
 from hailmeter.session import materialize
 
 FEATURES = (
@@ -38,27 +40,35 @@ TRAINING_PARTS = 32
 MAX_CLUSTERS = 10_000
 
 
-def zone_features(fact: DataFrame, keys: Sequence[str] = ("pickup_zone_id",)) -> DataFrame:
+_AVERAGED = {
+    "avg_total_amount": "total_amount",
+    "avg_fare_amount": "fare_amount",
+    "avg_tip_amount": "tip_amount",
+    "avg_duration_minutes": "trip_duration_minutes",
+    "avg_distance": "trip_distance",
+    "pct_rush_hour": "is_rush_hour",
+    "pct_night": "is_night",
+    "pct_weekend": "is_weekend",
+    "pct_adverse_weather": "is_adverse_weather",
+}
+
+
+def zone_features(
+    fact: DataFrame | UnzonedTrips, keys: Sequence[str] = ("pickup_zone_id",)
+) -> DataFrame:
     """Ten features per group of trips; the grouping is a parameter.
 
     The defining query is unpublished. Shares are averages of the flags, an
-    unknown flag being left out.
+    unknown flag being left out. Keys that are no zone's attributes need no zones at all.
     """
-
-    def share(flag: str) -> Column:
-        return F.avg(F.col(flag).cast("double"))
-
-    return fact.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        F.avg("total_amount").alias("avg_total_amount"),
-        F.avg("fare_amount").alias("avg_fare_amount"),
-        F.avg("tip_amount").alias("avg_tip_amount"),
-        F.avg("trip_duration_minutes").alias("avg_duration_minutes"),
-        F.avg("trip_distance").alias("avg_distance"),
-        share("is_rush_hour").alias("pct_rush_hour"),
-        share("is_night").alias("pct_night"),
-        share("is_weekend").alias("pct_weekend"),
-        share("is_adverse_weather").alias("pct_adverse_weather"),
+    sums = {"trip_count": F.lit(1).cast("bigint")}
+    for name, source in _AVERAGED.items():
+        sums[f"_{name}_total"] = F.col(source).cast("double")
+        sums[f"_{name}_known"] = known(source)
+    return grouped_sums(fact, keys, sums).select(
+        *keys,
+        "trip_count",
+        *[average(f"_{name}_total", f"_{name}_known").alias(name) for name in _AVERAGED],
     )
 
 

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from hailmeter.functions import rules
 from hailmeter.operators import conform, demand, enrich
-from hailmeter.operators.dimension import attach, fits_broadcast, measured_bytes
-from hailmeter.plans import quality, reports
+from hailmeter.operators.dimension import attach, fits_broadcast, heavy_keys, measured_bytes
+from hailmeter.plans import quality, reports, segments
 
 
 def _sorted(df):
@@ -76,7 +76,7 @@ def test_fact_keeps_every_valid_trip(staged, fact):
 def test_salted_join_gives_the_same_rows(staged, zones, weather, fact):
     salted = enrich.fact_trips(staged, zones, weather, zones_small=False, weather_small=False)
     plan = salted._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("SortMergeJoin") == 3 and "BroadcastHashJoin" not in plan
+    assert plan.count("ShuffledHashJoin") == 3 and "BroadcastHashJoin" not in plan
     assert _sorted(salted) == _sorted(fact)
 
 
@@ -90,6 +90,86 @@ def test_salted_join_spreads_a_hot_key(spark):
     assert large.columns == ["id", "k", "label"]
 
 
+def test_heavy_keys_of_all_joins_come_from_one_scan(spark):
+    facts = spark.range(20_000).selectExpr(
+        "if(id % 3 = 0, 7, id) AS a", "CAST(if(id % 2 = 0, null, if(id % 100 = 1, 5, id)) AS INT) AS b",
+        "id AS c",
+    )
+    found = heavy_keys(facts, {"a": ["a"], "b": ["b"], "both": ["a", "c"]})
+    hashes = spark.sql("SELECT xxhash64(7L), xxhash64(5L)").first()
+    assert found == {"a": [hashes[0]], "b": [hashes[1]], "both": []}
+    assert heavy_keys(facts.limit(0), {"a": ["a"]}) == {"a": []}
+    assert heavy_keys(facts, {}) == {}
+
+
+REPORTS = [
+    demand.mart_weather_demand,
+    demand.weighted_mart,
+    segments.zone_features,
+    lambda f: segments.zone_features(f, ("pickup_zone_id", "pickup_borough")),
+    lambda f: segments.zone_features(f, ("dropoff_borough", "dropoff_zone_id", "pickup_year")),
+    reports.monthly_volume,
+    reports.avg_trip_cost,
+    reports.borough_share_shift,
+    reports.yoy_change,
+    reports.revenue_per_active_minute,
+    reports.trip_shape_by_condition,
+    reports.pickup_flows,
+]
+
+
+@pytest.mark.parametrize("report", REPORTS)
+def test_groups_meet_large_zones(spark, staged, zones, weather, fact, report):
+    """The same rows as from the fact, and what is shuffled are groups, never trips."""
+    unzoned = enrich.unzoned_trips(staged, zones, weather)
+    assert _sorted(report(unzoned)) == _sorted(report(fact))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = _shuffled_columns(report(unzoned)._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert shuffled and not shuffled & {"pickup_at", "total_amount", "trip_duration_minutes"}
+
+
+def test_a_doubled_zone_doubles_its_groups(staged, zones, weather):
+    twice = zones.unionByName(zones.filter("location_id = 1"))
+    joined = enrich.fact_trips(staged, twice, weather, roles=("pickup",))
+    unzoned = enrich.unzoned_trips(staged, twice, weather)
+    for report in (demand.mart_weather_demand, reports.monthly_volume, reports.yoy_change):
+        assert _sorted(report(unzoned)) == _sorted(report(joined))
+    # features by zone ask for no attribute of a zone, so zones play no part
+    assert segments.zone_features(unzoned).agg(F.sum("trip_count")).first()[0] == 11
+
+
+def _shuffled_columns(node):
+    """Columns of all rows that are shuffled, whatever they come from."""
+    own = set()
+    if "Exchange" in node.nodeName() and "Broadcast" not in node.nodeName():
+        out = node.output()
+        own |= {out.apply(i).name() for i in range(out.size())}
+    for i in range(node.children().size()):
+        own |= _shuffled_columns(node.children().apply(i))
+    return own
+
+
+@pytest.mark.parametrize(
+    "report",
+    [
+        reports.hourly_demand_weekpart,
+        reports.adverse_demand_change,
+        reports.weather_type_demand_change,
+        reports.adverse_revenue_delta,
+        reports.rush_revenue_swing,
+        reports.trips_per_hour,
+    ],
+)
+def test_exposure_reports_from_groups(staged, zones, weather, fact, report):
+    unzoned = enrich.unzoned_trips(staged, zones, weather)
+    assert _sorted(report(unzoned, weather)) == _sorted(report(fact, weather))
+
+
 def test_size_check_counts_rows_and_text(spark):
     dim = spark.createDataFrame([(1, "ab"), (2, None)], "key int, label string")
     assert measured_bytes(dim) == 2 * (32 + 16) + 2
