@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hailmeter import schemas
 from hailmeter.catalog import fixtures
@@ -21,6 +22,12 @@ _SCHEMAS = {
     "zones": schemas.ZONE_FILE,
     "weather": schemas.HOURLY_WEATHER,
 }
+
+
+def _schema(feed: str) -> T.StructType:
+    return T.StructType(list(_SCHEMAS[feed].fields))
+
+
 _stored: dict[tuple[str, str], str] = {}
 _landed: dict[tuple[str, str], LazyLanding] = {}
 
@@ -104,6 +111,20 @@ def land_weather(df: DataFrame, path: str) -> str:
     return path
 
 
+def land_in_order(spark: SparkSession, landed: str, schema: T.StructType, path: str) -> str:
+    """The monthly folders again, one after the other, as a running feed leaves them.
+
+    Stream sources read files by their time of change. Months are few; a month's files
+    are written side by side.
+    """
+    whole = spark.read.schema(schema.add("landed_month", "string")).parquet(landed)
+    months = [r[0] for r in whole.select("landed_month").distinct().collect()]
+    for month in sorted(months, key=lambda m: m or ""):
+        own = whole.filter(F.col("landed_month").eqNullSafe(F.lit(month))).drop("landed_month")
+        own.write.mode("overwrite").parquet(f"{path}/landed={month or 'unknown'}")
+    return f"{path}/landed=*"
+
+
 class LazyLanding:
     """The folders of the four sources; a source is written when first asked for."""
 
@@ -127,6 +148,16 @@ class LazyLanding:
     def weather(self) -> str:
         return land_weather(self._source.weather, f"{self._base}/weather")
 
+    @cached_property
+    def yellow_in_order(self) -> str:
+        path = f"{self._base}/yellow-in-order"
+        return land_in_order(self._source.yellow.sparkSession, self.yellow, _schema("yellow"), path)
+
+    @cached_property
+    def green_in_order(self) -> str:
+        path = f"{self._base}/green-in-order"
+        return land_in_order(self._source.yellow.sparkSession, self.green, _schema("green"), path)
+
     def all(self) -> Landing:
         return Landing(self.yellow, self.green, self.zones, self.weather)
 

@@ -265,6 +265,7 @@ _add(
     "SELECT date_trunc('minute', pickup_at) AS at, COUNT(*) AS trips FROM stg GROUP BY 1",
 )
 _add("overwrite_table", "SELECT * FROM green")
+_add("publish_table", "SELECT * FROM green")
 _add("append_table", "SELECT * FROM weather_hourly")
 _add(
     "append_small_frame",
@@ -966,6 +967,56 @@ SELECT CAST(COUNT(*) AS INT) AS clusters, ROUND(AVG(r), 6) AS davies_bouldin_ind
 """,
 )
 
+_BOROUGH_SCORES = f""", scores AS (SELECT pickup_zone_id, pickup_borough, {_SCORES}
+  FROM ({_ZONE_FEATURES.format(keys="pickup_zone_id, pickup_borough")}) z),
+known AS (SELECT * FROM scores WHERE pickup_borough IS NOT NULL),
+centres AS (SELECT pickup_borough, {", ".join(f"AVG({f}) AS {f}" for f in FEATURES)}
+  FROM known GROUP BY 1),
+near AS (SELECT k.*, c.pickup_borough AS nearest FROM known k CROSS JOIN centres c
+  QUALIFY row_number() OVER (PARTITION BY k.pickup_zone_id, k.pickup_borough
+    ORDER BY {_distance("k", "c")}, c.pickup_borough) = 1)
+"""
+_add("assign_to_centres", _BOROUGH_SCORES + "SELECT pickup_zone_id, pickup_borough, nearest FROM near")
+_add(
+    "lloyd_step",
+    _BOROUGH_SCORES
+    + "SELECT nearest, COUNT(*) AS size, "
+    + ", ".join(f"ROUND(AVG({f}), 6) + 0 AS {f}" for f in FEATURES)
+    + " FROM near GROUP BY 1",
+)
+_add(
+    "centroid_pivot",
+    f", z AS ({_ZONE_FEATURES.format(keys='pickup_zone_id')}) "
+    + " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, "
+        + ", ".join(
+            f"ROUND(AVG({f}) FILTER (WHERE pickup_zone_id % 4 = {i}), 6) + 0 AS cluster_{i + 1}"
+            for i in range(4)
+        )
+        + " FROM z"
+        for f in FEATURES
+    ),
+)
+_add(
+    "k_comparison_of_fixed",
+    f""", scores AS (SELECT pickup_zone_id, {_SCORES}
+  FROM ({_ZONE_FEATURES.format(keys="pickup_zone_id")}) z),
+tall AS (SELECT k, pickup_zone_id % k AS c, scores.* FROM scores,
+  (VALUES (3), (4), (5), (6)) AS ks(k)),
+centres AS (SELECT k, c, {", ".join(f"AVG({f}) AS {f}" for f in FEATURES)} FROM tall GROUP BY 1, 2),
+scatter AS (SELECT t.k, t.c, AVG({_distance("t", "m")}) AS s
+  FROM tall t JOIN centres m ON t.k = m.k AND t.c = m.c GROUP BY 1, 2),
+worst AS (SELECT a.k, a.c, MAX((sa.s + sb.s) / {_distance("a", "b")}) AS r
+  FROM centres a JOIN centres b ON a.k = b.k AND a.c <> b.c
+    JOIN scatter sa ON sa.k = a.k AND sa.c = a.c
+    JOIN scatter sb ON sb.k = b.k AND sb.c = b.c GROUP BY 1, 2),
+scored AS (SELECT k, AVG(r) AS i FROM worst GROUP BY 1)
+SELECT 'k=' || k AS model, CAST(k AS INT) AS k, ROUND(i, 6) AS davies_bouldin_index,
+  CAST(rank() OVER (ORDER BY i) AS INT) AS index_rank,
+  ROUND(lag(i) OVER (ORDER BY k) - i, 6) + 0 AS gain FROM scored
+""",
+)
+
 # --- eager aggregation: the same rows as without it -----------------------------
 for _plain in (
     "mart_weather_demand",
@@ -1111,3 +1162,29 @@ UNION ALL SELECT 'gold', 'dim_weather', COUNT(*) FROM hours
 """
 _add("layer_counts", _LAYERS)
 _add("run_pipeline", _LAYERS)
+_add(
+    "expect_unique_of_repeated_trips",
+    _check(
+        "unique:stg_trips.pickup_at,pickup_zone_id,dropoff_zone_id,fare_amount",
+        "warn",
+        """SELECT COUNT(*) AS failures FROM (SELECT 1 FROM stg
+  WHERE pickup_at IS NOT NULL AND pickup_zone_id IS NOT NULL AND dropoff_zone_id IS NOT NULL
+    AND fare_amount IS NOT NULL
+  GROUP BY pickup_at, pickup_zone_id, dropoff_zone_id, fare_amount HAVING COUNT(*) > 1)""",
+    ),
+)
+_add(
+    "observed_write",
+    """
+SELECT 'row_count' AS name, COUNT(*) AS failures FROM stg
+UNION ALL SELECT 'not_null:stg_trips.taxi_type', COUNT(*) FILTER (WHERE taxi_type IS NULL) FROM stg
+UNION ALL SELECT 'not_null:stg_trips.pickup_at', COUNT(*) FILTER (WHERE pickup_at IS NULL) FROM stg
+UNION ALL SELECT 'not_null:stg_trips.dropoff_at', COUNT(*) FILTER (WHERE dropoff_at IS NULL)
+  FROM stg
+UNION ALL SELECT 'not_null:stg_trips.is_valid', COUNT(*) FILTER (WHERE is_valid IS NULL) FROM stg
+UNION ALL SELECT 'accepted_values:stg_trips.taxi_type',
+  COUNT(*) FILTER (WHERE taxi_type NOT IN ('yellow', 'green')) FROM stg
+UNION ALL SELECT 'accepted_values:stg_trips.payment_type',
+  COUNT(*) FILTER (WHERE payment_type NOT IN (1, 2, 3, 4, 5, 6)) FROM stg
+""",
+)

@@ -5,7 +5,7 @@ Dates come out as ISO text, so that both engines print them alike.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +18,7 @@ from hailmeter.functions import clock, money, rules, sky
 from hailmeter.operators import conform, demand, enrich
 from hailmeter.operators.dimension import fits_broadcast
 from hailmeter.plans import expectations, pipeline, quality, reports, segments
-from hailmeter.session import materialize, pin_clock, work_dir
+from hailmeter.session import pin_clock, work_dir
 from hailmeter.sources import files, tables
 from hailmeter.sources import reports as landed
 from hailmeter.streaming import hourly, incremental
@@ -336,6 +336,16 @@ def parse_local_timestamp(s: Scene) -> DataFrame:
     )
 
 
+@query
+def publish_table(s: Scene) -> DataFrame:
+    """Two versions one after the other; readers find the second one."""
+    folder = s.folder("published")
+    trips = conform.conform_green(s.bronze.green)
+    tables.publish_table(trips.filter("vendor_id = 1"), folder)
+    tables.publish_table(trips, folder)
+    return tables.read_published(s.spark, folder, trips.schema)
+
+
 @query
 def overwrite_table(s: Scene) -> DataFrame:
     """A full refresh run twice leaves one copy."""
@@ -848,6 +858,59 @@ def _segments(s: Scene, counts: tuple[int, ...]) -> segments.Segmentation:
     return segments.fit_segments(segments.zone_features(s.demand), counts)
 
 
+def _borough_scores(s: Scene) -> DataFrame:
+    keys = ("pickup_zone_id", "pickup_borough")
+    scores = segments.standardize_features(segments.zone_features(s.demand, keys))
+    return scores.filter("pickup_borough IS NOT NULL")
+
+
+@query
+def assign_to_centres(s: Scene) -> DataFrame:
+    """Each zone with the borough whose mean zone is nearest."""
+    scores = _borough_scores(s)
+    centres = segments.lloyd_step(scores, "pickup_borough", segments.FEATURES)
+    return segments.assign_to_centres(
+        scores, centres, "pickup_borough", segments.FEATURES, "nearest"
+    ).select("pickup_zone_id", "pickup_borough", "nearest")
+
+
+@query
+def lloyd_step(s: Scene) -> DataFrame:
+    """One exact step from the boroughs' centres: the centres of the new assignment."""
+    scores = _borough_scores(s)
+    centres = segments.lloyd_step(scores, "pickup_borough", segments.FEATURES)
+    moved = segments.assign_to_centres(
+        scores, centres, "pickup_borough", segments.FEATURES, "nearest"
+    )
+    return _rounded(
+        segments.lloyd_step(moved, "nearest", segments.FEATURES), *segments.FEATURES
+    )
+
+
+@query
+def centroid_pivot(s: Scene) -> DataFrame:
+    """Feature x group in original units, for groups of zones by number."""
+    features = segments.zone_features(s.demand).withColumn("g", F.col("pickup_zone_id") % 4)
+    pivot = segments.centroid_pivot(features, "g", segments.FEATURES, (0, 1, 2, 3))
+    return _rounded(pivot, *[f"cluster_{i}" for i in range(1, 5)])
+
+
+@query
+def k_comparison_of_fixed(s: Scene) -> DataFrame:
+    """Index, rank and gain of four fixed assignments: zones by their number modulo k."""
+    scores = segments.standardize_features(segments.zone_features(s.demand))
+    choices = F.array(
+        *[
+            F.struct(F.lit(k).alias("k"), (F.col("pickup_zone_id") % k).alias("cluster"))
+            for k in segments.CLUSTER_COUNTS
+        ]
+    )
+    tall = scores.select(F.inline(choices), *segments.FEATURES)
+    index = segments.davies_bouldin(tall, "cluster", segments.FEATURES, by=["k"])
+    named = index.select(F.concat(F.lit("k="), "k").alias("model"), "k", "davies_bouldin_index")
+    return _rounded(segments.k_comparison(named), "davies_bouldin_index", "gain")
+
+
 @query
 def davies_bouldin_by_k(s: Scene) -> DataFrame:
     return segments.davies_bouldin_by_k(_segments(s, segments.CLUSTER_COUNTS))
@@ -909,16 +972,19 @@ def stream_stage_trips(s: Scene) -> DataFrame:
 
 @query
 def stream_hourly_demand(s: Scene) -> DataFrame:
+    """Feeds that land month by month; hours more than 40 days behind leave the state."""
     folder = s.folder("stream-hourly")
-    staged = enrich.valid_trips(conform.stage_trips(*_streams(s)))
-    # A backlog arrives in any order of months, so the delay spans it all; the
-    # state holds at most zones x hours groups.
+    delay = "40 days"
+    streams = (
+        incremental.read_landing(s.spark, s.landed.yellow_in_order, schemas.YELLOW_FILE, 12),
+        incremental.read_landing(s.spark, s.landed.green_in_order, schemas.GREEN_FILE, 12),
+    )
     return hourly.stream_hourly_demand(
-        staged,
+        enrich.valid_trips(hourly.timed_trips(*streams, delay)),
         s.weather,
         f"{folder}/table",
         f"{folder}/checkpoint",
-        delay="800 days",
+        delay=delay,
         weather_small=s.weather_small,
     )
 
@@ -926,35 +992,47 @@ def stream_hourly_demand(s: Scene) -> DataFrame:
 # --- checks and pipeline ------------------------------------------------------------------------
 
 
-def _all_tables(s: Scene) -> dict[str, DataFrame]:
-    """Every layer as stored tables, so that checks scan files and repeat no join."""
-    b = s.bronze
-    staged, fact = materialize(s.staged, "staged"), materialize(s.fact, "fact")
-    return {
-        "yellow_raw": b.yellow,
-        "green_raw": b.green,
-        "zone_lookup": b.zones,
-        "weather_hourly": b.weather,
-        "stg_trips": staged,
-        "stg_zones": conform.stage_zones(b.zones),
-        "stg_weather": s.hours,
-        "fct_trips": fact,
-        "mart_weather_demand": materialize(demand.mart_weather_demand(fact), "mart"),
-        "dim_zones": s.zones,
-        "dim_weather": s.weather,
-    }
+class _Tables(Mapping):
+    """Every layer by name, built when it is asked for; nothing is written for it.
+
+    Row-wise checks and counts of a table are one pass over the stored bronze tables.
+    """
+
+    def __init__(self, s: Scene):
+        self._build = {
+            "yellow_raw": lambda: s.bronze.yellow,
+            "green_raw": lambda: s.bronze.green,
+            "zone_lookup": lambda: s.bronze.zones,
+            "weather_hourly": lambda: s.bronze.weather,
+            "stg_trips": lambda: s.staged,
+            "stg_zones": lambda: conform.stage_zones(s.bronze.zones),
+            "stg_weather": lambda: s.hours,
+            "fct_trips": lambda: s.fact,
+            "mart_weather_demand": lambda: s.mart,
+            "dim_zones": lambda: s.zones,
+            "dim_weather": lambda: s.weather,
+        }
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._build[name]()
+
+    def __iter__(self):
+        return iter(self._build)
+
+    def __len__(self) -> int:
+        return len(self._build)
 
 
 @query
 def expectations_suite(s: Scene) -> DataFrame:
     """All 32 checks, plus uniqueness of the hour."""
     suite = [*expectations.SUITE, expectations.HOUR_IS_UNIQUE]
-    return expectations.run_expectations(_all_tables(s), suite)
+    return expectations.run_expectations(_Tables(s), suite)
 
 
 def _of_kind(s: Scene, kind: str) -> DataFrame:
     suite = [e for e in expectations.SUITE if e.kind == kind]
-    return expectations.run_expectations(_all_tables(s), suite)
+    return expectations.run_expectations(_Tables(s), suite)
 
 
 @query
@@ -967,6 +1045,25 @@ def expect_unique(s: Scene) -> DataFrame:
     return _of_kind(s, "unique")
 
 
+@query
+def expect_unique_of_repeated_trips(s: Scene) -> DataFrame:
+    """A check that fails: trips are there twice by their four identifying columns."""
+    key = ",".join(quality.DUPLICATE_KEYS)
+    check = expectations.Expectation("stg_trips", key, "unique", "warn")
+    return expectations.run_expectations(_Tables(s), [check])
+
+
+@query
+def observed_write(s: Scene) -> DataFrame:
+    """Silver is written; its checks and row count come out of the writing tasks."""
+    metrics = expectations.rowwise_metrics(expectations.SUITE, "stg_trips")
+    metrics["row_count"] = F.count(F.lit(1))
+    _, seen = tables.write_observed(s.staged, s.folder("observed"), metrics)
+    return s.spark.createDataFrame(
+        [(k, int(v)) for k, v in seen.items()], "name string, failures long"
+    )
+
+
 @query
 def expect_accepted_values(s: Scene) -> DataFrame:
     return _of_kind(s, "accepted_values")
@@ -985,7 +1082,7 @@ def min_row_count(s: Scene) -> DataFrame:
 
 @query
 def layer_counts(s: Scene) -> DataFrame:
-    return pipeline.layer_summary(_all_tables(s))
+    return pipeline.layer_summary(_Tables(s))
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +13,17 @@ from hailmeter.functions import rules
 from hailmeter.operators import conform
 from hailmeter.operators.demand import mart_weather_demand
 from hailmeter.operators.enrich import fact_trips
-from hailmeter.plans.expectations import RowGate, enforce, run_expectations
+from hailmeter.plans.expectations import (
+    SUITE,
+    RowGate,
+    enforce,
+    rowwise_metrics,
+    run_expectations,
+)
 from hailmeter.plans.quality import table_counts
 from hailmeter.session import pin_clock
 from hailmeter.sources.files import flatten_hourly_json, scan_trip_files, scan_zone_csv
-from hailmeter.sources.tables import overwrite_table
+from hailmeter.sources.tables import publish_table, write_observed
 
 
 @dataclass(frozen=True)
@@ -66,13 +73,21 @@ def run_pipeline(
     """(stored tables, layer summary, test results); stops at the first failure.
 
     Every table is written once and read back, so nothing downstream repeats
-    upstream work. Rerunning replaces the tables.
+    upstream work. Row counts and row-wise checks are observed by the tasks that write.
+    Rerunning publishes new versions of the tables (see `publish_table`).
     """
     pin_clock(spark)
     tables: dict[str, DataFrame] = {}
+    counts: dict[str, int] = {}
+    failures: dict[str, int] = {}
 
     def store(name: str, df: DataFrame, **options) -> DataFrame:
-        tables[name] = overwrite_table(df, f"{out}/{LAYERS[name]}/{name}", **options)
+        metrics = {"row_count": F.count(F.lit(1)), **rowwise_metrics(SUITE, name)}
+        tables[name], seen = write_observed(
+            df, f"{out}/{LAYERS[name]}/{name}", metrics, **options
+        )
+        counts[name] = seen.pop("row_count")
+        failures.update(seen)
         return tables[name]
 
     skip = settings.skip_unreadable
@@ -80,7 +95,7 @@ def run_pipeline(
     store("green_raw", scan_trip_files(spark, landing.green, schemas.GREEN_FILE, skip))
     store("zone_lookup", scan_zone_csv(spark, landing.zones))
     store("weather_hourly", flatten_hourly_json(spark, landing.weather, multi_line=False))
-    settings.gate.enforce(table_counts(tables))
+    settings.gate.enforce(_as_counts(spark, counts))
 
     checks = rules.trip_rules(settings.years, settings.months, settings.max_distance)
     store("stg_trips", conform.stage_trips(tables["yellow_raw"], tables["green_raw"], checks))
@@ -100,12 +115,22 @@ def run_pipeline(
     store("mart_weather_demand", mart_weather_demand(tables["fct_trips"]))
 
     # Stored before it is judged: the checks run once and leave a record.
-    results = overwrite_table(run_expectations(tables), f"{out}/checks/expectations")
-    return tables, layer_summary(tables), enforce(results)
+    results = publish_table(
+        run_expectations(tables, counted=failures), f"{out}/checks/expectations"
+    )
+    return tables, _with_layer(_as_counts(spark, counts)), enforce(results)
+
+
+def _as_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    return spark.createDataFrame(list(counts.items()), "table_name string, row_count long")
+
+
+def layer_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of every table with its layer, counted where nobody has."""
+    return _with_layer(table_counts(tables))
 
 
-def layer_summary(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows of every table with its layer."""
+def _with_layer(counts: DataFrame) -> DataFrame:
     pairs = [F.lit(x) for item in LAYERS.items() for x in item]
     layer = F.create_map(*pairs)[F.col("table_name")]
-    return table_counts(tables).select(layer.alias("layer"), "table_name", "row_count")
+    return counts.select(layer.alias("layer"), "table_name", "row_count")

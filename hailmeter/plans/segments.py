@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -16,7 +14,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hailmeter.operators.demand import average, known
-from hailmeter.operators.dimension import attach
+from hailmeter.operators.dimension import attach, fits_broadcast
 from hailmeter.operators.enrich import UnzonedTrips, grouped_sums
 from hailmeter.session import materialize
 
@@ -33,11 +31,12 @@ FEATURES = (
     "pct_adverse_weather",
 )
 CLUSTER_COUNTS = (3, 4, 5, 6)
-SEED = 20250101
-# Training draws its first centres per partition, so rows are always dealt over as
-# many partitions by their keys: neither the input's layout nor its size chooses them.
-TRAINING_PARTS = 32
-MAX_CLUSTERS = 10_000
+# First centres are drawn from so many rows with the least hashes: a bounded sample that
+# depends on the rows alone, not on files, partitions or their number.
+SEED_ROWS = 2_000
+MAX_STEPS = 30
+# Centres of a block meet each other in one row; their number has no cap.
+BLOCK_CENTRES = 1_000
 
 
 _AVERAGED = {
@@ -104,55 +103,162 @@ def standardize_features(df: DataFrame, features: Sequence[str] = FEATURES) -> D
 
 @dataclass
 class Segmentation:
-    """Scaled features with one cluster column per k, and the fitted models."""
+    """Scaled features with one cluster column per k, and the centres behind it.
+
+    `centres[k][i]` is the centre of cluster i + 1 in scaled units: k short rows.
+    """
 
     points: DataFrame
     scaler: PipelineModel
-    models: dict
+    centres: dict[int, list[tuple[float, ...]]]
     features: tuple[str, ...]
 
 
+def assign_to_centres(
+    df: DataFrame, centres: DataFrame, cluster: str, features: Sequence[str], label: str
+) -> DataFrame:
+    """Each row with the nearest of given centres as `label`; the least one among equals.
+
+    `centres` has one row per cluster with the same features. They travel as one short
+    array; where that would be too large to send, rows meet them in blocks.
+    """
+    point = F.array(*[F.col(f"`{c}`").cast("double") for c in features])
+    member = F.struct(F.col(cluster).alias("cluster"), point.alias("at"))
+    known = centres.filter(F.col(cluster).isNotNull())
+    blocks = materialize(_blocks(known, cluster, member), "centres")
+    n = 1 + blocks.agg(F.coalesce(F.max("_b"), F.lit(0))).first()[0]
+    row, keep = "_row", [F.col(f"`{c}`") for c in df.columns]
+    near = F.array_min(
+        F.transform(
+            "_members",
+            lambda m: F.struct(distance(point, m["at"]).alias("d"), m["cluster"].alias("cluster")),
+        )
+    )
+    small = fits_broadcast(blocks)
+    if n == 1:
+        met = df.withColumn("_block", F.lit(0))
+        found = attach(met, blocks, [("_block", "_b")], small=small).withColumn("_near", near)
+        return found.select(*keep, F.col("_near.cluster").alias(label))
+    # the best of each block, then the best of all: rows are told apart by a stored number
+    numbered = materialize(df.withColumn(row, F.monotonically_increasing_id()), "rows")
+    met = numbered.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    best = (
+        attach(met, blocks, [("_block", "_b")], small=small)
+        .groupBy(row)
+        .agg(F.min(near).alias("_near"))
+    )
+    return numbered.join(best, row).select(*keep, F.col("_near.cluster").alias(label))
+
+
+def _blocks(df: DataFrame, key: str, member: Column, by: Sequence[str] = ()) -> DataFrame:
+    """(by, _b, _members): rows dealt by hash to blocks of about BLOCK_CENTRES."""
+    n = max(1, -(-df.count() // BLOCK_CENTRES))
+    block = F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    return df.groupBy(*by, block.alias("_b")).agg(F.collect_list(member).alias("_members"))
+
+
+def lloyd_step(df: DataFrame, cluster: str, features: Sequence[str]) -> DataFrame:
+    """New centres of an assignment: the mean of each feature, and the number of rows."""
+    known = df.filter(F.col(cluster).isNotNull())
+    return known.groupBy(cluster).agg(
+        F.count(F.lit(1)).alias("size"), *[F.avg(c).alias(c) for c in features]
+    )
+
+
+def centroid_pivot(
+    df: DataFrame, cluster: str, features: Sequence[str], clusters: Sequence
+) -> DataFrame:
+    """Feature x cluster of an assignment, means in the features' own units.
+
+    One aggregate by cluster and feature; `clusters` names the columns.
+    """
+    tall = df.filter(F.col(cluster).isin(*clusters)).select(
+        F.col(cluster).alias("_cluster"),
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
+                    for c in features
+                ]
+            )
+        ),
+    )
+    means = [
+        F.avg(F.when(F.col("_cluster") == c, F.col("value"))).alias(f"cluster_{i}")
+        for i, c in enumerate(clusters, 1)
+    ]
+    return tall.groupBy("feature").agg(*means)
+
+
+def first_centres(sample: Sequence[Sequence[float]], k: int) -> list[tuple[float, ...]]:
+    """k rows of a bounded sample: the first, then always the one farthest from those taken."""
+    points = np.asarray(sample, dtype=float)
+    taken = [0]
+    far = np.linalg.norm(points - points[0], axis=1)
+    while len(taken) < min(k, len(points)):
+        taken.append(int(np.argmax(far)))
+        far = np.minimum(far, np.linalg.norm(points - points[taken[-1]], axis=1))
+    return [tuple(points[i]) for i in taken]
+
+
+def _nearest(point: str, centres: Sequence[Sequence[float]]) -> Column:
+    """1-based number of the nearest of a few literal centres; NULL where there are none."""
+    offers = [
+        F.struct(
+            distance(F.col(point), F.array(*[F.lit(float(x)) for x in c])).alias("d"),
+            F.lit(i).alias("i"),
+        )
+        for i, c in enumerate(centres, 1)
+    ]
+    return F.array_min(F.array(*offers))["i"] if offers else F.lit(None).cast("int")
+
+
 def fit_segments(
     df: DataFrame,
     counts: Sequence[int] = CLUSTER_COUNTS,
     features: Sequence[str] = FEATURES,
-    seed: int = SEED,
+    max_steps: int = MAX_STEPS,
 ) -> Segmentation:
-    """One k-means per k over the same scaled rows.
+    """One k-means per k over the same scaled rows: Lloyd steps, all models side by side.
 
-    The rows are written once to the shared folder first: training passes over
-    them many times, and a lost executor must not bring back the fact scan.
+    A step is a single aggregate: every row is given the nearest centre of each model and
+    the means of all clusters come back, a few short rows. It ends when no centre moves.
+    A cluster that loses all its rows keeps its centre. The rows are written once to the
+    shared folder first: a lost executor must not bring back the fact scan.
     """
     stored = materialize(_doubles(df, features), "segments")
     scaler = scaling(features).fit(stored)
-    points = scaler.transform(stored).drop(*[f"_{c}" for c in features], "_raw")
+    scaled = scaler.transform(stored).drop(*[f"_{c}" for c in features], "_raw")
+    points = materialize(scaled.withColumn("scaled", vector_to_array("scaled")), "scaled")
     place = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    training = (
-        points.withColumn("_place", place)
-        .repartition(TRAINING_PARTS, "_place")
-        .sortWithinPartitions("_place", *[F.col(f"`{c}`") for c in df.columns])
-        .select("scaled")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-
-    def fit(k: int):
-        return KMeans(k=k, seed=seed, featuresCol="scaled", predictionCol=f"_p{k}").fit(training)
-
-    # Short passes that leave cores idle: the models train side by side.
-    with ThreadPool(len(counts)) as pool:
-        models = dict(zip(counts, pool.map(inheritable_thread_target(df.sparkSession)(fit), counts), strict=True))
-    training.unpersist()
-    for k, model in models.items():
-        # Ids follow the centre's first feature, so reruns number alike.
-        order = sorted(range(k), key=lambda i: tuple(model.clusterCenters()[i]))
-        rank = {old: new + 1 for new, old in enumerate(order)}
-        pairs = [F.lit(x) for item in rank.items() for x in item]
-        points = (
-            model.transform(points)
-            .withColumn(f"cluster_{k}", F.create_map(*pairs)[F.col(f"_p{k}")])
-            .drop(f"_p{k}")
+    sample = points.select("scaled").orderBy(place, "scaled").limit(SEED_ROWS).collect()
+    rows = [tuple(r.scaled) for r in sample]
+    centres = {k: first_centres(rows, k) if rows else [] for k in counts}
+    for _ in range(max_steps if rows else 0):
+        choices = F.array(
+            *[
+                F.struct(F.lit(k).alias("k"), _nearest("scaled", c).alias("i"))
+                for k, c in centres.items()
+            ]
         )
-    return Segmentation(points, scaler, models, tuple(features))
+        means = [F.avg(F.col("scaled")[j]) for j in range(len(features))]
+        found = (
+            points.select("scaled", F.inline(choices))
+            .groupBy("k", "i")
+            .agg(F.array(*means).alias("mean"))
+            .collect()
+        )
+        moved = {k: list(c) for k, c in centres.items()}
+        for r in found:
+            moved[r.k][r.i - 1] = tuple(r["mean"])
+        still = all(np.allclose(moved[k], centres[k], rtol=0, atol=1e-12) for k in counts)
+        centres = moved
+        if still:
+            break
+    # Ids follow the centre's first feature, so reruns number alike.
+    centres = {k: sorted(c) for k, c in centres.items()}
+    points = points.withColumns({f"cluster_{k}": _nearest("scaled", c) for k, c in centres.items()})
+    return Segmentation(points, scaler, centres, tuple(features))
 
 
 def davies_bouldin(
@@ -165,10 +271,11 @@ def davies_bouldin(
     """Index of a given assignment (Davies & Bouldin 1979), lower is better.
 
     Scatter is the mean Euclidean distance to the own centroid. Centroids are
-    one row per cluster and travel as one small array (at most MAX_CLUSTERS are
-    compared); no point ever meets another point. `clusters` states their number where it is known; without
-    it they are measured before they are broadcast. With `by`, one pass scores
-    several assignments, one per value of the `by` columns.
+    one row per cluster; no point ever meets another point. The index compares every two
+    clusters: each centroid meets blocks of about BLOCK_CENTRES others and keeps its worst
+    ratio, so no row or task holds all of them. `clusters` states their number where it is
+    known; without it they are measured before they are broadcast. With `by`, one pass
+    scores several assignments, one per value of the `by` columns.
     """
     known = df.filter(F.col(cluster).isNotNull())
     centre = F.array(*[F.avg(c) for c in features])
@@ -181,15 +288,10 @@ def davies_bouldin(
         .groupBy(*keys, "_centre")
         .agg(F.avg(distance(point, F.col("_centre"))).alias("_scatter"))
     )
-    # The index compares every two clusters, so their number is checked; one short array
-    # of all of them then meets each cluster's row, and rows are worked on side by side.
-    scattered = materialize(scattered.withColumn("_all", F.lit(1)), "scatter")
-    found = scattered.count()
-    if found > MAX_CLUSTERS:
-        raise ValueError(f"{found} clusters to compare, more than {MAX_CLUSTERS}")
+    scattered = materialize(scattered, "scatter")
     member = F.struct(F.col(cluster).alias("_cluster"), "_centre", "_scatter")
-    together = scattered.groupBy("_all", *by).agg(F.collect_list(member).alias("_others"))
-    others = F.filter("_others", lambda o: o["_cluster"] != F.col(cluster))
+    blocks = materialize(_blocks(scattered, cluster, member, by), "scatter-blocks")
+    others = F.filter("_members", lambda o: o["_cluster"] != F.col(cluster))
     worst = F.array_max(
         F.transform(
             others,
@@ -197,12 +299,22 @@ def davies_bouldin(
             / F.nullif(distance(F.col("_centre"), o["_centre"]), F.lit(0.0)),
         )
     )
-    judged = scattered.join(F.broadcast(together), ["_all", *by]).withColumn("_worst", worst)
+    last = blocks.agg(F.coalesce(F.max("_b"), F.lit(0))).first()[0]
+    met = scattered.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(last))))
+    on = F.col("_b") == F.col("_of_b")
+    for name in by:
+        on &= F.col(name) == F.col(f"_by_{name}")
+    renamed = blocks.withColumnsRenamed({"_b": "_of_b", **{name: f"_by_{name}" for name in by}})
+    judged = (
+        met.join(renamed, on)
+        .groupBy(*by, cluster)
+        .agg(F.max(worst).alias("_worst"))
+    )
     known_all = F.count("_worst") == F.count(F.lit(1))
-    return judged.groupBy("_all", *by).agg(
+    return judged.groupBy(*by).agg(
         F.count(F.lit(1)).cast("int").alias("clusters"),
         F.when(known_all, F.avg("_worst")).alias("davies_bouldin_index"),
-    ).drop("_all")
+    )
 
 
 def distance(a: Column, b: Column) -> Column:
@@ -213,18 +325,18 @@ def distance(a: Column, b: Column) -> Column:
 
 def davies_bouldin_by_k(segments: Segmentation) -> DataFrame:
     """(model, k, index), one row per fitted k, all scored in one pass."""
-    scores = vector_to_array(F.col("scaled"))
+    scores = F.col("scaled")
     choices = F.array(
         *[
             F.struct(F.lit(k).alias("k"), F.col(f"cluster_{k}").alias("cluster"))
-            for k in segments.models
+            for k in segments.centres
         ]
     )
     tall = segments.points.select(
         F.inline(choices), *[scores[i].alias(c) for i, c in enumerate(segments.features)]
     )
     index = davies_bouldin(
-        tall, "cluster", segments.features, clusters=sum(segments.models), by=["k"]
+        tall, "cluster", segments.features, clusters=sum(segments.centres), by=["k"]
     )
     return index.select(
         F.concat(F.lit("k="), F.col("k")).alias("model"), "k", "davies_bouldin_index"
@@ -247,10 +359,9 @@ def k_comparison(indices: DataFrame) -> DataFrame:
 def centroid_table(segments: Segmentation, k: int) -> DataFrame:
     """Feature x cluster in original units, rounded to one decimal.
 
-    The model holds k x features numbers; scaling is undone on those.
+    There are k x features numbers; scaling is undone on those.
     """
-    model, scale = segments.models[k], segments.scaler.stages[-1]
-    centres = sorted(tuple(c) for c in model.clusterCenters())
+    centres, scale = segments.centres[k], segments.scaler.stages[-1]
     rows = [
         (feature, *[float(c[i] * scale.std[i] + scale.mean[i]) for c in centres])
         for i, feature in enumerate(segments.features)
@@ -270,7 +381,7 @@ def assign_clusters(segments: Segmentation, k: int) -> DataFrame:
     The group's own keys come second in the order, so that one large cluster
     does not end up in one sorting task.
     """
-    clusters = {f"cluster_{n}" for n in segments.models} | {"scaled"}
+    clusters = {f"cluster_{n}" for n in segments.centres} | {"scaled"}
     rest = [c for c in segments.points.columns if c not in clusters]
     return segments.points.select(F.col(f"cluster_{k}").alias("cluster"), *rest).orderBy(
         "cluster", *rest

@@ -33,14 +33,16 @@ def _landed_files(spark: SparkSession, path: str, by_folder: bool) -> DataFrame:
 def _history(files: DataFrame, counts: DataFrame, empty_is_failure: bool) -> DataFrame:
     parsed = F.coalesce(F.col("row_parsed"), F.lit(0))
     loaded = F.coalesce(F.col("row_count"), F.lit(0))
-    # A file with bytes of which nothing was parsed is never a quiet success.
-    failed = F.lit(empty_is_failure) & (parsed == 0)
+    # A file with bytes of which nothing was loaded is never a quiet success.
+    failed = F.lit(empty_is_failure) & (loaded == 0)
     status = (
         F.when(failed, "LOAD_FAILED")
         .when(loaded < parsed, "PARTIALLY_LOADED")
         .otherwise("LOADED")
     )
-    error = F.when(failed, F.lit("no readable rows")).otherwise(F.col("first_error_message"))
+    error = F.when(failed & (parsed == 0), F.lit("no readable rows")).otherwise(
+        F.col("first_error_message")
+    )
     return (
         files.join(counts, "file", "left")
         .select(
@@ -76,17 +78,27 @@ def load_history_csv(
 def load_history_parquet(
     spark: SparkSession, path: str, schema: T.StructType, by_folder: bool = False
 ) -> DataFrame:
-    """The same for Parquet, where a file without any readable row has failed."""
-    counts = (
-        scan_trip_files(spark, path, schema, tolerant=True)
-        .groupBy(_unit(F.col("_metadata.file_path"), by_folder).alias("file"))
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .select(
-            "file",
-            "row_count",
-            F.col("row_count").alias("row_parsed"),
-            F.lit(None).cast("string").alias("first_error_message"),
-        )
+    """The same for Parquet: rows that footers promise beside rows that could be read.
+
+    A count that asks for no column reads footers alone; the other one decodes every column
+    of the schema, and stops at the first page of a file that can't be. A file that breaks
+    half way is partially loaded; one without a readable footer or row has failed.
+    """
+    unit = _unit(F.col("_metadata.file_path"), by_folder).alias("file")
+    scan = scan_trip_files(spark, path, schema, tolerant=True)
+    promised = scan.groupBy(unit).agg(F.count(F.lit(1)).alias("row_parsed"))
+    # 1 for every row, but known only once all its columns are decoded
+    one = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in scan.columns]), F.lit(1)) + 1
+    read = scan.groupBy(unit).agg(F.sum(one).alias("row_count"))
+    lost = F.col("row_parsed") - F.coalesce("row_count", F.lit(0))
+    counts = promised.join(read, "file", "left").select(
+        "file",
+        "row_count",
+        "row_parsed",
+        F.when(
+            lost > 0,
+            F.concat(lost.cast("string"), F.lit(" of "), "row_parsed", F.lit(" rows unreadable")),
+        ).alias("first_error_message"),
     )
     return _history(_landed_files(spark, path, by_folder), counts, empty_is_failure=True)
 

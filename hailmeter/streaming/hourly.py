@@ -2,22 +2,45 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hailmeter.functions import clock
+from hailmeter.operators import conform
 from hailmeter.operators.dimension import attach
 
+EVENT_TIME = "_event_time"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _with_event_time(trips: DataFrame, delay: str) -> DataFrame:
+    """Watermarks need the zoned type; under a UTC session the cast moves nothing."""
+    return trips.withColumn(EVENT_TIME, F.col("pickup_at").cast("timestamp")).withWatermark(
+        EVENT_TIME, delay
+    )
 
-def hourly_counts(staged: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Windowed counts per zone; works on a stream and on a batch frame.
 
-    Watermarks need the zoned type; under a UTC session the cast moves nothing.
+def timed_trips(yellow: DataFrame, green: DataFrame, delay: str) -> DataFrame:
+    """Silver trips of both feeds, each under its own watermark.
+
+    The slower feed holds the common watermark back, so a feed that is read faster never
+    makes the other one late.
     """
+    both = _with_event_time(conform.conform_yellow(yellow), delay).unionByName(
+        _with_event_time(conform.conform_green(green), delay)
+    )
+    return conform.flag_trips(conform.derive_trip_features(both))
+
+
+def hourly_counts(staged: DataFrame, delay: str = "2 hours") -> DataFrame:
+    """Windowed counts per zone; works on a stream and on a batch frame."""
+    if EVENT_TIME not in staged.columns:
+        staged = _with_event_time(staged, delay)
     return (
-        staged.withColumn("_event_time", F.col("pickup_at").cast("timestamp"))
-        .withWatermark("_event_time", delay)
-        .groupBy(F.window("_event_time", "1 hour").alias("w"), "pickup_zone_id")
+        staged.groupBy(F.window(EVENT_TIME, "1 hour").alias("w"), "pickup_zone_id")
         .agg(
             F.count(F.lit(1)).alias("trip_count"),
             F.sum("total_amount").alias("total_revenue"),
@@ -31,6 +54,83 @@ def hourly_counts(staged: DataFrame, delay: str = "2 hours") -> DataFrame:
     )
 
 
+@contextmanager
+def _rocksdb(spark: SparkSession):
+    """State on the executors' disks beside their heap, for queries started inside."""
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_PROVIDER)
+        else:
+            spark.conf.set(_PROVIDER, before)
+
+
+def run_backlog(counts: DataFrame, table: str, checkpoint: str) -> list[int]:
+    """Run the backlog into `table`; returns the groups in state after each micro-batch.
+
+    Update mode with an upsert by day: a micro-batch reads what the table holds of the days
+    it touches, puts its changed groups over it, and writes those days anew as its own
+    version, which a retried batch replaces. Readers take each day's newest version, so
+    reading costs what the days hold and not how often they were touched. Groups whose
+    hour the watermark has passed leave the state and stay in the table.
+    """
+    spark = counts.sparkSession
+
+    def upsert(groups: DataFrame, batch_id: int) -> None:
+        changed = groups.withColumn("day", F.to_date("hour_start")).withColumn(
+            "batch_id", F.lit(batch_id).cast("bigint")
+        )
+        days = changed.select("day").distinct()
+        # a batch that is tried again must not see what its first attempt left
+        older = _entries(spark, table, counts, batch_id) if batch_id else None
+        if older is not None:
+            held = _current(older.join(days, "day", "left_semi"))
+            changed = held.unionByName(changed)
+        newest = (
+            changed.groupBy("day", "hour_start", "pickup_zone_id")
+            .agg(F.max_by(F.struct("trip_count", "total_revenue"), "batch_id").alias("v"))
+            .select("day", "hour_start", "pickup_zone_id", "v.*")
+        )
+        newest.write.mode("overwrite").partitionBy("day").parquet(f"{table}/batch_id={batch_id}")
+
+    with _rocksdb(spark):
+        query = (
+            counts.writeStream.outputMode("update")
+            .foreachBatch(upsert)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    return [
+        sum(state["numRowsTotal"] for state in progress["stateOperators"])
+        for progress in query.recentProgress
+    ]
+
+
+def _entries(
+    spark: SparkSession, table: str, like: DataFrame, before: int | None = None
+) -> DataFrame:
+    """All versions of all days, or those of batches before one."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in like.schema.fields)
+    found = spark.read.schema(f"{columns}, batch_id BIGINT, day DATE").parquet(table)
+    return found if before is None else found.filter(F.col("batch_id") < before)
+
+
+def _current(entries: DataFrame) -> DataFrame:
+    """Each day's newest version; the list of days is as long as the calendar."""
+    latest = entries.groupBy("day").agg(F.max("batch_id").alias("batch_id"))
+    return entries.join(F.broadcast(latest), ["day", "batch_id"], "left_semi")
+
+
+def hourly_table(spark: SparkSession, table: str, like: DataFrame) -> DataFrame:
+    """Zone x hour groups as they stand."""
+    return _current(_entries(spark, table, like)).select(*like.columns)
+
+
 def stream_hourly_demand(
     staged: DataFrame,
     weather: DataFrame,
@@ -41,40 +141,12 @@ def stream_hourly_demand(
 ) -> DataFrame:
     """Run the backlog and return zone x hour demand with the hour's weather.
 
-    Update mode: every micro-batch writes its changed groups into a folder
-    named by the batch id, which a retried batch replaces. The newest entry of
-    a group wins, so hours the watermark still holds open are present too.
+    Files must land in time order up to `delay`; hours the watermark still holds open are
+    present too.
     """
-    spark: SparkSession = staged.sparkSession
-
-    def write_batch(groups: DataFrame, batch_id: int) -> None:
-        groups.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
-
     counts = hourly_counts(staged, delay)
-    (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return attach_hour(newest(spark, table, counts), weather, weather_small)
-
-
-def newest(spark: SparkSession, table: str, like: DataFrame) -> DataFrame:
-    """The latest entry of every zone and hour in the batch folders."""
-    entries = spark.read.schema(f"{_ddl(like)}, batch_id BIGINT").parquet(table)
-    values = F.struct("trip_count", "total_revenue")
-    return (
-        entries.groupBy("hour_start", "pickup_zone_id")
-        .agg(F.max_by(values, "batch_id").alias("v"))
-        .select("hour_start", "pickup_zone_id", "v.*")
-    )
-
-
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+    run_backlog(counts, table, checkpoint)
+    return attach_hour(hourly_table(staged.sparkSession, table, counts), weather, weather_small)
 
 
 def attach_hour(

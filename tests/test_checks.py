@@ -85,3 +85,20 @@ def test_pipeline_stops_at_the_gate(spark, sf_dir, tmp_path):
     settings = pipeline.Settings(gate=x.PRODUCTION_GATE)
     with pytest.raises(x.ExpectationError, match="yellow_raw"):
         pipeline.run_pipeline(spark, scene.landed, str(tmp_path / "t"), settings)
+
+
+def test_checks_that_were_observed_scan_nothing(spark, tables):
+    checks = [x.Expectation("child", "k", "not_null"), x.Expectation("child", "v", "accepted_values", values=("a",))]
+    seen = {c.name: n for c, n in zip(checks, (1, 2))}
+    observed = x.run_expectations(tables, checks, counted=seen)
+    assert [tuple(r) for r in observed.collect()] == [tuple(r) for r in x.run_expectations(tables, checks).collect()]
+
+
+def test_checks_write_no_table(spark, sf_dir, monkeypatch):
+    from hailmeter.catalog import queries
+    from pyspark.sql import DataFrameWriter
+
+    Scene(spark, sf_dir).bronze  # stored once per application
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *a, **b: pytest.fail("a table is written"))
+    for name in ("expect_not_null", "expect_accepted_values", "expect_relationship", "layer_counts"):
+        assert queries.QUERIES[name](Scene(spark, sf_dir)).count() > 0

@@ -90,3 +90,58 @@ def test_unknown_features_are_imputed(spark, blobs):
     holed = blobs.withColumn("a", F.when(F.col("key") != "g0-0", F.col("a")))
     fitted = segments.fit_segments(holed, (4,), FEATURES)
     assert segments.assign_clusters(fitted, 4).count() == blobs.count()
+
+
+def test_index_in_blocks_equals_the_index_at_once(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i % 40, *map(float, rng.normal(size=3))) for i in range(400)]
+    df = spark.createDataFrame(rows, "c int, x double, y double, z double")
+    names = ("x", "y", "z")
+    whole = segments.davies_bouldin(df, "c", names).first()
+    monkeypatch.setattr(segments, "BLOCK_CENTRES", 3)
+    blocked = segments.davies_bouldin(df, "c", names).first()
+    points = np.array([r[1:] for r in rows])
+    want = _direct(points, np.array([r[0] for r in rows]))
+    assert whole.clusters == blocked.clusters == 40
+    assert whole.davies_bouldin_index == pytest.approx(want, rel=1e-12)
+    assert blocked.davies_bouldin_index == pytest.approx(want, rel=1e-12)
+
+
+@pytest.mark.parametrize("block", [3, 1000])
+def test_rows_get_the_nearest_centre(spark, monkeypatch, block):
+    monkeypatch.setattr(segments, "BLOCK_CENTRES", block)
+    rng = np.random.default_rng(4)
+    points = [(i, *map(float, rng.normal(size=2))) for i in range(120)] + [(7, 0.5, 0.5)] * 2
+    centres = [(i, *map(float, rng.normal(size=2))) for i in range(11)]
+    centres += [(100, *centres[2][1:]), (None, 0.0, 0.0)]
+    df = spark.createDataFrame(points, "id int, x double, y double")
+    near = segments.assign_to_centres(
+        df, spark.createDataFrame(centres, "c int, x double, y double"), "c", ("x", "y"), "near"
+    )
+    own = np.array([c[1:] for c in centres[:11]])
+    want = sorted(
+        (i, int(np.argmin(np.linalg.norm(own - np.array([x, y]), axis=1)))) for i, x, y in points
+    )
+    assert sorted((r.id, r.near) for r in near.collect()) == want
+
+
+def test_a_step_is_the_mean_of_each_cluster(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 5.0), (None, 9.0)], "c string, x double")
+    rows = sorted(tuple(r) for r in segments.lloyd_step(df, "c", ("x",)).collect())
+    assert rows == [("a", 2, 2.0), ("b", 1, 5.0)]
+    pivot = segments.centroid_pivot(df, "c", ("x",), ("a", "b", "none")).first()
+    assert tuple(pivot) == ("x", 2.0, 5.0, None)
+
+
+def test_training_ends_where_a_step_moves_nothing(blobs):
+    fitted = segments.fit_segments(blobs, (4,), FEATURES)
+    scaled = fitted.points.select(
+        "cluster_4", *[F.col("scaled")[i].alias(c) for i, c in enumerate(FEATURES)]
+    )
+    for r in segments.lloyd_step(scaled, "cluster_4", FEATURES).collect():
+        assert [r[c] for c in FEATURES] == pytest.approx(fitted.centres[4][r.cluster_4 - 1])
+
+
+def test_nothing_to_fit(blobs):
+    fitted = segments.fit_segments(blobs.withColumn("a", F.col("a")).filter("truth = 0").limit(2), (3,), FEATURES)
+    assert segments.assign_clusters(fitted, 3).count() == 2

@@ -4,6 +4,7 @@ import json
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hailmeter import schemas
@@ -182,3 +183,60 @@ def test_append_casts_to_the_declared_schema(spark, tmp_path):
 def test_sample_is_repeatable(spark):
     df = spark.range(100).repartition(7)
     assert [r.id for r in reports.sample_rows(df, 3, ["id"]).collect()] == [0, 1, 2]
+
+
+def test_a_failed_write_leaves_the_old_version(spark, tmp_path):
+    path = str(tmp_path / "table")
+    tables.publish_table(spark.range(5), path)
+    broken = spark.range(0, 100, 1, 4).selectExpr("CAST(if(id = 90, raise_error('midway'), id) AS BIGINT) AS id")
+    with pytest.raises(Exception, match="midway"):
+        tables.publish_table(broken, path)
+    assert tables.read_published(spark, path).count() == 5
+    for n in (6, 7, 8):
+        assert tables.publish_table(spark.range(n), path).count() == n
+        assert tables.read_published(spark, path).count() == n
+    assert len(tables.table_versions(spark, path)) == 2
+    with pytest.raises(FileNotFoundError):
+        tables.read_published(spark, str(tmp_path / "none"))
+
+
+def test_a_table_may_be_published_from_itself(spark, tmp_path):
+    path = str(tmp_path / "table")
+    tables.publish_table(spark.range(5), path)
+    more = tables.read_published(spark, path).selectExpr("id + 1 AS id")
+    assert tables.publish_table(more, path).agg({"id": "sum"}).first()[0] == 15
+
+
+def test_observed_write_counts_what_it_writes(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 8).selectExpr("id", "if(id % 4 = 0, null, id) AS v", "id % 3 AS p")
+    metrics = {"rows": F.count(F.lit(1)), "null v": F.count_if(F.col("v").isNull())}
+    stored, seen = tables.write_observed(
+        df, str(tmp_path / "t"), metrics, partition_by=["p"], rebalance=True
+    )
+    assert seen == {"rows": 1000, "null v": 250} and stored.count() == 1000
+
+
+def test_history_of_half_a_parquet_file(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    rows = pa.table({"a": pa.array(range(40_000)), "b": pa.array([str(i) for i in range(40_000)])})
+    for name in ("good", "half", "torn"):
+        pq.write_table(rows, folder / f"{name}.parquet", row_group_size=10_000, compression="snappy")
+    whole = (folder / "half.parquet").read_bytes()
+    meta = pq.ParquetFile(folder / "half.parquet").metadata
+    at = meta.row_group(2).column(0).dictionary_page_offset or meta.row_group(2).column(0).data_page_offset
+    (folder / "half.parquet").write_bytes(whole[:at] + b"\xff" * 400 + whole[at + 400 :])
+    (folder / "torn.parquet").write_bytes(whole[: len(whole) // 2])
+    schema = "a long, b string"
+    history = reports.load_history_parquet(
+        spark, str(folder), T._parse_datatype_string(schema)
+    ).collect()
+    found = {r.file_name: r for r in history}
+    assert tuple(found["good.parquet"])[1:] == ("LOADED", 40_000, 40_000, None)
+    half = found["half.parquet"]
+    assert half.status == "PARTIALLY_LOADED" and 0 < half.row_count < half.row_parsed == 40_000
+    assert half.first_error_message == f"{40_000 - half.row_count} of 40000 rows unreadable"
+    assert tuple(found["torn.parquet"])[1:] == ("LOAD_FAILED", 0, 0, "no readable rows")
