@@ -976,8 +976,8 @@ def stream_hourly_demand(s: Scene) -> DataFrame:
     folder = s.folder("stream-hourly")
     delay = "40 days"
     streams = (
-        incremental.read_landing(s.spark, s.landed.yellow_in_order, schemas.YELLOW_FILE, 12),
-        incremental.read_landing(s.spark, s.landed.green_in_order, schemas.GREEN_FILE, 12),
+        incremental.read_landing(s.spark, s.landed.yellow_in_order, schemas.YELLOW_FILE, 48),
+        incremental.read_landing(s.spark, s.landed.green_in_order, schemas.GREEN_FILE, 48),
     )
     return hourly.stream_hourly_demand(
         enrich.valid_trips(hourly.timed_trips(*streams, delay)),

@@ -34,7 +34,8 @@ CLUSTER_COUNTS = (3, 4, 5, 6)
 # First centres are drawn from so many rows with the least hashes: a bounded sample that
 # depends on the rows alone, not on files, partitions or their number.
 SEED_ROWS = 2_000
-MAX_STEPS = 30
+MAX_STEPS = 20
+TOLERANCE = 1e-4
 # Centres of a block meet each other in one row; their number has no cap.
 BLOCK_CENTRES = 1_000
 
@@ -201,16 +202,18 @@ def first_centres(sample: Sequence[Sequence[float]], k: int) -> list[tuple[float
     return [tuple(points[i]) for i in taken]
 
 
-def _nearest(point: str, centres: Sequence[Sequence[float]]) -> Column:
-    """1-based number of the nearest of a few literal centres; NULL where there are none."""
-    offers = [
-        F.struct(
-            distance(F.col(point), F.array(*[F.lit(float(x)) for x in c])).alias("d"),
-            F.lit(i).alias("i"),
-        )
-        for i, c in enumerate(centres, 1)
-    ]
-    return F.array_min(F.array(*offers))["i"] if offers else F.lit(None).cast("int")
+def _nearest(point: str, centres: Sequence[Sequence[float]]) -> str:
+    """SQL: 1-based number of the nearest of a few literal centres; NULL where there are none.
+
+    As text, since a step's plan would take longer to build from columns than to run.
+    """
+    if not centres:
+        return "CAST(NULL AS INT)"
+    rows = ", ".join(
+        "array(" + ", ".join(f"double('{float(x)!r}')" for x in c) + ")" for c in centres
+    )
+    square = f"aggregate(zip_with({point}, c, (x, y) -> (x - y) * (x - y)), 0D, (s, x) -> s + x)"
+    return f"array_min(transform(array({rows}), (c, i) -> struct(sqrt({square}) AS d, i + 1 AS i))).i"
 
 
 def fit_segments(
@@ -222,7 +225,7 @@ def fit_segments(
     """One k-means per k over the same scaled rows: Lloyd steps, all models side by side.
 
     A step is a single aggregate: every row is given the nearest centre of each model and
-    the means of all clusters come back, a few short rows. It ends when no centre moves.
+    the means of all clusters come back, a few short rows. It ends when no centre moves by more than TOLERANCE.
     A cluster that loses all its rows keeps its centre. The rows are written once to the
     shared folder first: a lost executor must not bring back the fact scan.
     """
@@ -235,29 +238,28 @@ def fit_segments(
     rows = [tuple(r.scaled) for r in sample]
     centres = {k: first_centres(rows, k) if rows else [] for k in counts}
     for _ in range(max_steps if rows else 0):
-        choices = F.array(
-            *[
-                F.struct(F.lit(k).alias("k"), _nearest("scaled", c).alias("i"))
-                for k, c in centres.items()
-            ]
+        choices = ", ".join(
+            f"struct({k} AS k, {_nearest('scaled', c)} AS i)" for k, c in centres.items()
         )
-        means = [F.avg(F.col("scaled")[j]) for j in range(len(features))]
+        means = ", ".join(f"avg(scaled[{j}])" for j in range(len(features)))
         found = (
-            points.select("scaled", F.inline(choices))
+            points.select("scaled", F.expr(f"inline(array({choices}))"))
             .groupBy("k", "i")
-            .agg(F.array(*means).alias("mean"))
+            .agg(F.expr(f"array({means})").alias("mean"))
             .collect()
         )
         moved = {k: list(c) for k, c in centres.items()}
         for r in found:
             moved[r.k][r.i - 1] = tuple(r["mean"])
-        still = all(np.allclose(moved[k], centres[k], rtol=0, atol=1e-12) for k in counts)
+        still = all(np.allclose(moved[k], centres[k], rtol=0, atol=TOLERANCE) for k in counts)
         centres = moved
         if still:
             break
     # Ids follow the centre's first feature, so reruns number alike.
     centres = {k: sorted(c) for k, c in centres.items()}
-    points = points.withColumns({f"cluster_{k}": _nearest("scaled", c) for k, c in centres.items()})
+    points = points.withColumns(
+        {f"cluster_{k}": F.expr(_nearest("scaled", c)) for k, c in centres.items()}
+    )
     return Segmentation(points, scaler, centres, tuple(features))
 
 
