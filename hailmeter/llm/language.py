@@ -74,8 +74,10 @@ def _unit(counts: np.ndarray) -> np.ndarray:
 
 
 def _fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 30.0, steps: int = 150) -> np.ndarray:
-    """Weights and bias of an L2-regularised squared-hinge machine (accelerated descent)."""
-    x = np.hstack([x, np.ones((len(x), 1), dtype=np.float32)])
+    """Weights of an L2-regularised squared-hinge machine (accelerated descent).
+
+    The last column of `x` is 1, for the bias.
+    """
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
     rate = 1.0 / (1.0 + 4.0 * cost)
     w = np.zeros(x.shape[1], dtype=np.float32)
@@ -93,7 +95,13 @@ def _fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 30.0, steps: int = 150)
 def _train_pair(frame: pd.DataFrame) -> pd.DataFrame:
     one, two = frame["pair"].iloc[0].split("|")
     frame = frame.sort_values(["lang", "text"], kind="stable")
-    x = np.vstack([_unit(c) for c in _counts(pa.array(frame["text"], pa.string()))])
+    # one matrix, filled in place: the sample is bounded, and nothing of it is held twice
+    x = np.empty((len(frame), (1 << BITS) + 1), dtype=np.float32)
+    x[:, -1] = 1.0
+    at = 0
+    for counts in _counts(pa.array(frame["text"], pa.string())):
+        x[at : at + len(counts), :-1] = _unit(counts)
+        at += len(counts)
     y = np.where(frame["lang"] == one, 1.0, -1.0).astype(np.float32)
     return pd.DataFrame({"one": [one], "two": [two], "model": [_fit_svm(x, y).tobytes()]})
 
@@ -139,8 +147,10 @@ def train(labelled: DataFrame, families=FAMILIES, per_language: int = SAMPLE_PER
         wanted = spark.createDataFrame(
             [(lang, f"{a}|{b}") for a, b in pairs for lang in (a, b)], "lang string, pair string"
         )
+        # a stated number of partitions is not merged again: pairs train side by side
         trained = (
             sample.join(F.broadcast(wanted), "lang")
+            .repartition(max(2, len(pairs)), "pair")
             .groupBy("pair")
             .applyInPandas(_train_pair, "one string, two string, model binary")
             .collect()
@@ -203,14 +213,18 @@ def _predict_batches(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                     scores.append(score)
             else:
                 langs = [UNDETERMINED] * len(text)
-                lettered = [False] * len(text)
                 scores.append(np.zeros(len(text)))
             score = np.where(lettered, np.clip(np.concatenate(scores), 0, 1), 0.0)
             pred = [a if ok else UNDETERMINED for a, ok in zip(langs, lettered, strict=True)]
             keep = [batch.column(i) for i in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays(
-                [*keep, pa.array(pred, pa.string()), pa.array(score, pa.float64())],
-                names=[*batch.schema.names, "lang_pred", "score"],
+                [
+                    *keep,
+                    pa.array(pred, pa.string()),
+                    pa.array(score, pa.float64()),
+                    pa.array(lettered, pa.bool_()),
+                ],
+                names=[*batch.schema.names, "lang_pred", "score", "has_letter"],
             )
 
     return run
@@ -228,8 +242,12 @@ def learnable(docs: DataFrame) -> DataFrame:
 
 
 def predict(rows: DataFrame, model) -> DataFrame:
-    """Adds lang_pred and score to rows, which have a column text."""
-    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    """Adds lang_pred, score and has_letter to rows, which have a column text."""
+    added = [
+        T.StructField("lang_pred", T.StringType()),
+        T.StructField("score", T.DoubleType()),
+        T.StructField("has_letter", T.BooleanType()),
+    ]
     return rows.mapInArrow(_predict_batches(model), T.StructType(rows.schema.fields + added))
 
 
@@ -241,13 +259,30 @@ def language_id(docs: DataFrame, families=FAMILIES) -> DataFrame:
         held_out().alias("held_out"),
         F.col("text").cast("string").alias("text"),
     )
-    return predict(rows, model).drop("text")
+    return predict(rows, model).drop("text", "has_letter")
 
 
 def determined(docs: DataFrame, families=FAMILIES) -> DataFrame:
-    """The documents in some language, with all their columns; undetermined ones go."""
+    """The documents in some language, with all their columns.
+
+    Texts without a letter (null and empty ones too) go. Whatever has one stays, also where
+    no label was there to learn from; a null lang becomes the predicted one, other values
+    of lang and all other columns are left as they are. Repeated rows and rows of one
+    doc_id stay, each for itself.
+    """
     model = train(learnable(docs), families)
     numbered = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)]
     rows = docs.select(*numbered, F.col("text").cast("string").alias("text"))
-    kept = predict(rows, model).filter(F.col("lang_pred") != UNDETERMINED)
-    return kept.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
+    kept = predict(rows, model).filter("has_letter")
+    # the prediction of a text that was judged; 'und' where there was nothing to learn from
+    guessed = F.when(F.col("lang_pred") != UNDETERMINED, F.col("lang_pred"))
+    return kept.select(
+        *[
+            (
+                F.coalesce(F.col(f"_{i}"), guessed.cast(docs.schema[i].dataType))
+                if c == "lang"
+                else F.col(f"_{i}")
+            ).alias(c)
+            for i, c in enumerate(docs.columns)
+        ]
+    )

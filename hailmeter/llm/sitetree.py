@@ -36,6 +36,7 @@ markup is read as far as it goes; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from hashlib import blake2b
 from html import unescape
@@ -100,11 +101,18 @@ REPLY_WORDS = set("comment comments commentlist disqus reply replies respond".sp
 ALL_SHARE, MOST_SHARE, MOST_CHARS = 0.9, 0.5, 200
 CONTENT_WORDS = set("article content post entry story main body text maincontent".split())
 
+# No alternative gives anything back: a quote opens a value if it is closed anywhere behind,
+# else it stands for itself, so a markup token is read once.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?P<self>/?)>",
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)"
+    r"(?P<attrs>(?>[^>\"'/]++|\"[^\"]*+\"|'[^']*+'|[\"']|/(?!>))*+)(?P<self>/?)>",
     re.S,
 )
+#: A tag whose quotes hide its end: it ends at the next `>`.
+_BROKEN = re.compile(
+    r"<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>[^>]*?)(?P<self>/?)>(?P<cdata>(?!))?", re.S
+)
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"[a-z0-9]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
@@ -257,12 +265,37 @@ def _keep_wrappers(root: Node) -> None:
                 visit(node, wholes[scope])
 
 
+def _next_token(html: str, at: int, last: int) -> re.Match | None:
+    """The next piece of markup; each is found in time that grows with its own length.
+
+    What opens behind the last `>` never ends and is text, but for comments and the like.
+    """
+    while (at := html.find("<", at)) >= 0:
+        if at < last or html.startswith(("<!--", "<![CDATA["), at):
+            m = _TOKEN.match(html, at) or _BROKEN.match(html, at)
+            if m:
+                return m
+        at += 1
+    return None
+
+
 def parse(html: str) -> Node:
     """A forgiving tree: unclosed and crossed elements end where their parent ends."""
     root = Node("#root", (), None)
     at, here, end = 0, root, len(html)
+    last = html.rfind(">")  # nothing that is behind it ends
+    opened: Counter[str] = Counter()  # elements around `here`, by tag
+
+    def leave(node: Node) -> Node:
+        """The parent of an element around `here`; elements inside it end with it."""
+        inner = here
+        while inner is not node.parent:
+            opened[inner.tag] -= 1
+            inner = inner.parent
+        return inner
+
     while at < end:
-        m = _TOKEN.search(html, at)
+        m = _next_token(html, at, last)
         text = html[at : m.start() if m else end]
         if text:
             here.children.append(text)
@@ -275,21 +308,22 @@ def parse(html: str) -> Node:
         if not tag:
             continue
         if m["close"]:
-            node = here
-            while node.parent is not None and node.tag != tag:
-                node = node.parent
-            if node.parent is not None:
-                here = node.parent
+            if opened[tag]:
+                node = here
+                while node.tag != tag:
+                    node = node.parent
+                here = leave(node)
             elif tag in ("p", "br"):
                 here.children.append(" ")
             continue
         if tag in ENDS_PARAGRAPH or tag in ENDED_BY:
             ends = ENDED_BY.get(tag, set()) | ({"p"} if tag in ENDS_PARAGRAPH else set())
-            node = here
-            while node.parent is not None and node.tag not in ends and node.tag not in SCOPES:
-                node = node.parent
-            if node.tag in ends:
-                here = node.parent
+            if any(opened[t] for t in ends):
+                node = here
+                while node.parent is not None and node.tag not in ends and node.tag not in SCOPES:
+                    node = node.parent
+                if node.tag in ends:
+                    here = leave(node)
         attrs = _attributes(m["attrs"])
         names = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()
         node = Node(tag, tuple(_NAME.findall(names)) if names != " " else (), here)
@@ -302,6 +336,7 @@ def parse(html: str) -> Node:
             at = close.end() if close else end
         elif tag not in VOID and not m["self"]:
             here = node
+            opened[tag] += 1
     _keep_wrappers(root)
     return root
 

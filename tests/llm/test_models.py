@@ -78,3 +78,28 @@ def test_toxicity_without_both_labels_is_their_share(spark, awkward):
     labels = spark.createDataFrame([(0, 1, 0), (1, 1, 0)], "doc_id long, quality int, toxic int")
     assert {r.score for r in toxicity.toxicity(awkward, labels).collect()} == {0.0}
     assert toxicity.toxicity(awkward, labels.limit(0)).filter(F.col("predicted") == 1).count() == 0
+
+
+def test_language_stage_keeps_what_has_letters(given, awkward, nothing):
+    """Nothing with a letter goes, labels or not; null languages are filled in."""
+    docs = given("documents")
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    lettered = docs.filter(F.col("text").rlike(r"\p{L}")).count()
+    for rows in (docs, unlabelled):
+        assert language.determined(rows).count() == lettered
+    assert not language.determined(unlabelled).filter("lang is not null").count()
+    assert language.determined(nothing).columns == nothing.columns
+    kept = language.determined(awkward)
+    assert kept.columns == awkward.columns
+    assert kept.count() == awkward.filter(F.col("text").rlike(r"\p{L}")).count()
+
+
+def test_language_stage_hands_the_prediction_on(given):
+    docs = given("documents")
+    hidden = docs.withColumn("lang", F.when(F.col("doc_id") % 5 != 1, F.col("lang")))
+    found = language.determined(hidden).alias("f").join(docs.alias("d"), "doc_id")
+    asked = found.filter("doc_id % 5 = 1 and d.lang is not null")
+    assert not asked.filter("f.lang is null").count()
+    right = asked.filter("f.lang = d.lang").count() / asked.count()
+    assert right > 0.9
+    assert not found.filter("doc_id % 5 <> 1 and not (f.lang <=> d.lang) and d.lang is not null").count()

@@ -1,4 +1,7 @@
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
 from hailmeter.llm import sitetree
 
@@ -142,3 +145,56 @@ def test_pages_of_the_given_tables(spark, given):
 
 def test_no_pages(spark):
     assert sitetree.main_text(spark.createDataFrame([], PAGE)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<a " + '"' * 100_001,
+        "<a " + '"' * 100_001 + ">",
+        "<a " * 100_000,
+        "<a " * 100_000 + ">",
+        "<a '\"" * 50_000 + ">x",
+        "<a \"'" * 50_000 + '">t</a>',
+        "<b>" * 50_000 + "</i>" * 50_000,
+        "<b>" * 50_000 + "<p>" * 50_000,
+        "<" * 200_000,
+        "<!--" * 50_000,
+        "<script>" * 50_000,
+        "<a " + "a='" * 50_000 + ">",
+    ],
+)
+def test_hostile_markup_is_read_once(html):
+    started = time.process_time()
+    sitetree.parse(html)
+    assert time.process_time() - started < 5
+
+
+def test_broken_quotes_end_at_the_next_bracket():
+    assert text_of("<p title=\"open>one</p><p>two</p>") == "one two"
+    assert text_of("<p>one</p><a href='x>two") == "one two"
+    assert text_of("<p>one</p><a href='x") == "one <a href='x"
+    assert text_of("a <b") == "a <b"
+
+
+def test_awkward_pages(spark):
+    """Nulls, empty and very long html, repeated rows and clashing columns."""
+    page = "<article><p>a story of its own</p></article>"
+    long = "<article>" + "<p>word</p>" * 50_000 + "</article>"
+    rows = [
+        (1, "http://a.example/x", page), (1, "http://a.example/x", page), (None, None, page),
+        (2, None, None), (3, "http://a.example/y", ""), (4, "no url", long), (None, None, None),
+    ]
+    df = spark.createDataFrame(rows, PAGE)
+    story = "a story of its own"
+    want = [
+        (1, story), (1, story), (None, story), (2, ""), (3, ""),
+        (4, " ".join(["word"] * 50_000)), (None, ""),
+    ]
+    got = sitetree.main_text(df)
+    assert sorted(map(str, [(r.page_id, r.text) for r in got.collect()])) == sorted(map(str, want))
+    for name in ("host", "path", "text", "n", "removed", "node", "content"):
+        df = df.withColumn(name, F.lit("?"))
+    again = sitetree.main_text(df)
+    assert sorted(map(str, again.collect())) == sorted(map(str, got.collect()))
+    assert sitetree.main_text(df.limit(0)).count() == 0
