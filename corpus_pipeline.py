@@ -4,12 +4,15 @@ Every stage takes (spark, docs, sf_dir) and returns a frame, which is written as
 and read again as the next stage's documents. All but the last return the columns of
 documents, extra ones included.
 
-1. language ID: documents without a determinable language go.
+1. language ID: documents without a letter go; a null lang becomes the predicted one.
 2. line dedup: later similar lines are cut out; a document without words left goes.
 3. near duplicates: one document of each connected class stays.
 4. decontamination: documents with a passage of the benchmark go.
 5. mixture: how many words of each document the mix of sources takes.
 
+Nulls in any column, empty and very long texts, ties, repeated rows and empty tables have
+the results that the stages' operators state; an empty table gives an empty result.
+
 SQL can't express the first stage (a trained classifier), so the whole has no twin.
 """
 
