@@ -192,7 +192,8 @@ def quality_rules(
 def oracle() -> str:
     """The query's rows in DuckDB, with exact quartiles.
 
-    They equal the sketches' ones where a group has fewer rows than the accuracy.
+    They are those of distinct count vectors, as the engine's; they equal the sketches' ones
+    where a group has fewer of them than the accuracy.
     """
     ratios = {rule: ratio.replace("/", "::DOUBLE /") for rule, (ratio, _) in RULES.items()}
     quartiles = ", ".join(
@@ -229,7 +230,7 @@ counted AS (
   FROM split LEFT JOIN repeated USING (r) LEFT JOIN lines USING (r)),
 fences AS (
   SELECT lang AS of_lang, source AS of_source, {quartiles}
-  FROM counted WHERE n_words > 0 GROUP BY 1, 2),
+  FROM (SELECT DISTINCT * EXCLUDE (doc_id) FROM counted WHERE n_words > 0) GROUP BY 1, 2),
 judged AS (
   SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed
   FROM counted LEFT JOIN fences
