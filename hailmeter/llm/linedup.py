@@ -60,7 +60,7 @@ def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         doc = batch.column("doc").to_numpy()
         text_hash = batch.column("text_hash").to_numpy()
-        for chunk in tokens.chunks(batch.column("text")):
+        for chunk in tokens.chunks(batch.column("text"), setjoin.CHUNK_BYTES):
             items = line_sets(chunk)
             row = chunk.first + items.row
             yield pa.RecordBatch.from_arrays(
@@ -93,7 +93,8 @@ def later_matches(docs: DataFrame) -> DataFrame:
         lines.groupBy("cls").agg(F.min(F.struct("doc", "line")).alias("at")),
         "line-firsts",
     )
-    pairs, hot = setjoin.candidates(texts, line_sets, line_words, MANY_LINES, adaptive=False)
+    counts = setjoin.token_counts(texts, line_words)
+    pairs, hot = setjoin.candidates(texts, line_sets, counts, MANY_LINES, adaptive=False)
     hot = stored(hot.join(first, "cls"), "line-hot")
     pivots = hot.groupBy("token").agg(
         F.min(F.struct("at", "cls", "size", "pos", "extra")).alias("p")
@@ -105,7 +106,7 @@ def later_matches(docs: DataFrame) -> DataFrame:
         .filter(F.expr("a.at < b.at") & setjoin.possible("a", "b", adaptive=False))
         .select(F.least("a.cls", "b.cls").alias("x"), F.greatest("a.cls", "b.cls").alias("y"))
     )
-    tried = stored(pairs.unionByName(star).distinct(), "line-pairs")
+    tried = stored(pairs.select("x", "y").unionByName(star).distinct(), "line-pairs")
     sets = setjoin.whole_sets(texts, line_sets, setjoin.classes_of(tried))
     # of two similar classes, the one whose first line is later has an earlier match
     one = first.select(F.col("cls").alias("x"), F.col("at").alias("ax"))
@@ -115,20 +116,18 @@ def later_matches(docs: DataFrame) -> DataFrame:
     found = stored(
         similar.join(one, "x").join(two, "y").select(later).dropna().distinct(), "line-matched"
     )
-    # Each class was paired with the earliest that passes the bounds under each token. Where
-    # such a pair isn't similar after all, a class without an earlier match yet meets all
-    # others under its tokens.
-    failed = setjoin.classes_of(pairs.join(similar, ["x", "y"], "left_anti"))
+    # Each class was paired with the earliest that pass the bounds under each token. Where
+    # the pair that ended its search isn't similar after all, a class without an earlier
+    # match yet meets all others under its tokens.
+    ended = pairs.filter("ended <> 0").join(similar, ["x", "y"], "left_anti")
+    failed = ended.select(F.col("ended").alias("cls")).distinct()
     matched = found.select(F.col("y").alias("cls"))
     asked = stored(failed.join(matched, "cls", "left_anti"), "line-open")
+    more = None
     if asked.take(1):
-        others = setjoin.remaining(texts, line_sets, line_words, MANY_LINES, asked)
-        others = stored(others.join(tried, ["x", "y"], "left_anti"), "line-others")
-        sets = setjoin.whole_sets(texts, line_sets, setjoin.classes_of(others))
-        again = setjoin.verified(others, sets).join(one, "x").join(two, "y")
-        found = found.unionAll(again.select(later).dropna()).distinct()
-        found = stored(found, "line-matched")
-    # and under its hot tokens
+        # their whole sets are there already
+        own = sets.join(asked, "cls", "left_semi")
+        more = setjoin.remaining(texts, line_sets, counts, MANY_LINES, own)
     open_ones = hot.join(found, hot["cls"] == found["y"], "left_anti")
     rest = (
         open_ones.alias("b")
@@ -137,16 +136,16 @@ def later_matches(docs: DataFrame) -> DataFrame:
         .select(
             F.least("a.cls", "b.cls").alias("x"),
             F.greatest("a.cls", "b.cls").alias("y"),
-            F.col("b.cls").alias("later"),
         )
-        .distinct()
-        .join(tried, ["x", "y"], "left_anti")
     )
-    rest = stored(rest, "line-rest")
+    rest = (rest if more is None else rest.unionByName(more)).distinct()
+    rest = stored(rest.join(tried, ["x", "y"], "left_anti"), "line-rest")
     if rest.take(1):
-        more = setjoin.whole_sets(texts, line_sets, setjoin.classes_of(rest))
-        again = setjoin.verified(rest.select("x", "y"), more).join(rest, ["x", "y"])
-        found = found.unionAll(again.select("later").distinct())
+        # one pass over the texts for all sets that aren't there yet
+        lacking = setjoin.classes_of(rest).join(sets, "cls", "left_anti")
+        fetched = setjoin.whole_sets(texts, line_sets, lacking)
+        again = setjoin.verified(rest, sets.unionByName(fetched)).join(one, "x").join(two, "y")
+        found = found.unionAll(again.select(later).dropna())
     matched = found.select(F.col("y").alias("cls"), F.lit(True).alias("matched"))
     judged = first.join(matched.distinct(), "cls", "left")
     removed = lines.join(judged, "cls").filter(

@@ -122,7 +122,8 @@ def components(links: DataFrame, label: str, start: DataFrame | None = None) ->
 
 def connected(texts: DataFrame) -> DataFrame:
     """(cls, root): the component of every class that links with another."""
-    pairs, hot = setjoin.candidates(texts, shingle_sets, all_shingles, MANY_SETS, adaptive=True)
+    counts = setjoin.token_counts(texts, all_shingles)
+    pairs, hot = setjoin.candidates(texts, shingle_sets, counts, MANY_SETS, adaptive=True)
     # The plainest copy of a group has the most shared shingles in its prefix, so most
     # of the group's shingles have it as their pivot, and each copy meets it once.
     plain = hot.groupBy("cls").agg(F.count("*").alias("n_hot"))

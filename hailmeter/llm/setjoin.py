@@ -41,9 +41,15 @@ from hailmeter.llm.repeats import _box, _boxes, _first_of_each, unpack
 NUM, DEN = 80, 100
 BITS = 21
 SLICES = 16
-HELD_ROWS = 250_000
+#: Bytes of text and rows that a task works on at once.
+CHUNK_BYTES = 250_000
+HELD_ROWS = 125_000
+#: Prefix rows a bucket should have at most; the number of buckets grows with the input.
+BUCKET_ROWS = 1_000_000
 MAX_MATCHES = 4
 PARITY_BITS = 96
+#: Pairs near the bound that a set of the earliest-match search is given under a token.
+MOST_DOUBTS = 4
 PARITY_WORDS = 8
 PARITIES = tuple(f"p{w}" for w in range(PARITY_WORDS))
 MOST_COUNTED = 2**32 - 1
@@ -100,10 +106,17 @@ def prefix_length(n: np.ndarray, matches=1) -> np.ndarray:
 def _count_batches(names_of: NamesOf):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BITS, dtype=np.int64)
+        places: list[np.ndarray] = []
+        held = 0
         for batch in batches:
-            for chunk in tokens.chunks(batch.column("text")):
-                at = (names_of(chunk) >> _U(64 - BITS)).astype(np.int64)
-                total += np.bincount(at, minlength=1 << BITS)
+            for chunk in tokens.chunks(batch.column("text"), CHUNK_BYTES):
+                places.append((names_of(chunk) >> _U(64 - BITS)).astype(np.int32))
+                held += len(places[-1])
+                if held > 1 << BITS:
+                    total += np.bincount(np.concatenate(places), minlength=1 << BITS)
+                    places, held = [], 0
+        if places:
+            total += np.bincount(np.concatenate(places), minlength=1 << BITS)
         parts = total.reshape(SLICES, -1)
         yield pa.RecordBatch.from_arrays(
             [
@@ -191,7 +204,9 @@ def _prefix_batches(
     mean = float(counts.mean())
 
     def pack(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        entries = _sorted_entries([np.concatenate(c) for c in zip(*parts, strict=True)])
+        columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+        parts.clear()
+        entries = _sorted_entries(columns)
         token, cls, size, pos, extra, doc, number, more = entries
         first = _first_of_each(token)
         group = np.cumsum(first) - 1
@@ -212,8 +227,12 @@ def _prefix_batches(
         held = 0
         for batch in batches:
             docs = None if adaptive else batch.column("doc").to_numpy()
-            for chunk in tokens.chunks(batch.column("text")):
+            for chunk in tokens.chunks(batch.column("text"), CHUNK_BYTES):
                 items = items_of(chunk)
+                if only_tokens is not None and len(items.counts):
+                    # a set without one of these tokens has none of them in its prefix
+                    asked = only_tokens[(items.names >> _U(64 - WANTED_BITS)).astype(np.int64)]
+                    items = items.of(np.logical_or.reduceat(asked, items.begins))
                 if not len(items.counts):
                     continue
                 cls = items.classes()
@@ -258,7 +277,7 @@ def _prefix_batches(
                 held += len(own)
                 if held > HELD_ROWS:
                     yield from pack(parts)
-                    parts, held = [], 0
+                    held = 0
             if len(seen) > 4 * HELD_ROWS:
                 seen.clear()
         if parts:
@@ -268,12 +287,21 @@ def _prefix_batches(
 
 
 def _sorted_entries(columns: list[np.ndarray]) -> list[np.ndarray]:
-    """By token and class, each once: the one of its first item."""
-    by = [c.view(np.int64) for c in reversed(columns[5:])]
-    order = np.lexsort((*by, columns[1], columns[0]))
-    columns = [c[order] for c in columns]
-    keep = _first_of_each(columns[0], columns[1])
-    return [c[keep] for c in columns]
+    """By token; each token and class once, by its first item."""
+    with np.errstate(over="ignore"):
+        both = tokens.mix(columns[0] * _U(0x9E3779B97F4A7C15) + columns[1])
+    order = np.argsort(both)
+    repeated = ~_first_of_each(both[order])
+    repeated[:-1] |= repeated[1:]
+    if repeated.any():
+        # only what stands there more than once is put in order by item
+        again = order[repeated]
+        by = [columns[i][again].view(np.int64) for i in range(len(columns) - 1, 4, -1)]
+        again = again[np.lexsort((*by, columns[1][again], columns[0][again]))]
+        again = again[_first_of_each(columns[0][again], columns[1][again])]
+        order = np.concatenate([order[~repeated], again])
+    order = order[np.argsort(columns[0][order])]
+    return [c[order] for c in columns]
 
 
 def _possible(size, pos, parities, a, b) -> np.ndarray:
@@ -298,20 +326,31 @@ def _all_pairs(token, size, pos, parities, left):
         same &= size[left] * DEN >= size[other] * NUM
         left, other = left[same], other[same]
         ok = _possible(size, pos, parities, left, other)
-        yield left[ok], other[ok]
+        yield left[ok], other[ok], np.zeros(ok.sum(), dtype=bool)
         step += 1
 
 
 def _first_pairs(token, size, pos, parities, left):
-    """Each entry with the first of its token before it that passes; entries lie by document."""
+    """(a, b, whether a's search ends there): a with the first of its token that pass.
+
+    Entries lie by document, and b before a. A search goes on while parities leave it in
+    doubt whether the pair is similar, but past `MOST_DOUBTS` such pairs at most.
+    """
     first = np.flatnonzero(_first_of_each(token))
     start = first[np.cumsum(_first_of_each(token)) - 1]
+    doubts = np.zeros(len(token), dtype=np.int8)
     rank = 0
     while len(left):
         left = left[left - start[left] > rank]
         other = start[left] + rank
         ok = _possible(size, pos, parities, left, other)
-        yield left[ok], other[ok]
+        a, b = left[ok], other[ok]
+        differ = sum(np.bitwise_count(p[a] ^ p[b]).astype(np.int64) for p in parities)
+        most = size[a] + size[b] - 2 * required(size[a], size[b])
+        ends = (2 * differ <= most) | (doubts[a] >= MOST_DOUBTS)
+        doubts[a] += 1
+        yield a, b, ends
+        ok[ok] = ends
         left = left[~ok]
         rank += 1
 
@@ -320,7 +359,8 @@ def _pairs_batches(many_at: int, adaptive: bool, wanted: np.ndarray | None = Non
     """Of one bucket: candidate pairs, and the rows of tokens with many classes."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        hot_rows: list[tuple[np.ndarray, ...]] = []
+        found: list[tuple[np.ndarray, ...]] = []
         width = 5 if adaptive else 8
         marked = [unpack(b, width)[0] for b in frame["blob"][frame["kind"] == 1]]
         marked = np.unique(np.concatenate(marked)) if marked else np.zeros(0, dtype=_U)
@@ -328,7 +368,16 @@ def _pairs_batches(many_at: int, adaptive: bool, wanted: np.ndarray | None = Non
             blobs = [unpack(b, width) for b in frame["blob"][frame["kind"] == kind]]
             if not blobs:
                 continue
-            entries = _sorted_entries([np.concatenate(c) for c in zip(*blobs, strict=True)])
+            columns = [np.concatenate(c) for c in zip(*blobs, strict=True)]
+            blobs.clear()
+            entries = _sorted_entries(columns)
+            members = _members(entries[0])
+            hot = np.ones(len(members), dtype=bool) if kind == 2 else (members > many_at)
+            if kind == 0 and len(marked):
+                hot |= np.isin(entries[0], marked)
+            if hot.any():
+                hot_rows.append(tuple(entries[i][hot] for i in range(5)))
+            entries = [c[~hot & (members > 1)] for c in entries]
             # by document, for the earliest match; else by size, where the length bound
             # ends the search early
             first_only = not adaptive and wanted is None
@@ -337,70 +386,68 @@ def _pairs_batches(many_at: int, adaptive: bool, wanted: np.ndarray | None = Non
             token, cls, size, pos, extra = (c[order] for c in entries[:5])
             parities = [] if adaptive else [extra, entries[7][order]]
             size, pos = size.astype(np.int64), pos.astype(np.int64)
-            group = np.cumsum(_first_of_each(token)) - 1
-            members = np.bincount(group)[group]
-            hot = np.ones(len(token), dtype=bool) if kind == 2 else (members > many_at)
-            if kind == 0 and len(marked):
-                hot |= np.isin(token, marked)
-            if hot.any():
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "token": tokens.signed(token[hot]),
-                            "x": tokens.signed(cls[hot]),
-                            "y": np.zeros(hot.sum(), dtype=np.int64),
-                            "size": size[hot],
-                            "pos": pos[hot],
-                            "extra": tokens.signed(extra[hot]),
-                            "hot": True,
-                        }
-                    )
-                )
-            left = np.flatnonzero(~hot & (members > 1))
+            left = np.arange(len(token))
             search = _first_pairs if first_only else _all_pairs
-            for a, b in search(token, size, pos, parities, left):
-                if wanted is not None:
-                    asked = wanted[(cls >> _U(64 - WANTED_BITS)).astype(np.int64)]
-                    a, b = a[asked[a] | asked[b]], b[asked[a] | asked[b]]
+            asked = np.ones(len(token), dtype=bool)
+            if wanted is not None:
+                asked = wanted[(cls >> _U(64 - WANTED_BITS)).astype(np.int64)]
+            for a, b, ends in search(token, size, pos, parities, left):
+                use = asked[a] | asked[b]
+                a, b, ends = a[use], b[use], ends[use]
                 if not len(a):
                     continue
                 one, two = tokens.signed(cls[a]), tokens.signed(cls[b])
-                none = np.zeros(len(a), dtype=np.int64)
-                need = np.minimum(extra[a], extra[b]).astype(np.int64) if adaptive else none
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "token": none,
-                            "x": np.minimum(one, two),
-                            "y": np.maximum(one, two),
-                            "size": none,
-                            "pos": none,
-                            "extra": need,
-                            "hot": False,
-                        }
-                    )
+                need = np.minimum(extra[a], extra[b]) if adaptive else np.zeros(len(a), dtype=_U)
+                ended = np.where(ends, one, 0)
+                found.append(
+                    (np.minimum(one, two), np.maximum(one, two), need.view(np.int64), ended)
                 )
-        if not out:
-            return pd.DataFrame(columns=["token", "x", "y", "size", "pos", "extra", "hot"])
-        return pd.concat(out, ignore_index=True)
+        none = np.zeros(0, dtype=np.int64)
+        x, y, need, ended = map(np.concatenate, zip(*found, strict=True)) if found else (none,) * 4
+        rows = [np.concatenate(c) for c in zip(*hot_rows, strict=True)] or [none] * 5
+        token, cls, size, pos, extra = (c.view(np.int64) for c in rows)
+        return pd.DataFrame(
+            {
+                "token": np.concatenate([token, ended]),
+                "x": np.concatenate([cls, x]),
+                "y": np.concatenate([np.zeros_like(cls), y]),
+                "size": np.concatenate([size, np.zeros_like(x)]),
+                "pos": np.concatenate([pos, np.zeros_like(x)]),
+                "extra": np.concatenate([extra, need]),
+                "hot": np.arange(len(cls) + len(x)) < len(cls),
+            }
+        )
 
     return run
 
 
+def _members(grouped: np.ndarray) -> np.ndarray:
+    """For each of some values that lie together, how often its value is there."""
+    if not len(grouped):
+        return np.zeros(0, dtype=np.int64)
+    group = np.cumsum(_first_of_each(grouped)) - 1
+    return np.bincount(group)[group]
+
+
 def candidates(
-    texts: DataFrame, items_of: ItemsOf, names_of: NamesOf, many: int, adaptive: bool
+    texts: DataFrame, items_of: ItemsOf, counts: np.ndarray, many: int, adaptive: bool
 ) -> tuple[DataFrame, DataFrame]:
     """(pairs of classes, rows of tokens with more than `many` classes).
 
-    Not adaptive, pairs are each class with the earliest one that may be similar, by the
-    documents of a column doc; `remaining` finds all others of a few classes.
+    Not adaptive, pairs are each class with the earliest ones that may be similar, by the
+    documents of a column doc. A column `ended` names the class whose search under a token
+    ended with the pair, which is all but surely similar; where it isn't after all,
+    `remaining` finds all others of that class.
     """
-    counts = token_counts(texts, names_of)
     found = _exchange(
         texts,
+        counts,
         lambda bits: _prefix_batches(items_of, counts, bits, many, adaptive),
         _pairs_batches(many, adaptive),
     )
+    hot = found.filter("hot").select("token", F.col("x").alias("cls"), "size", "pos", "extra")
+    if not adaptive:
+        return found.filter("not hot").select("x", "y", F.col("token").alias("ended")), hot
     pairs = (
         found.filter("not hot")
         .groupBy("x", "y")
@@ -408,23 +455,22 @@ def candidates(
         .filter("shared >= need")
         .select("x", "y")
     )
-    hot = found.filter("hot").select("token", F.col("x").alias("cls"), "size", "pos", "extra")
     return pairs, hot
 
 
 def remaining(
-    texts: DataFrame, items_of: ItemsOf, names_of: NamesOf, many: int, classes: DataFrame
+    texts: DataFrame, items_of: ItemsOf, counts: np.ndarray, many: int, sets: DataFrame
 ) -> DataFrame:
-    """All pairs of the given classes (few, as a rule) under tokens that aren't hot.
+    """All pairs of the classes of the given sets (few, as a rule), under tokens that aren't hot.
 
-    Only prefix rows of tokens that these classes hold are dealt out again.
+    Only prefix rows of tokens that these sets hold are dealt out again.
     """
-    counts = token_counts(texts, names_of)
-    wanted = _wanted_bitmap(classes)
-    held = whole_sets(texts, items_of, classes).select("names")
+    wanted = _wanted_bitmap(sets.select("cls"))
+    held = sets.select("names")
     its_tokens = _wanted_bitmap(held.mapInArrow(_token_batches(counts), "cls long"))
     found = _exchange(
         texts,
+        counts,
         lambda bits: _prefix_batches(items_of, counts, bits, many, False, its_tokens),
         _pairs_batches(many, False, wanted),
     )
@@ -453,8 +499,12 @@ def _rank(names: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return (load.astype(_U) << _U(32)) | (tokens.mix(names) >> _U(32))
 
 
-def _exchange(texts: DataFrame, mapper: Callable, reducer: Callable) -> DataFrame:
-    bits = max(8, (shuffle_partitions(texts.sparkSession) - 1).bit_length())
+def _exchange(
+    texts: DataFrame, counts: np.ndarray, mapper: Callable, reducer: Callable
+) -> DataFrame:
+    # about a third of the tokens of similar sets lie in prefixes
+    buckets = int(counts.sum(dtype=np.float64) / 3 / BUCKET_ROWS)
+    bits = max(8, buckets.bit_length(), (shuffle_partitions(texts.sparkSession) - 1).bit_length())
     columns = [c for c in ("doc", "text") if c in texts.columns]
     return stored(
         texts.select(columns)
@@ -524,7 +574,7 @@ def _set_batches(items_of: ItemsOf, bitmap: np.ndarray):
         seen: set[int] = set()
         for batch in batches:
             found, blobs = [], []
-            for chunk in tokens.chunks(batch.column("text")):
+            for chunk in tokens.chunks(batch.column("text"), CHUNK_BYTES):
                 items = items_of(chunk)
                 cls = items.classes()
                 begins = items.begins
@@ -561,7 +611,7 @@ def whole_sets(texts: DataFrame, items_of: ItemsOf, classes: DataFrame) -> DataF
 def _parity_batches(items_of: ItemsOf, bitmap: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in tokens.chunks(batch.column("text")):
+            for chunk in tokens.chunks(batch.column("text"), CHUNK_BYTES):
                 items = items_of(chunk)
                 cls = items.classes()
                 use = bitmap[(cls >> _U(64 - WANTED_BITS)).astype(np.int64)]

@@ -109,8 +109,8 @@ class Chunk:
         return mix((total[ends] - total[starts]) * back[starts])
 
 
-def chunks(column: pa.Array) -> Iterator[Chunk]:
-    """The texts of a string column; a null text has no bytes."""
+def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[Chunk]:
+    """The texts of a string column, about `size` bytes at once; a null text has no bytes."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
@@ -125,7 +125,7 @@ def chunks(column: pa.Array) -> Iterator[Chunk]:
     data = np.frombuffer(body, dtype=np.uint8) if body is not None else np.zeros(0, np.uint8)
     first = 0
     while first < n:
-        last = int(np.searchsorted(offsets, offsets[first] + CHUNK_BYTES, side="right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1
         last = min(n, max(first + 1, last))
         yield Chunk(
             first,
