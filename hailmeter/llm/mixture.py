@@ -19,7 +19,9 @@ takes one block of `block_words` words from one source:
    it is used up; the very last slot is cut where the target is reached.
 
 Slots are ranked, and words are added up, in two levels (within ranges, and over
-range totals), so that a source with a third of all rows is never one task's work.
+range totals), so that a source with a third of all rows is never one task's work. Equal
+rows are counted first and lie together in the stream; they are dealt out in ranges again
+once their place is known. Rows of one doc_id with different texts have places of their own.
 
 Defined results: a null text has no words, takes part and is taken 0 times; null
 sources are one source, the last; repeated rows count as often as they stand there;
@@ -42,6 +44,8 @@ WEIGHTS = (1, 2, 3)
 SEED = "mix"
 #: Slots of one range, within which they are ranked by one task.
 RANGE_SLOTS = 8192
+#: Equal rows that one task deals out at once.
+RANGE_COPIES = 8192
 #: Hexadecimal digits of the shuffling hash that name a range of documents.
 RANGE_DIGITS = 3
 GOLDEN = 0.6180339887498949
@@ -55,14 +59,17 @@ def word_count(text: Column) -> Column:
 
 
 def sized(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """(doc_id, source, size, place): place is the hash that shuffles a source."""
+    """(doc_id, source, size, place, copies): place is the hash that shuffles a source."""
     doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    return docs.select(
+    text = F.col("text").cast("string")
+    digest = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
-        word_count(F.col("text")).alias("size"),
-        F.md5(F.concat(F.lit(f"{seed}|"), doc_id)).alias("place"),
+        word_count(text).alias("size"),
+        F.md5(F.concat(F.lit(f"{seed}|"), doc_id, F.lit("|"), digest)).alias("place"),
     )
+    return rows.groupBy("doc_id", "source", "size", "place").agg(F.count("*").alias("copies"))
 
 
 def source_targets(
@@ -196,7 +203,8 @@ def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
 
 def streams(sizes: DataFrame, targets: DataFrame) -> DataFrame:
-    """Each document with words: where it begins and ends in its source's stream."""
+    """Each document: where it begins and ends in its source's stream."""
+    words = F.col("size") * F.col("copies")
     known = (
         sizes.alias("d")
         .join(
@@ -207,7 +215,7 @@ def streams(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     )
     parts = (
         known.groupBy("source_no", "part")
-        .agg(F.sum("size").alias("n"))
+        .agg(F.sum(words).alias("n"))
         .withColumn(
             "earlier",
             F.coalesce(
@@ -220,14 +228,23 @@ def streams(sizes: DataFrame, targets: DataFrame) -> DataFrame:
         .drop("n")
     )
     inside = Window.partitionBy("source_no", "part").orderBy("place", "doc_id", "size")
-    return (
+    groups = (
         known.join(parts.hint("merge"), ["source_no", "part"])
         .withColumn(
             "stop",
-            F.col("earlier")
-            + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)),
+            F.col("earlier") + F.sum(words).over(inside.rowsBetween(Window.unboundedPreceding, 0)),
+        )
+        .withColumn("begin", F.col("stop") - words)
+    )
+    copies = f"sequence(0L, copies - 1, bigint({RANGE_COPIES}))"
+    return (
+        groups.withColumn("from", F.explode(F.expr(copies)))
+        .repartition("source_no", "place", "doc_id", "from")
+        .withColumn(
+            "copy", F.explode(F.expr(f"sequence(from, least(from + {RANGE_COPIES}, copies) - 1)"))
         )
-        .withColumn("start", F.col("stop") - F.col("size"))
+        .withColumn("start", F.col("begin") + F.col("copy") * F.col("size"))
+        .withColumn("stop", F.col("start") + F.col("size"))
         .select("doc_id", "source_no", "size", "start", "stop")
     )
 
@@ -241,7 +258,8 @@ def mix_sources(
 ) -> DataFrame:
     """One row per document: how many of its words the mix takes, repeats counted."""
     sizes = stored(sized(docs, seed), "mix-sizes")
-    targets = stored(source_targets(sizes, weights, max_repeats, block_words), "mix-targets")
+    totals = sizes.select("source", (F.col("size") * F.col("copies")).alias("size"))
+    targets = stored(source_targets(totals, weights, max_repeats, block_words), "mix-targets")
     placed = stored(streams(sizes, targets), "mix-streams")
     takes = (
         schedule(targets, block_words)
@@ -275,7 +293,7 @@ def oracle(source: str = "documents") -> str:
 WITH sized AS (
   SELECT doc_id, source,
          COALESCE(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-         md5('{SEED}|' || COALESCE(doc_id::VARCHAR, '')) AS place
+         md5('{SEED}|' || COALESCE(doc_id::VARCHAR, '') || '|' || md5(COALESCE(text, ''))) AS place
   FROM {source}),
 per AS (
   SELECT source, sum(size)::BIGINT AS source_size,

@@ -89,6 +89,31 @@ def test_mixture_schedule_is_near_its_weights_at_every_length(spark):
         assert all(abs(seen[k] - i * n / total) < 4 for k, n in share.items())
 
 
+def test_mixture_spreads_rows_of_one_id(spark, monkeypatch):
+    """A third of rows without an id: texts of their own are spread, equal rows are counted."""
+    monkeypatch.setattr(mixture, "RANGE_COPIES", 7)
+    rng = random.Random(6)
+    rows = [(None, words(rng, 1 + i % 9), None, "a", 1) for i in range(200)]
+    rows += [(None, "one two three", None, "a", 1)] * 60 + [(7, None, None, None, 1)] * 20
+    rows += [(i, words(rng, 20), None, "b", 1) for i in range(80)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    sizes = mixture.sized(docs).cache()
+    assert sizes.filter("source = 'a'").select("place").distinct().count() > 150
+    assert sorted(r.copies for r in sizes.collect())[-2:] == [20, 60]
+    out = mixture.mix_sources(docs, block_words=16).collect()
+    assert len(out) == len(rows)
+    assert sum(r["size"] == 3 and r.source == "a" for r in out) >= 60
+    for source in ("a", "b"):
+        own = [r for r in out if r.source == source]
+        assert sum(r["size"] for r in own) == own[0].source_size
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 1
+        assert all(0 <= r.taken <= 3 * r["size"] for r in own)
+    starts = sorted((r.start, r.stop) for r in mixture.streams(
+        sizes.filter("source = 'a'"), mixture.source_targets(sizes.filter("source = 'a'"))
+    ).collect())
+    assert all(a[1] == b[0] for a, b in zip(starts, starts[1:]))
+
+
 def test_mixture_reshares_what_small_sources_cannot_take(spark):
     sizes = spark.createDataFrame(
         [("a", 10), ("b", 1000), ("c", 1), ("d", 0), (None, 500)], "source string, size long"
