@@ -165,9 +165,13 @@ def quality_rules(
     fails = F.filter(
         F.array(
             *[
+                # a text without words has no ratios
                 F.when(
-                    ~F.expr(ratio).between(F.col(f"{rule}_low"), F.col(f"{rule}_high")),
-                    F.lit(rule),
+                    F.col("n_words") > 0,
+                    F.when(
+                        ~F.expr(ratio).between(F.col(f"{rule}_low"), F.col(f"{rule}_high")),
+                        F.lit(rule),
+                    ),
                 )
                 for rule, (ratio, _) in RULES.items()
             ]
