@@ -11,7 +11,8 @@ them. The slacks of repeated words and duplicate lines lie well below the base r
 a few such words and lines are free: a document of 100 words and more may fail by its
 repeated words alone, while a short one may say one phrase twice.
 
-Defined results: a null text has no words (all counts 0, base rule fails); null
+Defined results: a null text has no words (all counts 0, base rule fails, and no adaptive
+rule applies, as there are no ratios); very long texts are counted whole; null
 lang or source form groups of their own; repeated rows are judged one by one and all
 stay; an empty table gives an empty result; input columns other than the four used
 are ignored, whatever their names.
