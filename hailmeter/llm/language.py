@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hailmeter.llm import ngrams
-from hailmeter.llm.common import fold, stored
+from hailmeter.llm.common import bounded_batches, fold, stored
 from hailmeter.llm.sampling import bounded_sample
 
 UNDETERMINED = "und"
@@ -73,18 +73,64 @@ def _unit(counts: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
-def _fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 30.0, steps: int = 150) -> np.ndarray:
-    """Weights of an L2-regularised squared-hinge machine (accelerated descent).
+class _Rows:
+    """The vectors of a training sample: each block as its cells that aren't 0, or whole.
 
-    The last column of `x` is 1, for the bias.
+    Most texts hold few of the n-grams, so the cells take less; a block of very long texts
+    that fill them stays whole, which bounds it.
     """
+
+    def __init__(self, blocks: Iterator[np.ndarray]):
+        self.blocks = [self._packed(x) for x in blocks]
+
+    @staticmethod
+    def _packed(x: np.ndarray):
+        row, column = np.nonzero(x)
+        if 6 * len(row) >= x.nbytes:
+            return x
+        # a text has an n-gram at least (of the spaces around it), so no row is without cells
+        sizes = np.bincount(row, minlength=len(x))
+        return sizes, np.cumsum(sizes) - sizes, column.astype(np.uint16), x[row, column]
+
+    def margins(self, w: np.ndarray) -> np.ndarray:
+        """x @ w, where the last weight is the bias."""
+        found = [np.zeros(0, dtype=np.float32)]
+        for block in self.blocks:
+            if isinstance(block, tuple):
+                _, begins, column, value = block
+                found.append(np.add.reduceat(value * w[column], begins))
+            else:
+                found.append(block @ w[:-1])
+        return np.concatenate(found) + w[-1]
+
+    def summed(self, by: np.ndarray) -> np.ndarray:
+        """x.T @ by, and the sum of `by` for the bias."""
+        total = np.zeros((1 << BITS) + 1, dtype=np.float64)
+        total[-1] = by.sum()
+        at = 0
+        for block in self.blocks:
+            if isinstance(block, tuple):
+                sizes, _, column, value = block
+                own = by[at : at + len(sizes)].astype(np.float32)
+                total[:-1] += np.bincount(
+                    column, value * np.repeat(own, sizes), minlength=1 << BITS
+                )
+                at += len(sizes)
+            else:
+                total[:-1] += block.T @ by[at : at + len(block)].astype(np.float32)
+                at += len(block)
+        return total.astype(np.float32)
+
+
+def _fit_svm(x: _Rows, y: np.ndarray, cost: float = 30.0, steps: int = 150) -> np.ndarray:
+    """Weights of an L2-regularised squared-hinge machine (accelerated descent), bias last."""
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
     rate = 1.0 / (1.0 + 4.0 * cost)
-    w = np.zeros(x.shape[1], dtype=np.float32)
+    w = np.zeros((1 << BITS) + 1, dtype=np.float32)
     ahead, t = w.copy(), 1.0
     for _ in range(steps):
-        slack = np.maximum(0, 1 - y * (x @ ahead))
-        grad = ahead - cost * 2 * (x.T @ (weight * y * slack)).astype(np.float32)
+        slack = np.maximum(0, 1 - y * x.margins(ahead))
+        grad = ahead - cost * 2 * x.summed(weight * y * slack)
         new = ahead - rate * grad
         t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
         ahead = new + np.float32((t - 1) / t_new) * (new - w)
@@ -95,13 +141,7 @@ def _fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 30.0, steps: int = 150)
 def _train_pair(frame: pd.DataFrame) -> pd.DataFrame:
     one, two = frame["pair"].iloc[0].split("|")
     frame = frame.sort_values(["lang", "text"], kind="stable")
-    # one matrix, filled in place: the sample is bounded, and nothing of it is held twice
-    x = np.empty((len(frame), (1 << BITS) + 1), dtype=np.float32)
-    x[:, -1] = 1.0
-    at = 0
-    for counts in _counts(pa.array(frame["text"], pa.string())):
-        x[at : at + len(counts), :-1] = _unit(counts)
-        at += len(counts)
+    x = _Rows(_unit(counts) for counts in _counts(pa.array(frame["text"], pa.string())))
     y = np.where(frame["lang"] == one, 1.0, -1.0).astype(np.float32)
     return pd.DataFrame({"one": [one], "two": [two], "model": [_fit_svm(x, y).tobytes()]})
 
@@ -117,6 +157,7 @@ def _sum_counts(frame: pd.DataFrame) -> pd.DataFrame:
 
 def train(labelled: DataFrame, families=FAMILIES, per_language: int = SAMPLE_PER_LANGUAGE):
     """(family names, priors and log odds, pairs of languages and their machines)."""
+    bounded_batches(labelled.sparkSession)
     sample = stored(
         bounded_sample(
             labelled.filter("lang is not null and text is not null"),

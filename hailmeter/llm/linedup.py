@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hailmeter.llm import setjoin, tokens
-from hailmeter.llm.common import stored, unused_name
+from hailmeter.llm.common import bounded_batches, stored, unused_name
 from hailmeter.llm.repeats import LAST_DOC
 from hailmeter.llm.setjoin import Items
 
@@ -84,6 +84,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def later_matches(docs: DataFrame) -> DataFrame:
     """(doc, text_hash, lines): the numbers of the lines to remove, by document."""
+    bounded_batches(docs.sparkSession)
     texts = _texts(docs)
     lines = stored(
         texts.mapInArrow(_line_batches, "doc long, text_hash long, line long, cls long"),

@@ -106,17 +106,10 @@ def prefix_length(n: np.ndarray, matches=1) -> np.ndarray:
 def _count_batches(names_of: NamesOf):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BITS, dtype=np.int64)
-        places: list[np.ndarray] = []
-        held = 0
         for batch in batches:
             for chunk in tokens.chunks(batch.column("text"), CHUNK_BYTES):
-                places.append((names_of(chunk) >> _U(64 - BITS)).astype(np.int32))
-                held += len(places[-1])
-                if held > 1 << BITS:
-                    total += np.bincount(np.concatenate(places), minlength=1 << BITS)
-                    places, held = [], 0
-        if places:
-            total += np.bincount(np.concatenate(places), minlength=1 << BITS)
+                # in place: a second table for each piece would be as large as the first
+                np.add.at(total, (names_of(chunk) >> _U(64 - BITS)).view(np.int64), 1)
         parts = total.reshape(SLICES, -1)
         yield pa.RecordBatch.from_arrays(
             [
