@@ -84,20 +84,20 @@ class Grammar:
         return self.expand(self.symbols[a:b])[start - before : stop - before]
 
 
-def _pairs(symbols: np.ndarray, ends: np.ndarray, seed: int) -> tuple[np.ndarray, ...]:
-    """Positions of pairs inside a document, each pair's bucket, and which pair owns a bucket.
+def _pairs(symbols: np.ndarray, at: np.ndarray, seed: int) -> tuple[np.ndarray, ...]:
+    """Of pairs at some positions those that own their bucket, each one's bucket, and which
+    pair owns a bucket.
 
     A bucket is owned by one of the pairs that fall into it, so its count is exact; the
     others wait for the next round, which deals pairs to buckets anew.
     """
-    at = np.flatnonzero(~ends[:-1])
-    keys = (symbols[at] << 32) | symbols[at + 1]
+    keys = ((symbols[:-1] << 32) | symbols[1:])[at]
     spread = (keys.view(np.uint64) + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
     bits = max(_LEAST_BITS, len(at).bit_length())
-    bucket = (spread >> np.uint64(64 - bits)).astype(np.int64)
+    bucket = (spread >> np.uint64(64 - bits)).view(np.int64)
     owner = np.empty(1 << bits, dtype=np.int64)
     owner[bucket] = keys
-    own = owner[bucket] == keys
+    own = np.flatnonzero(owner[bucket] == keys)
     return at[own], bucket[own], owner
 
 
@@ -107,15 +107,16 @@ def _winners(at: np.ndarray, weight: np.ndarray) -> np.ndarray:
     A pair wins against neighbours of less weight. Of a chain of equal pairs (one
     symbol repeated) every second one wins.
     """
-    near = np.diff(at) == 1
-    before = np.concatenate([[False], near])
-    after = np.concatenate([near, [False]])
-    same = before.copy()
-    same[1:] &= weight[1:] == weight[:-1]
-    head = np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))
-    wins = (np.arange(len(at)) - head) % 2 == 0
-    wins[1:] &= ~before[1:] | (weight[1:] >= weight[:-1])
-    wins[:-1] &= ~after[:-1] | (weight[:-1] >= weight[1:])
+    near = at[1:] - at[:-1] == 1
+    wins = np.ones(len(at), dtype=bool)
+    same = np.flatnonzero(near & (weight[1:] == weight[:-1])) + 1
+    if len(same):
+        begins = np.ones(len(same), dtype=bool)
+        begins[1:] = same[1:] - same[:-1] > 1
+        head = same[begins][np.cumsum(begins) - 1] - 1
+        wins[same] = (same - head) % 2 == 0
+    wins[1:] &= ~near | (weight[1:] >= weight[:-1])
+    wins[:-1] &= ~near | (weight[:-1] >= weight[1:])
     return wins
 
 
@@ -133,16 +134,20 @@ def re_pair(
     ends[places[1:][counts > 0] - 1] = True
     left, right, length, rounds = [], [], [], [0]
     lengths = np.zeros(0, dtype=np.int64)
+    # where a pair may still be frequent: not behind a document's last symbol
+    alive = ~ends
     while len(rounds) <= MAX_ROUNDS:
-        at, bucket, owner = _pairs(symbols, ends, len(rounds))
+        at, bucket, owner = _pairs(symbols, np.flatnonzero(alive), len(rounds))
         count = np.bincount(bucket, minlength=len(owner))[bucket]
-        often = count >= least_count
+        # a rare pair stays so, as rounds only take occurrences away
+        alive[at[count < least_count]] = False
+        often = np.flatnonzero(count >= least_count)
         at, bucket = at[often], bucket[often]
         # the more frequent pair wins; a bucket's number decides between equal counts
-        wins = _winners(at, count[often] * len(owner) + bucket)
+        wins = np.flatnonzero(_winners(at, count[often] * len(owner) + bucket))
         at, bucket = at[wins], bucket[wins]
         won = np.bincount(bucket, minlength=len(owner))
-        keep = won[bucket] >= least_count
+        keep = np.flatnonzero(won[bucket] >= least_count)
         at, bucket = at[keep], bucket[keep]
         if not len(at) or len(at) < least_gain * len(symbols):
             break
@@ -164,7 +169,12 @@ def re_pair(
         ends[at] = ends[at + 1]
         stays = np.ones(len(symbols), dtype=bool)
         stays[at + 1] = False
-        symbols, ends = symbols[stays], ends[stays]
+        # the pairs on both sides of a new symbol are new ones
+        alive[at] = True
+        alive[np.maximum(at - 1, 0)] = True
+        stays = np.flatnonzero(stays)
+        symbols, ends, alive = symbols[stays], ends[stays], alive[stays]
+        alive &= ~ends
     done = np.concatenate([[0], np.flatnonzero(ends) + 1])
     places = done[np.concatenate([[0], np.cumsum(counts > 0)])]
     join = lambda parts: np.concatenate([np.zeros(0, dtype=np.int64), *parts])

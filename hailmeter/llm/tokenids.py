@@ -51,8 +51,10 @@ VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 #: A block is closed once it has so many ids; it holds whole documents.
 BLOCK_IDS = 250_000
-#: Ids of distinct pieces that a worker remembers, and how many pieces are joined in a call.
+#: Ids of distinct pieces that a worker remembers, places for their names (as a power of two),
+#: and how many pieces are joined in a call.
 MEMORY_IDS = 16_000_000
+MEMORY_BITS = 22
 JOINED = 200
 
 BLOCKS = (
@@ -79,8 +81,9 @@ _KIND[0x0A] = _FEED
 class Encoder:
     """Ids of whole texts by the tokenizers library, distinct pieces encoded once.
 
-    A worker remembers the ids of pieces in flat arrays under the pieces' 64-bit names,
-    and begins anew when they hold too much.
+    A worker remembers the ids of pieces in one flat array. A piece's 64-bit name has one
+    place in a table of fixed size, where the piece learned last stands; one that lost its
+    place is encoded again. The worker begins anew when the ids are too many.
     """
 
     def __init__(self, path: str):
@@ -99,9 +102,12 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.names = np.zeros(0, dtype=np.uint64)
-        self.starts = self.sizes = np.zeros(0, dtype=np.int64)
-        self.pool = np.zeros(0, dtype=np.int32)
+        self.names = np.zeros(1 << MEMORY_BITS, dtype=np.uint64)
+        self.starts = np.zeros(1 << MEMORY_BITS, dtype=np.int32)
+        # no size: nothing stands here yet
+        self.sizes = np.zeros(1 << MEMORY_BITS, dtype=np.int32)
+        self.pool = np.zeros(1 << 16, dtype=np.int32)
+        self.held = 0
 
     def _pieces(self, chunk: tokens.Chunk) -> np.ndarray:
         """Where pieces begin: at each text, and at its cuts unless it is one piece."""
@@ -149,45 +155,62 @@ class Encoder:
         none = np.zeros(0, dtype=np.int64)
         return np.concatenate([none.astype(np.int32), *ids]), np.concatenate([none, *sizes])
 
-    def _learn(self, names: np.ndarray, texts: list[bytes]) -> None:
+    def _remember(self, ids: np.ndarray) -> None:
+        """Add ids to the pool, which doubles where it is too small."""
+        if self.held + len(ids) > len(self.pool):
+            pool = np.empty(2 * (self.held + len(ids)), dtype=np.int32)
+            pool[: self.held] = self.pool[: self.held]
+            self.pool = pool
+        self.pool[self.held : self.held + len(ids)] = ids
+        self.held += len(ids)
+
+    def _learn(self, names: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of new pieces stand in the pool, and how many each has."""
         plain = np.array([_PLAIN.fullmatch(t) is not None for t in texts])
         order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
-        ids, sizes = self._encode_joined([texts[i] for i in order[: plain.sum()]])
-        pools = [self.pool, ids]
+        ids, counts = self._encode_joined([texts[i] for i in order[: plain.sum()]])
+        before = self.held
+        self._remember(ids)
+        others = []
         for i in order[plain.sum() :]:
             one = self.tokenizer.encode(texts[i].decode(), add_special_tokens=False)
-            pools.append(np.array(one.ids, dtype=np.int32))
-            sizes = np.append(sizes, len(one.ids))
-        starts = len(self.pool) + np.cumsum(sizes) - sizes
-        self.pool = np.concatenate(pools)
-        all_names = np.concatenate([self.names, names[order]])
-        order = np.argsort(all_names, kind="stable")
-        self.names = all_names[order]
-        self.starts = np.concatenate([self.starts, starts])[order]
-        self.sizes = np.concatenate([self.sizes, sizes])[order]
+            self._remember(np.array(one.ids, dtype=np.int32))
+            others.append(len(one.ids))
+        counts = np.concatenate([counts, np.array(others, dtype=np.int64)])
+        starts, sizes = np.empty_like(counts), np.empty_like(counts)
+        starts[order] = before + np.cumsum(counts) - counts
+        sizes[order] = counts
+        # where two of them have one place, the same one has to win in all three arrays
+        place = self._places(names)
+        self.names[place] = names
+        won = self.names[place] == names
+        self.starts[place[won]], self.sizes[place[won]] = starts[won], sizes[won]
+        return starts, sizes
+
+    @staticmethod
+    def _places(names: np.ndarray) -> np.ndarray:
+        return (names >> np.uint64(64 - MEMORY_BITS)).view(np.int64)
 
     def encode(self, chunk: tokens.Chunk) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a chunk, and how many each text has."""
-        if len(self.pool) > MEMORY_IDS:
+        if self.held > MEMORY_IDS:
             self._forget()
         begins = self._pieces(chunk)
         ends = np.append(begins[1:], len(chunk.data))[: len(begins)]
-        names, first, which = np.unique(
-            chunk.span_hash(begins, ends), return_index=True, return_inverse=True
-        )
-        at = np.searchsorted(self.names, names)
-        known = at < len(self.names)
-        known[known] = self.names[at[known]] == names[known]
-        if not known.all():
-            new = first[~known]
+        names = chunk.span_hash(begins, ends)
+        place = self._places(names)
+        starts = self.starts[place].astype(np.int64)
+        sizes = self.sizes[place].astype(np.int64)
+        unknown = np.flatnonzero((self.names[place] != names) | (sizes == 0))
+        if len(unknown):
+            new, first, which = np.unique(names[unknown], return_index=True, return_inverse=True)
+            first = unknown[first]
             raw = chunk.data.tobytes()
-            spans = zip(begins[new].tolist(), ends[new].tolist(), strict=True)
-            self._learn(names[~known], [raw[a:b] for a, b in spans])
-            at = np.searchsorted(self.names, names)
-        at = at[which]
-        sizes = self.sizes[at]
+            spans = zip(begins[first].tolist(), ends[first].tolist(), strict=True)
+            found, counts = self._learn(new, [raw[a:b] for a, b in spans])
+            starts[unknown], sizes[unknown] = found[which], counts[which]
         upto = np.concatenate([[0], np.cumsum(sizes)])
-        places = np.repeat(self.starts[at] - upto[:-1], sizes)
+        places = np.repeat(starts - upto[:-1], sizes)
         places += np.arange(len(places))
         return self.pool[places], np.diff(upto[np.searchsorted(begins, chunk.offsets)])
 

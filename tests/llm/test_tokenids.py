@@ -121,3 +121,36 @@ def test_empty_and_clashing(spark, nothing, awkward, clashing):
     assert tokenids.token_digests(nothing).count() == 0
     plain_rows = sorted(map(repr, tokenids.token_digests(awkward).collect()))
     assert sorted(map(repr, tokenids.token_digests(clashing(awkward)).collect())) == plain_rows
+
+
+def test_pieces_that_lose_their_place_are_encoded_again(monkeypatch, plain):
+    import pyarrow as pa
+
+    from hailmeter.llm import tokens
+
+    monkeypatch.setattr(tokenids, "MEMORY_BITS", 1)
+    encoder = tokenids.Encoder(PATH)
+    texts = ["one two three four five one", "", "six five four", "three two one é 😀  x", "one two"]
+    for _ in range(2):
+        (chunk,) = tokens.chunks(pa.array(texts))
+        ids, counts = encoder.encode(chunk)
+        cut = np.split(ids, np.cumsum(counts)[:-1])
+        assert [[*c.tolist(), 0] for c in cut] == [plain(t) for t in texts]
+        assert len(encoder.names) == 2
+
+
+def test_later_rounds_of_a_grammar_leave_rare_pairs_out(monkeypatch):
+    rng = np.random.default_rng(1)
+    ids = rng.integers(0, 40_000, 30_000)
+    ids[:15_000] = rng.integers(0, 9, 15_000)
+    met, pairs = [], grammar._pairs
+
+    def counted(symbols, at, seed):
+        met.append((len(at), len(symbols)))
+        return pairs(symbols, at, seed)
+
+    monkeypatch.setattr(grammar, "_pairs", counted)
+    made = grammar.re_pair(ids, np.array([10_000, 0, 20_000]))
+    assert made.expand(made.symbols).tolist() == ids.tolist()
+    assert met[0][0] == 29_998 and len(met) > 3
+    assert all(2 * n < symbols for n, symbols in met[2:])
