@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-from hailmeter.llm import language, linedup
+from hailmeter.llm import language, linedup, tokens
 
 from .conftest import SCHEMA
 
@@ -58,3 +58,10 @@ def test_long_texts_come_in_batches_of_bounded_bytes(spark):
         docs = session.createDataFrame(rows, SCHEMA)
         assert operator(docs).count() == 8
         assert _most_bytes(docs) < 8_000_000
+
+
+def test_tables_of_powers_are_as_long_as_the_chunks(monkeypatch):
+    monkeypatch.setattr(tokens, "_powers", {})
+    for chunk in tokens.chunks(pa.array(["some words of a line\n" * 9] * 900), 60_000):
+        linedup.line_words(chunk)
+    assert [len(t) for t in tokens._powers.values()] == [1 << 16, 1 << 16]
