@@ -10,7 +10,7 @@ difference bounds (see setjoin.py), and are verified on whole sets.
 Lines with equal sets are one class, which is compared once, at its first line: later
 lines of a class go in any case, and its first line goes if a similar class has an
 earlier line. Tokens with very many classes are first joined with one early pivot each,
-and only classes without an earlier match after that are joined with all others.
+and only classes without an earlier match after that are joined with all others of a like size.
 
 Defined results: a null text has no lines; a null doc_id counts as greater than all
 others; rows with equal doc_id are told apart by their text, lines of the same number in
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +38,11 @@ MANY_LINES = 512
 _NEWLINE = tokens.byte_class((0x0A, 0x0A))
 
 
-def line_sets(chunk: tokens.Chunk) -> Items:
-    """The word sets of all lines with a word; lines are counted from 0 in each row."""
+def line_sets(chunk: tokens.Chunk, only: np.ndarray | None = None) -> Items:
+    """The word sets of all lines with a word; lines are counted from 0 in each row.
+
+    `only`, a table of bits, leaves lines out that have no word in it.
+    """
     starts, ends = chunk.runs(tokens.NON_SPACE)
     breaks = np.flatnonzero(_NEWLINE[chunk.data])
     row = chunk.row_of(starts)
@@ -47,8 +51,15 @@ def line_sets(chunk: tokens.Chunk) -> Items:
     new = np.ones(len(row), dtype=bool)
     new[1:] = (row[1:] != row[:-1]) | (line[1:] != line[:-1])
     item = np.cumsum(new) - 1
-    names, item = tokens.distinct_by_row(chunk.span_hash(starts, ends, lower=True), item)
-    return Items(names, np.bincount(item, minlength=new.sum()), row[new], line[new])
+    row, line = row[new], line[new]
+    names = chunk.span_hash(starts, ends, lower=True)
+    if only is not None:
+        asked = np.zeros(len(row), dtype=bool)
+        asked[item[setjoin.listed(names, only)]] = True
+        names, item = names[asked[item]], (np.cumsum(asked) - 1)[item[asked[item]]]
+        row, line = row[asked], line[asked]
+    names, item = tokens.distinct_by_row(names, item)
+    return Items(names, np.bincount(item, minlength=len(row)), row, line)
 
 
 def line_words(chunk: tokens.Chunk) -> np.ndarray:
@@ -57,21 +68,22 @@ def line_words(chunk: tokens.Chunk) -> np.ndarray:
 
 
 def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines, and at last the task's table of the lines that hold each word."""
+    names = ["doc", "text_hash", "line", "cls", "slice", "counts"]
+    total = np.zeros(1 << setjoin.BITS, dtype=np.int64)
     for batch in batches:
         doc = batch.column("doc").to_numpy()
         text_hash = batch.column("text_hash").to_numpy()
         for chunk in tokens.chunks(batch.column("text"), setjoin.CHUNK_BYTES):
             items = line_sets(chunk)
             row = chunk.first + items.row
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(doc[row]),
-                    pa.array(text_hash[row]),
-                    pa.array(items.number),
-                    pa.array(tokens.signed(items.classes())),
-                ],
-                names=["doc", "text_hash", "line", "cls"],
-            )
+            np.add.at(total, setjoin.bucket_of(items.names), 1)
+            lines = [doc[row], text_hash[row], items.number, tokens.signed(items.classes())]
+            none = [pa.nulls(len(row), pa.int32()), pa.nulls(len(row), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, lines), *none], names=names)
+    table = setjoin.packed_counts(total)
+    none = [pa.nulls(len(table[0]), pa.int64())] * 4
+    yield pa.RecordBatch.from_arrays([*none, *table], names=names)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -86,19 +98,23 @@ def later_matches(docs: DataFrame) -> DataFrame:
     """(doc, text_hash, lines): the numbers of the lines to remove, by document."""
     bounded_batches(docs.sparkSession)
     texts = _texts(docs)
-    lines = stored(
-        texts.mapInArrow(_line_batches, "doc long, text_hash long, line long, cls long"),
+    read = stored(
+        texts.mapInArrow(
+            _line_batches,
+            "doc long, text_hash long, line long, cls long, slice int, counts binary",
+        ),
         "line-classes",
     )
+    counts = setjoin.summed_counts(read.filter("slice is not null").select("slice", "counts"))
+    lines = read.filter("slice is null").drop("slice", "counts")
     first = stored(
         lines.groupBy("cls").agg(F.min(F.struct("doc", "line")).alias("at")),
         "line-firsts",
     )
-    counts = setjoin.token_counts(texts, line_words)
     pairs, hot = setjoin.candidates(texts, line_sets, counts, MANY_LINES, adaptive=False)
     hot = stored(hot.join(first, "cls"), "line-hot")
     pivots = hot.groupBy("token").agg(
-        F.min(F.struct("at", "cls", "size", "pos", "extra")).alias("p")
+        F.min(F.struct("at", "cls", "size", "pos", "extra", "more", *setjoin.WIDE)).alias("p")
     )
     pivots = pivots.select("token", "p.*")
     star = (
@@ -108,7 +124,8 @@ def later_matches(docs: DataFrame) -> DataFrame:
         .select(F.least("a.cls", "b.cls").alias("x"), F.greatest("a.cls", "b.cls").alias("y"))
     )
     tried = stored(pairs.select("x", "y").unionByName(star).distinct(), "line-pairs")
-    sets = setjoin.whole_sets(texts, line_sets, setjoin.classes_of(tried))
+    holders = first.select("cls", F.col("at.doc").alias("doc"))
+    sets = setjoin.whole_sets(texts, line_sets, setjoin.classes_of(tried), holders)
     # of two similar classes, the one whose first line is later has an earlier match
     one = first.select(F.col("cls").alias("x"), F.col("at").alias("ax"))
     two = first.select(F.col("cls").alias("y"), F.col("at").alias("ay"))
@@ -131,8 +148,8 @@ def later_matches(docs: DataFrame) -> DataFrame:
         more = setjoin.remaining(texts, line_sets, counts, MANY_LINES, own)
     open_ones = hot.join(found, hot["cls"] == found["y"], "left_anti")
     rest = (
-        open_ones.alias("b")
-        .join(hot.alias("a"), "token")
+        setjoin.banded(open_ones, near=True).alias("b")
+        .join(setjoin.banded(hot, near=False).alias("a"), ["token", "band"])
         .filter(F.expr("a.at < b.at") & setjoin.possible("a", "b", adaptive=False))
         .select(
             F.least("a.cls", "b.cls").alias("x"),
@@ -144,7 +161,7 @@ def later_matches(docs: DataFrame) -> DataFrame:
     if rest.take(1):
         # one pass over the texts for all sets that aren't there yet
         lacking = setjoin.classes_of(rest).join(sets, "cls", "left_anti")
-        fetched = setjoin.whole_sets(texts, line_sets, lacking)
+        fetched = setjoin.whole_sets(texts, line_sets, lacking, holders)
         again = setjoin.verified(rest, sets.unionByName(fetched)).join(one, "x").join(two, "y")
         found = found.unionAll(again.select(later).dropna())
     matched = found.select(F.col("y").alias("cls"), F.lit(True).alias("matched"))
@@ -159,24 +176,25 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names = batch.schema.names
         text_at, lines_at = names.index("_cut_text"), names.index("_cut_lines")
-        kept_texts, n_lines, n_removed = [], [], []
+        texts, lines = batch.column(text_at), batch.column(lines_at)
+        n_lines = pc.add(pc.count_substring(texts, "\n"), 1).cast(pa.int64()).fill_null(0)
+        n_removed = pc.list_value_length(lines).cast(pa.int64()).fill_null(0)
+        changed = pc.greater(n_removed, 0)
+        kept_texts = []
         for text, gone in zip(
-            batch.column(text_at).to_pylist(), batch.column(lines_at).to_pylist(), strict=True
+            texts.filter(changed).to_pylist(), lines.filter(changed).to_pylist(), strict=True
         ):
-            own = [] if text is None else text.split("\n")
-            drop = set(gone or ())
-            n_lines.append(len(own))
-            n_removed.append(len(drop))
-            if drop:
-                text = "\n".join(x for i, x in enumerate(own) if i not in drop)
-            kept_texts.append(text)
+            drop = set(gone)
+            own = text.split("\n")
+            kept_texts.append("\n".join(x for i, x in enumerate(own) if i not in drop))
+        kept_texts = pc.replace_with_mask(texts, changed, pa.array(kept_texts, texts.type))
         keep = [i for i in range(len(names)) if i not in (text_at, lines_at)]
         yield pa.RecordBatch.from_arrays(
             [
                 *(batch.column(i) for i in keep),
-                pa.array(kept_texts, pa.string()),
-                pa.array(n_lines, pa.int64()),
-                pa.array(n_removed, pa.int64()),
+                kept_texts,
+                n_lines,
+                n_removed,
             ],
             names=[*(names[i] for i in keep), "_cut_text", "_cut_n_lines", "_cut_n_removed"],
         )
@@ -201,7 +219,7 @@ def dedup_lines(docs: DataFrame) -> tuple[DataFrame, str, str]:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_DOC)).alias("_cut_doc"),
         F.coalesce(F.xxhash64("text"), F.lit(0)).alias("_cut_hash"),
     )
-    joined = rows.join(removed.hint("merge"), ["_cut_doc", "_cut_hash"], "left").drop(
+    joined = rows.join(removed.hint("shuffle_hash"), ["_cut_doc", "_cut_hash"], "left").drop(
         "_cut_doc", "_cut_hash"
     )
     kept = joined.drop("_cut_text", "_cut_lines")

@@ -48,6 +48,11 @@ HELD_ROWS = 125_000
 BUCKET_ROWS = 1_000_000
 MAX_MATCHES = 4
 PARITY_BITS = 96
+#: 96 parities of a set with more tokens tell next to nothing, so it has longer ones, too.
+WIDE_FROM, WIDE_WORDS = 144, 6
+WIDE = tuple(f"w{i}" for i in range(WIDE_WORDS))
+#: Sizes of similar sets lie in the same band or in neighbouring ones.
+BAND = 1.3
 #: Pairs near the bound that a set of the earliest-match search is given under a token.
 MOST_DOUBTS = 4
 PARITY_WORDS = 8
@@ -58,6 +63,16 @@ WANTED_BITS, WANTED_SLICES = 23, 64
 _U = np.uint64
 
 
+def bucket_of(names: np.ndarray) -> np.ndarray:
+    """The place of tokens in the table of counts."""
+    return (names >> _U(64 - BITS)).astype(np.int64)
+
+
+def listed(names: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether names are in a table of bits: all that were put there are."""
+    return bits[(names >> _U(64 - WANTED_BITS)).astype(np.int64)]
+
+
 @dataclass
 class Items:
     """Token sets of a chunk: names sorted by item; row and number of each item."""
@@ -86,7 +101,8 @@ class Items:
             return tokens.mix(one + tokens.mix(two + self.counts.astype(_U)))
 
 
-ItemsOf = Callable[[tokens.Chunk], Items]
+#: Of a chunk; a second argument, a table of bits, leaves items out that have no token in it.
+ItemsOf = Callable[..., Items]
 NamesOf = Callable[[tokens.Chunk], np.ndarray]
 
 
@@ -110,18 +126,20 @@ def _count_batches(names_of: NamesOf):
             for chunk in tokens.chunks(batch.column("text"), CHUNK_BYTES):
                 # in place: a second table for each piece would be as large as the first
                 np.add.at(total, (names_of(chunk) >> _U(64 - BITS)).view(np.int64), 1)
-        parts = total.reshape(SLICES, -1)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(range(SLICES), pa.int32()),
-                pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary()),
-            ],
-            names=["slice", "counts"],
-        )
+        yield pa.RecordBatch.from_arrays(packed_counts(total), names=["slice", "counts"])
 
     return run
 
 
+def packed_counts(total: np.ndarray) -> list[pa.Array]:
+    """A task's table as columns slice and counts."""
+    parts = total.reshape(SLICES, -1)
+    return [
+        pa.array(range(SLICES), pa.int32()),
+        pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary()),
+    ]
+
+
 def _add_counts(frame: pd.DataFrame) -> pd.DataFrame:
     total = sum(np.frombuffer(zlib.decompress(c), dtype=np.int64) for c in frame["counts"])
     # the order needs no more than this; counts beyond it are equally frequent
@@ -131,14 +149,14 @@ def _add_counts(frame: pd.DataFrame) -> pd.DataFrame:
 
 def token_counts(texts: DataFrame, names_of: NamesOf) -> np.ndarray:
     """Counts of 2**BITS hash buckets over all rows: 8 MB, whatever the input."""
-    schema = "slice int, counts binary"
-    rows = (
-        texts.select("text")
-        .mapInArrow(_count_batches(names_of), schema)
-        .groupBy("slice")
-        .applyInPandas(_add_counts, schema)
-        .collect()
+    return summed_counts(
+        texts.select("text").mapInArrow(_count_batches(names_of), "slice int, counts binary")
     )
+
+
+def summed_counts(parts: DataFrame) -> np.ndarray:
+    """The sum of the tables that tasks made (slice, counts), see `packed_counts`."""
+    rows = parts.groupBy("slice").applyInPandas(_add_counts, "slice int, counts binary").collect()
     total = np.zeros((SLICES, (1 << BITS) // SLICES), dtype=np.uint32)
     for r in rows:
         total[r["slice"]] = np.frombuffer(r["counts"], dtype=np.uint32)
@@ -181,6 +199,18 @@ def _signature(names: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.nd
     )
 
 
+def _wide_signature(names: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
+    """Parities of 64 * WIDE_WORDS other hash bits over each set, a column for each word."""
+    if not len(begins):
+        return [np.zeros(0, dtype=_U)] * WIDE_WORDS
+    place = (names >> _U(24)) % _U(64 * WIDE_WORDS)
+    word, bit = place >> _U(6), _U(1) << (place & _U(63))
+    return [
+        np.bitwise_xor.reduceat(np.where(word == _U(w), bit, _U(0)), begins)
+        for w in range(WIDE_WORDS)
+    ]
+
+
 def _prefix_batches(
     items_of: ItemsOf,
     counts: np.ndarray,
@@ -193,10 +223,13 @@ def _prefix_batches(
 
     Extra is the number of matches asked for, or the parities. Only where the earliest
     match is asked for are documents and numbers sent: those of the class's first item.
+    There each bucket also gets the longer parities of its large sets, once a class.
     """
     mean = float(counts.mean())
 
-    def pack(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    def pack(
+        parts: list[tuple[np.ndarray, ...]], large: list[tuple[np.ndarray, ...]]
+    ) -> Iterator[pa.RecordBatch]:
         columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
         parts.clear()
         entries = _sorted_entries(columns)
@@ -212,20 +245,33 @@ def _prefix_batches(
             columns += [(extra, 1 if adaptive else 8), (doc, 4), (number, 2), (more, 4)]
             columns = columns[:5] if adaptive else columns
             rows += _box(kind, bucket[use], bits, [(c[use], w) for c, w in columns])
+        if large:
+            rows += pack_large(large, cls, np.where(many, away, home))
         yield from _boxes(rows)
 
+    def pack_large(large: list, cls: np.ndarray, bucket: np.ndarray) -> Iterator[tuple]:
+        known, *words = (np.concatenate(c) for c in zip(*large, strict=True))
+        large.clear()
+        known, at = np.unique(known, return_index=True)
+        words = [w[at] for w in words]
+        place = np.minimum(np.searchsorted(known, cls), max(len(known) - 1, 0))
+        use = np.flatnonzero(known[place] == cls) if len(known) else np.zeros(0, dtype=np.int64)
+        # each class once in a bucket
+        both = np.unique(place[use] * (1 << bits) + bucket[use])
+        place, bucket = both >> bits, both & ((1 << bits) - 1)
+        columns = [(known[place], 8), *((w[place], 8) for w in words)]
+        return _box(4, bucket, bits, columns)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         parts: list[tuple[np.ndarray, ...]] = []
+        large: list[tuple[np.ndarray, ...]] = []
         held = 0
         for batch in batches:
             docs = None if adaptive else batch.column("doc").to_numpy()
             for chunk in tokens.chunks(batch.column("text"), CHUNK_BYTES):
-                items = items_of(chunk)
-                if only_tokens is not None and len(items.counts):
-                    # a set without one of these tokens has none of them in its prefix
-                    asked = only_tokens[(items.names >> _U(64 - WANTED_BITS)).astype(np.int64)]
-                    items = items.of(np.logical_or.reduceat(asked, items.begins))
+                # a set without one of these tokens has none of them in its prefix
+                items = items_of(chunk) if only_tokens is None else items_of(chunk, only_tokens)
                 if not len(items.counts):
                     continue
                 cls = items.classes()
@@ -256,6 +302,11 @@ def _prefix_batches(
                     length = np.minimum(n, prefix_length(n, extra))
                 else:
                     extra, more = _signature(items.names, begins)
+                    wide = items.of(n >= WIDE_FROM)
+                    if len(wide.counts):
+                        large.append(
+                            (cls[n >= WIDE_FROM], *_wide_signature(wide.names, wide.begins))
+                        )
                     length = np.minimum(n, prefix_length(n))
                 # a set so small that no other set can be similar has no prefix
                 length = np.where(n * DEN >= NUM * (n + 1), length, 0)
@@ -269,12 +320,12 @@ def _prefix_batches(
                 parts.append(tuple(v.astype(_U) for v in values))
                 held += len(own)
                 if held > HELD_ROWS:
-                    yield from pack(parts)
+                    yield from pack(parts, large)
                     held = 0
             if len(seen) > 4 * HELD_ROWS:
                 seen.clear()
         if parts:
-            yield from pack(parts)
+            yield from pack(parts, large)
 
     return run
 
@@ -297,19 +348,55 @@ def _sorted_entries(columns: list[np.ndarray]) -> list[np.ndarray]:
     return [c[order] for c in columns]
 
 
-def _possible(size, pos, parities, a, b) -> np.ndarray:
+class _Wide:
+    """The longer parities of the large sets of a bucket, by entry."""
+
+    def __init__(self, frame: pd.DataFrame, cls: np.ndarray):
+        self.at = np.full(len(cls), -1)
+        blobs = [unpack(b, 1 + WIDE_WORDS) for b in frame["blob"][frame["kind"] == 4]]
+        if blobs:
+            known, *words = (np.concatenate(c) for c in zip(*blobs, strict=True))
+            known, first = np.unique(known, return_index=True)
+            self.words = np.stack([w[first] for w in words], axis=1)
+            place = np.minimum(np.searchsorted(known, cls), len(known) - 1)
+            self.at = np.where(known[place] == cls, place, -1)
+
+    def differ(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """How many parities of entries a and b differ; 0 where one of them has none."""
+        out = np.zeros(len(a), dtype=np.int64)
+        use = np.flatnonzero((self.at[a] >= 0) & (self.at[b] >= 0))
+        if len(use):
+            apart = self.words[self.at[a[use]]] ^ self.words[self.at[b[use]]]
+            out[use] = np.bitwise_count(apart).sum(axis=1, dtype=np.int64)
+        return out
+
+    def columns(self) -> list[np.ndarray]:
+        """A column for each word, 0 for sets that aren't large."""
+        if not (self.at >= 0).any():
+            return [np.zeros(len(self.at), dtype=_U)] * WIDE_WORDS
+        return [np.where(self.at >= 0, w[self.at], _U(0)) for w in self.words.T]
+
+
+def _differ(parities, wide: _Wide, a, b) -> np.ndarray:
+    """How many parities of entries a and b differ, by those that tell more."""
+    differ = sum(np.bitwise_count(p[a] ^ p[b]).astype(np.int64) for p in parities)
+    return np.maximum(differ, wide.differ(a, b))
+
+
+def _possible(size, pos, parities, wide, a, b) -> np.ndarray:
     """Length and positional bounds, and the bound on differences, of entries a and b."""
     na, nb, pa_, pb = size[a], size[b], pos[a], pos[b]
     need = required(na, nb)
     ok = np.minimum(na, nb) * DEN >= np.maximum(na, nb) * NUM
     ok &= np.minimum(pa_, pb) + 1 + np.minimum(na - pa_ - 1, nb - pb - 1) >= need
     if parities:
-        differ = sum(np.bitwise_count(p[a] ^ p[b]).astype(np.int64) for p in parities)
-        ok &= differ <= na + nb - 2 * need
+        some = np.flatnonzero(ok)
+        differ = _differ(parities, wide, a[some], b[some])
+        ok[some] = differ <= (na + nb - 2 * need)[some]
     return ok
 
 
-def _all_pairs(token, size, pos, parities, left):
+def _all_pairs(token, size, pos, parities, wide, left):
     """All pairs (a, b) of one token that pass; entries lie by size within a token."""
     step = 1
     while len(left):
@@ -318,12 +405,12 @@ def _all_pairs(token, size, pos, parities, left):
         same = token[left] == token[other]
         same &= size[left] * DEN >= size[other] * NUM
         left, other = left[same], other[same]
-        ok = _possible(size, pos, parities, left, other)
+        ok = _possible(size, pos, parities, wide, left, other)
         yield left[ok], other[ok], np.zeros(ok.sum(), dtype=bool)
         step += 1
 
 
-def _first_pairs(token, size, pos, parities, left):
+def _first_pairs(token, size, pos, parities, wide, left):
     """(a, b, whether a's search ends there): a with the first of its token that pass.
 
     Entries lie by document, and b before a. A search goes on while parities leave it in
@@ -336,9 +423,9 @@ def _first_pairs(token, size, pos, parities, left):
     while len(left):
         left = left[left - start[left] > rank]
         other = start[left] + rank
-        ok = _possible(size, pos, parities, left, other)
+        ok = _possible(size, pos, parities, wide, left, other)
         a, b = left[ok], other[ok]
-        differ = sum(np.bitwise_count(p[a] ^ p[b]).astype(np.int64) for p in parities)
+        differ = _differ(parities, wide, a, b)
         most = size[a] + size[b] - 2 * required(size[a], size[b])
         ends = (2 * differ <= most) | (doubts[a] >= MOST_DOUBTS)
         doubts[a] += 1
@@ -363,13 +450,21 @@ def _pairs_batches(many_at: int, adaptive: bool, wanted: np.ndarray | None = Non
                 continue
             columns = [np.concatenate(c) for c in zip(*blobs, strict=True)]
             blobs.clear()
+            if kind == 0:
+                # most tokens stand there once and go at once
+                use = _repeated(columns[0])
+                if len(marked):
+                    use |= np.isin(columns[0], marked)
+                columns = [c[use] for c in columns]
             entries = _sorted_entries(columns)
             members = _members(entries[0])
             hot = np.ones(len(members), dtype=bool) if kind == 2 else (members > many_at)
             if kind == 0 and len(marked):
                 hot |= np.isin(entries[0], marked)
             if hot.any():
-                hot_rows.append(tuple(entries[i][hot] for i in range(5)))
+                rows = [c[hot] for c in entries]
+                more = [] if adaptive else [rows[7], *_Wide(frame, rows[1]).columns()]
+                hot_rows.append((*rows[:5], *more))
             entries = [c[~hot & (members > 1)] for c in entries]
             # by document, for the earliest match; else by size, where the length bound
             # ends the search early
@@ -378,13 +473,14 @@ def _pairs_batches(many_at: int, adaptive: bool, wanted: np.ndarray | None = Non
             order = np.lexsort((*by, entries[0]))
             token, cls, size, pos, extra = (c[order] for c in entries[:5])
             parities = [] if adaptive else [extra, entries[7][order]]
+            wide = None if adaptive else _Wide(frame, cls)
             size, pos = size.astype(np.int64), pos.astype(np.int64)
             left = np.arange(len(token))
             search = _first_pairs if first_only else _all_pairs
             asked = np.ones(len(token), dtype=bool)
             if wanted is not None:
                 asked = wanted[(cls >> _U(64 - WANTED_BITS)).astype(np.int64)]
-            for a, b, ends in search(token, size, pos, parities, left):
+            for a, b, ends in search(token, size, pos, parities, wide, left):
                 use = asked[a] | asked[b]
                 a, b, ends = a[use], b[use], ends[use]
                 if not len(a):
@@ -397,8 +493,9 @@ def _pairs_batches(many_at: int, adaptive: bool, wanted: np.ndarray | None = Non
                 )
         none = np.zeros(0, dtype=np.int64)
         x, y, need, ended = map(np.concatenate, zip(*found, strict=True)) if found else (none,) * 4
-        rows = [np.concatenate(c) for c in zip(*hot_rows, strict=True)] or [none] * 5
-        token, cls, size, pos, extra = (c.view(np.int64) for c in rows)
+        names = [] if adaptive else ["more", *WIDE]
+        rows = [np.concatenate(c) for c in zip(*hot_rows, strict=True)] or [none] * (5 + len(names))
+        token, cls, size, pos, extra, *more = (c.view(np.int64) for c in rows)
         return pd.DataFrame(
             {
                 "token": np.concatenate([token, ended]),
@@ -409,11 +506,22 @@ def _pairs_batches(many_at: int, adaptive: bool, wanted: np.ndarray | None = Non
                 "extra": np.concatenate([extra, need]),
                 "hot": np.arange(len(cls) + len(x)) < len(cls),
             }
+            | {n: np.concatenate([c, np.zeros_like(x)]) for n, c in zip(names, more, strict=True)}
         )
 
     return run
 
 
+def _repeated(values: np.ndarray) -> np.ndarray:
+    """Whether each of some values is there more than once."""
+    order = np.argsort(values)
+    same = ~_first_of_each(values[order])
+    same[:-1] |= same[1:]
+    out = np.empty(len(values), dtype=bool)
+    out[order] = same
+    return out
+
+
 def _members(grouped: np.ndarray) -> np.ndarray:
     """For each of some values that lie together, how often its value is there."""
     if not len(grouped):
@@ -437,8 +545,12 @@ def candidates(
         counts,
         lambda bits: _prefix_batches(items_of, counts, bits, many, adaptive),
         _pairs_batches(many, adaptive),
+        adaptive,
+    )
+    more = [] if adaptive else ["more", *WIDE]
+    hot = found.filter("hot").select(
+        "token", F.col("x").alias("cls"), "size", "pos", "extra", *more
     )
-    hot = found.filter("hot").select("token", F.col("x").alias("cls"), "size", "pos", "extra")
     if not adaptive:
         return found.filter("not hot").select("x", "y", F.col("token").alias("ended")), hot
     pairs = (
@@ -466,6 +578,7 @@ def remaining(
         counts,
         lambda bits: _prefix_batches(items_of, counts, bits, many, False, its_tokens),
         _pairs_batches(many, False, wanted),
+        False,
     )
     return found.filter("not hot").select("x", "y").distinct()
 
@@ -493,19 +606,20 @@ def _rank(names: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _exchange(
-    texts: DataFrame, counts: np.ndarray, mapper: Callable, reducer: Callable
+    texts: DataFrame, counts: np.ndarray, mapper: Callable, reducer: Callable, adaptive: bool
 ) -> DataFrame:
     # about a third of the tokens of similar sets lie in prefixes
     buckets = int(counts.sum(dtype=np.float64) / 3 / BUCKET_ROWS)
     bits = max(8, buckets.bit_length(), (shuffle_partitions(texts.sparkSession) - 1).bit_length())
     columns = [c for c in ("doc", "text") if c in texts.columns]
+    schema = "token long, x long, y long, size long, pos long, extra long, hot boolean"
+    if not adaptive:
+        schema = ", ".join([schema, *(f"{c} long" for c in ("more", *WIDE))])
     return stored(
         texts.select(columns)
         .mapInArrow(mapper(bits), "bucket int, kind int, blob binary")
         .groupBy("bucket")
-        .applyInPandas(
-            reducer, "token long, x long, y long, size long, pos long, extra long, hot boolean"
-        ),
+        .applyInPandas(reducer, schema),
         "set-candidates",
     )
 
@@ -519,10 +633,28 @@ def possible(a: str, b: str, adaptive: bool) -> Column:
         f" + least({a}.size - {a}.pos, {b}.size - {b}.pos) - 1 >= {need}"
     )
     if not adaptive:
-        text += f" and bit_count({a}.extra ^ {b}.extra) <= {a}.size + {b}.size - 2 * {need}"
+        # large sets have all parities, others 0 for the longer ones
+        few, wide = (
+            " + ".join(f"bit_count({a}.{c} ^ {b}.{c})" for c in columns)
+            for columns in (("extra", "more"), WIDE)
+        )
+        text += f" and {few} <= {a}.size + {b}.size - 2 * {need}"
+        text += f" and (least({a}.size, {b}.size) < {WIDE_FROM}"
+        text += f" or {wide} <= {a}.size + {b}.size - 2 * {need})"
     return F.expr(text)
 
 
+def banded(rows: DataFrame, near: bool) -> DataFrame:
+    """Rows with the band of their size; near: once for it and each neighbouring band.
+
+    Similar sets meet in the band of one of them, and far fewer others meet there.
+    """
+    own = F.floor(F.log(F.col("size").cast("double")) / F.lit(np.log(BAND).item())).cast("int")
+    if near:
+        own = F.explode(F.array(own - 1, own, own + 1))
+    return rows.withColumn("band", own)
+
+
 # --- verification ---------------------------------------------------------------
 
 
@@ -562,12 +694,16 @@ def _wanted_bitmap(classes: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def _set_batches(items_of: ItemsOf, bitmap: np.ndarray):
+def _set_batches(items_of: ItemsOf, bitmap: np.ndarray, held_by: np.ndarray | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             found, blobs = [], []
-            for chunk in tokens.chunks(batch.column("text"), CHUNK_BYTES):
+            texts = batch.column("text")
+            if held_by is not None:
+                places = tokens.unsigned(batch.column("place").to_numpy())
+                texts = texts.filter(pa.array(listed(places, held_by)))
+            for chunk in tokens.chunks(texts, CHUNK_BYTES):
                 items = items_of(chunk)
                 cls = items.classes()
                 begins = items.begins
@@ -585,15 +721,23 @@ def _set_batches(items_of: ItemsOf, bitmap: np.ndarray):
     return run
 
 
-def whole_sets(texts: DataFrame, items_of: ItemsOf, classes: DataFrame) -> DataFrame:
+def whole_sets(
+    texts: DataFrame, items_of: ItemsOf, classes: DataFrame, firsts: DataFrame | None = None
+) -> DataFrame:
     """(cls, names): the sorted token names of the wanted classes, each once.
 
-    Texts aren't shuffled: a table of bits leaves out most sets nobody asks for.
+    Texts aren't shuffled: a table of bits leaves out most sets nobody asks for. With
+    `firsts` (cls, doc), a document that holds each class, another one leaves out texts.
     """
-    bitmap = _wanted_bitmap(classes)
+    bitmap, held_by = _wanted_bitmap(classes), None
+    columns = [F.col("text")]
+    if firsts is not None:
+        place = F.xxhash64("doc")
+        held_by = _wanted_bitmap(firsts.join(classes, "cls", "left_semi").select(place.alias("cls")))
+        columns.append(place.alias("place"))
     return stored(
-        texts.select("text")
-        .mapInArrow(_set_batches(items_of, bitmap), "cls long, names binary")
+        texts.select(*columns)
+        .mapInArrow(_set_batches(items_of, bitmap, held_by), "cls long, names binary")
         .join(classes, "cls", "left_semi")
         .groupBy("cls")
         .agg(F.first("names").alias("names")),
