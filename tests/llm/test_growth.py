@@ -1,5 +1,7 @@
 """What operators move and leave behind must not grow faster than their input."""
 
+import time
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -9,8 +11,6 @@ from hailmeter.llm.common import stored
 from .conftest import SCHEMA
 
 
-
-
 def _long_lines(n, words, seed):
     rng = np.random.default_rng(seed)
     return [
@@ -79,3 +79,24 @@ def test_lines_without_a_listed_word_are_left_out():
     assert list(zip(some.row, some.number)) == [(0, 0), (0, 2), (2, 0)]
     assert some.counts.tolist() == [2, 3, 2]
     assert some.names.tolist() == whole.names[:7].tolist()
+
+
+def _shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = disk.getAllFiles().toList()
+    return {
+        name
+        for i in range(files.size())
+        if (name := files.apply(i).getName()).startswith("shuffle_")
+    }
+
+
+def test_a_stored_table_leaves_no_shuffle_files_behind(spark):
+    before = _shuffle_files(spark)
+    rows = spark.range(2000).groupBy((F.col("id") % 50).alias("k")).agg(F.sum("id").alias("s"))
+    table = stored(rows, "growth")
+    until = time.time() + 20
+    while _shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert table.count() == 50
