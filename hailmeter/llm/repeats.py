@@ -23,7 +23,8 @@ run, and equal windows have equal minimizers wherever they stand.
    marked and cut.
 
 A passage that a third of all documents share costs one row per task and string, and
-a minimizer with very many strings around it is dealt over all tasks by string.
+a minimizer with very many strings around it is dealt over all tasks by string. The
+number of buckets grows with the bytes of text, so a task holds a bounded share of them.
 
 Defined results: a null text is empty; doc_id null counts as greater than all others;
 rows with the same doc_id never remove each other's bytes; texts under `LENGTH` bytes
@@ -42,14 +43,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hailmeter.llm import tokens
-from hailmeter.llm.common import shuffle_partitions, stored
+from hailmeter.llm.common import bounded_batches, shuffle_partitions, stored
 
 LENGTH = 50
 GRAM = 24
 #: A minimizer with more strings in one task is dealt by string.
 MANY_STRINGS = 64
 #: Rows that a task holds before it packs and sends them.
-HELD_ROWS = 800_000
+HELD_ROWS = 400_000
+#: Bytes of text that a task works on at once.
+CHUNK_BYTES = 250_000
+#: Bytes of text behind a bucket at most, on average: about a run for every 14 of them.
+BUCKET_BYTES = 8_000_000
+MOST_BITS = 16
 LAST_DOC = 2**63 - 1
 
 _U = np.uint64
@@ -89,8 +95,9 @@ class Runs:
         with np.errstate(over="ignore"):
             extent = (self.end - self.begin).astype(_U)
             self.string = tokens.mix(chunk.span_hash(self.begin, self.end + length) + extent)
-        # 56 bits of the minimizer and 40 of the string together name a run
-        self.least = m[self.begin] >> _U(8)
+        # 56 bits of the minimizer and 40 of the string together name a run; the least of
+        # many hashes is small, so they are mixed again before they are dealt by their first bits
+        self.least = tokens.mix(m[self.begin]) >> _U(8)
         self.string >>= _U(24)
 
     @property
@@ -152,8 +159,15 @@ def _group_min(first: np.ndarray, sorted_docs: np.ndarray) -> np.ndarray:
     return sorted_docs[np.flatnonzero(first)][np.cumsum(first) - 1] if len(first) else sorted_docs
 
 
-def _bucket_bits(spark: SparkSession) -> int:
-    return max(8, (shuffle_partitions(spark) - 1).bit_length())
+def _bucket_bits(spark: SparkSession, n_bytes: int = 0) -> int:
+    """A task holds one bucket at once, so their number grows with the input."""
+    some = max(8, (shuffle_partitions(spark) - 1).bit_length())
+    return max(some, min(MOST_BITS, (n_bytes // BUCKET_BYTES).bit_length()))
+
+
+def _spread(name: np.ndarray, doc: np.ndarray, bits: int) -> np.ndarray:
+    """Buckets of rows that only pass through: a string of very many documents fills none."""
+    return (tokens.mix(name ^ tokens.mix(doc)) >> _U(64 - bits)).astype(np.int64)
 
 
 def _boxes(rows: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +195,8 @@ def _pack_runs(parts: list[tuple[np.ndarray, ...]], bits: int) -> Iterator[pa.Re
     first = _first_of_each(least, string)
     later = ~first & (doc != _group_min(first, doc))
     names = _names(least[later], string[later])
-    rows = list(_box(3, _home(least[later], bits), bits, [(names, 8), (doc[later], 4)]))
+    bucket = _spread(names, doc[later], bits)
+    rows = list(_box(3, bucket, bits, [(names, 8), (doc[later], 4)]))
     least, string, doc = least[first], string[first], doc[first]
     if len(least):
         group = np.cumsum(_first_of_each(least)) - 1
@@ -211,7 +226,7 @@ def _map_runs(length: int, gram: int, bits: int):
         held = 0
         for batch in batches:
             doc = batch.column("doc").to_numpy()
-            for chunk in tokens.chunks(batch.column("text")):
+            for chunk in tokens.chunks(batch.column("text"), CHUNK_BYTES):
                 runs = Runs(chunk, length, gram)
                 row = chunk.row_of(runs.begin)
                 parts.append((runs.least, runs.string, doc[chunk.first + row].view(_U)))
@@ -278,7 +293,10 @@ def _pack_windows(parts: list[tuple[np.ndarray, np.ndarray]], bits: int):
     done = ~first & (doc != _group_min(first, doc))
     rows = []
     for kind, use in ((0, first), (3, done)):
-        bucket = (name[use] >> _U(64 - bits)).astype(np.int64)
+        if kind == 3:
+            bucket = _spread(name[use], doc[use], bits)
+        else:
+            bucket = (name[use] >> _U(64 - bits)).astype(np.int64)
         rows += _box(kind, bucket, bits, [(name[use], 7), (doc[use], 4)])
     yield from _boxes(rows)
 
@@ -292,7 +310,7 @@ def _map_windows(length: int, gram: int, bits: int):
         for batch in batches:
             doc = batch.column("doc").to_numpy()
             wanted = batch.column("names")
-            for chunk in tokens.chunks(batch.column("text")):
+            for chunk in tokens.chunks(batch.column("text"), CHUNK_BYTES):
                 names, row = _windows(chunk, wanted, length, gram)
                 parts.append((names, doc[chunk.first + row].view(_U)))
                 held += len(row)
@@ -353,7 +371,7 @@ def _cut(length: int, gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, removed, spans, digests = [], [], [], []
-            for chunk in tokens.chunks(batch.column("text")):
+            for chunk in tokens.chunks(batch.column("text"), CHUNK_BYTES):
                 rows = range(chunk.first, chunk.first + len(chunk))
                 mask = np.zeros(len(chunk.data), dtype=bool)
                 runs_row, runs_name = _listed(batch.column("runs"), rows)
@@ -409,12 +427,14 @@ def _place() -> Column:
 def repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM):
     """(runs, windows): rows of (doc, name, covered) for whole runs and single windows."""
     spark = docs.sparkSession
-    bits = _bucket_bits(spark)
+    bounded_batches(spark)
     packed = "bucket int, kind int, blob binary"
     answer = "doc long, name long, covered boolean"
     texts = docs.select(_place(), F.col("text").cast("string").alias("text")).filter(
         F.octet_length("text") >= length
     )
+    n_bytes = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0]
+    bits = _bucket_bits(spark, n_bytes or 0)
     runs = stored(
         texts.mapInArrow(_map_runs(length, gram, bits), packed)
         .groupBy("bucket")

@@ -3,10 +3,11 @@
 import time
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from hailmeter.llm import linedup, setjoin
-from hailmeter.llm.common import stored
+from hailmeter.llm import linedup, repeats, setjoin
+from hailmeter.llm.common import BATCH_BYTES, stored
 
 from .conftest import SCHEMA
 
@@ -100,3 +101,49 @@ def test_a_stored_table_leaves_no_shuffle_files_behind(spark):
         time.sleep(0.2)
     assert not _shuffle_files(spark) - before
     assert table.count() == 50
+
+
+def _boxed(lines, bits, held, monkeypatch):
+    """Bytes and rows of packed runs, by kind and bucket."""
+    monkeypatch.setattr(repeats, "HELD_ROWS", held)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(lines)), pa.int64()), pa.array(lines)], names=["doc", "text"]
+    )
+    rows = [r for b in repeats._map_runs(50, 24, bits)(iter([batch])) for r in b.to_pylist()]
+    count = lambda r: int(np.frombuffer(r["blob"], "<u8", 1)[0])
+    return {
+        kind: np.bincount(
+            [r["bucket"] for r in rows if r["kind"] == kind],
+            [count(r) for r in rows if r["kind"] == kind],
+            1 << bits,
+        )
+        for kind in (0, 3)
+    }
+
+
+def test_runs_are_dealt_evenly_over_buckets(monkeypatch):
+    found = _boxed(_long_lines(200, 300, 3), 4, 10**9, monkeypatch)[0]
+    assert found.sum() > 10_000
+    assert found.max() < 1.3 * found.mean()
+
+
+def test_copies_that_are_covered_already_fill_no_single_bucket(monkeypatch):
+    passage = "one passage of some sixty bytes that very many texts hold as it is"
+    found = _boxed([passage] * 4000, 4, 10**9, monkeypatch)[3]
+    assert found.sum() >= 3999
+    assert found.max() < 1.3 * found.mean()
+
+
+def test_buckets_of_runs_grow_with_the_input(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "200")
+    assert repeats._bucket_bits(session, 10**6) == 8
+    assert repeats._bucket_bits(session, 10**10) == 11
+    assert repeats._bucket_bits(session, 10**15) == repeats.MOST_BITS
+
+
+def test_texts_for_repeats_come_in_batches_of_bounded_bytes(spark):
+    session = spark.newSession()
+    docs = session.createDataFrame([(1, "word " * 99, "en", "a", None)], SCHEMA)
+    assert repeats.remove_repeats(docs).count() == 1
+    assert session.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == BATCH_BYTES
