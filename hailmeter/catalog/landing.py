@@ -50,7 +50,9 @@ def stored_bronze(spark: SparkSession, sf_dir: str) -> Bronze:
         base, derived = work_dir(spark, "bronze"), fixtures.bronze(spark, sf_dir)
         rows = _rows_per_file(spark, fixtures.given(spark, sf_dir, "lineitem").count())
         for name in _SCHEMAS:
-            overwrite_table(getattr(derived, name), f"{base}/{name}", rows_per_file=rows)
+            overwrite_table(
+                getattr(derived, name), f"{base}/{name}", rows_per_file=rows, compression="zstd"
+            )
         _stored[key] = base
         return _read_bronze(spark, base)
 

@@ -5,12 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hailmeter.functions import clock, money
-from hailmeter.operators.dimension import attach, fits_broadcast, heavy_keys
+from hailmeter.operators import conform
+from hailmeter.operators.dimension import (
+    Lookup,
+    attach,
+    attach_all,
+    counted_heavy_keys,
+    fits_broadcast,
+    measured,
+)
 
 FACT_COLUMNS = (
     "taxi_type", "pickup_at", "dropoff_at",
@@ -63,13 +72,31 @@ def _with_hour(trips: DataFrame) -> DataFrame:
 
 def enrich_weather(trips: DataFrame, weather: DataFrame, **join) -> DataFrame:
     """Exact match on the pickup's date and hour, compared as one long."""
-    hourly = weather.select(
+    on = [("_pickup_hour_index", "_hour_index")]
+    joined = attach(_with_hour(trips), _hourly_columns(weather), on, **join)
+    return joined.drop("_pickup_hour_index")
+
+
+def _hourly_columns(weather: DataFrame) -> DataFrame:
+    return weather.select(
         clock.hour_index_of(F.col("weather_date"), F.col("weather_hour")).alias("_hour_index"),
         "weather_category", "is_adverse_weather",
         "temperature_f", "precipitation_inch", "wind_speed_mph",
     )
-    on = [("_pickup_hour_index", "_hour_index")]
-    return attach(_with_hour(trips), hourly, on, **join).drop("_pickup_hour_index")
+
+
+def derived_columns(trips: DataFrame) -> list[str]:
+    """Those columns that `derive_trip_features` gives again, all or none of them."""
+    own = trips.select("pickup_at", "dropoff_at")
+    names = [c for c in conform.derive_trip_features(own).columns if c not in own.columns]
+    if any(c not in trips.columns for c in names):
+        return []
+    kept = trips.select(*own.columns, *[F.col(c).alias(f"_{c}") for c in names])
+    again = conform.derive_trip_features(kept)
+    if any(again.schema[c].dataType != trips.schema[c].dataType for c in names):
+        return []
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names]
+    return [] if again.filter(~reduce(lambda a, b: a & b, same)).take(1) else names
 
 
 def _labelled(trips: DataFrame) -> DataFrame:
@@ -104,12 +131,32 @@ def fact_trips(
     joins = {} if zones_small else {role: [f"{role}_zone_id"] for role in roles}
     if not weather_small:
         joins["hour"] = ["_pickup_hour_index"]
-    heavy = heavy_keys(_with_hour(trips), joins)
-    for role in roles:
-        trips = enrich_zone(trips, zones, role, small=zones_small, heavy=heavy.get(role))
-    return _labelled(
-        enrich_weather(trips, weather, small=weather_small, heavy=heavy.get("hour"))
-    )
+    heavy, n_trips = counted_heavy_keys(_with_hour(trips), joins)
+    # what isn't in the fact doesn't move, but for the keys
+    trips = trips.select(*[c for c in FACT_COLUMNS if c in trips.columns])
+    large = []
+    if not zones_small:
+        size = measured(zones)
+        for role in roles:
+            key = f"{role}_zone_id"
+            named = _zone_columns(zones, role)
+            large.append(Lookup(named, key, "location_id", heavy[role], *size))
+    if not weather_small:
+        hourly = _hourly_columns(weather)
+        own = ("_pickup_hour_index", "_hour_index")
+        large.append(Lookup(hourly, *own, heavy["hour"], *measured(hourly)))
+    if large:
+        known = derived_columns(trips)
+        derive = conform.derive_trip_features if known else lambda df: df
+        trips = attach_all(
+            trips.drop(*known), large, n_trips, lambda df: _with_hour(derive(df))
+        ).drop("_pickup_hour_index")
+    if zones_small:
+        for role in roles:
+            trips = enrich_zone(trips, zones, role, small=True)
+    if weather_small:
+        trips = enrich_weather(trips, weather, small=True)
+    return _labelled(trips)
 
 
 @dataclass(frozen=True)

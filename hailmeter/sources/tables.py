@@ -17,6 +17,7 @@ def overwrite_table(
     rebalance: bool = False,
     only_touched: bool = False,
     rows_per_file: int | None = None,
+    compression: str | None = None,
 ) -> DataFrame:
     """Create or replace a Parquet table and return it as stored.
 
@@ -30,6 +31,8 @@ def overwrite_table(
     writer = out.write.mode("overwrite")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
+    if compression:
+        writer = writer.option("compression", compression)
     if partition_by:
         mode = "dynamic" if only_touched else "static"
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", mode)

@@ -5,7 +5,17 @@ from pyspark.sql import functions as F
 
 from hailmeter.functions import rules
 from hailmeter.operators import conform, demand, enrich
-from hailmeter.operators.dimension import attach, fits_broadcast, heavy_keys, measured_bytes
+from hailmeter.operators.dimension import (
+    CELL_BYTES,
+    Lookup,
+    attach,
+    attach_all,
+    fits_broadcast,
+    heavy_keys,
+    measured,
+    measured_bytes,
+    shares,
+)
 from hailmeter.plans import quality, reports, segments
 
 
@@ -332,3 +342,75 @@ def test_empty_facts_give_empty_reports(fact, weather):
     none = fact.limit(0)
     assert reports.adverse_demand_change(none, weather).count() == 0
     assert demand.mart_weather_demand(none).count() == 0
+
+
+def _zoned(spark, n=4000, zones=60):
+    """Facts with a hot and an absent key, and dimensions with repeated and absent keys."""
+    facts = spark.range(0, n, 1, 7).select(
+        "id",
+        F.expr(f"if(id % 3 = 0, 7, if(id % 17 = 0, null, id % {zones}))").alias("a"),
+        F.expr(f"cast(if(id % 5 > 1, 9, id % {zones + 9}) as int)").alias("b"),
+    )
+    dim = spark.range(zones).selectExpr("cast(id as int) AS key", "concat('z', id) AS label")
+    twice = dim.filter("key IN (5, 7)").withColumn("label", F.lit("again"))
+    none = spark.createDataFrame([(None, "none")], "key int, label string")
+    return facts, dim.unionAll(twice).unionAll(none)
+
+
+def _lookups(facts, dim):
+    heavy = heavy_keys(facts, {"a": ["a"], "b": ["b"], "c": ["c"]})
+    assert heavy["a"] and heavy["b"]
+    size = measured(dim)
+    return [
+        Lookup(dim.withColumnRenamed("label", f"{k}_label"), k, "key", heavy[k], *size)
+        for k in "abc"
+    ]
+
+
+def test_large_dimensions_are_joined_in_one_shuffle_of_the_facts(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "12")
+    facts, dim = _zoned(session)
+    derive = lambda df: df.withColumn("c", F.expr("if(id % 7 = 0, null, id % 13)"))
+    lookups = _lookups(derive(facts), dim)
+    assert shares(lookups, 12) == [3, 2, 2]
+    out = attach_all(facts, lookups, 10**9, derive)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ShuffledHashJoin") == 3 and "BroadcastHashJoin" not in plan
+    assert plan.count("Exchange hashpartitioning(_cell#") == 1
+    assert plan.count("Exchange hashpartitioning(") == 4
+    assert out.columns == ["id", "a", "b", "c", "a_label", "b_label", "c_label"]
+    want = derive(facts)
+    for x in lookups:
+        want = attach(want, x.dim, [(x.left, x.right)], small=True)
+    assert _sorted(out) == _sorted(want)
+    assert _sorted(attach_all(facts, lookups, 0, derive)) == _sorted(want)
+
+
+def test_a_hot_key_of_a_joint_shuffle_is_spread(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "64")
+    session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    facts = session.range(0, 20_000, 1, 7).selectExpr(
+        "id", "if(id % 2 = 0, 7, id) AS a", "7 AS b", "cast(null AS long) AS c"
+    )
+    _, dim = _zoned(session)
+    out = attach_all(facts, _lookups(facts, dim), 10**9).select(F.spark_partition_id().alias("p"))
+    assert out.count() == 60_004  # keys 5 and 7 are there twice
+    assert out.groupBy("p").count().agg(F.max("count")).first()[0] < 60_000 / 6
+
+
+def test_larger_dimensions_have_more_parts():
+    small, large, huge = (Lookup(None, "a", "b", [], 0, n) for n in (10, 10**6, 10**9))
+    assert shares([large, large, small], 600) == [25, 24, 1]
+    assert shares([large, small], 8) == [8, 1]
+    assert shares([huge, small], 2)[0] >= 10**9 / CELL_BYTES
+
+
+def test_derived_columns_that_were_changed_are_moved(staged, zones, weather):
+    assert len(enrich.derived_columns(staged)) == 8
+    other = staged.withColumn("pickup_hour", F.lit(3))
+    assert enrich.derived_columns(other) == []
+    assert enrich.derived_columns(staged.drop("is_night")) == []
+    large = enrich.fact_trips(other, zones, weather, zones_small=False, weather_small=False)
+    assert _sorted(large) == _sorted(enrich.fact_trips(other, zones, weather))
